@@ -18,22 +18,25 @@ def char_runs(chars: Column) -> Column:
     return F.regexp_extract_all(F.array_join(F.sort_array(chars), ""), F.lit(_RUN), F.lit(0))
 
 
-def runs_entropy(runs: Column, n: Column) -> Column:
-    """Shannon entropy in bits. ``n`` must be a materialised column: it is read once per run."""
-    return F.aggregate(
-        runs, F.lit(0.0), lambda acc, r: acc - (F.length(r) / n) * F.log2(F.length(r) / n)
+def char_histogram(chars: Column) -> Column:
+    """Distinct characters and their counts as ``array<struct<ch, k>>``."""
+    return F.transform(
+        char_runs(chars), lambda r: F.struct(F.substring(r, 1, 1).alias("ch"), F.length(r).alias("k"))
     )
 
 
+def histogram_entropy(histogram: Column, n: Column) -> Column:
+    """Shannon entropy in bits. ``n`` must be a materialised column: it is read once per character."""
+    return F.aggregate(histogram, F.lit(0.0), lambda acc, h: acc - (h["k"] / n) * F.log2(h["k"] / n))
+
+
 def char_entropy(df: DataFrame, col: str = "text", out: str = "entropy") -> DataFrame:
     """Entropy over the code points of ``col``; 0.0 for the empty text, NULL for NULL."""
-    staged = df.withColumns({"__n": F.length(col), "__runs": char_runs(F.split(F.col(col), ""))})
-    return staged.withColumn(out, runs_entropy(F.col("__runs"), F.col("__n"))).drop("__n", "__runs")
+    staged = df.withColumns({"__n": F.length(col), "__hist": char_histogram(F.split(F.col(col), ""))})
+    return staged.withColumn(out, histogram_entropy(F.col("__hist"), F.col("__n"))).drop("__n", "__hist")
 
 
 def char_freq(df: DataFrame, keys: list[str], col: str = "text") -> DataFrame:
     """One row per record and distinct character: ``keys``, ``ch``, ``n``."""
-    run = F.explode(char_runs(F.split(F.col(col), ""))).alias("__run")
-    return df.select(*keys, run).select(
-        *keys, F.substring("__run", 1, 1).alias("ch"), F.length("__run").cast("bigint").alias("n")
-    )
+    counted = F.inline(char_histogram(F.split(F.col(col), ""))).alias("ch", "__k")
+    return df.select(*keys, counted).select(*keys, "ch", F.col("__k").cast("bigint").alias("n"))

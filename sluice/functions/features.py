@@ -1,6 +1,6 @@
 """The text-quality features, as native expressions that also run on streams.
 
-Character classes are counted on the run histogram of a text (see ``chars``), so each class costs a few
+Character classes are counted on the histogram of a text (see ``chars``), so each class costs a few
 dozen regex tests per document rather than one per character. Shared intermediates sit in earlier
 projections; a caller that selects only some features leaves the rest to column pruning.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.chars import char_runs, runs_entropy
+from sluice.functions.chars import char_histogram, histogram_entropy
 from sluice.functions.scalar import ratio
 
 # Stop words per language.
@@ -60,10 +60,18 @@ EXTRA_FEATURES = (
     "dup_8gram", "dup_9gram",
 )
 
+# How longer n-grams are joined from shorter ones, round by round.
+GRAM_ROUNDS = (
+    {2: (1, 1)},
+    {3: (1, 2), 4: (2, 2)},
+    {5: (1, 4), 6: (2, 4), 7: (3, 4), 8: (4, 4)},
+    {9: (1, 8), 10: (2, 8)},
+)
+
 
-def _class_count(runs: Column, pattern: str) -> Column:
+def _class_count(histogram: Column, pattern: str) -> Column:
     """How many characters of a text fall in a character class."""
-    return F.aggregate(runs, F.lit(0), lambda acc, r: acc + F.when(r.rlike(pattern), F.length(r)).otherwise(0))
+    return F.aggregate(histogram, F.lit(0), lambda acc, h: acc + F.when(h["ch"].rlike(pattern), h["k"]).otherwise(0))
 
 
 def _total_length(pieces: Column) -> Column:
@@ -75,24 +83,31 @@ def _line_hits(text: Column, pattern: str) -> Column:
     return F.size(F.regexp_extract_all(text, F.lit("(?md)" + pattern), F.lit(0)))
 
 
-def _ngrams(words: Column, n_words: Column, k: int) -> Column:
-    grams = F.transform(
-        F.sequence(F.lit(1), n_words - (k - 1)), lambda i: F.array_join(F.slice(words, i, F.lit(k)), " ")
+def _joined_pairs(left: Column, right: Column, offset: int, n_pairs: Column) -> Column:
+    """``left[i] + ' ' + right[i + offset]`` for the first ``n_pairs`` positions."""
+    size = F.greatest(n_pairs, F.lit(0))
+    return F.zip_with(
+        F.slice(left, F.lit(1), size), F.slice(right, F.lit(1 + offset), size), lambda a, b: F.concat(a, F.lit(" "), b)
     )
-    return F.when(n_words >= k, grams).otherwise(F.array().cast("array<string>"))
 
 
 def _top_ngram_chars(grams: Column, k: int) -> Column:
-    """Characters covered by the most frequent n-gram (of several, the longest), blanks not counted."""
-    start = F.struct(F.lit(None).cast("string").alias("gram"), F.lit(0).alias("run"),
-                     F.struct(F.lit(0).alias("n"), F.lit(0).alias("size")).alias("best"))
+    """Characters covered by the most frequent n-gram (of several, the longest), blanks not counted.
+
+    The fold walks the sorted n-grams; ``best`` holds count and length in one number so that they compare at once.
+    """
+    width = 1 << 32
+    start = F.struct(F.lit(None).cast("string").alias("gram"), F.lit(0).cast("bigint").alias("run"),
+                     F.lit(0).cast("bigint").alias("best"))
 
     def step(acc: Column, gram: Column) -> Column:
-        run = F.when(acc["gram"] == gram, acc["run"] + 1).otherwise(F.lit(1))
-        seen = F.struct(run.alias("n"), (F.length(gram) - (k - 1)).alias("size"))
+        run = F.when(acc["gram"] == gram, acc["run"] + 1).otherwise(F.lit(1).cast("bigint"))
+        seen = run * width + (F.length(gram) - (k - 1))
         return F.struct(gram.alias("gram"), run.alias("run"), F.greatest(acc["best"], seen).alias("best"))
 
-    return F.aggregate(F.sort_array(grams), start, step, lambda acc: acc["best"]["n"] * acc["best"]["size"])
+    return F.aggregate(
+        F.sort_array(grams), start, step, lambda acc: F.shiftright(acc["best"], 32) * (acc["best"] % width)
+    )
 
 
 def _dup_share(grams: Column) -> Column:
@@ -140,32 +155,37 @@ def quality_features(
         ),
         "__entities": F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)),
     })
-    runs, n, words = F.col("__runs"), F.col("__n"), F.col("__words")
+    hist, n, words = F.col("__hist"), F.col("__n"), F.col("__words")
     counted = split.withColumns({
-        "__runs": char_runs(F.col("__chars")),
+        "__hist": char_histogram(F.col("__chars")),
         "__n_words": F.size(words),
         "__word_chars": _total_length(words),
     })
     n_words, word_chars = F.col("__n_words"), F.col("__word_chars")
-    gram_sizes = (2, 4, 10) + ((3, 5, 6, 7, 8, 9) if extra else ())
+    grams = {1: words}
+    for joins in GRAM_ROUNDS:
+        wanted = {k: parts for k, parts in joins.items() if extra or k in (2, 4, 8, 10)}
+        counted = counted.withColumns({
+            f"__g{k}": _joined_pairs(grams[a], grams[b], a, n_words - (k - 1)) for k, (a, b) in wanted.items()
+        })
+        grams.update({k: F.col(f"__g{k}") for k in wanted})
     classes = counted.withColumns({
-        "__breaks": _class_count(runs, r"^\n"),
-        "__letters": _class_count(runs, r"^\p{L}"),
-        "__digits": _class_count(runs, r"^\p{Nd}"),
-        "__blanks": _class_count(runs, r"^[ \t]"),
-        "__puncts": _class_count(runs, r"^\p{P}"),
-        "__emojis": _class_count(runs, "^" + EMOJI),
-        "__symbols": _class_count(runs, r"^\p{S}"),
-        "__ends": _class_count(runs, "^" + SENTENCE_END),
-        "__mean": ratio(F.aggregate(runs, F.lit(0.0), lambda acc, r: acc + F.length(r) * F.ascii(r)), n),
+        "__breaks": n - F.length(F.replace(text, F.lit("\n"), F.lit(""))),
+        "__letters": _class_count(hist, r"\p{L}"),
+        "__digits": _class_count(hist, r"\p{Nd}"),
+        "__blanks": _class_count(hist, r"[ \t]"),
+        "__puncts": _class_count(hist, r"\p{P}"),
+        "__emojis": _class_count(hist, EMOJI),
+        "__symbols": _class_count(hist, r"\p{S}"),
+        "__ends": _class_count(hist, SENTENCE_END),
+        "__mean": ratio(F.aggregate(hist, F.lit(0.0), lambda acc, h: acc + h["k"] * F.ascii(h["ch"])), n),
         "__stops": _stop_word_count(F.col("__stripped"), F.col(lang_col) if lang_col else None),
-        **{f"__g{k}": _ngrams(words, n_words, k) for k in gram_sizes},
     })
     lines = F.col("__breaks") + 1
     mean = F.col("__mean")
     # The mean appears twice on purpose: an expression used once would be inlined into the lambda.
     spread = F.aggregate(
-        runs, F.lit(0.0), lambda acc, r: acc + F.length(r) * (F.ascii(r) - mean) * (F.ascii(r) - mean)
+        hist, F.lit(0.0), lambda acc, h: acc + h["k"] * (F.ascii(h["ch"]) - mean) * (F.ascii(h["ch"]) - mean)
     )
     steps = F.zip_with(
         F.slice(F.col("__chars"), F.lit(1), F.greatest(n - 1, F.lit(0))),
@@ -208,7 +228,7 @@ def quality_features(
         "dup_top_2gram": ratio(_top_ngram_chars(F.col("__g2"), 2), word_chars),
         "dup_top_4gram": ratio(_top_ngram_chars(F.col("__g4"), 4), word_chars),
         "dup_10gram": _dup_share(F.col("__g10")),
-        "entropy": runs_entropy(runs, n),
+        "entropy": histogram_entropy(hist, n),
         "std_dev_unicode_value": F.sqrt(ratio(spread, n)),
         "mean_diff_unicode_value": ratio(step_sum, F.greatest(n - 1, F.lit(0))),
     }

@@ -15,6 +15,7 @@ from sluice.operators.models import (
 )
 from sluice.queries.common import CONTENT_SQL, as_blocks, r6, r6_sql, table
 from sluice.queries.scalars import entropy_sql
+from sluice.session import materialize, spread
 
 QUERIES, SQL = {}, {}
 
@@ -141,7 +142,7 @@ def _group_query(group: str, source: str, key: str, text: str):
 
     def run(spark, sf_dir):
         cols = [key, text] + ([lang] if lang else [])
-        rows = quality_features(table(spark, sf_dir, source).select(*cols), text, lang_col=lang)
+        rows = quality_features(spread(table(spark, sf_dir, source).select(*cols)), text, lang_col=lang)
         return rows.select(key, *_shown(names))
 
     QUERIES[f"feat_{group}"] = run
@@ -156,7 +157,7 @@ for _group in FEATURE_GROUPS:
 
 
 def feat_optional_query(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return quality_features(docs, "text", extra=True).select("doc_id", *_shown(EXTRA_FEATURES))
 
 
@@ -165,7 +166,7 @@ SQL["feat_optional"] = feature_query_sql("documents", list(EXTRA_FEATURES), "doc
 
 
 def clean_model_demo_query(spark, sf_dir):
-    records = as_blocks(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    records = as_blocks(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
     return clean_model(records).select("doc_id", r6(F.col("clean_prob")).alias("clean_prob"))
 
 
@@ -185,8 +186,12 @@ SQL["clean_model_demo"] = _clean_prob_sql()
 
 
 def train_clean_model_query(spark, sf_dir):
-    """Fit on the labelled documents and score all documents; compared with brute force in the tests."""
-    features = quality_features(table(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text")
+    """Fit on the labelled documents and score all documents; compared with brute force in the tests.
+
+    Training passes over the features many times, so they are written once.
+    """
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    features = materialize(quality_features(docs, "text").drop("text"), "features")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     model = train_clean_model(features.join(labels, "doc_id"), "quality")
     return score_clean_model(model, features).select("doc_id", r6(F.col("clean_prob")).alias("clean_prob"))

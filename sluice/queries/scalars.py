@@ -14,6 +14,7 @@ from sluice.operators.models import gated
 from sluice.operators.rows import run_partitions, run_rows
 from sluice.plans.registry import apply_operators, get_operator
 from sluice.queries.common import BODY_SQL, CONTENT_SQL, RECORDS_SQL, as_blocks, r6, r6_sql, table
+from sluice.session import spread
 
 QUERIES, SQL = {}, {}
 
@@ -101,7 +102,7 @@ def entropy_sql(source: str, key: str, text: str) -> str:
 
 
 def char_entropy_query(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return char_entropy(docs, "text").select("doc_id", r6(F.col("entropy")).alias("entropy"))
 
 
@@ -111,7 +112,7 @@ SELECT doc_id, {r6_sql('coalesce(entropy, 0.0)')} AS entropy FROM documents LEFT
 
 
 def char_freq_query(spark, sf_dir):
-    return char_freq(table(spark, sf_dir, "documents"), ["doc_id"], "text")
+    return char_freq(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), ["doc_id"], "text")
 
 
 QUERIES["char_freq"] = char_freq_query

@@ -11,7 +11,7 @@ from sluice.operators.refs import valid_refs
 from sluice.plans.registry import apply_operators
 from sluice.plans.runner import run_steps
 from sluice.queries.common import table
-from sluice.session import scratch_path
+from sluice.session import scratch_path, spread
 from sluice.sinks.files import write_any, write_jsonl
 from sluice.sources.files import list_files, read_any, read_binary, read_by_index, read_jsonl
 from sluice.streaming.steps import finish, run_refs_step, run_stream_step, stream_jsonl, stream_refs, write_stream
@@ -32,7 +32,7 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written_docs(spark: SparkSession, sf_dir: str, label: str) -> str:
     path = scratch_path(spark, label)
-    write_jsonl(docs(spark, sf_dir), path)
+    write_jsonl(spread(docs(spark, sf_dir)), path)
     return path
 
 
@@ -184,8 +184,14 @@ SQL["sink_compressed"] = f"SELECT *, true AS is_gzip FROM ({ORDERS_SQL})"
 
 
 def table_stream(spark, sf_dir, name):
-    path = f"{sf_dir}/{name}.parquet"
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """A table as a file stream; the pattern lets a table be one file as well as a directory."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
+
+
+def quarter_of_files(spark, path, glob=WRITTEN):
+    """Files per micro-batch that make about four micro-batches."""
+    return max(1, list_files(spark, path, glob).count() // 4)
 
 
 def sink_stream(spark, sf_dir):
@@ -246,7 +252,7 @@ def stream_step(spark, sf_dir):
     """A chain with a filter and the features' entropy gate on a stream, in several micro-batches."""
     path = written_docs(spark, sf_dir, "stream-step")
     chain = [{"name": "length_filter", "params": {"min_length": 500}}, *OPS]
-    rows = stream_jsonl(spark, path, DOC, max_files_per_trigger=1, glob=WRITTEN)
+    rows = stream_jsonl(spark, path, DOC, max_files_per_trigger=quarter_of_files(spark, path), glob=WRITTEN)
     finish(run_stream_step(rows, chain, f"{path}-out", f"{path}-checkpoint"))
     return spark.read.schema(f"{DOC}, op1 string, op2 bigint").json(f"{path}-out")
 
@@ -259,14 +265,14 @@ WHERE length(text) >= 500"""
 def _two_steps(spark, sf_dir, engine, trigger, label):
     path = scratch_path(spark, label)
     source = f"{path}/in"
-    lines = docs(spark, sf_dir).select(F.to_json(F.struct(*DOC_COLS)).alias("value"))
+    lines = spread(docs(spark, sf_dir)).select(F.to_json(F.struct(*DOC_COLS)).alias("value"))
     write_any(lines, source, "text")
     config = {
         "dataset": {"input_path": source, "input_type": "data", "schema": DOC, "output_path": f"{path}/out",
                     "glob": "*.txt"},
         "steps": [
             {"engine_type": engine, "operators": OPS, "trigger_event": "job_finished",
-             "engine_config": {"maxFilesPerTrigger": 2}},
+             "engine_config": {"maxFilesPerTrigger": quarter_of_files(spark, source, "*.txt")}},
             {"engine_type": engine, "operators": MORE_OPS, "trigger_event": trigger},
         ],
     }
@@ -318,7 +324,7 @@ SQL["stream_resume"] = "SELECT doc_id, text, lang, doc_id % 2 AS pass FROM docum
 def stream_dedup(spark, sf_dir):
     """Which copy survives depends on arrival, so texts and their number are compared."""
     path = written_docs(spark, sf_dir, "stream-dedup")
-    rows = md5_dedup(stream_jsonl(spark, path, DOC, max_files_per_trigger=3, glob=WRITTEN), "text")
+    rows = md5_dedup(stream_jsonl(spark, path, DOC, max_files_per_trigger=quarter_of_files(spark, path), glob=WRITTEN), "text")
     finish(write_stream(rows, f"{path}-out", f"{path}-checkpoint"))
     back = spark.read.schema(DOC).json(f"{path}-out")
     return back.groupBy(F.md5(F.col("text").cast("binary")).alias("digest")).agg(F.count(F.lit(1)).alias("copies"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -57,3 +57,19 @@ def shared_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared folder."""
     return f"{shared_root(spark)}/sluice/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write an expensive intermediate to the shared folder once and read it back.
+
+    The copy survives the loss of executors and cuts the lineage.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input with fewer splits than cores; larger inputs stay as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
