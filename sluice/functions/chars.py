@@ -1,42 +1,42 @@
 """Character statistics, computed inside each row.
 
 The characters of a text are sorted and cut into runs of equal characters, so a text becomes a short
-histogram (one string per distinct character). Nothing is exploded and nothing is shuffled: the cost
+histogram (one entry per distinct character). Nothing is exploded and nothing is shuffled: the cost
 stays linear in the corpus and does not depend on how documents are spread over partitions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_RUN = r"(?s)(.)\1*+"
+_RUN = r"r'(?s)(.)\1*+'"
 
 
-def char_runs(chars: Column) -> Column:
-    """Runs of equal characters of a ``split(text, '')`` array, in character order."""
-    return F.regexp_extract_all(F.array_join(F.sort_array(chars), ""), F.lit(_RUN), F.lit(0))
+def histogram_expr(chars: str) -> str:
+    """SQL expression: ``array<struct<ch, k>>`` of a ``split(text, '')`` array, in character order."""
+    runs = f"regexp_extract_all(array_join(sort_array({chars}), ''), {_RUN}, 0)"
+    return f"transform({runs}, r -> struct(substring(r, 1, 1) AS ch, length(r) AS k))"
 
 
-def char_histogram(chars: Column) -> Column:
-    """Distinct characters and their counts as ``array<struct<ch, k>>``."""
-    return F.transform(
-        char_runs(chars), lambda r: F.struct(F.substring(r, 1, 1).alias("ch"), F.length(r).alias("k"))
-    )
+def entropy_expr(histogram: str, n: str) -> str:
+    """SQL expression: entropy in bits.
 
-
-def histogram_entropy(histogram: Column, n: Column) -> Column:
-    """Shannon entropy in bits. ``n`` must be a materialised column: it is read once per character."""
-    return F.aggregate(histogram, F.lit(0.0), lambda acc, h: acc - (h["k"] / n) * F.log2(h["k"] / n))
+    ``n`` must be a materialised column, since it is read for every character. It appears twice, so the optimizer
+    does not inline its definition into the lambda.
+    """
+    return f"aggregate({histogram}, 0D, (acc, h) -> acc - (h.k / {n}) * log2(h.k / {n}))"
 
 
 def char_entropy(df: DataFrame, col: str = "text", out: str = "entropy") -> DataFrame:
     """Entropy over the code points of ``col``; 0.0 for the empty text, NULL for NULL."""
-    staged = df.withColumns({"__n": F.length(col), "__hist": char_histogram(F.split(F.col(col), ""))})
-    return staged.withColumn(out, histogram_entropy(F.col("__hist"), F.col("__n"))).drop("__n", "__hist")
+    chars = F.split(F.col(col), "")
+    staged = df.withColumns({"__n": F.length(col), "__chars": chars}).withColumn("__hist", F.expr(histogram_expr("__chars")))
+    return staged.withColumn(out, F.expr(entropy_expr("__hist", "__n"))).drop("__n", "__chars", "__hist")
 
 
 def char_freq(df: DataFrame, keys: list[str], col: str = "text") -> DataFrame:
     """One row per record and distinct character: ``keys``, ``ch``, ``n``."""
-    counted = F.inline(char_histogram(F.split(F.col(col), ""))).alias("ch", "__k")
-    return df.select(*keys, counted).select(*keys, "ch", F.col("__k").cast("bigint").alias("n"))
+    chars = df.select(*keys, F.split(F.col(col), "").alias("__chars"))
+    counted = chars.select(*keys, F.inline(F.expr(histogram_expr("__chars"))).alias("ch", "__k"))
+    return counted.select(*keys, "ch", F.col("__k").cast("bigint").alias("n"))

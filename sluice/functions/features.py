@@ -1,17 +1,19 @@
-"""The text-quality features, as native expressions that also run on streams.
+"""The text-quality features, as native SQL expressions that also run on streams.
 
-Character classes are counted on the histogram of a text (see ``chars``), so each class costs a few
-dozen regex tests per document rather than one per character. Shared intermediates sit in earlier
-projections; a caller that selects only some features leaves the rest to column pruning.
+Character classes are counted on the histogram of a text (see ``chars``), so each class costs a few dozen regex tests
+per document rather than one per character. Shared intermediates are columns of earlier projections, and only those
+that the wanted features need are built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.chars import char_histogram, histogram_entropy
-from sluice.functions.scalar import ratio
+from sluice.functions.chars import entropy_expr, histogram_expr
 
 # Stop words per language.
 STOP_WORDS = {
@@ -25,17 +27,18 @@ STOP_WORDS = {
     "si sin su sus un una y ya".split(),
 }
 
-# The patterns behind the counts.
-SPACE_CHARS = " \t\n\r\f"
-SPACE = r"[ \t\n\r\f]"
-NOT_SPACE = r"[^ \t\n\r\f]"
-SENTENCE_END = "[.!?。！？]"
-EMOJI = r"[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]"
-ENTITY = r"&(#[0-9]+|#x[0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
-URL = r"https?://[^ \t\n\r\f]+"
-BULLET_LINE = r"^[ \t]*([-*•·]|[0-9]+[.)])[ \t]"
-ELLIPSIS_LINE = r"(\.\.\.|…)$"
-SCRIPT_LINE = r"^.*[Jj]ava[Ss]cript.*$"
+# The patterns behind the counts, as SQL literals.
+SPACE = r"r'[ \t\n\r\f]+'"
+SPACE_CHARS = r"' \t\n\r\u000C'"
+EDGE_PUNCTUATION = r"r'(?<![^ \t\n\r\f])\p{P}+|\p{P}+(?![^ \t\n\r\f])'"
+SENTENCE_END = "'[.!?。！？]'"
+SENTENCE_CUT = "'[.!?。！？]+'"
+EMOJI = r"r'[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]'"
+ENTITY = "'&(#[0-9]+|#x[0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);'"
+URL = r"r'https?://[^ \t\n\r\f]+'"
+BULLET_LINE = r"r'(?md)^[ \t]*([-*•·]|[0-9]+[.)])[ \t]'"
+ELLIPSIS_LINE = r"r'(?md)(\.\.\.|…)$'"
+SCRIPT_LINE = "'(?md)^.*[Jj]ava[Ss]cript.*$'"
 
 FEATURE_GROUPS = {
     "lines_words": (
@@ -60,72 +63,136 @@ EXTRA_FEATURES = (
     "dup_8gram", "dup_9gram",
 )
 
-# How longer n-grams are joined from shorter ones, round by round.
-GRAM_ROUNDS = (
-    {2: (1, 1)},
-    {3: (1, 2), 4: (2, 2)},
-    {5: (1, 4), 6: (2, 4), 7: (3, 4), 8: (4, 4)},
-    {9: (1, 8), 10: (2, 8)},
-)
 
 
-def _class_count(histogram: Column, pattern: str) -> Column:
+def _ratio(a: str, b: str) -> str:
+    """``a / b`` with x/0 = 0."""
+    return f"if({b} = 0, 0D, double({a}) / {b})"
+
+
+def _class(pattern: str) -> str:
     """How many characters of a text fall in a character class."""
-    return F.aggregate(histogram, F.lit(0), lambda acc, h: acc + F.when(h["ch"].rlike(pattern), h["k"]).otherwise(0))
+    return f"aggregate(__hist, 0, (acc, h) -> acc + if(h.ch rlike {pattern}, h.k, 0))"
 
 
-def _total_length(pieces: Column) -> Column:
-    return F.length(F.array_join(pieces, ""))
+def _length(pieces: str) -> str:
+    return f"length(array_join({pieces}, ''))"
 
 
-def _line_hits(text: Column, pattern: str) -> Column:
-    """Lines (cut at ``\\n`` only) that match an anchored pattern."""
-    return F.size(F.regexp_extract_all(text, F.lit("(?md)" + pattern), F.lit(0)))
+def _matches(pattern: str) -> str:
+    return f"regexp_extract_all(__text, {pattern}, 0)"
 
 
-def _joined_pairs(left: Column, right: Column, offset: int, n_pairs: Column) -> Column:
-    """``left[i] + ' ' + right[i + offset]`` for the first ``n_pairs`` positions."""
-    size = F.greatest(n_pairs, F.lit(0))
-    return F.zip_with(
-        F.slice(left, F.lit(1), size), F.slice(right, F.lit(1 + offset), size), lambda a, b: F.concat(a, F.lit(" "), b)
-    )
+def _grams(left: int, right: int) -> str:
+    """N-grams of ``left + right`` words, joined from those of ``left`` and of ``right`` words."""
+    size = f"greatest(__n_words - {left + right - 1}, 0)"
+    return f"zip_with(slice(__g{left}, 1, {size}), slice(__g{right}, {left + 1}, {size}), (a, b) -> concat(a, ' ', b))"
 
 
-def _top_ngram_chars(grams: Column, k: int) -> Column:
+def _top_gram(k: int) -> str:
     """Characters covered by the most frequent n-gram (of several, the longest), blanks not counted.
 
     The fold walks the sorted n-grams; ``best`` holds count and length in one number so that they compare at once.
     """
-    width = 1 << 32
-    start = F.struct(F.lit(None).cast("string").alias("gram"), F.lit(0).cast("bigint").alias("run"),
-                     F.lit(0).cast("bigint").alias("best"))
-
-    def step(acc: Column, gram: Column) -> Column:
-        run = F.when(acc["gram"] == gram, acc["run"] + 1).otherwise(F.lit(1).cast("bigint"))
-        seen = run * width + (F.length(gram) - (k - 1))
-        return F.struct(gram.alias("gram"), run.alias("run"), F.greatest(acc["best"], seen).alias("best"))
-
-    return F.aggregate(
-        F.sort_array(grams), start, step, lambda acc: F.shiftright(acc["best"], 32) * (acc["best"] % width)
-    )
+    run = "if(acc.gram = g, acc.run + 1L, 1L)"
+    start = "named_struct('gram', string(NULL), 'run', 0L, 'best', 0L)"
+    best = f"greatest(acc.best, {run} * {1 << 32}L + (length(g) - {k - 1}))"
+    step = f"named_struct('gram', g, 'run', {run}, 'best', {best})"
+    covered = f"shiftright(acc.best, 32) * (acc.best % {1 << 32}L)"
+    return _ratio(f"aggregate(sort_array(__g{k}), {start}, (acc, g) -> {step}, acc -> {covered})", "__word_chars")
 
 
-def _dup_share(grams: Column) -> Column:
-    return ratio(F.size(grams) - F.size(F.array_distinct(grams)), F.size(grams))
+def _repeated(k: int) -> str:
+    return _ratio(f"(size(__g{k}) - size(array_distinct(__g{k})))", f"size(__g{k})")
 
 
-def _stop_word_count(stripped: Column, lang: Column | None) -> Column:
-    tokens = F.split(stripped, SPACE + "+")
+def _stop_words(by_language: bool) -> str:
+    def hits(words) -> str:
+        listed = ", ".join(f"'{w}'" for w in words)
+        return f"size(filter(split(__stripped, {SPACE}), w -> w IN ({listed})))"
 
-    def hits(words: list[str]) -> Column:
-        return F.size(F.filter(tokens, lambda w: w.isin(words)))
-
-    if lang is None:
+    if not by_language:
         return hits(sorted({w for words in STOP_WORDS.values() for w in words}))
-    counts = F.lit(0)
-    for code, words in STOP_WORDS.items():
-        counts = F.when(lang == code, hits(words)).otherwise(counts)
-    return counts
+    cases = " ".join(f"WHEN '{code}' THEN {hits(words)}" for code, words in STOP_WORDS.items())
+    return f"CASE __lang {cases} ELSE 0 END"
+
+
+def _stages(by_language: bool) -> list[dict[str, str]]:
+    """Intermediate columns; each projection may use those before it."""
+    return [
+        {
+            "__n": "length(__text)",
+            "__chars": "split(__text, '')",
+            "__g1": f"array_remove(split(__text, {SPACE}), '')",
+            "__stripped": f"regexp_replace(lower(__text), {EDGE_PUNCTUATION}, '')",
+            "__sentences": f"filter(transform(split(__text, {SENTENCE_CUT}), s -> btrim(s, {SPACE_CHARS})), s -> s != '')",
+            "__entities": _matches(ENTITY),
+            "__lines": r"length(__text) - length(replace(__text, '\n', '')) + 1",
+        },
+        {"__hist": histogram_expr("__chars"), "__n_words": "size(__g1)", "__word_chars": _length("__g1")},
+        {"__g2": _grams(1, 1)},
+        {"__g3": _grams(1, 2), "__g4": _grams(2, 2)},
+        {"__g5": _grams(1, 4), "__g6": _grams(2, 4), "__g7": _grams(3, 4), "__g8": _grams(4, 4)},
+        {"__g9": _grams(1, 8), "__g10": _grams(2, 8)},
+        {
+            "__letters": _class(r"r'\p{L}'"),
+            "__digits": _class(r"r'\p{Nd}'"),
+            "__blanks": _class(r"r'[ \t]'"),
+            "__puncts": _class(r"r'\p{P}'"),
+            "__emojis": _class(EMOJI),
+            "__symbols": _class(r"r'\p{S}'"),
+            "__mean": _ratio("aggregate(__hist, 0D, (acc, h) -> acc + h.k * ascii(h.ch))", "__n"),
+            "__stops": _stop_words(by_language),
+        },
+    ]
+
+
+def _definitions() -> dict[str, str]:
+    # The mean appears twice on purpose: an expression used once would be inlined into the lambda.
+    spread = "aggregate(__hist, 0D, (acc, h) -> acc + h.k * (ascii(h.ch) - __mean) * (ascii(h.ch) - __mean))"
+    others = "greatest(__n - 1, 0)"
+    steps = f"zip_with(slice(__chars, 1, {others}), slice(__chars, 2, {others}), (a, b) -> abs(ascii(a) - ascii(b)))"
+    return {
+        "lines_num": "bigint(__lines)",
+        "words_num": "bigint(__n_words)",
+        "average_words_per_line": _ratio("__n_words", "__lines"),
+        "word_compression": _ratio(_length("array_distinct(__g1)"), "__word_chars"),
+        "unique_words_frac": _ratio("size(array_distinct(__g1))", "__n_words"),
+        "content_word_len": "bigint(__letters)",
+        "content_word_frac": _ratio("__letters", "__n"),
+        "num_len": "bigint(__digits)",
+        "num_frac": _ratio("__digits", "__n"),
+        "space_len": "bigint(__blanks)",
+        "space_frac": _ratio("__blanks", "__n"),
+        "enter_frac": _ratio("(__lines - 1)", "__n"),
+        "max_continue_space_num": f"bigint(coalesce(array_max(transform({_matches("' +'")}, s -> length(s))), 0))",
+        "punc_len": "bigint(__puncts)",
+        "punc_frac": _ratio("__puncts", "__n"),
+        "emoji_len": "bigint(__emojis)",
+        "emoji_frac": _ratio("__emojis", "__n"),
+        "special_char_len": "bigint(__symbols)",
+        "special_char_frac": _ratio("__symbols", "__n"),
+        "punc_end_sentence_num": f"bigint(size({_matches(SENTENCE_END)}))",
+        "punc_end_sentence_mean_len": _ratio(_length("__sentences"), "size(__sentences)"),
+        "stop_word_num": "bigint(__stops)",
+        "stop_word_frac": _ratio("__stops", "__n_words"),
+        "ellipsis_line_frac": _ratio(f"size({_matches(ELLIPSIS_LINE)})", "__lines"),
+        "bulletpoint_line_frac": _ratio(f"size({_matches(BULLET_LINE)})", "__lines"),
+        "html_semi_entity_count": "bigint(size(__entities))",
+        "html_semi_entity_frac": _ratio(_length("__entities"), "__n"),
+        "url_char_frac": _ratio(_length(_matches(URL)), "__n"),
+        "dup_top_2gram": _top_gram(2),
+        "dup_top_4gram": _top_gram(4),
+        "dup_10gram": _repeated(10),
+        "entropy": entropy_expr("__hist", "__n"),
+        "std_dev_unicode_value": f"sqrt({_ratio(spread, '__n')})",
+        "mean_diff_unicode_value": _ratio(f"aggregate({steps}, 0L, (acc, d) -> acc + d)", others),
+        "content_len": "bigint(__n)",
+        "ellipsis_line_num": f"bigint(size({_matches(ELLIPSIS_LINE)}))",
+        "js_line_frac": _ratio(f"size({_matches(SCRIPT_LINE)})", "__lines"),
+        "dup_top_3gram": _top_gram(3),
+        **{f"dup_{k}gram": _repeated(k) for k in (5, 6, 7, 8, 9)},
+    }
 
 
 def quality_features(
@@ -134,110 +201,30 @@ def quality_features(
     prefix: str = "",
     lang_col: str | None = None,
     extra: bool = False,
+    features: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add the quality features of ``text_col`` as columns named ``prefix + feature``.
+    """Add quality features of ``text_col`` as columns named ``prefix + feature``.
 
-    ``lang_col`` picks the stop words of one language; without it the words of all languages count.
-    ``extra`` adds the optional features as well. NULL text gives NULL features.
+    Without ``features``, all of ``FEATURES`` are added, and with ``extra`` the optional ones as well. ``lang_col`` picks
+    the stop words of one language; without it the words of all languages count. NULL text gives NULL features.
     """
+    wanted = list(features) if features is not None else list(FEATURES + EXTRA_FEATURES if extra else FEATURES)
+    definitions, stages = _definitions(), _stages(lang_col is not None)
+    unknown = [name for name in wanted if name not in definitions]
+    if unknown:
+        raise KeyError(f"unknown features: {unknown}")
+
+    needed, queue = set(), [definitions[name] for name in wanted]
+    steps = {name: sql for stage in stages for name, sql in stage.items()}
+    while queue:
+        found = set(re.findall(r"__[a-z0-9_]+", queue.pop())) - needed
+        needed |= found
+        queue += [steps[name] for name in found if name in steps]
+
     original = [F.col(f"`{c}`") for c in df.columns]
-    text = F.col("__text")
-    edge_punctuation = rf"(?<!{NOT_SPACE})\p{{P}}+|\p{{P}}+(?!{NOT_SPACE})"
-
-    base = df.select(*original, F.col(text_col).alias("__text"))
-    split = base.withColumns({
-        "__n": F.length(text),
-        "__chars": F.split(text, ""),
-        "__words": F.array_remove(F.split(text, SPACE + "+"), ""),
-        "__stripped": F.regexp_replace(F.lower(text), edge_punctuation, ""),
-        "__sentences": F.filter(
-            F.transform(F.split(text, SENTENCE_END + "+"), lambda s: F.btrim(s, F.lit(SPACE_CHARS))), lambda s: s != ""
-        ),
-        "__entities": F.regexp_extract_all(text, F.lit(ENTITY), F.lit(0)),
-    })
-    hist, n, words = F.col("__hist"), F.col("__n"), F.col("__words")
-    counted = split.withColumns({
-        "__hist": char_histogram(F.col("__chars")),
-        "__n_words": F.size(words),
-        "__word_chars": _total_length(words),
-    })
-    n_words, word_chars = F.col("__n_words"), F.col("__word_chars")
-    grams = {1: words}
-    for joins in GRAM_ROUNDS:
-        wanted = {k: parts for k, parts in joins.items() if extra or k in (2, 4, 8, 10)}
-        counted = counted.withColumns({
-            f"__g{k}": _joined_pairs(grams[a], grams[b], a, n_words - (k - 1)) for k, (a, b) in wanted.items()
-        })
-        grams.update({k: F.col(f"__g{k}") for k in wanted})
-    classes = counted.withColumns({
-        "__breaks": n - F.length(F.replace(text, F.lit("\n"), F.lit(""))),
-        "__letters": _class_count(hist, r"\p{L}"),
-        "__digits": _class_count(hist, r"\p{Nd}"),
-        "__blanks": _class_count(hist, r"[ \t]"),
-        "__puncts": _class_count(hist, r"\p{P}"),
-        "__emojis": _class_count(hist, EMOJI),
-        "__symbols": _class_count(hist, r"\p{S}"),
-        "__ends": _class_count(hist, SENTENCE_END),
-        "__mean": ratio(F.aggregate(hist, F.lit(0.0), lambda acc, h: acc + h["k"] * F.ascii(h["ch"])), n),
-        "__stops": _stop_word_count(F.col("__stripped"), F.col(lang_col) if lang_col else None),
-    })
-    lines = F.col("__breaks") + 1
-    mean = F.col("__mean")
-    # The mean appears twice on purpose: an expression used once would be inlined into the lambda.
-    spread = F.aggregate(
-        hist, F.lit(0.0), lambda acc, h: acc + h["k"] * (F.ascii(h["ch"]) - mean) * (F.ascii(h["ch"]) - mean)
-    )
-    steps = F.zip_with(
-        F.slice(F.col("__chars"), F.lit(1), F.greatest(n - 1, F.lit(0))),
-        F.slice(F.col("__chars"), F.lit(2), F.greatest(n - 1, F.lit(0))),
-        lambda a, b: F.abs(F.ascii(a) - F.ascii(b)),
-    )
-    step_sum = F.aggregate(steps, F.lit(0).cast("bigint"), lambda acc, d: acc + d)
-    space_runs = F.transform(F.regexp_extract_all(text, F.lit(" +"), F.lit(0)), lambda s: F.length(s))
-    url_chars = _total_length(F.regexp_extract_all(text, F.lit(URL), F.lit(0)))
-
-    values = {
-        "lines_num": lines.cast("bigint"),
-        "words_num": n_words.cast("bigint"),
-        "average_words_per_line": ratio(n_words, lines),
-        "word_compression": ratio(_total_length(F.array_distinct(words)), word_chars),
-        "unique_words_frac": ratio(F.size(F.array_distinct(words)), n_words),
-        "content_word_len": F.col("__letters").cast("bigint"),
-        "content_word_frac": ratio(F.col("__letters"), n),
-        "num_len": F.col("__digits").cast("bigint"),
-        "num_frac": ratio(F.col("__digits"), n),
-        "space_len": F.col("__blanks").cast("bigint"),
-        "space_frac": ratio(F.col("__blanks"), n),
-        "enter_frac": ratio(F.col("__breaks"), n),
-        "max_continue_space_num": F.coalesce(F.array_max(space_runs), F.lit(0)).cast("bigint"),
-        "punc_len": F.col("__puncts").cast("bigint"),
-        "punc_frac": ratio(F.col("__puncts"), n),
-        "emoji_len": F.col("__emojis").cast("bigint"),
-        "emoji_frac": ratio(F.col("__emojis"), n),
-        "special_char_len": F.col("__symbols").cast("bigint"),
-        "special_char_frac": ratio(F.col("__symbols"), n),
-        "punc_end_sentence_num": F.col("__ends").cast("bigint"),
-        "punc_end_sentence_mean_len": ratio(_total_length(F.col("__sentences")), F.size("__sentences")),
-        "stop_word_num": F.col("__stops").cast("bigint"),
-        "stop_word_frac": ratio(F.col("__stops"), n_words),
-        "ellipsis_line_frac": ratio(_line_hits(text, ELLIPSIS_LINE), lines),
-        "bulletpoint_line_frac": ratio(_line_hits(text, BULLET_LINE), lines),
-        "html_semi_entity_count": F.size("__entities").cast("bigint"),
-        "html_semi_entity_frac": ratio(_total_length(F.col("__entities")), n),
-        "url_char_frac": ratio(url_chars, n),
-        "dup_top_2gram": ratio(_top_ngram_chars(F.col("__g2"), 2), word_chars),
-        "dup_top_4gram": ratio(_top_ngram_chars(F.col("__g4"), 4), word_chars),
-        "dup_10gram": _dup_share(F.col("__g10")),
-        "entropy": histogram_entropy(hist, n),
-        "std_dev_unicode_value": F.sqrt(ratio(spread, n)),
-        "mean_diff_unicode_value": ratio(step_sum, F.greatest(n - 1, F.lit(0))),
-    }
-    if extra:
-        values["content_len"] = n.cast("bigint")
-        values["ellipsis_line_num"] = _line_hits(text, ELLIPSIS_LINE).cast("bigint")
-        values["js_line_frac"] = ratio(_line_hits(text, SCRIPT_LINE), lines)
-        values["dup_top_3gram"] = ratio(_top_ngram_chars(F.col("__g3"), 3), word_chars)
-        for k in (5, 6, 7, 8, 9):
-            values[f"dup_{k}gram"] = _dup_share(F.col(f"__g{k}"))
-    named = [F.when(text.isNotNull(), value).alias(prefix + name) for name, value in values.items()]
-    return classes.select(*original, *named)
+    lang = [F.col(lang_col).alias("__lang")] if lang_col else []
+    staged = df.select(*original, F.col(text_col).alias("__text"), *lang)
+    for stage in stages:
+        staged = staged.withColumns({name: F.expr(sql) for name, sql in stage.items() if name in needed})
+    named = [F.expr(f"if(__text IS NULL, NULL, {definitions[n]})").alias(prefix + n) for n in wanted]
+    return staged.select(*original, *named)

@@ -18,12 +18,6 @@ def safe_div(a: Column, b: Column) -> Column:
     )
 
 
-def ratio(a: Column, b: Column) -> Column:
-    """Share used by the text features: like :func:`safe_div`, with 0/0 = 0."""
-    den = b.cast("double")
-    return F.when(den == 0, F.lit(0.0)).otherwise(a.cast("double") / den)
-
-
 def basename(path: Column) -> Column:
     """Last segment of a path."""
     return F.element_at(F.split(path, "/"), -1)

@@ -71,8 +71,10 @@ def clean_model(
     staged = df.withColumn("__content", F.col(text_col)) if text_col else concat_content(df, src, "__content")
     if on_error == "drop":
         staged = staged.filter(F.col("__content").isNotNull())
-    scored = quality_features(staged, "__content", prefix=_PREFIX)
-    score = gated(F.col(_PREFIX + "entropy"), logistic(weights or DEFAULT_WEIGHTS, _PREFIX))
+    weights = weights or DEFAULT_WEIGHTS
+    score = gated(F.col(_PREFIX + "entropy"), logistic(weights, _PREFIX))
+    wanted = sorted({"entropy", *weights} - {"intercept"})
+    scored = quality_features(staged, "__content", prefix=_PREFIX, features=wanted)
     return scored.select(*original, F.when(F.col("__content").isNotNull(), score).alias(out))
 
 

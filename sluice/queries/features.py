@@ -142,7 +142,7 @@ def _group_query(group: str, source: str, key: str, text: str):
 
     def run(spark, sf_dir):
         cols = [key, text] + ([lang] if lang else [])
-        rows = quality_features(spread(table(spark, sf_dir, source).select(*cols)), text, lang_col=lang)
+        rows = quality_features(spread(table(spark, sf_dir, source).select(*cols)), text, lang_col=lang, features=names)
         return rows.select(key, *_shown(names))
 
     QUERIES[f"feat_{group}"] = run
@@ -158,7 +158,7 @@ for _group in FEATURE_GROUPS:
 
 def feat_optional_query(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return quality_features(docs, "text", extra=True).select("doc_id", *_shown(EXTRA_FEATURES))
+    return quality_features(docs, "text", features=EXTRA_FEATURES).select("doc_id", *_shown(EXTRA_FEATURES))
 
 
 QUERIES["feat_optional"] = feat_optional_query

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sluice.functions.blocks import CONTENT_LIST_SCHEMA, block_markdown, concat_content, filter_blocks
 from sluice.functions.chars import char_entropy, char_freq
 from sluice.functions.features import (
-    EXTRA_FEATURES, FEATURE_GROUPS, FEATURES, GRAM_ROUNDS, STOP_WORDS, quality_features,
+    EXTRA_FEATURES, FEATURE_GROUPS, FEATURES, STOP_WORDS, quality_features,
 )
 from sluice.functions.scalar import basename, flatten_struct, from_json_col, normalize_path, safe_div, to_json_col
 
@@ -135,13 +135,6 @@ def test_feature_names():
     assert set(FEATURE_GROUPS) == {"lines_words", "chars", "sentences", "markup", "repetition", "unicode"}
 
 
-def test_gram_rounds_only_use_known_sizes():
-    known = {1}
-    for joins in GRAM_ROUNDS:
-        assert all(a in known and b in known and a + b == k for k, (a, b) in joins.items())
-        known |= set(joins)
-
-
 SPACE = " \t\n\r\f"
 
 
@@ -244,6 +237,14 @@ def test_null_text_gives_null_features(spark):
     assert set(row.values()) == {None} and len(row) == 43
 
 
+def test_chosen_features(spark):
+    df = spark.createDataFrame([("a b", 1)], "text string, lines_num int")
+    got = quality_features(df, prefix="q_", features=["words_num", "dup_9gram"])
+    assert got.columns == ["text", "lines_num", "q_words_num", "q_dup_9gram"] and got.first().q_words_num == 2
+    with pytest.raises(KeyError, match="nope"):
+        quality_features(df, features=["nope"])
+
+
 def test_unused_features_are_pruned(spark):
     df = quality_features(spark.createDataFrame([("a b",)], "text string")).select("words_num")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
