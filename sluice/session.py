@@ -70,6 +70,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input with fewer splits than cores; larger inputs stay as they are, without a shuffle."""
+    """Use all cores on an input with fewer splits than cores; larger inputs stay as they are, without a shuffle.
+
+    Several partitions per core even out documents of very different lengths.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(4 * cores)

@@ -15,6 +15,7 @@ JSONL_GLOB = "*.{jsonl,jsonl.gz}"
 CORRUPT = "_corrupt_record"
 MAX_INDEX_PATHS = 100_000
 INDEX_SALTS = 16
+MAX_BROADCAST_SPLITS = 200_000
 
 # File suffix to Spark format.
 FORMATS = {
@@ -45,12 +46,11 @@ def parse_lines(lines: DataFrame, schema: str | T.StructType, on_error: str, car
     full = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
     mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
     record = F.from_json("value", full, {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
-    # An empty record of a broken line still says so in its corrupt field, hence a filter on that field only.
-    parsed = lines.filter(F.trim("value") != "").select(record.alias("__r"), *carried)
+    # A generator keeps the filter below from being merged with the decoding, which would then run twice per line.
+    parsed = lines.filter(F.trim("value") != "").select(F.inline(F.array(record)), *carried)
     if on_error == "drop":
-        parsed = parsed.filter(F.col("__r").getField(CORRUPT).isNull())
-    names = [f.name for f in fields] + ([CORRUPT] if on_error == "quarantine" else [])
-    return parsed.select(*[F.col("__r").getField(n).alias(n) for n in names], *carried)
+        parsed = parsed.filter(F.col(CORRUPT).isNull())
+    return parsed if on_error == "quarantine" else parsed.drop(CORRUPT)
 
 
 def _file_column() -> Column:
@@ -75,6 +75,9 @@ def _split_positions(tagged: DataFrame) -> DataFrame:
     before = Window.partitionBy("input_file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     splits = ordered.groupBy(*keys).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows"))
     starts = splits.select(*keys, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
+    # Every split but the last of a file fills a partition of its own, which bounds the number of splits.
+    if tagged.rdd.getNumPartitions() + len(tagged.inputFiles()) <= MAX_BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
     kept = [F.col(f"`{c}`") for c in tagged.columns if c != "__block"]
     position = (F.col("__start") + F.col("__id") - F.col("__first")).cast("bigint")
     return ordered.join(starts, keys, "inner").select(*kept, position.alias("row_pos"))

@@ -198,7 +198,7 @@ def test_shared_folder_must_be_named_on_a_cluster():
 
 
 def test_spread_only_small_inputs(spark):
-    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 8
+    assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 32
     wide = spark.range(0, 10, 1, 20)
     assert spread(wide) is wide
 
