@@ -1,42 +1,23 @@
-"""Character statistics, computed inside each row.
-
-The characters of a text are sorted and cut into runs of equal characters, so a text becomes a short
-histogram (one entry per distinct character). Nothing is exploded and nothing is shuffled: the cost
-stays linear in the corpus and does not depend on how documents are spread over partitions.
-"""
+"""Character statistics as row-local operators: nothing is shuffled, whatever the size of the corpus."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_RUN = r"r'(?s)(.)\1*+'"
-
-
-def histogram_expr(chars: str) -> str:
-    """SQL expression: ``array<struct<ch, k>>`` of a ``split(text, '')`` array, in character order."""
-    runs = f"regexp_extract_all(array_join(sort_array({chars}), ''), {_RUN}, 0)"
-    return f"transform({runs}, r -> struct(substring(r, 1, 1) AS ch, length(r) AS k))"
-
-
-def entropy_expr(histogram: str, n: str) -> str:
-    """SQL expression: entropy in bits.
-
-    ``n`` must be a materialised column, since it is read for every character. It appears twice, so the optimizer
-    does not inline its definition into the lambda.
-    """
-    return f"aggregate({histogram}, 0D, (acc, h) -> acc - (h.k / {n}) * log2(h.k / {n}))"
+from sluice.functions.kernels import char_counts_udf, char_stats_udf
 
 
 def char_entropy(df: DataFrame, col: str = "text", out: str = "entropy") -> DataFrame:
-    """Entropy over the code points of ``col``; 0.0 for the empty text, NULL for NULL."""
-    chars = F.split(F.col(col), "")
-    staged = df.withColumns({"__n": F.length(col), "__chars": chars}).withColumn("__hist", F.expr(histogram_expr("__chars")))
-    return staged.withColumn(out, F.expr(entropy_expr("__hist", "__n"))).drop("__n", "__chars", "__hist")
+    """Shannon entropy in bits over the code points of ``col``; 0.0 for the empty text, NULL for NULL."""
+    entropy = char_stats_udf(("entropy",))(F.col(col))["entropy"]
+    return df.withColumn(out, F.when(F.col(col).isNotNull(), entropy))
 
 
 def char_freq(df: DataFrame, keys: list[str], col: str = "text") -> DataFrame:
-    """One row per record and distinct character: ``keys``, ``ch``, ``n``."""
-    chars = df.select(*keys, F.split(F.col(col), "").alias("__chars"))
-    counted = chars.select(*keys, F.inline(F.expr(histogram_expr("__chars"))).alias("ch", "__k"))
-    return counted.select(*keys, "ch", F.col("__k").cast("bigint").alias("n"))
+    """One row per record and distinct character: ``keys``, ``ch``, ``n``.
+
+    A text is counted inside its row, so only its distinct characters leave it and no grouping over records is needed.
+    """
+    counted = df.select(*keys, char_counts_udf()(F.col(col)).alias("__counts"))
+    return counted.select(*keys, F.inline("__counts"))

@@ -1,8 +1,8 @@
-"""The text-quality features, as native SQL expressions that also run on streams.
+"""The text-quality features.
 
-Character classes are counted on the histogram of a text (see ``chars``), so each class costs a few dozen regex tests
-per document rather than one per character. Shared intermediates are columns of earlier projections, and only those
-that the wanted features need are built.
+Lines, sentences, stop words and markup are native SQL expressions; statistics over every character, word or n-gram come
+from the Arrow kernels. All of it is row-local, needs no shuffle and runs on streams as well. Shared intermediates are columns of
+an earlier projection, and only those that the wanted features need are built.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.chars import entropy_expr, histogram_expr
+from sluice.functions.kernels import CHAR_FIELDS, char_stats_udf, word_stats_udf
 
 # Stop words per language.
 STOP_WORDS = {
@@ -33,7 +33,6 @@ SPACE_CHARS = r"' \t\n\r\u000C'"
 EDGE_PUNCTUATION = r"r'(?<![^ \t\n\r\f])\p{P}+|\p{P}+(?![^ \t\n\r\f])'"
 SENTENCE_END = "'[.!?。！？]'"
 SENTENCE_CUT = "'[.!?。！？]+'"
-EMOJI = r"r'[\x{1F300}-\x{1FAFF}\x{2600}-\x{27BF}]'"
 ENTITY = "'&(#[0-9]+|#x[0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);'"
 URL = r"r'https?://[^ \t\n\r\f]+'"
 BULLET_LINE = r"r'(?md)^[ \t]*([-*•·]|[0-9]+[.)])[ \t]'"
@@ -64,17 +63,11 @@ EXTRA_FEATURES = (
 )
 
 
-
 def _ratio(a: str, b: str) -> str:
     """``a / b`` with x/0 = 0."""
     return f"if({b} = 0, 0D, double({a}) / {b})"
 
 
-def _class(pattern: str) -> str:
-    """How many characters of a text fall in a character class."""
-    return f"aggregate(__hist, 0, (acc, h) -> acc + if(h.ch rlike {pattern}, h.k, 0))"
-
-
 def _length(pieces: str) -> str:
     return f"length(array_join({pieces}, ''))"
 
@@ -83,29 +76,6 @@ def _matches(pattern: str) -> str:
     return f"regexp_extract_all(__text, {pattern}, 0)"
 
 
-def _grams(left: int, right: int) -> str:
-    """N-grams of ``left + right`` words, joined from those of ``left`` and of ``right`` words."""
-    size = f"greatest(__n_words - {left + right - 1}, 0)"
-    return f"zip_with(slice(__g{left}, 1, {size}), slice(__g{right}, {left + 1}, {size}), (a, b) -> concat(a, ' ', b))"
-
-
-def _top_gram(k: int) -> str:
-    """Characters covered by the most frequent n-gram (of several, the longest), blanks not counted.
-
-    The fold walks the sorted n-grams; ``best`` holds count and length in one number so that they compare at once.
-    """
-    run = "if(acc.gram = g, acc.run + 1L, 1L)"
-    start = "named_struct('gram', string(NULL), 'run', 0L, 'best', 0L)"
-    best = f"greatest(acc.best, {run} * {1 << 32}L + (length(g) - {k - 1}))"
-    step = f"named_struct('gram', g, 'run', {run}, 'best', {best})"
-    covered = f"shiftright(acc.best, 32) * (acc.best % {1 << 32}L)"
-    return _ratio(f"aggregate(sort_array(__g{k}), {start}, (acc, g) -> {step}, acc -> {covered})", "__word_chars")
-
-
-def _repeated(k: int) -> str:
-    return _ratio(f"(size(__g{k}) - size(array_distinct(__g{k})))", f"size(__g{k})")
-
-
 def _stop_words(by_language: bool) -> str:
     def hits(words) -> str:
         listed = ", ".join(f"'{w}'" for w in words)
@@ -122,76 +92,53 @@ def _stages(by_language: bool) -> list[dict[str, str]]:
     return [
         {
             "__n": "length(__text)",
-            "__chars": "split(__text, '')",
-            "__g1": f"array_remove(split(__text, {SPACE}), '')",
             "__stripped": f"regexp_replace(lower(__text), {EDGE_PUNCTUATION}, '')",
             "__sentences": f"filter(transform(split(__text, {SENTENCE_CUT}), s -> btrim(s, {SPACE_CHARS})), s -> s != '')",
             "__entities": _matches(ENTITY),
             "__lines": r"length(__text) - length(replace(__text, '\n', '')) + 1",
         },
-        {"__hist": histogram_expr("__chars"), "__n_words": "size(__g1)", "__word_chars": _length("__g1")},
-        {"__g2": _grams(1, 1)},
-        {"__g3": _grams(1, 2), "__g4": _grams(2, 2)},
-        {"__g5": _grams(1, 4), "__g6": _grams(2, 4), "__g7": _grams(3, 4), "__g8": _grams(4, 4)},
-        {"__g9": _grams(1, 8), "__g10": _grams(2, 8)},
-        {
-            "__letters": _class(r"r'\p{L}'"),
-            "__digits": _class(r"r'\p{Nd}'"),
-            "__blanks": _class(r"r'[ \t]'"),
-            "__puncts": _class(r"r'\p{P}'"),
-            "__emojis": _class(EMOJI),
-            "__symbols": _class(r"r'\p{S}'"),
-            "__mean": _ratio("aggregate(__hist, 0D, (acc, h) -> acc + h.k * ascii(h.ch))", "__n"),
-            "__stops": _stop_words(by_language),
-        },
+        {"__stops": _stop_words(by_language)},
     ]
 
 
 def _definitions() -> dict[str, str]:
-    # The mean appears twice on purpose: an expression used once would be inlined into the lambda.
-    spread = "aggregate(__hist, 0D, (acc, h) -> acc + h.k * (ascii(h.ch) - __mean) * (ascii(h.ch) - __mean))"
-    others = "greatest(__n - 1, 0)"
-    steps = f"zip_with(slice(__chars, 1, {others}), slice(__chars, 2, {others}), (a, b) -> abs(ascii(a) - ascii(b)))"
     return {
         "lines_num": "bigint(__lines)",
-        "words_num": "bigint(__n_words)",
-        "average_words_per_line": _ratio("__n_words", "__lines"),
-        "word_compression": _ratio(_length("array_distinct(__g1)"), "__word_chars"),
-        "unique_words_frac": _ratio("size(array_distinct(__g1))", "__n_words"),
-        "content_word_len": "bigint(__letters)",
-        "content_word_frac": _ratio("__letters", "__n"),
-        "num_len": "bigint(__digits)",
-        "num_frac": _ratio("__digits", "__n"),
-        "space_len": "bigint(__blanks)",
-        "space_frac": _ratio("__blanks", "__n"),
+        "words_num": "__words.words",
+        "average_words_per_line": _ratio("__words.words", "__lines"),
+        "word_compression": _ratio("__words.unique_word_chars", "__words.word_chars"),
+        "unique_words_frac": _ratio("__words.unique_words", "__words.words"),
+        "content_word_len": "__chars.letters",
+        "content_word_frac": _ratio("__chars.letters", "__n"),
+        "num_len": "__chars.digits",
+        "num_frac": _ratio("__chars.digits", "__n"),
+        "space_len": "__chars.blanks",
+        "space_frac": _ratio("__chars.blanks", "__n"),
         "enter_frac": _ratio("(__lines - 1)", "__n"),
         "max_continue_space_num": f"bigint(coalesce(array_max(transform({_matches("' +'")}, s -> length(s))), 0))",
-        "punc_len": "bigint(__puncts)",
-        "punc_frac": _ratio("__puncts", "__n"),
-        "emoji_len": "bigint(__emojis)",
-        "emoji_frac": _ratio("__emojis", "__n"),
-        "special_char_len": "bigint(__symbols)",
-        "special_char_frac": _ratio("__symbols", "__n"),
+        "punc_len": "__chars.puncts",
+        "punc_frac": _ratio("__chars.puncts", "__n"),
+        "emoji_len": "__chars.emojis",
+        "emoji_frac": _ratio("__chars.emojis", "__n"),
+        "special_char_len": "__chars.symbols",
+        "special_char_frac": _ratio("__chars.symbols", "__n"),
         "punc_end_sentence_num": f"bigint(size({_matches(SENTENCE_END)}))",
         "punc_end_sentence_mean_len": _ratio(_length("__sentences"), "size(__sentences)"),
         "stop_word_num": "bigint(__stops)",
-        "stop_word_frac": _ratio("__stops", "__n_words"),
+        "stop_word_frac": _ratio("__stops", "__words.words"),
         "ellipsis_line_frac": _ratio(f"size({_matches(ELLIPSIS_LINE)})", "__lines"),
         "bulletpoint_line_frac": _ratio(f"size({_matches(BULLET_LINE)})", "__lines"),
         "html_semi_entity_count": "bigint(size(__entities))",
         "html_semi_entity_frac": _ratio(_length("__entities"), "__n"),
         "url_char_frac": _ratio(_length(_matches(URL)), "__n"),
-        "dup_top_2gram": _top_gram(2),
-        "dup_top_4gram": _top_gram(4),
-        "dup_10gram": _repeated(10),
-        "entropy": entropy_expr("__hist", "__n"),
-        "std_dev_unicode_value": f"sqrt({_ratio(spread, '__n')})",
-        "mean_diff_unicode_value": _ratio(f"aggregate({steps}, 0L, (acc, d) -> acc + d)", others),
+        "entropy": "__chars.entropy",
+        "std_dev_unicode_value": "__chars.std_dev",
+        "mean_diff_unicode_value": "__chars.mean_diff",
         "content_len": "bigint(__n)",
         "ellipsis_line_num": f"bigint(size({_matches(ELLIPSIS_LINE)}))",
         "js_line_frac": _ratio(f"size({_matches(SCRIPT_LINE)})", "__lines"),
-        "dup_top_3gram": _top_gram(3),
-        **{f"dup_{k}gram": _repeated(k) for k in (5, 6, 7, 8, 9)},
+        **{f"dup_top_{k}gram": f"__words.top_{k}" for k in (2, 3, 4)},
+        **{f"dup_{k}gram": f"__words.dup_{k}" for k in (5, 6, 7, 8, 9, 10)},
     }
 
 
@@ -214,17 +161,23 @@ def quality_features(
     if unknown:
         raise KeyError(f"unknown features: {unknown}")
 
-    needed, queue = set(), [definitions[name] for name in wanted]
-    steps = {name: sql for stage in stages for name, sql in stage.items()}
-    while queue:
-        found = set(re.findall(r"__[a-z0-9_]+", queue.pop())) - needed
-        needed |= found
-        queue += [steps[name] for name in found if name in steps]
+    used = " ".join(definitions[name] for name in wanted)
+    for stage in reversed(stages):
+        used += " " + " ".join(sql for name, sql in stage.items() if re.search(rf"{name}\b", used))
+    chars = [name for name in CHAR_FIELDS if f"__chars.{name}" in used]
+    sizes = sorted({int(k) for k in re.findall(r"__words\.(?:dup|top)_(\d+)", used)})
 
     original = [F.col(f"`{c}`") for c in df.columns]
     lang = [F.col(lang_col).alias("__lang")] if lang_col else []
     staged = df.select(*original, F.col(text_col).alias("__text"), *lang)
+    kernels = {}
+    if chars:
+        kernels["__chars"] = char_stats_udf(chars)(F.col("__text"))
+    if "__words." in used:
+        kernels["__words"] = word_stats_udf(sizes)(F.col("__text"))
+    staged = staged.withColumns(kernels) if kernels else staged
     for stage in stages:
-        staged = staged.withColumns({name: F.expr(sql) for name, sql in stage.items() if name in needed})
+        needed = {name: F.expr(sql) for name, sql in stage.items() if re.search(rf"{name}\b", used)}
+        staged = staged.withColumns(needed) if needed else staged
     named = [F.expr(f"if(__text IS NULL, NULL, {definitions[n]})").alias(prefix + n) for n in wanted]
     return staged.select(*original, *named)
