@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,22 +26,33 @@ def space_ratio(df: DataFrame, col: str = "text", max_ratio: float = 0.1) -> Dat
     return df.filter(safe_div(blanks, n) <= max_ratio)
 
 
+def _first_per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drop rows whose ``__md5`` was seen earlier in the same input partition."""
+    seen: set[str | None] = set()
+    for batch in batches:
+        keep = []
+        for digest in batch.column("__md5").to_pylist():
+            keep.append(digest not in seen)
+            seen.add(digest)
+        yield batch.filter(pa.array(keep, pa.bool_()))
+
+
 @operator("md5_dedup")
-def md5_dedup(df: DataFrame, col: str = "text", order_by: str | list[str] = "doc_id", salts: int = 8) -> DataFrame:
-    """One row per distinct ``md5(col)``.
+def md5_dedup(df: DataFrame, col: str = "text", order_by: str | list[str] = "doc_id") -> DataFrame:
+    """One row per distinct ``md5(col)``; NULL counts as one text.
 
     Batch: the survivor is the row with the smallest ``order_by``. A minimum is aggregated on the map side,
     so a text that makes up a third of the corpus sends one row per input partition through the shuffle
     instead of its whole group.
 
-    Streaming: the first row seen survives. Rows pass a deduplication per (md5, salt) first, which spreads a
-    hot text over ``salts`` tasks, and then one per md5. Without an event time the state holds every md5 for
-    the life of the stream; keep it in the RocksDB state store.
+    Streaming: the first row seen survives. Each input partition drops its own copies before the shuffle, so that a
+    hot text is again one row per partition, and the state store drops the rest. Without an event time the state holds
+    every md5 for the life of the stream; keep it in the RocksDB state store.
     """
     digest = F.md5(F.col(col).cast("binary"))
     if df.isStreaming:
-        tagged = df.withColumns({"__md5": digest, "__salt": F.spark_partition_id() % salts})
-        return tagged.dropDuplicates(["__md5", "__salt"]).dropDuplicates(["__md5"]).drop("__md5", "__salt")
+        tagged = df.withColumn("__md5", digest)
+        return tagged.mapInArrow(_first_per_partition, tagged.schema).dropDuplicates(["__md5"]).drop("__md5")
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
     whole_row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
     first = F.min_by(whole_row, F.struct(*keys)).alias("__row")

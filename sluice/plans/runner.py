@@ -75,7 +75,8 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
 
     Neighbouring batch steps become one plan and only the last output is written, unless a step sets
     ``engine_config.materialize``. Stream steps drain their input into their own directory; with the trigger
-    ``file_success`` a stream step runs next to the one before it. A rerun with the same ``run_id`` resumes from
+    ``file_success`` a stream step runs next to the one before it; ``maxFilesPerTrigger`` (or ``maxOffsetsPerTrigger``, one
+    offset being one file) bounds its micro-batches. A rerun with the same ``run_id`` resumes from
     the checkpoints. An index is a finite table, so a first step on one always runs as a batch. Without ``dataset.output_path`` the run must
     be batch only and stays lazy.
     """
@@ -119,7 +120,7 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
         if step.get("trigger_event", "job_finished") == "job_finished":
             drain_chain(chain)
             chain = []
-        files_per_batch = conf.get("maxFilesPerTrigger")
+        files_per_batch = conf.get("maxFilesPerTrigger") or conf.get("maxOffsetsPerTrigger")
         if i == 0:
             glob = dataset.get("glob", JSONL_GLOB)
             schema_in = as_struct(dataset.get("schema") or infer_schema(spark, dataset["input_path"], glob))

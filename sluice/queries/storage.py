@@ -324,7 +324,8 @@ SQL["stream_resume"] = "SELECT doc_id, text, lang, doc_id % 2 AS pass FROM docum
 def stream_dedup(spark, sf_dir):
     """Which copy survives depends on arrival, so texts and their number are compared."""
     path = written_docs(spark, sf_dir, "stream-dedup")
-    rows = md5_dedup(stream_jsonl(spark, path, DOC, max_files_per_trigger=quarter_of_files(spark, path), glob=WRITTEN), "text")
+    files = 2 * quarter_of_files(spark, path)
+    rows = md5_dedup(stream_jsonl(spark, path, DOC, max_files_per_trigger=files, glob=WRITTEN), "text")
     finish(write_stream(rows, f"{path}-out", f"{path}-checkpoint"))
     back = spark.read.schema(DOC).json(f"{path}-out")
     return back.groupBy(F.md5(F.col("text").cast("binary")).alias("digest")).agg(F.count(F.lit(1)).alias("copies"))

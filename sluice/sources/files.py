@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,6 +153,15 @@ def _common_directory(first: str, last: str) -> str:
     return os.path.commonprefix([first, last]).rsplit("/", 1)[0] + "/"
 
 
+def _listing_or_none(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return list_files(spark, root, recursive=True)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_by_index(
     spark: SparkSession,
     index: DataFrame,
@@ -176,9 +186,10 @@ def read_by_index(
     wanted, paths = refs, []
     if first is not None:
         root = root or _common_directory(first, last)
-        listed = list_files(spark, root, recursive=True).select(normalize_path(F.col("path")).alias(file_col))
-        wanted = refs.join(listed, file_col, "left_semi")
-        paths = [r[0] for r in wanted.select(file_col).distinct().limit(max_paths + 1).collect()]
+        listed = _listing_or_none(spark, root)
+        if listed is not None:
+            wanted = refs.join(listed.select(normalize_path(F.col("path")).alias(file_col)), file_col, "left_semi")
+            paths = [r[0] for r in wanted.select(file_col).distinct().limit(max_paths + 1).collect()]
     if not paths:
         nothing = spark.createDataFrame([], f"value string, {file_col} string, {track_col} string")
         return parse_lines(nothing, schema, on_error, [file_col, track_col])

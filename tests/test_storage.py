@@ -142,6 +142,8 @@ def test_read_by_index(spark, folder, max_paths):
 def test_read_by_index_without_files(spark, folder):
     index = spark.createDataFrame([("1", f"file:{folder}/gone.jsonl", "t")], "id string, input_file string, track_id string")
     assert read_by_index(spark, index, SCHEMA).count() == 0
+    nowhere = index.withColumn("input_file", F.lit("file:/no/such/folder/a.jsonl"))
+    assert read_by_index(spark, nowhere, SCHEMA).count() == 0
     got = read_by_index(spark, index.limit(0), "track_id string")
     assert got.columns == ["track_id", "input_file", "ref_track_id"]
 
@@ -299,7 +301,7 @@ def config(folder, base, engines=("spark-cpu-batch", "spark-cpu-batch"), trigger
         "dataset": {"input_path": folder + "/x", "input_type": "data", "schema": SCHEMA, "output_path": base + "/out", **dataset},
         "steps": [
             {"engine_type": engines[0], "trigger_event": triggers[0], "operators": [{"name": "op1", "params": {}}, {"name": "op2"}],
-             "engine_config": {"maxFilesPerTrigger": 1}},
+             "engine_config": {"maxOffsetsPerTrigger": "1", "trigger_interval": "5 seconds"}},
             {"engine_type": engines[1], "trigger_event": triggers[1], "operators": [{"name": "op3"}, {"name": "op4"}]},
         ],
     }
