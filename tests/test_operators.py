@@ -36,7 +36,7 @@ def rows(df):
 # registry
 
 
-def test_registry_knows_the_reference_operators():
+def test_registry_knows_the_named_operators():
     known = sluice.list_operators()
     for name in ("op1", "op2", "op3", "op4", "op_stream_1", "combine_label", "clean_model_demo", "model_operator",
                  "length_filter", "space_ratio", "md5_dedup", "extract_documents"):
@@ -243,7 +243,7 @@ def test_run_rows_error_modes(spark):
     assert [(r.x, r.inv, r._error is None) for r in kept] == [(2, 0.5, True), (0, None, False), (7, None, False), (None, None, False)]
     assert kept[1]._error == "ZeroDivisionError" and "division" in kept[1]._error_msg
     with pytest.raises(Exception, match="ZeroDivisionError"):
-        run_rows(df, _inverse, INVERSE, on_error="fail").collect()
+        run_rows(df.filter("x = 0"), _inverse, INVERSE, on_error="fail").collect()
     with pytest.raises(ValueError):
         run_rows(df, _inverse, INVERSE, on_error="ignore")
 
