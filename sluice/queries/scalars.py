@@ -136,17 +136,20 @@ SELECT o_orderkey, a = 0 AND b = 0 AS is_nan, a <> 0 AND b = 0 AS is_inf,
 
 
 def clean_prob_gate_query(spark, sf_dir):
-    starts = table(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 3).alias("start"))
-    scored = char_entropy(starts, "start")
-    prob = gated(F.col("entropy"), F.col("entropy") / 2)
-    return scored.select("doc_id", "start", r6(prob).alias("clean_prob"))
+    """Whole texts pass the gate; language codes have two characters and one bit each, so they do not."""
+    docs = table(spark, sf_dir, "documents")
+    values = docs.select("doc_id", F.stack(F.lit(2), F.lit("lang"), "lang", F.lit("text"), "text").alias("field", "value"))
+    scored = char_entropy(values, "value")
+    prob = gated(F.col("entropy"), F.col("entropy") / 10)
+    return scored.select("doc_id", "field", r6(prob).alias("clean_prob"))
 
 
 QUERIES["clean_prob_gate"] = clean_prob_gate_query
-SQL["clean_prob_gate"] = f"""WITH s AS (SELECT doc_id, substr(text, 1, 3) AS start FROM documents),
-e AS ({entropy_sql('s', 'doc_id', 'start')})
-SELECT doc_id, start, {r6_sql('CASE WHEN coalesce(entropy, 0.0) <= 1 THEN 0.0 ELSE entropy / 2 END')} AS clean_prob
-FROM s LEFT JOIN e USING (doc_id)"""
+SQL["clean_prob_gate"] = f"""WITH s AS (SELECT doc_id || 'lang' AS id, doc_id, 'lang' AS field, lang AS value FROM documents
+  UNION ALL SELECT doc_id || 'text', doc_id, 'text', text FROM documents),
+e AS ({entropy_sql('s', 'id', 'value')})
+SELECT doc_id, field, {r6_sql('CASE WHEN coalesce(entropy, 0.0) <= 1 THEN 0.0 ELSE entropy / 10 END')} AS clean_prob
+FROM s LEFT JOIN e USING (id)"""
 
 
 def flatten_features_query(spark, sf_dir):
