@@ -249,3 +249,26 @@ def test_unused_features_are_pruned(spark):
     df = quality_features(spark.createDataFrame([("a b",)], "text string")).select("lines_num")
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "ArrowEvalPython" not in plan and "sentences" not in plan
+
+
+@pytest.mark.parametrize("chunk_chars, dense_cells", [(1, 0), (40, 10), (10**6, 10**6)])
+def test_kernels_do_not_depend_on_chunks(monkeypatch, chunk_chars, dense_cells):
+    """Any cut of a batch, and both ways to count characters, give the same statistics."""
+    import numpy as np
+    import pyarrow as pa
+
+    from sluice.functions import kernels
+
+    monkeypatch.setattr(kernels, "CHUNK_CHARS", chunk_chars)
+    monkeypatch.setattr(kernels, "DENSE_CELLS", dense_cells)
+    texts = SAMPLES + ["漢字 かな 交じり 文 漢字 かな", "", "x y x y x y x"]
+    chunks = list(kernels._chunks(pa.array([*texts, None])))
+    assert [t for chunk in chunks for t in chunk] == [*texts, ""]
+    chars = [kernels.char_table(c) for c in chunks]
+    words = [kernels.word_table(c, (2, 10)) for c in chunks]
+    for i, text in enumerate(texts):
+        want = brute_features(text)
+        for table, name, feature in ((chars, "entropy", "entropy"), (chars, "mean_diff", "mean_diff_unicode_value"),
+                                     (words, "words", "words_num"), (words, "top_2", "dup_top_2gram"), (words, "dup_10", "dup_10gram")):
+            assert abs(np.concatenate([t[name] for t in table])[i] - want[feature]) < 1e-9, (text, name)
+    assert list(kernels._chunks(pa.array([], pa.string()))) == []

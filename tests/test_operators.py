@@ -134,6 +134,16 @@ def test_merge_by_key_in_a_chain(spark):
     assert rows(sluice.apply_operators(lab, [step])) == [("t2", 9, 0.5)]
 
 
+def test_merge_with_a_hot_key(spark):
+    """A third of all rows under one key: each keeps its label, and the join is left to AQE's skew handling."""
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+    base = spark.range(0, 30_000, 1, 8).select(key.alias("track_id"), F.col("id").alias("a"))
+    labels = base.select("track_id").distinct().withColumn("label", F.length("track_id"))
+    got = combine_label(base, labels, ["label"], on="track_id")
+    assert got.count() == 30_000 and got.filter("track_id = 'hot' and label = 3").count() == 10_000
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+
+
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(-1000, 1000)), min_size=1, max_size=80, unique=True),
        st.integers(1, 30))

@@ -234,6 +234,21 @@ def test_one_file_per_micro_batch(spark, write_lines):
     assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [1, 1, 1]
 
 
+def test_interval_trigger_runs_until_stopped(spark, write_lines):
+    write_lines("s/1.jsonl", [line(1)])
+    root = write_lines.root
+    query = run_stream_step(stream_jsonl(spark, root + "/s", SCHEMA), [{"name": "op1"}], root + "/o", root + "/c",
+                            trigger={"processingTime": "200 milliseconds"})
+    try:
+        query.processAllAvailable()
+        write_lines("s/2.jsonl", [line(2)])
+        query.processAllAvailable()
+        assert query.isActive and ids(spark.read.json(root + "/o")) == [1, 2]
+    finally:
+        query.stop()
+    assert not query.isActive
+
+
 def test_stream_dedup_across_batches(spark, write_lines):
     for i in range(4):
         write_lines(f"s/{i}.jsonl", [line(10 * i + j, f"t{j % 3}") for j in range(9)] + [line(1000 + i, f"own{i}")])
