@@ -120,7 +120,7 @@ def char_counts(texts: list[str]) -> pa.Array:
 
 
 def _words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, word number and length of each word; equal words have equal numbers. Words are cut at ``[ \\t\\n\\r\\f]+``."""
+    """Row, word number and length of each word, cut at blanks, tabs, line and page breaks; equal words have equal numbers."""
     spaced = [t.replace("\t", " ").replace("\n", " ").replace("\r", " ").replace("\f", " ") for t in texts]
     pieces = pc.split_pattern(pa.array(spaced, pa.large_string()), " ")
     row, word = pc.list_parent_indices(pieces).to_numpy().astype(np.int64), pc.list_flatten(pieces)

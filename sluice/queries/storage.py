@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from sluice.operators.filters import md5_dedup
 from sluice.operators.labels import combine_label
 from sluice.operators.refs import valid_refs
-from sluice.plans.registry import apply_operators
 from sluice.plans.runner import run_steps
 from sluice.queries.common import table
 from sluice.session import scratch_path, spread
