@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from sluice.llm.mixing import systematic_mix, word_count
 from sluice.llm.packing import pack_documents
+from sluice.llm.pii import KINDS, find_pii, span_text
+from sluice.llm.quality_rules import vote_quality
 from sluice.llm.shards import balanced_shards, byte_size
 from sluice.queries.common import table
 
@@ -49,3 +51,21 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = balanced_shards(rows, 8, [F.col("digest"), F.col("text_crc32"), F.col("doc_id")])
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query("op8_pii_votes")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(span_text(base), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
+@_query("op9_quality_votes")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = vote_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
+    shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *[F.col("stats")[s].alias(s) for s in shown], "base_failed", "kept", "posterior")
