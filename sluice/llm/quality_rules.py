@@ -10,7 +10,7 @@ from sluice.llm.voting import VoteModel, fit, histogram
 from sluice.session import materialize
 
 WINDOW = 5
-STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_alnum", "n_marks", "n_distinct"]
+STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_alnum", "n_marks", "n_distinct", "n_same"]
 
 
 def with_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -36,7 +36,8 @@ def with_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
     hashed = cut.withColumn("__hashes", F.transform(starts, lambda w, i: F.xxhash64(w, *[at(i, s) for s in range(1, WINDOW)])))
     repeats = F.size(F.array_distinct("__hashes")) < F.size("__hashes")
     pairs = F.when(repeats, F.sort_array(F.transform("__hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
-    sorted_ = hashed.withColumn("__pairs", pairs).withColumn("__distinct", F.size(F.array_distinct(F.transform(words, F.lower))))
+    same_next = F.size(F.filter(words, lambda w, i: F.coalesce(w == F.get(words, i + 1), F.lit(False))))
+    sorted_ = hashed.withColumn("__pairs", pairs).withColumn("__same", same_next).withColumn("__distinct", F.size(F.array_distinct(F.transform(words, F.lower))))
     same = lambda i, j: F.get("__pairs", i)["h"] == F.get("__pairs", j)["h"]
     twice = F.filter("__pairs", lambda p, k: F.coalesce(same(k, k + 1), F.lit(False)) | ((k > 0) & F.coalesce(same(k, k - 1), F.lit(False))))
     placed = sorted_.withColumn("__places", F.sort_array(F.transform(twice, lambda p: p["i"])))
@@ -53,8 +54,9 @@ def with_statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
         count(r"[\p{L}\p{N}]").alias("n_alnum"),
         count(r"[!?]").alias("n_marks"),
         F.col("__distinct").cast("long").alias("n_distinct"),
+        F.col("__same").cast("long").alias("n_same"),
     )
-    return placed.withColumn("stats", stats).drop("__words", "__lines", "__hashes", "__pairs", "__distinct", "__places")
+    return placed.withColumn("stats", stats).drop("__words", "__lines", "__hashes", "__pairs", "__distinct", "__same", "__places")
 
 
 def base_failed(stats: Column) -> Column:
@@ -71,7 +73,7 @@ def rule_votes(stats: Column) -> dict[str, Column]:
     words, letters = stats["n_words"], stats["n_alnum"]
     share = lambda part, whole: F.when(whole > 0, part / whole)
     enough = lambda value: F.when(words >= 20, value)
-    repeated = F.greatest(share(stats["n_repeat_words"], words),
+    repeated = F.greatest(share(stats["n_repeat_words"], words), share(stats["n_same"], words),
                           F.when(stats["n_lines"] >= 4, share(stats["n_dup_lines"], stats["n_lines"])))
     shouted = F.greatest(share(stats["n_upper"], letters), F.lit(2) * share(stats["n_marks"], words))
     return {

@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm.cross_polytope import link_vectors
+from sluice.llm.html_text import code_points, extract_main_text
 from sluice.llm.mixing import systematic_mix, word_count
+from sluice.llm.near_duplicates import find_groups
 from sluice.llm.packing import pack_documents
 from sluice.llm.pii import KINDS, find_pii, span_text
 from sluice.llm.quality_rules import vote_quality
+from sluice.llm.rule_ensemble import score_quality
 from sluice.llm.shards import balanced_shards, byte_size
 from sluice.queries.common import table
 
@@ -69,3 +73,25 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = vote_quality(table(spark, sf_dir, "documents").select("doc_id", "text"), drop_text=True)
     shown = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return judged.select("doc_id", *[F.col("stats")[s].alias(s) for s in shown], "base_failed", "kept", "posterior")
+
+
+@_query("op2_rule_ensemble")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _ = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@_query("op4_jaccard_join")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = find_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+@_query("op7_cross_polytope")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@_query("op10_text_density")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", code_points(F.col("text")))
