@@ -51,8 +51,12 @@ def block_markdown(df: DataFrame, col: str = "content_list", out: str = "bodies"
     return df.withColumn(out, F.transform(F.col(col), lambda b: block_body(b, fields)))
 
 
-def concat_content(df: DataFrame, src: str = "content_list", out: str = "content", kind: str = "text") -> DataFrame:
-    """Join the bodies of the kept blocks by a blank line; an empty body keeps its separator."""
+def content_of(df: DataFrame, src: str = "content_list", kind: str = "text") -> Column:
+    """Bodies of the kept blocks, joined by a blank line; an empty body keeps its separator."""
     fields = _fields(df, src)
-    bodies = F.transform(kept_blocks(F.col(src), kind), lambda b: block_body(b, fields))
-    return df.withColumn(out, F.array_join(bodies, "\n\n"))
+    return F.array_join(F.transform(kept_blocks(F.col(src), kind), lambda b: block_body(b, fields)), "\n\n")
+
+
+def concat_content(df: DataFrame, src: str = "content_list", out: str = "content", kind: str = "text") -> DataFrame:
+    """Add the joined content of a block column."""
+    return df.withColumn(out, content_of(df, src, kind))

@@ -39,6 +39,7 @@ BULLET_LINE = r"r'(?md)^[ \t]*([-*•·]|[0-9]+[.)])[ \t]'"
 ELLIPSIS_LINE = r"r'(?md)(\.\.\.|…)$'"
 SCRIPT_LINE = "'(?md)^.*[Jj]ava[Ss]cript.*$'"
 
+# The feature names, grouped by what their computation shares.
 FEATURE_GROUPS = {
     "lines_words": (
         "lines_num", "words_num", "average_words_per_line", "word_compression", "unique_words_frac",
@@ -72,6 +73,10 @@ def _length(pieces: str) -> str:
     return f"length(array_join({pieces}, ''))"
 
 
+def _count(pattern: str) -> str:
+    return f"regexp_count(__text, {pattern})"
+
+
 def _matches(pattern: str) -> str:
     return f"regexp_extract_all(__text, {pattern}, 0)"
 
@@ -122,12 +127,12 @@ def _definitions() -> dict[str, str]:
         "emoji_frac": _ratio("__chars.emojis", "__n"),
         "special_char_len": "__chars.symbols",
         "special_char_frac": _ratio("__chars.symbols", "__n"),
-        "punc_end_sentence_num": f"bigint(size({_matches(SENTENCE_END)}))",
+        "punc_end_sentence_num": f"bigint({_count(SENTENCE_END)})",
         "punc_end_sentence_mean_len": _ratio(_length("__sentences"), "size(__sentences)"),
         "stop_word_num": "bigint(__stops)",
         "stop_word_frac": _ratio("__stops", "__words.words"),
-        "ellipsis_line_frac": _ratio(f"size({_matches(ELLIPSIS_LINE)})", "__lines"),
-        "bulletpoint_line_frac": _ratio(f"size({_matches(BULLET_LINE)})", "__lines"),
+        "ellipsis_line_frac": _ratio(_count(ELLIPSIS_LINE), "__lines"),
+        "bulletpoint_line_frac": _ratio(_count(BULLET_LINE), "__lines"),
         "html_semi_entity_count": "bigint(size(__entities))",
         "html_semi_entity_frac": _ratio(_length("__entities"), "__n"),
         "url_char_frac": _ratio(_length(_matches(URL)), "__n"),
@@ -135,8 +140,8 @@ def _definitions() -> dict[str, str]:
         "std_dev_unicode_value": "__chars.std_dev",
         "mean_diff_unicode_value": "__chars.mean_diff",
         "content_len": "bigint(__n)",
-        "ellipsis_line_num": f"bigint(size({_matches(ELLIPSIS_LINE)}))",
-        "js_line_frac": _ratio(f"size({_matches(SCRIPT_LINE)})", "__lines"),
+        "ellipsis_line_num": f"bigint({_count(ELLIPSIS_LINE)})",
+        "js_line_frac": _ratio(_count(SCRIPT_LINE), "__lines"),
         **{f"dup_top_{k}gram": f"__words.top_{k}" for k in (2, 3, 4)},
         **{f"dup_{k}gram": f"__words.dup_{k}" for k in (5, 6, 7, 8, 9, 10)},
     }
@@ -168,8 +173,8 @@ def quality_features(
     sizes = sorted({int(k) for k in re.findall(r"__words\.(?:dup|top)_(\d+)", used)})
 
     original = [F.col(f"`{c}`") for c in df.columns]
-    lang = [F.col(lang_col).alias("__lang")] if lang_col else []
-    staged = df.select(*original, F.col(text_col).alias("__text"), *lang)
+    lang = [F.col(f"`{lang_col}`").alias("__lang")] if lang_col else []
+    staged = df.select(*original, F.col(f"`{text_col}`").alias("__text"), *lang)
     kernels = {}
     if chars:
         kernels["__chars"] = char_stats_udf(chars)(F.col("__text"))

@@ -29,8 +29,16 @@ def normalize_path(path: Column) -> Column:
     return F.regexp_replace(slashes, r"^s3n?://", "s3a://")
 
 
+def metadata_path(path: Column) -> Column:
+    """A path from ``_metadata``, which is percent-encoded there and nowhere else, in the spelling of listings and references."""
+    return normalize_path(F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))))
+
+
 def flatten_struct(df: DataFrame, col: str, sep: str = ".") -> DataFrame:
-    """Replace struct column ``col`` by one column per leaf, named by its path below ``col``."""
+    """Replace struct column ``col`` by one column per leaf, named by its path below ``col``.
+
+    Two columns of one name are an error.
+    """
 
     def leaves(dtype: T.StructType, ref: Column, name: tuple[str, ...]):
         for field in dtype.fields:
@@ -44,7 +52,11 @@ def flatten_struct(df: DataFrame, col: str, sep: str = ".") -> DataFrame:
     if not isinstance(dtype, T.StructType):
         raise TypeError(f"{col} is not a struct column")
     kept = [F.col(f"`{c}`") for c in df.columns if c != col]
-    return df.select(*kept, *leaves(dtype, F.col(f"`{col}`"), ()))
+    flat = df.select(*kept, *leaves(dtype, F.col(f"`{col}`"), ()))
+    twice = sorted({c for c in flat.columns if flat.columns.count(c) > 1})
+    if twice:
+        raise ValueError(f"flattening {col} gives several columns named {twice}; pass another separator or rename first")
+    return flat
 
 
 def from_json_col(df: DataFrame, col: str, schema: str | T.StructType, out: str | None = None) -> DataFrame:

@@ -5,40 +5,63 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sluice.functions.blocks import content_of
 from sluice.functions.scalar import safe_div
 from sluice.plans.registry import operator
 
 
+def text_column(df: DataFrame, col: str | None = None) -> Column:
+    """The text that filters look at: ``col``, else ``text``, else the joined content of ``content_list``."""
+    if col or "text" in df.columns or "content_list" not in df.columns:
+        return F.col(f"`{col or 'text'}`")
+    return content_of(df, "content_list")
+
+
+def key_columns(df: DataFrame, order_by: str | list[str] | None) -> list[str]:
+    """What orders copies: the given columns, else the first id column there is, else all columns."""
+    if order_by:
+        return [order_by] if isinstance(order_by, str) else list(order_by)
+    return [c for c in ("doc_id", "track_id", "id") if c in df.columns][:1] or df.columns
+
+
 @operator("length_filter")
-def length_filter(df: DataFrame, col: str = "text", min_length: int = 100) -> DataFrame:
+def length_filter(df: DataFrame, col: str | None = None, min_length: int = 100) -> DataFrame:
     """Keep texts of at least ``min_length`` characters."""
-    return df.filter(F.length(col) >= min_length)
+    return df.filter(F.length(text_column(df, col)) >= min_length)
 
 
 @operator("space_ratio")
-def space_ratio(df: DataFrame, col: str = "text", max_ratio: float = 0.1) -> DataFrame:
+def space_ratio(df: DataFrame, col: str | None = None, max_ratio: float = 0.1) -> DataFrame:
     """Keep texts whose share of blanks is at most ``max_ratio``; the empty text (NaN) is dropped."""
-    n = F.length(col)
-    blanks = n - F.length(F.replace(F.col(col), F.lit(" "), F.lit("")))
+    text = text_column(df, col)
+    n = F.length(text)
+    blanks = n - F.length(F.replace(text, F.lit(" "), F.lit("")))
     return df.filter(safe_div(blanks, n) <= max_ratio)
 
 
-def _first_per_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop rows whose ``__md5`` was seen earlier in the same input partition."""
+REMEMBERED = 1_000_000
+
+
+@F.arrow_udf(T.BooleanType())
+def _first_seen(digests: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Whether a digest is new to the task. What is forgotten beyond REMEMBERED digests, the state store still knows."""
     seen: set[str | None] = set()
-    for batch in batches:
-        keep = []
-        for digest in batch.column("__md5").to_pylist():
-            keep.append(digest not in seen)
+    for batch in digests:
+        fresh = []
+        for digest in batch.to_pylist():
+            fresh.append(digest not in seen)
             seen.add(digest)
-        yield batch.filter(pa.array(keep, pa.bool_()))
+        if len(seen) > REMEMBERED:
+            seen.clear()
+        yield pa.array(fresh, pa.bool_())
 
 
 @operator("md5_dedup")
-def md5_dedup(df: DataFrame, col: str = "text", order_by: str | list[str] = "doc_id") -> DataFrame:
+def md5_dedup(df: DataFrame, col: str | None = None, order_by: str | list[str] | None = None) -> DataFrame:
     """One row per distinct ``md5(col)``; NULL counts as one text.
 
     Batch: the survivor is the row with the smallest ``order_by``. A minimum is aggregated on the map side,
@@ -49,11 +72,11 @@ def md5_dedup(df: DataFrame, col: str = "text", order_by: str | list[str] = "doc
     hot text is again one row per partition, and the state store drops the rest. Without an event time the state holds
     every md5 for the life of the stream; keep it in the RocksDB state store.
     """
-    digest = F.md5(F.col(col).cast("binary"))
+    digest = F.md5(text_column(df, col).cast("binary"))
     if df.isStreaming:
-        tagged = df.withColumn("__md5", digest)
-        return tagged.mapInArrow(_first_per_partition, tagged.schema).dropDuplicates(["__md5"]).drop("__md5")
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+        tagged = df.withColumn("__md5", digest).withColumn("__first", _first_seen(F.col("__md5")))
+        return tagged.filter("__first").dropDuplicates(["__md5"]).drop("__md5", "__first")
+    keys = key_columns(df, order_by)
     whole_row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    first = F.min_by(whole_row, F.struct(*keys)).alias("__row")
+    first = F.min_by(whole_row, F.struct(*[F.col(f"`{k}`") for k in keys])).alias("__row")
     return df.groupBy(digest.alias("__md5")).agg(first).select("__row.*")

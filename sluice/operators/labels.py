@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sluice.plans.registry import operator
 
-MAX_ROWS_PER_GROUP = 5_000_000
-MAX_BROADCAST_BOUNDS = 1_000_000
+RANGES_PER_GROUP = 32
 
 
 def rank_positions(
@@ -19,34 +16,16 @@ def rank_positions(
     group: str,
     order_by: str,
     out: str = "row_pos",
-    max_rows: int = MAX_ROWS_PER_GROUP,
+    ranges: int = RANGES_PER_GROUP,
 ) -> DataFrame:
     """0-based position of each row in its group, ordered by a unique number, date or timestamp.
 
-    Groups of up to ``max_rows`` rows are numbered by a window. When a larger group exists, it is cut into
-    ranges at approximate quantiles; rows are numbered inside each range and shifted by the exact row count of
-    the ranges before it. The cuts only balance the work, the positions are exact.
+    Every group, whatever its size, is cut into ``ranges`` at approximate quantiles; rows are numbered inside each range and
+    shifted by the exact row count of the ranges before it. The cuts only balance the work, the positions are exact.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    largest, n_large = sizes.agg(F.max("n"), F.count_if(F.col("n") > max_rows)).first()
-    if not n_large:
-        window = Window.partitionBy(group).orderBy(order_by)
-        return df.withColumn(out, (F.row_number().over(window) - 1).cast("bigint"))
-
-    n_ranges = math.ceil(largest / max_rows) + 1
-    cuts = [i / n_ranges for i in range(1, n_ranges)]
-    large = sizes.filter(F.col("n") > max_rows).select(F.col(group).alias("__group"))
-    # About a hundred sampled values per range; the sample only places the cuts.
-    bounds = (
-        df.select(group, order_by)
-        .sample(min(1.0, 100 / max_rows), seed=1)
-        .join(F.broadcast(large) if n_large <= MAX_BROADCAST_BOUNDS else large,
-              F.col(group).eqNullSafe(F.col("__group")), "inner")
-        .groupBy("__group")
-        .agg(F.percentile_approx(order_by, cuts, max(10_000, 20 * n_ranges)).alias("__bounds"))
-    )
-    if n_large * n_ranges <= MAX_BROADCAST_BOUNDS:
-        bounds = F.broadcast(bounds)
+    cuts = [i / ranges for i in range(1, ranges)]
+    bounds = df.groupBy(F.col(group).alias("__group")).agg(
+        F.percentile_approx(order_by, cuts, 20 * ranges).alias("__bounds"))
     below = F.size(F.filter("__bounds", lambda b: b < F.col(order_by)))
     ranged = (
         df.join(bounds, F.col(group).eqNullSafe(F.col("__group")), "left")

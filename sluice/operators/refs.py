@@ -50,6 +50,7 @@ def count_inputs(listing: DataFrame, path_col: str = "path") -> DataFrame:
 
 
 def skip_done(refs: DataFrame, manifest: DataFrame) -> DataFrame:
-    """References whose file has no row in the manifest yet."""
-    done = manifest.select(normalize_path(F.col("input_file")).alias("__done")).distinct()
+    """References whose file has no row in the manifest yet; one that only failed is not done."""
+    done = manifest.filter(F.col("state") != "failed") if "state" in manifest.columns else manifest
+    done = done.select(normalize_path(F.col("input_file")).alias("__done")).distinct()
     return refs.join(done, normalize_path(F.col("input_file")) == F.col("__done"), "left_anti")

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from functools import partial
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.scalar import metadata_path
+from sluice.operators.progress import MANIFEST, manifest_from_output
 from sluice.operators.refs import valid_refs
 from sluice.plans.registry import apply_operators, get_operator
 from sluice.sinks.files import write_any
-from sluice.sources.files import JSONL_GLOB, as_struct, infer_schema, list_files, read_any, read_by_index, read_jsonl
-from sluice.streaming.steps import drain_chain, run_stream_step, stream_jsonl, stream_sink_files
+from sluice.sources.files import (
+    CORRUPT, JSONL_GLOB, as_struct, infer_schema, list_files, path_exists, read_any, read_by_index, read_jsonl,
+)
+from sluice.streaming.steps import PacedDrain, drain_chain, run_stream_step, stream_any, stream_jsonl, stream_sink_files
 
 TRIGGERS = ("job_finished", "file_success")
 ENGINES = {"batch": ("spark-cpu-batch", "local-cpu-batch", "batch"),
@@ -28,10 +32,21 @@ def engine_of(step: dict[str, Any]) -> str:
     raise ValueError(f"unknown engine {name!r}; known: {[n for ns in ENGINES.values() for n in ns]}")
 
 
+#: Settings of a step that take effect. Sizing of clusters belongs to the session, so names with a dot (Spark settings) and the
+#: cluster profile are accepted and left to it; a file source is a stream in any case.
+STEP_SETTINGS = {"maxFilesPerTrigger", "maxOffsetsPerTrigger", "trigger_interval", "materialize", "output_compression", "partition_by"}
+SESSION_SETTINGS = {"spark_conf_name", "input_as_stream"}
+DATASET_SETTINGS = {"input_path", "input_type", "input_format", "output_path", "output_format", "schema", "glob", "recursive", "root",
+                    "on_error"}
+
+
 def check_config(config: dict[str, Any]) -> list[dict[str, Any]]:
     """Steps of a config, after its engines, triggers and operator names are known to be valid."""
     if config["dataset"].get("input_type", "data") not in ("data", "index"):
         raise ValueError("input_type is data or index")
+    unknown = set(config["dataset"]) - DATASET_SETTINGS
+    if unknown:
+        raise ValueError(f"unknown dataset settings {sorted(unknown)}; known: {sorted(DATASET_SETTINGS)}")
     steps = config["steps"]
     if not steps:
         raise ValueError("a run needs at least one step")
@@ -39,15 +54,25 @@ def check_config(config: dict[str, Any]) -> list[dict[str, Any]]:
         engine_of(step)
         if step.get("trigger_event", "job_finished") not in TRIGGERS:
             raise ValueError(f"unknown trigger {step['trigger_event']!r}; known: {TRIGGERS}")
+        conf = step.get("engine_config", {})
+        unknown = {k for k in conf if "." not in k} - STEP_SETTINGS - SESSION_SETTINGS
+        if unknown:
+            raise ValueError(f"unknown engine_config settings {sorted(unknown)}; known: {sorted(STEP_SETTINGS)}")
+        if conf.get("trigger_interval") and engine_of(step) != "stream":
+            raise ValueError("trigger_interval belongs to stream steps")
         for op in step["operators"]:
             get_operator(op["name"], op.get("params"))
     return steps
 
 
 def output_paths(output_path: str, run_id: str, n_steps: int) -> list[str]:
-    """``<out>/<run>_step_<i>`` for inner steps and ``<out>/final_output`` for the last."""
-    base = output_path.rstrip("/")
-    return [f"{base}/{run_id}_step_{i}" for i in range(1, n_steps)] + [f"{base}/final_output"]
+    """``<out>/<run>/step_<i>`` for inner steps and ``<out>/<run>/final_output`` for the last: a run shares nothing with another."""
+    base = f"{output_path.rstrip('/')}/{run_id}"
+    return [f"{base}/step_{i}" for i in range(1, n_steps)] + [f"{base}/final_output"]
+
+
+def manifest_path(output_path: str, run_id: str) -> str:
+    return f"{output_path.rstrip('/')}/{run_id}/_manifest"
 
 
 def _index_rows(spark: SparkSession, dataset: dict[str, Any]) -> DataFrame:
@@ -62,12 +87,31 @@ def _read_input(spark: SparkSession, dataset: dict[str, Any]) -> DataFrame:
         index = _index_rows(spark, dataset)
         if dataset.get("root"):
             index = valid_refs(index, list_files(spark, dataset["root"], recursive=True))
-        return read_by_index(spark, index, dataset["schema"], dataset.get("root"))
+            return read_by_index(spark, index, dataset["schema"], dataset["root"], dataset.get("on_error", "fail"))
+        return read_by_index(spark, index, dataset["schema"], on_error=dataset.get("on_error", "fail"), by_name=True)
     path, fmt = dataset["input_path"], dataset.get("input_format", "jsonl")
     if fmt != "jsonl":
-        return read_any(spark, path, fmt, dataset.get("schema"))
+        options = {"recursiveFileLookup": "true"} if dataset.get("recursive") else {}
+        rows = read_any(spark, path, fmt, dataset.get("schema"), **options)
+        return rows.select("*", metadata_path(F.col("_metadata.file_path")).alias("input_file"))
     glob = dataset.get("glob", JSONL_GLOB)
-    return read_jsonl(spark, path, dataset.get("schema"), dataset.get("recursive", False), keep_file=True, glob=glob)
+    return read_jsonl(spark, path, dataset.get("schema"), dataset.get("recursive", False), dataset.get("on_error", "fail"),
+                      keep_file=True, glob=glob)
+
+
+def _stream_input(spark: SparkSession, dataset: dict[str, Any], files_per_batch: int | None) -> tuple[Any, T.StructType]:
+    """A function that starts the input as a stream, and the schema of its rows. The same settings hold as for a batch."""
+    path, fmt, recursive = dataset["input_path"], dataset.get("input_format", "jsonl"), dataset.get("recursive", False)
+    if fmt == "jsonl":
+        glob, on_error = dataset.get("glob", JSONL_GLOB), dataset.get("on_error", "drop")
+        schema = as_struct(dataset.get("schema") or infer_schema(spark, path, glob, recursive))
+        source = partial(stream_jsonl, spark, path, schema, files_per_batch, on_error, glob, recursive)
+        extra = [T.StructField(CORRUPT, T.StringType())] if on_error == "quarantine" else []
+    else:
+        options = {"recursiveFileLookup": "true"} if recursive else {}
+        schema = as_struct(dataset["schema"]) if dataset.get("schema") else read_any(spark, path, fmt, **options).schema
+        source, extra = partial(stream_any, spark, path, fmt, schema, files_per_batch, recursive), []
+    return source, T.StructType([*schema.fields, *extra, T.StructField("input_file", T.StringType())])
 
 
 def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run") -> DataFrame:
@@ -76,9 +120,15 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
     Neighbouring batch steps become one plan and only the last output is written, unless a step sets
     ``engine_config.materialize``. Stream steps drain their input into their own directory; with the trigger
     ``file_success`` a stream step runs next to the one before it; ``maxFilesPerTrigger`` (or ``maxOffsetsPerTrigger``, one
-    offset being one file) bounds its micro-batches. A rerun with the same ``run_id`` resumes from
-    the checkpoints. An index is a finite table, so a first step on one always runs as a batch. Without ``dataset.output_path`` the run must
-    be batch only and stays lazy.
+    offset being one file) bounds its micro-batches and ``trigger_interval`` is the least time from one to the next.
+    An index is a finite table, so a first step on one always runs as a batch. Lines that cannot be decoded fail a batch and are
+    dropped from a stream, unless ``dataset.on_error`` says ``drop``, ``quarantine`` or ``fail``.
+
+    Outputs, checkpoints and the manifest of a run lie below ``<output_path>/<run_id>``. A rerun with the same ``run_id`` resumes:
+    stream steps go on from their checkpoints, and a batch step in front of a stream step, whose output is complete, is not run
+    again, since the stream has read its files. Use a new ``run_id`` for a new input of such a step. Where records carry their
+    ``input_file`` to the output, the run leaves a manifest that :func:`run_manifest` reads. Without ``dataset.output_path`` the
+    run must be batch only and stays lazy.
     """
     steps, dataset = check_config(config), config["dataset"]
     engines = [engine_of(s) for s in steps]
@@ -96,12 +146,18 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
     rows: DataFrame | None = None  # batch plan not written yet
     schema: T.StructType | None = None  # of the last written step
     chain: list = []  # stream steps that run side by side
+    written: list[int] = []  # steps with an output of their own
+    schemas: dict[int, T.StructType] = {}
 
     def load(i: int) -> DataFrame:
-        return spark.read.format(fmt).schema(schema).load(paths[i])
+        return _read_output(spark, paths[i], fmt, schema)
 
     def store(i: int, df: DataFrame) -> T.StructType:
-        write_any(df, paths[i], fmt, compression=steps[i].get("engine_config", {}).get("output_compression"))
+        conf = steps[i].get("engine_config", {})
+        feeds_stream = i + 1 < len(steps) and engines[i + 1] == "stream"
+        if not (feeds_stream and path_exists(spark, f"{paths[i]}/_SUCCESS")):
+            write_any(df, paths[i], fmt, compression=conf.get("output_compression"), partition_by=conf.get("partition_by"))
+        written.append(i)
         return df.schema
 
     for i, step in enumerate(steps):
@@ -116,25 +172,46 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
             last = i == len(steps) - 1
             if last or conf.get("materialize") or engines[i + 1] == "stream":
                 schema, rows = store(i, rows), None
+                schemas[i] = schema
             continue
         if step.get("trigger_event", "job_finished") == "job_finished":
             drain_chain(chain)
             chain = []
         files_per_batch = conf.get("maxFilesPerTrigger") or conf.get("maxOffsetsPerTrigger")
         if i == 0:
-            glob = dataset.get("glob", JSONL_GLOB)
-            schema_in = as_struct(dataset.get("schema") or infer_schema(spark, dataset["input_path"], glob))
-            source = partial(stream_jsonl, spark, dataset["input_path"], schema_in, files_per_batch, glob=glob)
-            sample = T.StructType([*schema_in.fields, T.StructField("input_file", T.StringType())])
+            source, sample = _stream_input(spark, dataset, files_per_batch)
         else:
             source = partial(stream_sink_files, spark, paths[i - 1], schema, fmt, files_per_batch)
             sample = schema
-        chain.append(partial(_start, source, step, paths[i], f"{out.rstrip('/')}/_checkpoints/{run_id}_step_{i + 1}", fmt))
+        chain.append(partial(_start, source, step, paths[i], f"{out.rstrip('/')}/{run_id}/_checkpoints/step_{i + 1}", fmt))
         schema = apply_operators(spark.createDataFrame([], sample), step["operators"]).schema
+        schemas[i] = schema
+        written.append(i)
     drain_chain(chain)
+    _write_manifest(spark, {i: _read_output(spark, paths[i], fmt, schemas[i]) for i in written}, out, run_id)
     return load(len(steps) - 1)
 
 
+def _read_output(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
+    """What a step wrote; quarantined lines are a column like others here."""
+    return spark.read.format(fmt).schema(schema).option("columnNameOfCorruptRecord", "__undecodable").load(path)
+
+
 def _start(source, step: dict[str, Any], path: str, checkpoint: str, fmt: str):
-    compression = step.get("engine_config", {}).get("output_compression")
-    return run_stream_step(source(), step["operators"], path, checkpoint, fmt, compression=compression)
+    conf = step.get("engine_config", {})
+    interval = conf.get("trigger_interval")
+    query = run_stream_step(source(), step["operators"], path, checkpoint, fmt, {"processingTime": interval} if interval else None,
+                            conf.get("output_compression"), conf.get("partition_by"))
+    return PacedDrain(query) if interval else query
+
+
+def _write_manifest(spark: SparkSession, outputs: dict[int, DataFrame], out: str, run_id: str) -> None:
+    """One row per step, input file and output file, where the records still name their input file."""
+    rows = [manifest_from_output(df, run_id, f"{run_id}_step_{i + 1}") for i, df in outputs.items() if "input_file" in df.columns]
+    if rows:
+        write_any(reduce(DataFrame.unionByName, rows), manifest_path(out, run_id), "parquet")
+
+
+def run_manifest(spark: SparkSession, output_path: str, run_id: str = "run") -> DataFrame:
+    """What a run has produced, as the progress and status tables read it."""
+    return spark.read.schema(MANIFEST).parquet(manifest_path(output_path, run_id))

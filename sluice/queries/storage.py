@@ -226,7 +226,7 @@ def stream_scan_refs(spark, sf_dir):
     broken = spark.range(1).select(F.lit("{not json"))
     write_any(messages.union(broken).toDF("value"), f"{path}-messages", "text")
     refs = stream_refs(spark, "text", path=f"{path}-messages")
-    finish(run_refs_step(refs, DOC, OPS, f"{path}-out", f"{path}-checkpoint", root=path))
+    finish(run_refs_step(refs, DOC, OPS, f"{path}-out", f"{path}-checkpoint"))
     out = spark.read.schema(f"{DOC}, track_id string, op1 string, op2 bigint").json(f"{path}-out")
     return out.select("doc_id", "lang", "track_id", "op1", "op2")
 

@@ -36,6 +36,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
     for key, value in {**SESSION_DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    spark.conf.set("sluice.spread.partitions", str(4 * spark.sparkContext.defaultParallelism))
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -73,9 +74,9 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input with fewer splits than cores; larger inputs stay as they are, without a shuffle.
+    """Deal a table out to the partitions that the session asks for in ``sluice.spread.partitions``; by default it stays as it is.
 
-    Several partitions per core even out documents of very different lengths.
+    A choice of the session, not of the data: a local session sets it, since a small file is one split however many cores there are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(4 * cores)
+    partitions = df.sparkSession.conf.get("sluice.spread.partitions", None)
+    return df.repartition(int(partitions)) if partitions and not df.isStreaming else df

@@ -12,7 +12,7 @@ def _writer(df: DataFrame, fmt: str, mode: str, compression: str | None, partiti
     if fmt == "json":
         writer = writer.option("ignoreNullFields", "false")
     if fmt == "csv":
-        writer = writer.options(header="true", escape='"')
+        writer = writer.option("escape", '"')
     if compression:
         writer = writer.option("compression", compression)
     if partition_by:

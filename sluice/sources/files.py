@@ -2,21 +2,17 @@
 
 from __future__ import annotations
 
-import os
+import re
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from sluice.functions.scalar import normalize_path
+from sluice.functions.scalar import metadata_path, normalize_path
 
 JSONL_GLOB = "*.{jsonl,jsonl.gz}"
 CORRUPT = "_corrupt_record"
-MAX_INDEX_PATHS = 100_000
-INDEX_SALTS = 16
-MAX_BROADCAST_SPLITS = 200_000
 
 # File suffix to Spark format.
 FORMATS = {
@@ -35,6 +31,18 @@ def infer_schema(spark: SparkSession, path: str | list[str], glob: str = JSONL_G
     return T.StructType([f for f in found.fields if f.name != CORRUPT])
 
 
+def _one_record(line: Column) -> Column:
+    """Whether a line is exactly one JSON value. The decoder stops after the first value and ignores what follows.
+
+    Put into an array, the line must be its only element; put into an object, its only member. A closing bracket or brace
+    that ends one of the two early breaks the other. Both count without decoding. They know no NaN or infinity, so lines with
+    these words are left to the decoder.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
+    member = F.size(F.json_object_keys(F.concat(F.lit('{"r":'), line, F.lit("}")))) == 1
+    return F.coalesce(alone & member, F.lit(False)) | line.rlike(r"\b(?:NaN|Infinity|INF)\b")
+
+
 def parse_lines(lines: DataFrame, schema: str | T.StructType, on_error: str, carried: list[str]) -> DataFrame:
     """Decode a ``value`` column of JSON lines; blank lines are no records.
 
@@ -47,6 +55,12 @@ def parse_lines(lines: DataFrame, schema: str | T.StructType, on_error: str, car
     full = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
     mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
     record = F.from_json("value", full, {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
+    if on_error == "fail":
+        refused = F.from_json(F.concat(F.lit("{not one record: "), F.col("value")), full, {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
+    else:
+        refused = F.struct(*nothing, F.col("value").alias(CORRUPT))
+    record = F.when(_one_record(F.col("value")), record).otherwise(refused)
     # A generator keeps the filter below from being merged with the decoding, which would then run twice per line.
     parsed = lines.filter(F.trim("value") != "").select(F.inline(F.array(record)), *carried)
     if on_error == "drop":
@@ -55,7 +69,7 @@ def parse_lines(lines: DataFrame, schema: str | T.StructType, on_error: str, car
 
 
 def _file_column() -> Column:
-    return F.col("_metadata.file_path").alias("input_file")
+    return metadata_path(F.col("_metadata.file_path")).alias("input_file")
 
 
 def file_positions(scan: DataFrame) -> DataFrame:
@@ -76,9 +90,6 @@ def _split_positions(tagged: DataFrame) -> DataFrame:
     before = Window.partitionBy("input_file").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     splits = ordered.groupBy(*keys).agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__rows"))
     starts = splits.select(*keys, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__start"))
-    # Every split but the last of a file fills a partition of its own, which bounds the number of splits.
-    if tagged.rdd.getNumPartitions() + len(tagged.inputFiles()) <= MAX_BROADCAST_SPLITS:
-        starts = F.broadcast(starts)
     kept = [F.col(f"`{c}`") for c in tagged.columns if c != "__block"]
     position = (F.col("__start") + F.col("__id") - F.col("__first")).cast("bigint")
     return ordered.join(starts, keys, "inner").select(*kept, position.alias("row_pos"))
@@ -126,12 +137,15 @@ def format_of(path: str) -> str:
 def read_any(
     spark: SparkSession, path: str, fmt: str | None = None, schema: str | T.StructType | None = None, **options: str
 ) -> DataFrame:
-    """Read a path in any Spark format; the format follows from the suffix unless given."""
+    """Read a path in any Spark format; the format follows from the suffix unless given.
+
+    CSV files have no header and one record per line, so that large files are split; pass ``header="true"`` or
+    ``multiLine="true"`` for others.
+    """
     fmt = fmt or format_of(path)
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        # The settings that write_any uses, so that texts with quotes and line breaks survive.
-        reader = reader.options(header="true", multiLine="true", escape='"')
+        reader = reader.option("escape", '"')  # as write_any writes it
     if schema is not None:
         reader = reader.schema(schema)
     return reader.options(**options).load(path)
@@ -148,18 +162,44 @@ def read_binary(spark: SparkSession, path: str, glob: str = "*", recursive: bool
     return reader.option("recursiveFileLookup", str(recursive).lower()).load(path)
 
 
-def _common_directory(first: str, last: str) -> str:
-    """The directory above all paths that sort between two paths."""
-    return os.path.commonprefix([first, last]).rsplit("/", 1)[0] + "/"
+def read_objects(spark: SparkSession, refs: DataFrame, root: str, path_col: str = "input_file") -> DataFrame:
+    """The whole files that references name, with the columns of the reference, ``content``, ``_error`` and ``_error_msg``.
+
+    A file that does not exist keeps its row with ``_error = "read_error"`` and no content. The files lie below ``root``.
+    """
+    named = refs.withColumn("__path", normalize_path(F.col(path_col)))
+    objects = read_binary(spark, root, recursive=True).select(normalize_path(F.col("path")).alias("__path"), "content")
+    missing = F.col("content").isNull()
+    return named.join(objects, "__path", "left").drop("__path").withColumns({
+        "_error": F.when(missing, "read_error"), "_error_msg": F.when(missing, F.concat(F.lit("no such file: "), F.col(path_col)))})
+
+
+HIDDEN = r"/[._][^/]*$"
+
 
+def _escaped(path: str) -> str:
+    """A path that the reader takes by the letter."""
+    return "".join(f"\\{c}" if c in "*?[]{}\\," else c for c in path)
 
-def _listing_or_none(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return list_files(spark, root, recursive=True)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+
+def _place(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path and the path in it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists in the file system of its scheme."""
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def _whole_path(spark: SparkSession, path: str) -> tuple[str, str]:
+    """A folder in the spelling of listings, and what stands before its first slash there."""
+    system, place = _place(spark, path)
+    whole = system.makeQualified(place)
+    spelled = re.sub(r"^s3n?://", "s3a://", re.sub(r"^file:/+", "file:/", whole.toString()))
+    return spelled.rstrip("/") + "/", spelled.removesuffix(whole.toUri().getPath())
 
 
 def read_by_index(
@@ -168,39 +208,41 @@ def read_by_index(
     schema: str | T.StructType,
     root: str | None = None,
     on_error: str = "drop",
-    max_paths: int = MAX_INDEX_PATHS,
+    by_name: bool = False,
 ) -> DataFrame:
     """Records of the files that an index names, with ``input_file`` and the ``track_id`` of the index.
 
-    Files that do not exist are left out. Up to ``max_paths`` files are read by name. A longer index never
-    visits the driver: the directory ``root`` above all files is scanned and joined with the index, which is
-    replicated over a few salts so that a file with a large part of all rows is joined by several tasks. Where the
-    records have fields of these names themselves, the added columns are ``ref_input_file`` and ``ref_track_id``.
+    Files that do not exist are left out. The folder ``root`` above all files is scanned and joined with the index, whatever
+    its length; a file with a large part of all rows is split by the skew join. A reference outside ``root``, or to a name that
+    readers hide (``_x``, ``.x``), is an error.
+
+    With ``by_name`` the caller says that the index is short: its paths come to the driver, are tested there one by one and
+    read without a listing of ``root``, which is then not needed. Where the records have fields of these names themselves,
+    the added columns are ``ref_input_file`` and ``ref_track_id``.
     """
     names = as_struct(schema).fieldNames()
     file_col, track_col = ("ref_" + c if c in names else c for c in ("input_file", "track_id"))
     refs = index.filter(F.col("input_file").isNotNull()).select(
         normalize_path(F.col("input_file")).alias(file_col), F.col("track_id").cast("string").alias(track_col)
     ).distinct()
-    first, last = refs.agg(F.min(file_col), F.max(file_col)).first()
-    wanted, paths = refs, []
-    if first is not None:
-        root = root or _common_directory(first, last)
-        listed = _listing_or_none(spark, root)
-        if listed is not None:
-            wanted = refs.join(listed.select(normalize_path(F.col("path")).alias(file_col)), file_col, "left_semi")
-            paths = [r[0] for r in wanted.select(file_col).distinct().limit(max_paths + 1).collect()]
+    if by_name:
+        wanted = sorted(r[0] for r in refs.select(file_col).distinct().collect())
+        odd = [p for p in wanted if p.rsplit("/", 1)[-1][:1] in ("_", ".")]
+        paths = [_escaped(p) for p in wanted if path_exists(spark, p)]
+    else:
+        if not root:
+            raise ValueError("read_by_index needs the folder above all files (root), or by_name for a short index")
+        base, system = _whole_path(spark, root)
+        bare = F.col(file_col).startswith("/")
+        refs = refs.withColumn(file_col, F.when(bare, F.concat(F.lit(system), file_col)).otherwise(F.col(file_col)))
+        strange = ~F.col(file_col).startswith(base) | F.col(file_col).rlike(HIDDEN)
+        odd = [r[0] for r in refs.filter(strange).select(file_col).limit(5).collect()]
+        paths = [root]
+    if odd:
+        raise ValueError(f"references outside {root!r}, or to hidden names: {odd}")
     if not paths:
         nothing = spark.createDataFrame([], f"value string, {file_col} string, {track_col} string")
         return parse_lines(nothing, schema, on_error, [file_col, track_col])
-
-    by_name = len(paths) <= max_paths
-    lines = spark.read.text(paths) if by_name else spark.read.option("recursiveFileLookup", "true").text(root)
-    lines = lines.select("value", normalize_path(F.col("_metadata.file_path")).alias(file_col))
-    if by_name:
-        lines = lines.join(F.broadcast(wanted), file_col)
-    else:
-        salts = F.explode(F.sequence(F.lit(0), F.lit(INDEX_SALTS - 1)))
-        salted = lines.withColumn("__salt", F.pmod(F.xxhash64("value"), F.lit(INDEX_SALTS)).cast("int"))
-        lines = salted.join(wanted.withColumn("__salt", salts), [file_col, "__salt"])
-    return parse_lines(lines, schema, on_error, [file_col, track_col])
+    reader = spark.read if by_name else spark.read.option("recursiveFileLookup", "true")
+    lines = reader.text(paths).select("value", metadata_path(F.col("_metadata.file_path")).alias(file_col))
+    return parse_lines(lines.join(refs, file_col), schema, on_error, [file_col, track_col])

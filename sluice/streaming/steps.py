@@ -7,6 +7,7 @@ reads the files its messages name.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from typing import Any
@@ -16,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.operators.refs import parse_file_refs
+from sluice.functions.scalar import metadata_path, normalize_path
+from sluice.operators.refs import REF_SCHEMA, file_refs, parse_file_refs
 from sluice.plans.registry import apply_operators
-from sluice.sources.files import JSONL_GLOB, parse_lines, read_by_index
+from sluice.sinks.files import write_any
+from sluice.sources.files import JSONL_GLOB, list_files, parse_lines, read_by_index
 
 DRAIN = {"availableNow": True}
 
@@ -30,20 +33,34 @@ def stream_jsonl(
     max_files_per_trigger: int | None = None,
     on_error: str = "drop",
     glob: str = JSONL_GLOB,
+    recursive: bool = False,
 ) -> DataFrame:
     """Records of JSONL files as they arrive, with their ``input_file``."""
-    reader = spark.readStream.format("text").option("pathGlobFilter", glob)
+    reader = spark.readStream.format("text").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    lines = reader.load(path).select("value", F.col("_metadata.file_path").alias("input_file"))
+    lines = reader.load(path).select("value", metadata_path(F.col("_metadata.file_path")).alias("input_file"))
     return parse_lines(lines, schema, on_error, ["input_file"])
 
 
+def stream_any(
+    spark: SparkSession, path: str, fmt: str, schema: str | T.StructType, max_files_per_trigger: int | None = None,
+    recursive: bool = False,
+) -> DataFrame:
+    """Rows of files of any Spark format as they arrive, with their ``input_file``."""
+    reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", str(recursive).lower())
+    if fmt == "csv":
+        reader = reader.option("escape", '"')
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path).select("*", metadata_path(F.col("_metadata.file_path")).alias("input_file"))
+
+
 def stream_sink_files(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """The output directory of an earlier step as a stream; only committed files are seen."""
-    reader = spark.readStream.format(fmt).schema(schema)
+    reader = spark.readStream.format(fmt).schema(schema).option("columnNameOfCorruptRecord", "__undecodable")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
@@ -61,6 +78,7 @@ def write_stream(
     fmt: str = "json",
     trigger: dict[str, Any] | None = None,
     compression: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Start an exactly-once file sink. The default trigger drains what is there and stops."""
     writer = df.writeStream.format(fmt).option("checkpointLocation", checkpoint).option("path", path)
@@ -68,6 +86,8 @@ def write_stream(
         writer = writer.option("ignoreNullFields", "false")
     if compression:
         writer = writer.option("compression", compression)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     return writer.trigger(**(trigger or DRAIN)).start()
 
 
@@ -79,9 +99,10 @@ def run_stream_step(
     fmt: str = "json",
     trigger: dict[str, Any] | None = None,
     compression: str | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Operators on a stream into a file sink. Rerunning with the same checkpoint resumes."""
-    return write_stream(apply_operators(source, operators), path, checkpoint, fmt, trigger, compression)
+    return write_stream(apply_operators(source, operators), path, checkpoint, fmt, trigger, compression, partition_by)
 
 
 def run_refs_step(
@@ -90,25 +111,72 @@ def run_refs_step(
     operators: list[dict[str, Any]],
     path: str,
     checkpoint: str,
-    root: str | None = None,
     trigger: dict[str, Any] | None = None,
     fmt: str = "json",
+    refs_out: str | None = None,
 ) -> StreamingQuery:
-    """Process the files that arriving references name.
+    """Process the files that arriving references name, each file once.
 
-    Each micro-batch writes its own directory and overwrites it when replayed, so a batch that is run again
-    after a failure leaves no duplicate rows.
+    The few references of a micro-batch are written to the batch's own folder and read from there, so the message source is read
+    once. Files that an earlier micro-batch has finished are left out. Each micro-batch writes its own directory and overwrites
+    it when replayed, so a batch that is run again after a failure leaves no duplicate rows. With ``refs_out`` every finished
+    batch also writes one message per produced file there, for the next step to read with :func:`stream_refs` (``text``).
     """
     spark = refs.sparkSession
+    log = f"{path}/_refs"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        rows = read_by_index(spark, batch, schema, root)
-        apply_operators(rows, operators).write.format(fmt).mode("overwrite").save(f"{path}/batch={batch_id}")
+        here = f"{log}/batch={batch_id:09d}"
+        arrived = batch.select("id", normalize_path(F.col("input_file")).alias("input_file"), "track_id")
+        arrived.write.mode("overwrite").parquet(here)
+        mine = spark.read.schema(REF_SCHEMA).parquet(here)
+        if batch_id:
+            earlier = spark.read.schema(f"{REF_SCHEMA}, batch bigint").parquet(log).filter(F.col("batch") < batch_id)
+            mine = mine.join(earlier.select("input_file").distinct(), "input_file", "left_anti")
+        out = f"{path}/batch={batch_id}"
+        apply_operators(read_by_index(spark, mine, schema, by_name=True), operators).write.format(fmt).mode("overwrite").save(out)
+        if refs_out:
+            made = list_files(spark, out, f"*.{fmt}*").select(F.col("path").alias("output_file"))
+            write_any(file_refs(made, keep_fields=False), f"{refs_out}/batch={batch_id}", "text")
 
     writer = refs.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or DRAIN)).start()
 
 
+class PacedDrain:
+    """A query with an interval between its micro-batches that stops when everything there was is done."""
+
+    def __init__(self, query: StreamingQuery) -> None:
+        self._query, self._error = query, None
+        self._thread = threading.Thread(target=self._drain, daemon=True)
+        self._thread.start()
+
+    def _drain(self) -> None:
+        try:
+            self._query.processAllAvailable()
+        except Exception as error:  # raised again where the caller waits
+            self._error = error
+        finally:
+            self._query.stop()
+
+    @property
+    def isActive(self) -> bool:
+        return self._thread.is_alive()
+
+    @property
+    def lastProgress(self) -> Any:
+        return self._query.lastProgress
+
+    def stop(self) -> None:
+        self._query.stop()
+        self._thread.join()
+
+    def awaitTermination(self) -> None:
+        self._thread.join()
+        if self._error:
+            raise self._error
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for a draining query; its failure is raised here."""
     query.awaitTermination()

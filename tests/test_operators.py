@@ -25,6 +25,7 @@ from sluice.operators.progress import (
 from sluice.operators.refs import count_inputs, file_refs, parse_file_refs, skip_done, valid_refs
 from sluice.operators.rows import run_partitions, run_rows
 from sluice.plans import registry
+from sluice.plans.registry import apply_operators
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -146,22 +147,22 @@ def test_merge_with_a_hot_key(spark):
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(-1000, 1000)), min_size=1, max_size=80, unique=True),
-       st.integers(1, 30))
-def test_rank_positions_property(spark, pairs, max_rows):
-    """Windows and cut ranges give the same positions."""
+       st.sampled_from([2, 7, 32]))
+def test_rank_positions_property(spark, pairs, ranges):
+    """However a group is cut, the positions are the same."""
     df = spark.createDataFrame([(None if g == "a" else g, v) for g, v in pairs], "g string, v int")
     want = {}
     for g in ("a", "b"):
         for i, v in enumerate(sorted(v for h, v in pairs if h == g)):
             want[(None if g == "a" else g, v)] = i
-    assert {(r.g, r.v): r.row_pos for r in rank_positions(df, "g", "v", max_rows=max_rows).collect()} == want
+    assert {(r.g, r.v): r.row_pos for r in rank_positions(df, "g", "v", ranges=ranges).collect()} == want
 
 
 def test_rank_positions_cuts_a_hot_group(spark):
     df = spark.range(0, 20_000, 1, 8).select(
         F.when(F.col("id") % 3 != 0, "hot").otherwise(F.col("id").cast("string")).alias("g"), (F.col("id") * 7).alias("v")
     )
-    got = rank_positions(df, "g", "v", max_rows=1000)
+    got = rank_positions(df, "g", "v")
     assert got.filter("g = 'hot'").agg(F.count("*"), F.min("row_pos"), F.max("row_pos"), F.countDistinct("row_pos")) \
         .first() == (13333, 0, 13332, 13333)
     assert got.filter("g != 'hot'").agg(F.max("row_pos")).first()[0] == 0
@@ -220,6 +221,51 @@ def test_step_and_run_status(runs):
         "r": "running", "bad": "failed", "idle": "running", "good": "success"}
 
 
+MANIFEST_ROWS = "run_id string, step_id string, input_file string, output_file string, state string, attempt int"
+
+
+def test_inputs_are_counted_not_output_files(spark):
+    """Several parts of an input, inputs packed into one part, skipped inputs and retries."""
+    rows = [("r", "packed", f"f{i}", f"part{i % 2}", "success", 0) for i in range(10)]
+    rows += [("r", "split", "f0", f"part{i}", "success", 0) for i in range(2)]
+    rows += [("r", "skips", "f0", None, "skipped", 0), ("r", "skips", "f1", "part0", "success", 0)]
+    rows += [("r", "retry", "f0", "part0", "failed", 0), ("r", "retry", "f0", "part1", "success", 1)]
+    rows += [("r", "worse", "f0", "part0", "success", 0), ("r", "worse", "f0", "part1", "failed", 1)]
+    inputs = [("r", "packed", f"f{i}") for i in range(10)] + [("r", "split", f"f{i}") for i in range(2)]
+    inputs += [("r", "skips", "f0"), ("r", "skips", "f1"), ("r", "retry", "f0"), ("r", "worse", "f0")]
+    manifest = spark.createDataFrame(rows, MANIFEST_ROWS)
+    wanted = spark.createDataFrame(inputs, "run_id string, step_id string, input_file string")
+    states = {r.step_id: (r.state, r.finished, r.progress) for r in step_status(manifest, wanted).collect()}
+    assert states == {"packed": ("success", 10, 2), "split": ("running", 1, 2), "skips": ("success", 2, 1),
+                      "retry": ("success", 1, 2), "worse": ("failed", 1, 2)}
+
+
+def test_a_retry_replaces_the_failure(spark):
+    one = spark.createDataFrame([("r", "s", "f", "o", "failed", 0), ("r", "s", "g", None, "skipped", 0)], MANIFEST_ROWS)
+    two = spark.createDataFrame([("r", "s", "f", "o", "success", 1)], MANIFEST_ROWS)
+    for a, b in ((one, two), (two, one)):
+        assert {(r.input_file, r.state) for r in merge_manifest(a, b).collect()} == {("f", "success"), ("g", "skipped")}
+    same = two.withColumn("attempt", F.lit(0))
+    assert merge_manifest(one, same).filter("input_file = 'f'").first().state == "success"
+
+
+def test_flatten_refuses_equal_names(spark):
+    from sluice.functions.scalar import flatten_struct
+
+    df = spark.sql("SELECT 1 AS a, named_struct('a', 2) AS s")
+    with pytest.raises(ValueError, match="several columns"):
+        flatten_struct(df, "s")
+
+
+def test_filters_find_the_text_of_records(spark):
+    """Without a text column the joined content counts, and copies are ordered by the id there is."""
+    block = "array<struct<type:string,md:string,text:string>>"
+    rows = spark.createDataFrame([("b", [("text", "", "x" * 60), ("image", "y", "z")]), ("a", [("text", "x" * 60, "")]),
+                                  ("c", [("text", "", "short")]), ("d", None)], f"track_id string, content_list {block}")
+    chain = [{"name": "length_filter", "params": {"min_length": 50}}, {"name": "space_ratio"}, {"name": "md5_dedup", "params": {}}]
+    assert [r.track_id for r in apply_operators(rows, chain).collect()] == ["a"]
+
+
 def test_merge_manifest(runs):
     manifest, _ = runs
     merged = merge_manifest(manifest, manifest)
@@ -230,7 +276,7 @@ def test_manifest_from_output(spark, tmp_path):
     path = str(tmp_path / "out")
     spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "input_file string, x int").coalesce(1).write.json(path)
     got = manifest_from_output(spark.read.schema("input_file string, x int").json(path), "r", "s")
-    assert got.columns == ["run_id", "step_id", "input_file", "output_file", "state"]
+    assert got.columns == ["run_id", "step_id", "input_file", "output_file", "state", "attempt"]
     assert step_progress(got).first().progress == 1 and got.count() == 2
 
 

@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from sluice.operators.filters import md5_dedup
 from sluice.operators.labels import combine_label
-from sluice.plans.runner import check_config, output_paths, run_steps
+from sluice.functions.scalar import normalize_path
+from sluice.operators.progress import run_status
+from sluice.operators.refs import REF_SCHEMA, skip_done, valid_refs
+from sluice.plans.runner import check_config, output_paths, run_manifest, run_steps
 from sluice.session import materialize, scratch_path, shared_root, spread
 from sluice.sinks.files import write_any, write_jsonl
 from sluice.sources.files import (
     file_positions, format_of, infer_schema, list_files, read_any, read_binary, read_by_index, read_jsonl,
+    read_objects,
 )
 from sluice.streaming.steps import (
     drain_chain, finish, run_refs_step, run_stream_step, stream_jsonl, stream_refs, stream_sink_files, write_stream,
@@ -118,7 +122,8 @@ def test_formats(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "q"\nline, two'), (2, None)], SCHEMA)
     for name in ("t.parquet", "t.orc", "t.csv", "t.json"):
         write_any(df, str(tmp_path / name))
-        assert sorted(map(tuple, read_any(spark, str(tmp_path / name), schema=SCHEMA).collect())) == [(1, 'a "q"\nline, two'), (2, None)]
+        options = {"multiLine": "true"} if name.endswith("csv") else {}
+        assert sorted(map(tuple, read_any(spark, str(tmp_path / name), schema=SCHEMA, **options).collect())) == [(1, 'a "q"\nline, two'), (2, None)]
 
 
 def test_listing_and_binary(spark, folder):
@@ -127,27 +132,92 @@ def test_listing_and_binary(spark, folder):
     assert bytes(row.content).decode().strip() == line(99) and row.length == len(row.content)
 
 
-@pytest.mark.parametrize("max_paths", [100, 1])
-def test_read_by_index(spark, folder, max_paths):
-    """By name and, for a long index, by scanning the folder above: same rows."""
+@pytest.mark.parametrize("by_name", [True, False])
+def test_read_by_index(spark, folder, by_name):
+    """By name and by scanning the folder above: same rows."""
     index = spark.createDataFrame(
         [("1", f"file://{folder}/x/a.jsonl", "t1"), ("1", f"file://{folder}/x/a.jsonl", "t1"),
          ("2", f"file:{folder}/y/a.jsonl", None), ("3", f"file:{folder}/x/gone.jsonl", "t3"), ("4", None, "t4")],
         "id string, input_file string, track_id string")
-    got = read_by_index(spark, index, SCHEMA, max_paths=max_paths)
+    got = read_by_index(spark, index, SCHEMA, folder, by_name=by_name)
     assert {(r.id, r.track_id) for r in got.collect()} == {(0, "t1"), (1, "t1"), (2, "t1")} | {(i, None) for i in range(10, 14)}
     assert got.count() == 7
 
 
 def test_read_by_index_without_files(spark, folder):
     index = spark.createDataFrame([("1", f"file:{folder}/gone.jsonl", "t")], "id string, input_file string, track_id string")
-    assert read_by_index(spark, index, SCHEMA).count() == 0
+    assert read_by_index(spark, index, SCHEMA, folder).count() == 0
     nowhere = index.withColumn("input_file", F.lit("file:/no/such/folder/a.jsonl"))
-    assert read_by_index(spark, nowhere, SCHEMA).count() == 0
-    got = read_by_index(spark, index.limit(0), "track_id string")
+    assert read_by_index(spark, nowhere, SCHEMA, by_name=True).count() == 0
+    got = read_by_index(spark, index.limit(0), "track_id string", folder)
     assert got.columns == ["track_id", "input_file", "ref_track_id"]
 
 
+ODD_NAMES = ["a b.jsonl", "c[1].jsonl", "p%20q.jsonl", "{x,y}.jsonl", "h#1.jsonl", "größe+.jsonl", "q?.jsonl"]
+
+
+def test_odd_file_names(spark, write_lines):
+    """Blanks, percent signs, brackets, braces and other letters: one spelling everywhere, no file lost."""
+    root = write_lines.root + "/odd"
+    for i, name in enumerate(ODD_NAMES):
+        write_lines(f"odd/{name}", [line(i)])
+    index = spark.createDataFrame([(str(i), f"file:{root}/{n}", n) for i, n in enumerate(ODD_NAMES)], REF_SCHEMA)
+    for by_name in (True, False):
+        got = read_by_index(spark, index, SCHEMA, root, by_name=by_name).collect()
+        assert sorted((r.id, r.track_id) for r in got) == sorted((i, n) for i, n in enumerate(ODD_NAMES))
+    assert valid_refs(index, list_files(spark, root)).count() == len(ODD_NAMES)
+    done = read_jsonl(spark, root, SCHEMA, keep_file=True).select("input_file", F.lit("success").alias("state"))
+    assert skip_done(index, done).count() == 0
+    assert read_jsonl(spark, root, SCHEMA, positions=True).select("input_file").distinct().count() == len(ODD_NAMES)
+
+
+def test_references_that_would_be_lost_raise(spark, folder, write_lines):
+    outside = write_lines("other/z.jsonl", [line(5)])
+    hidden = write_lines("in/x/_h.jsonl", [line(6)])
+    for path in (outside, hidden):
+        index = spark.createDataFrame([("1", f"file:{path}", "t")], REF_SCHEMA)
+        with pytest.raises(ValueError, match="outside"):
+            read_by_index(spark, index, SCHEMA, folder)
+    with pytest.raises(ValueError, match="hidden"):
+        read_by_index(spark, index, SCHEMA, by_name=True)
+    with pytest.raises(ValueError, match="root"):
+        read_by_index(spark, index, SCHEMA)
+
+
+def test_lines_that_are_not_one_record(spark, write_lines):
+    """Trailing text and a second value make a line undecodable; what JSON allows inside a record does not."""
+    bad = ['{"id": 1} trailing', '{"id": 2}{"id": 3}', '{"id": 4},{"id": 5}', '{"id": 6}] x', '{"id": 7}} x', '{"id": 8},"r":9']
+    good = ['{"id": 10, "text": "a}]{[,"}', ' {"id": 11} ', '{"id": 12, "x": {"y": [1, {"z": "]"}]}}']
+    write_lines("one/a.jsonl", bad + good)
+    root = write_lines.root + "/one"
+    assert ids(read_jsonl(spark, root, SCHEMA)) == [10, 11, 12]
+    kept = read_jsonl(spark, root, SCHEMA, on_error="quarantine")
+    assert sorted(r[0] for r in kept.filter("_corrupt_record is not null").select("_corrupt_record").collect()) == sorted(bad)
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_jsonl(spark, root, SCHEMA, on_error="fail").collect()
+
+
+def test_csv_is_split(spark, tmp_path):
+    path = str(tmp_path / "big.csv")
+    spark.range(200_000).select("id", F.lit("some text").alias("t")).coalesce(1).write.csv(path)
+    size = list_files(spark, path).agg(F.sum("length")).first()[0]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size // 8))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+    try:
+        rows = read_any(spark, path, schema="id bigint, t string")
+        assert rows.rdd.getNumPartitions() >= 4 and rows.count() == 200_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_read_objects_keeps_missing_ones(spark, folder):
+    refs = spark.createDataFrame([("1", f"file:{folder}/x/c.txt", "t"), ("2", f"file:{folder}/x/gone.txt", "t")], REF_SCHEMA)
+    rows = {r.id: r for r in read_objects(spark, refs, folder).collect()}
+    assert bytes(rows["1"].content).decode().strip() == line(99) and rows["1"]["_error"] is None
+    assert rows["2"].content is None and rows["2"]["_error"] == "read_error" and "gone.txt" in rows["2"]["_error_msg"]
+
+
 # sinks and session
 
 
@@ -199,10 +269,13 @@ def test_shared_folder_must_be_named_on_a_cluster():
         shared_root(Session())
 
 
-def test_spread_only_small_inputs(spark):
+def test_spread_is_a_choice_of_the_session(spark):
     assert spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 32
-    wide = spark.range(0, 10, 1, 20)
-    assert spread(wide) is wide
+    chosen = spark.conf.get("sluice.spread.partitions")
+    spark.conf.unset("sluice.spread.partitions")
+    df = spark.range(0, 10, 1, 1)
+    assert spread(df) is df
+    spark.conf.set("sluice.spread.partitions", chosen)
 
 
 # streams
@@ -296,12 +369,15 @@ def test_stream_of_references(spark, folder, write_lines):
 
     def run():
         refs = stream_refs(spark, "text", path=root + "/refs")
-        finish(run_refs_step(refs, SCHEMA, [{"name": "op1"}], root + "/o", root + "/c", root=folder))
+        finish(run_refs_step(refs, SCHEMA, [{"name": "op1"}], root + "/o", root + "/c"))
 
     run()
     write_lines("refs/2.json", [json.dumps({"id": "2", "input_file": f"file:{folder}/y/a.jsonl"}),
                                 json.dumps({"id": "3", "input_file": f"file:{folder}/gone.jsonl"})])
     run()
+    # The same file again in a later micro-batch is not processed again.
+    write_lines("refs/3.json", [json.dumps({"id": "4", "input_file": f"file://{folder}/y/a.jsonl"})])
+    run()
     out = spark.read.schema(SCHEMA + ", track_id string, op1 string").json(root + "/o")
     assert ids(out) == [0, 1, 2, 10, 11, 12, 13]
     assert out.filter("track_id = 't1'").count() == 3
@@ -313,10 +389,10 @@ def test_stream_of_references(spark, folder, write_lines):
 def config(folder, base, engines=("spark-cpu-batch", "spark-cpu-batch"), triggers=("job_finished", "job_finished"), **dataset):
     return {
         "pipeline_meta": {"pipeline_name": "test"},
-        "dataset": {"input_path": folder + "/x", "input_type": "data", "schema": SCHEMA, "output_path": base + "/out", **dataset},
+        "dataset": {"input_path": folder + "/x", "input_type": "data", "schema": SCHEMA, "output_path": base + "/out", "on_error": "drop", **dataset},
         "steps": [
             {"engine_type": engines[0], "trigger_event": triggers[0], "operators": [{"name": "op1", "params": {}}, {"name": "op2"}],
-             "engine_config": {"maxOffsetsPerTrigger": "1", "trigger_interval": "5 seconds"}},
+             "engine_config": {"maxOffsetsPerTrigger": "1"}},
             {"engine_type": engines[1], "trigger_event": triggers[1], "operators": [{"name": "op3"}, {"name": "op4"}]},
         ],
     }
@@ -335,11 +411,11 @@ def test_runs_in_every_engine_mix(spark, folder, tmp_path, engines, trigger):
 def test_batch_steps_are_fused_unless_materialized(spark, folder, tmp_path):
     conf = config(folder, str(tmp_path))
     run_steps(spark, conf)
-    assert (tmp_path / "out" / "final_output").exists() and not (tmp_path / "out" / "run_step_1").exists()
+    assert (tmp_path / "out" / "run" / "final_output").exists() and not (tmp_path / "out" / "run" / "step_1").exists()
     conf["steps"][0]["engine_config"]["materialize"] = True
     conf["steps"][0]["engine_config"]["output_compression"] = "gzip"
     assert run_steps(spark, conf, "again").count() == 7
-    assert list((tmp_path / "out" / "again_step_1").glob("*.json.gz"))
+    assert list((tmp_path / "out" / "again" / "step_1").glob("*.json.gz"))
 
 
 def test_rerun_of_a_stream_resumes(spark, folder, tmp_path, write_lines):
@@ -349,6 +425,66 @@ def test_rerun_of_a_stream_resumes(spark, folder, tmp_path, write_lines):
     assert ids(run_steps(spark, conf)) == [0, 1, 2, 20, 21, 30, 32, 77]
 
 
+@pytest.mark.parametrize("engines", [("spark-cpu-batch", "spark-cpu-stream"), ("spark-cpu-stream", "spark-cpu-batch"),
+                                     ("spark-cpu-batch", "spark-cpu-batch"), ("spark-cpu-stream", "spark-cpu-stream")])
+def test_runs_can_be_repeated(spark, folder, tmp_path, engines):
+    """The same run twice changes nothing; another run on the same output path has its own rows."""
+    conf = config(folder, str(tmp_path), engines)
+    for _ in range(2):
+        assert ids(run_steps(spark, conf)) == [0, 1, 2, 20, 21, 30, 32]
+    conf["dataset"]["input_path"] = folder + "/y"
+    assert ids(run_steps(spark, conf, "second")) == [10, 11, 12, 13]
+    conf["dataset"]["input_path"] = folder + "/x"
+    assert ids(run_steps(spark, conf)) == [0, 1, 2, 20, 21, 30, 32]
+
+
+def test_stream_input_takes_the_dataset_settings(spark, folder, tmp_path):
+    conf = config(folder, str(tmp_path), ("spark-cpu-stream", "spark-cpu-stream"), recursive=True)
+    conf["dataset"]["input_path"] = folder
+    assert run_steps(spark, conf).count() == 11
+    rows = spark.range(5).select("id", F.lit("t").alias("text"))
+    write_any(rows, str(tmp_path / "p/nested"), "parquet")
+    conf = config(folder, str(tmp_path), ("spark-cpu-stream", "spark-cpu-stream"), recursive=True, input_format="parquet")
+    conf["dataset"]["input_path"] = str(tmp_path / "p")
+    assert ids(run_steps(spark, conf, "parquet")) == [0, 1, 2, 3, 4]
+
+
+def test_trigger_interval_paces_a_run(spark, folder, tmp_path):
+    conf = config(folder, str(tmp_path), ("spark-cpu-stream", "spark-cpu-stream"), ("job_finished", "file_success"))
+    for step in conf["steps"]:
+        step["engine_config"] = {"trigger_interval": "1 second", "spark_conf_name": "x", "input_as_stream": True, "spark.any": "1"}
+    assert ids(run_steps(spark, conf)) == [0, 1, 2, 20, 21, 30, 32]
+
+
+def test_on_error_of_a_run(spark, folder, tmp_path):
+    conf = config(folder, str(tmp_path), on_error="fail")
+    with pytest.raises(Exception, match="MALFORMED"):
+        run_steps(spark, conf)
+    for engine in ("spark-cpu-batch", "spark-cpu-stream"):
+        conf = config(folder, str(tmp_path), (engine, engine), on_error="quarantine")
+        assert sorted(r._corrupt_record for r in run_steps(spark, conf, engine).collect() if r.id is None) == ["[1, 2]", '{"id": 31, "te']
+
+
+def test_run_partitions_its_output(spark, folder, tmp_path):
+    for engine in ("spark-cpu-batch", "spark-cpu-stream"):
+        conf = config(folder, str(tmp_path), (engine, engine))
+        conf["steps"][1]["engine_config"] = {"partition_by": ["op3"]}
+        assert run_steps(spark, conf, engine).count() == 7
+        assert (tmp_path / "out" / engine / "final_output" / "op3=processed").exists()
+
+
+def test_a_run_leaves_a_manifest(spark, folder, tmp_path):
+    conf = config(folder, str(tmp_path), ("spark-cpu-stream", "spark-cpu-stream"))
+    run_steps(spark, conf)
+    manifest = run_manifest(spark, str(tmp_path / "out"))
+    assert manifest.select("step_id", "input_file").distinct().count() == 6
+    listing = list_files(spark, folder + "/x", "*.jsonl*").select(normalize_path(F.col("path")).alias("input_file"))
+    steps = spark.createDataFrame([("run", "run_step_1"), ("run", "run_step_2")], "run_id string, step_id string")
+    assert run_status(manifest, steps.crossJoin(listing)).first().state == "success"
+    more = listing.union(spark.createDataFrame([("file:/x",)], "f string"))
+    assert run_status(manifest, steps.crossJoin(more)).first().state == "running"
+
+
 def test_three_concurrent_stream_steps(spark, folder, tmp_path):
     conf = config(folder, str(tmp_path), ("spark-cpu-stream",) * 2, ("job_finished", "file_success"))
     conf["steps"].append({"engine_type": "spark-cpu-stream", "trigger_event": "file_success", "operators": [{"name": "length_filter", "params": {"min_length": 1}}]})
@@ -375,6 +511,18 @@ def test_lazy_run_without_output(spark, folder):
         run_steps(spark, conf)
 
 
+def test_unknown_settings_are_errors(folder):
+    for where in ("dataset", "engine_config"):
+        conf = config(folder, "out")
+        (conf["dataset"] if where == "dataset" else conf["steps"][0]["engine_config"])["maxFilesPerTriger"] = 1
+        with pytest.raises(ValueError, match="maxFilesPerTriger"):
+            check_config(conf)
+    conf = config(folder, "out")
+    conf["steps"][0]["engine_config"]["trigger_interval"] = "5 seconds"
+    with pytest.raises(ValueError, match="trigger_interval"):
+        check_config(conf)
+
+
 def test_config_errors(folder):
     for change, error in [({"engine_type": "local-gpu-batch"}, ValueError), ({"trigger_event": "later"}, ValueError),
                           ({"operators": [{"name": "nope"}]}, KeyError)]:
@@ -386,4 +534,4 @@ def test_config_errors(folder):
         check_config({"dataset": {}, "steps": []})
     with pytest.raises(ValueError):
         check_config({"dataset": {"input_type": "table"}, "steps": [{}]})
-    assert output_paths("o/", "r", 3) == ["o/r_step_1", "o/r_step_2", "o/final_output"]
+    assert output_paths("o/", "r", 3) == ["o/r/step_1", "o/r/step_2", "o/r/final_output"]
