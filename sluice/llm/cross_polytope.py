@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,10 +13,10 @@ from sluice.llm.components import connected
 from sluice.session import materialize
 
 THRESHOLD = 0.9
-TABLES = 6
-HASHES = 2  # hashes that are joined to one bucket
-PROBES = 4  # buckets in which a vector looks, its own included
-BLOCK = 1024  # vectors of a bucket that are compared in one task
+TABLES = 8
+HASHES = 3  # hashes that are joined to one bucket
+PROBES = 8  # buckets in which a vector looks, its own included
+BLOCK = 1024  # a bucket with more classes is compared in blocks of this size
 SEED = 7
 
 
@@ -78,9 +77,11 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             raw = _matrix(part.column(2))
             norm = np.linalg.norm(raw, axis=1)
             unit = raw / norm[:, None]
-            codes = hash_codes(unit, TABLES, HASHES, PROBES).reshape(len(unit), -1)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([u.tobytes() for u in unit], pa.binary()),
-                                              pa.array(list(codes), pa.list_(pa.int64()))], names=["cid", "n", "unit", "codes"])
+            codes = hash_codes(unit, TABLES, HASHES, PROBES).reshape(len(unit), -1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([
+                part.column(0), part.column(1), pa.array([u.tobytes() for u in unit], pa.binary()),
+                pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(list(codes), pa.list_(pa.int32()))],
+                names=["cid", "n", "unit", "codes", "buckets"])
 
 
 def _smallest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
@@ -97,36 +98,69 @@ def _smallest(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
         root = new
 
 
-def _compare(group: pd.DataFrame) -> pd.DataFrame:
-    """One bucket, or two blocks of a large one: the links of each vector that no earlier table finds, and a spanning forest."""
-    group = group.drop_duplicates("cid").sort_values("cid", ignore_index=True)
-    table, first, second = (int(group[c].iloc[0]) for c in ("t", "i", "j"))
-    unit = np.stack([np.frombuffer(u, np.float64) for u in group["unit"]])
-    codes = np.stack(group["codes"].to_numpy()).reshape(len(group), TABLES, PROBES)
-    home, block = group["home"].to_numpy(), group["own"].to_numpy()
-    links, weight = np.zeros(len(group), np.int64), group["n"].to_numpy()
+def _pairs_within(sizes: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of the same group, for groups that lie one after the other, about ``limit`` pairs at a time."""
+    later = np.repeat(np.cumsum(sizes), sizes) - 1 - np.arange(sizes.sum())  # rows of the group after this one
+    upto = np.cumsum(later)
+    at = 0
+    while at < len(later):
+        end = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + limit, side="right")))
+        a = np.repeat(np.arange(at, end), later[at:end])
+        first = np.repeat(upto[at:end] - later[at:end], later[at:end])
+        yield a, a + 1 + (np.arange(len(a)) + (upto[at - 1] if at else 0) - first)
+        at = end
+
+
+def _compare_groups(rows: pa.Table) -> pa.RecordBatch | None:
+    """Whole buckets, or pairs of blocks of large ones: links of each vector that no other bucket counts, and a spanning forest."""
+    col = {name: rows.column(name).to_numpy() for name in ("cid", "n", "t", "bucket", "i", "j", "own", "home")}
+    unit = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(rows.num_rows, -1)
+    codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.int32).reshape(rows.num_rows, TABLES, PROBES)
+    keys = np.stack([col[k] for k in ("t", "bucket", "i", "j")])
+    starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))
+    links = np.zeros(rows.num_rows, np.int64)
     ends: list[tuple[np.ndarray, np.ndarray]] = []
-    left = np.flatnonzero(block == first)
-    right = np.flatnonzero(block == second)
-    for at in range(0, len(left), 256):
-        own = left[at:at + 256]
-        a, b = np.nonzero(unit[own] @ unit[right].T >= THRESHOLD)
-        a, b = own[a], right[b]
-        fits = (a < b) if first == second else np.ones(len(a), bool)
-        fits &= home[a] | home[b]
+    for a, b in _pairs_within(np.diff(np.append(starts, rows.num_rows)), 50_000):
+        fits = (col["home"][a] | col["home"][b]) & ((col["i"][a] == col["j"][a]) | (col["own"][a] != col["own"][b]))
         a, b = a[fits], b[fits]
-        earlier = np.zeros(len(a), bool)
-        for t in range(table):
-            earlier |= (codes[a, t, :] == codes[b, t, :1]).any(axis=1) | (codes[b, t, :] == codes[a, t, :1]).any(axis=1)
-        a, b = a[~earlier], b[~earlier]
-        np.add.at(links, a, weight[b])
-        np.add.at(links, b, weight[a])
+        near = np.einsum("ij,ij->i", unit[a], unit[b]) >= THRESHOLD
+        a, b = a[near], b[near]
+        a, b = np.where(col["cid"][a] < col["cid"][b], a, b), np.where(col["cid"][a] < col["cid"][b], b, a)
+        # A pair may meet again: in this table, in the home bucket of either; or in an earlier table.
+        own_of_a = (codes[b, col["t"][a], :] == codes[a, col["t"][a], :1]).any(axis=1)
+        counted = own_of_a & ~col["home"][a]
+        for t in range(TABLES):
+            met = (codes[a, t, :] == codes[b, t, :1]).any(axis=1) | (codes[b, t, :] == codes[a, t, :1]).any(axis=1)
+            counted |= met & (t < col["t"][a])
+        a, b = a[~counted], b[~counted]
+        np.add.at(links, a, col["n"][b])
+        np.add.at(links, b, col["n"][a])
         ends.append((a, b))
     a, b = (np.concatenate([e[k] for e in ends]) if ends else np.zeros(0, np.int64) for k in (0, 1))
-    root = _smallest(a, b, len(group))
-    shown = np.flatnonzero(links)
-    cid = group["cid"].to_numpy()
-    return pd.DataFrame({"cid": cid[shown], "links": links[shown], "root": cid[root[shown]]})
+    if not len(a):
+        return None
+    cid, place = np.unique(col["cid"], return_inverse=True)
+    total = np.bincount(place, links, len(cid)).astype(np.int64)
+    root = _smallest(place[a], place[b], len(cid))
+    shown = np.flatnonzero(total)
+    return pa.RecordBatch.from_arrays([pa.array(cid[shown]), pa.array(total[shown]), pa.array(cid[root[shown]])], names=["cid", "links", "root"])
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by bucket and block pair. Holds a batch and the rows of one group, which are at most a few blocks."""
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        if not rows.num_rows:
+            continue
+        keys = [rows.column(k).to_numpy() for k in ("t", "bucket", "i", "j")]
+        last = np.logical_and.reduce([k == k[-1] for k in keys])
+        cut = rows.num_rows - int(np.argmin(last[::-1])) if not last.all() else 0
+        held = rows.slice(cut)
+        if cut and (found := _compare_groups(rows.slice(0, cut))) is not None:
+            yield found
+    if held is not None and held.num_rows and (found := _compare_groups(held)) is not None:
+        yield found
 
 
 def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -151,12 +185,12 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     grouped = keyed.where("k1 is not null").groupBy("k1", "k2").agg(F.min("id").alias("first"), F.count("*").alias("n"), F.first("v").alias("v"))
     classes = materialize(grouped.withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
     hashed = materialize(classes.select("cid", "n", "v").mapInArrow(
-        _hashed, "cid long, n long, unit binary, codes array<long>"), "vector-codes")
+        _hashed, "cid long, n long, unit binary, codes binary, buckets array<int>"), "vector-codes")
 
     at = F.explode(F.sequence(F.lit(0), F.lit(TABLES * PROBES - 1))).alias("at")
-    looks = hashed.select("cid", "codes", at).select(
-        "cid", (F.col("at") / PROBES).cast("int").alias("t"), F.get("codes", F.col("at")).alias("bucket"), (F.col("at") % PROBES == 0).alias("home"))
-    looks = looks.groupBy("cid", "t", "bucket").agg(F.max("home").alias("home"))
+    looks = hashed.select("cid", "buckets", at).select(
+        "cid", F.floor(F.col("at") / PROBES).cast("int").alias("t"), F.get("buckets", F.col("at")).alias("bucket"),
+        (F.col("at") % PROBES == 0).alias("home"))
     sizes = looks.groupBy("t", "bucket").agg(F.count("*").alias("m"), F.max("home").alias("any")).where("m > 1 and any")
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")
@@ -164,8 +198,9 @@ def link_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     met = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     pairs = placed.select("cid", "t", "bucket", "home", "own", met).select(
         "cid", "t", "bucket", "home", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    found = pairs.join(hashed, "cid").groupBy("t", "bucket", "i", "j").applyInPandas(_compare, "cid long, links long, root long")
-    found = materialize(found, "vector-links")
+    keys = ["t", "bucket", "i", "j"]
+    filled = pairs.join(hashed.drop("buckets"), "cid").repartition(*keys).sortWithinPartitions(*keys, "cid")
+    found = materialize(filled.mapInArrow(_compare, "cid long, links long, root long"), "vector-links")
 
     roots = connected(found.select(F.col("cid").alias("a"), F.col("root").alias("b")), "vector")
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
