@@ -78,18 +78,30 @@ def clean_model(
 
 
 def train_clean_model(
-    features: DataFrame, label: str = "quality", cols: tuple[str, ...] = FEATURES, max_iter: int = 50
+    features: DataFrame, label: str = "quality", cols: tuple[str, ...] = FEATURES, max_iter: int = 50, reg: float = 0.01,
+    standardize: bool = True, tol: float = 1e-6,
 ) -> PipelineModel:
-    """Fit a logistic model on feature columns; rows without a label or with NULL features are left out."""
+    """Fit a logistic model on feature columns; rows without a label or with NULL features are left out.
+
+    Minimises the mean log loss plus ``reg / 2`` times the squared weights, of the standardised features or, without
+    ``standardize``, of the raw ones. The estimator keeps its blocks of training rows in executor storage while it iterates and
+    computes lost ones again from ``features``, so pass labelled rows only.
+    """
     known = features.select(F.col(label).cast("double").alias("__label"), *cols).na.drop()
     assembler = VectorAssembler(inputCols=list(cols), outputCol="__features", handleInvalid="keep")
     model = LogisticRegression(
-        featuresCol="__features", labelCol="__label", predictionCol="__prediction",
-        rawPredictionCol="__raw", probabilityCol="__probability", maxIter=max_iter, regParam=0.01,
+        featuresCol="__features", labelCol="__label", predictionCol="__prediction", rawPredictionCol="__raw",
+        probabilityCol="__probability", maxIter=max_iter, regParam=reg, standardization=standardize, tol=tol,
     )
     return Pipeline(stages=[assembler, model]).fit(known)
 
 
+def model_weights(model: PipelineModel) -> dict[str, float]:
+    """The fitted weights by feature, as :func:`logistic` takes them, so that scoring is one native expression."""
+    assembler, fitted = model.stages
+    return {"intercept": fitted.intercept, **dict(zip(assembler.getInputCols(), map(float, fitted.coefficients)))}
+
+
 def score_clean_model(model: PipelineModel, features: DataFrame, out: str = "clean_prob") -> DataFrame:
     """Add the probability of the positive class."""
     scored = model.transform(features)

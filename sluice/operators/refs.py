@@ -18,12 +18,12 @@ def parse_file_refs(raw: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def file_refs(manifest: DataFrame, keep_fields: bool = True) -> DataFrame:
-    """One JSON message per produced file, for the next step to consume.
+    """One JSON message per produced file, for the next step to consume; inputs without an output have none.
 
     With ``keep_fields`` a message keeps the other fields of its row and its ``input_file`` becomes the output
     file; without, it holds only ``id`` and ``input_file``, both the output file.
     """
-    produced = F.col("output_file")
+    manifest, produced = manifest.filter(F.col("output_file").isNotNull()), F.col("output_file")
     if keep_fields:
         others = [F.col(f"`{c}`") for c in manifest.columns if c not in ("input_file", "output_file")]
         message = F.struct(*others, produced.alias("input_file"))

@@ -11,11 +11,11 @@ from pyspark.sql import types as T
 from sluice.functions.features import EXTRA_FEATURES, FEATURE_GROUPS, STOP_WORDS, quality_features
 from sluice.operators.documents import extract_documents
 from sluice.operators.models import (
-    DEFAULT_WEIGHTS, batch_predict, clean_model, score_clean_model, train_clean_model,
+    DEFAULT_WEIGHTS, batch_predict, clean_model, logistic, model_weights, train_clean_model,
 )
 from sluice.queries.common import CONTENT_SQL, as_blocks, r6, r6_sql, table
 from sluice.queries.scalars import entropy_sql
-from sluice.session import materialize, spread
+from sluice.session import spread
 
 QUERIES, SQL = {}, {}
 
@@ -170,34 +170,64 @@ def clean_model_demo_query(spark, sf_dir):
     return clean_model(records).select("doc_id", r6(F.col("clean_prob")).alias("clean_prob"))
 
 
-def _clean_prob_sql() -> str:
+def clean_prob_sql(source: str = "contents", text: str = "content", ctes: str = CONTENT_SQL) -> str:
     exprs = _feature_sql()
     terms = [str(DEFAULT_WEIGHTS["intercept"])]
     terms += [f"({exprs[n]}) * {w}::DOUBLE" for n, w in DEFAULT_WEIGHTS.items() if n != "intercept"]
     score = f"CASE WHEN coalesce(entropy, 0.0) <= 1 THEN 0.0 ELSE 1 / (1 + exp(-({' + '.join(terms)}))) END"
     names = [n for n in DEFAULT_WEIGHTS if n != "intercept"]
-    sql = feature_query_sql("contents", names, "doc_id", "content", ctes=CONTENT_SQL)
+    sql = feature_query_sql(source, names, "doc_id", text, ctes=ctes)
     head, tail = sql.rsplit("\nSELECT ", 1)
     return f"{head}\nSELECT id AS doc_id, {r6_sql(score)} AS clean_prob\n{tail[tail.rindex('FROM base'):]}"
 
 
 QUERIES["clean_model_demo"] = clean_model_demo_query
-SQL["clean_model_demo"] = _clean_prob_sql()
+SQL["clean_model_demo"] = clean_prob_sql()
 
 
-def train_clean_model_query(spark, sf_dir):
-    """Fit on the labelled documents and score all documents; compared with brute force in the tests.
+TRAINED = ("unique_words_frac", "punc_frac")
+REGULARISATION = 0.001
+NEWTON_STEPS = 30
 
-    Training passes over the features many times, so they are written once.
-    """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    features = materialize(quality_features(docs, "text").drop("text"), "features")
-    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
-    model = train_clean_model(features.join(labels, "doc_id"), "quality")
-    return score_clean_model(model, features).select("doc_id", r6(F.col("clean_prob")).alias("clean_prob"))
+
+def train_clean_model_query(spark, sf_dir):
+    """Fit two weights and the intercept on the labelled documents only, then score all documents in one pass."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter("quality IS NOT NULL")
+    labelled = quality_features(docs.join(labels, "doc_id"), "text", features=TRAINED).drop("text")
+    model = train_clean_model(labelled, "quality", TRAINED, max_iter=1000, reg=REGULARISATION, standardize=False, tol=1e-15)
+    score = logistic(model_weights(model))
+    scored = quality_features(spread(docs), "text", features=TRAINED)
+    return scored.select("doc_id", (F.floor(score * F.lit(1e4) + F.lit(0.5)) / F.lit(1e4)).alias("clean_prob"))
+
+
+def _newton_sql() -> str:
+    """Newton steps for the regularised mean log loss: gradient, Hessian and the solution of a 3 x 3 system by cofactors."""
+    exprs = _feature_sql()
+    head, _ = feature_query_sql("documents", list(TRAINED), "doc_id", "text").rsplit("\nSELECT ", 1)
+    ridge = f"{REGULARISATION}::DOUBLE"
+    return f"""{head.replace("WITH base", "WITH RECURSIVE base", 1)},
+f AS (SELECT id, ({exprs[TRAINED[0]]})::DOUBLE AS x, ({exprs[TRAINED[1]]})::DOUBLE AS z FROM base),
+t AS (SELECT x, z, quality::DOUBLE AS y FROM f JOIN labels ON labels.doc_id = f.id WHERE quality IS NOT NULL),
+newton(i, a, b, c) AS (
+  SELECT 0, 0::DOUBLE, 0::DOUBLE, 0::DOUBLE
+  UNION ALL
+  SELECT i + 1, a - (m00 * g0 + m01 * g1 + m02 * g2) / det, b - (m01 * g0 + m11 * g1 + m12 * g2) / det,
+    c - (m02 * g0 + m12 * g1 + m22 * g2) / det
+  FROM (SELECT *, h11 * h22 - h12 * h12 AS m00, h02 * h12 - h01 * h22 AS m01, h01 * h12 - h02 * h11 AS m02,
+      h00 * h22 - h02 * h02 AS m11, h01 * h02 - h00 * h12 AS m12, h00 * h11 - h01 * h01 AS m22,
+      h00 * (h11 * h22 - h12 * h12) - h01 * (h01 * h22 - h12 * h02) + h02 * (h01 * h12 - h11 * h02) AS det
+    FROM (SELECT i, a, b, c, avg(p - y) AS g0, avg((p - y) * x) + {ridge} * b AS g1, avg((p - y) * z) + {ridge} * c AS g2,
+        avg(p * (1 - p)) AS h00, avg(p * (1 - p) * x) AS h01, avg(p * (1 - p) * z) AS h02,
+        avg(p * (1 - p) * x * x) + {ridge} AS h11, avg(p * (1 - p) * x * z) AS h12, avg(p * (1 - p) * z * z) + {ridge} AS h22
+      FROM (SELECT i, a, b, c, x, z, y, 1 / (1 + exp(-(a + b * x + c * z))) AS p FROM newton, t WHERE i < {NEWTON_STEPS})
+      GROUP BY i, a, b, c)))
+SELECT id AS doc_id, floor(1e4 / (1 + exp(-(a + b * x + c * z))) + 0.5::DOUBLE) / 1e4 AS clean_prob
+FROM f, newton WHERE i = {NEWTON_STEPS}"""
 
 
 QUERIES["train_clean_model"] = train_clean_model_query
+SQL["train_clean_model"] = _newton_sql()
 
 VECTOR_SIZE = 64
 # The weights of the linear test model, by rule.

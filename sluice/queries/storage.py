@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.scalar import normalize_path
 from sluice.operators.filters import md5_dedup
 from sluice.operators.labels import combine_label
+from sluice.operators.progress import run_status
 from sluice.operators.refs import valid_refs
-from sluice.plans.runner import run_steps
-from sluice.queries.common import table
+from sluice.plans.registry import apply_operators
+from sluice.plans.runner import run_manifest, run_steps
+from sluice.queries.common import CONTENT_SQL, as_blocks, r6, table
+from sluice.queries.features import clean_prob_sql
 from sluice.session import scratch_path, spread
 from sluice.sinks.files import write_any, write_jsonl
-from sluice.sources.files import list_files, read_any, read_binary, read_by_index, read_jsonl
+from sluice.sources.files import list_files, read_any, read_by_index, read_jsonl, read_objects
 from sluice.streaming.steps import finish, run_refs_step, run_stream_step, stream_jsonl, stream_refs, write_stream
 
 QUERIES, SQL = {}, {}
@@ -49,10 +53,12 @@ SQL["scan_jsonl"] = "SELECT doc_id, text, lang FROM documents"
 
 
 def scan_bad_rows(spark, sf_dir):
-    """Every tenth line is cut off, and a blank line follows each line."""
+    """Of ten lines one is cut off, one has text behind the record and one a second record; a blank line follows each line."""
     path = scratch_path(spark, "scan-bad-rows")
     whole = F.to_json(F.struct(*DOC_COLS))
-    line = F.when(F.col("doc_id") % 10 == 0, F.expr("substring(l, 1, length(l) - 5)")).otherwise(F.col("l"))
+    kind = F.col("doc_id") % 10
+    line = (F.when(kind == 0, F.expr("substring(l, 1, length(l) - 5)")).when(kind == 1, F.concat("l", F.lit(" trailing")))
+            .when(kind == 2, F.concat("l", "l")).otherwise(F.col("l")))
     lines = docs(spark, sf_dir).select("doc_id", whole.alias("l")).select(F.concat(line, F.lit("\n")).alias("value"))
     write_any(lines, path, "text")
     parsed = read_jsonl(spark, path, DOC, on_error="quarantine", glob="*.txt")
@@ -64,7 +70,7 @@ def scan_bad_rows(spark, sf_dir):
 
 
 QUERIES["scan_bad_rows"] = scan_bad_rows
-SQL["scan_bad_rows"] = "SELECT doc_id, doc_id % 10 = 0 AS is_bad FROM documents"
+SQL["scan_bad_rows"] = "SELECT doc_id, doc_id % 10 < 3 AS is_bad FROM documents"
 
 
 def scan_any(spark, sf_dir):
@@ -108,20 +114,25 @@ SQL["scan_by_index"] = "SELECT doc_id, lang, 't' || (doc_id % 4) AS track_id FRO
 
 
 def scan_binary_docs(spark, sf_dir):
-    """Pages in buckets of text files, read as whole objects; at most 50 pages go to a file."""
+    """Pages in buckets of text files, read as whole objects by reference; one object per bucket does not exist."""
     path = scratch_path(spark, "scan-binary")
     pages = table(spark, sf_dir, "pages").select("html", (F.col("page_id") % 16).alias("bucket"))
     write_any(pages, path, "text", partition_by=["bucket"], maxRecordsPerFile="50")
-    objects = read_binary(spark, path, "*.txt", recursive=True)
-    bucket = F.regexp_extract("path", "bucket=([0-9]+)/", 1).cast("bigint")
-    return objects.groupBy(bucket.alias("bucket")).agg(
-        F.sum(F.octet_length("content")).cast("bigint").alias("n_bytes"), F.sum("length").alias("listed_bytes")
+    listing = list_files(spark, path, "*.txt", recursive=True)
+    bucket = F.regexp_extract("input_file", "bucket=([0-9]+)/", 1).cast("bigint").alias("bucket")
+    known = listing.select(F.col("path").alias("input_file"), "length")
+    gone = known.select(bucket, F.regexp_replace("input_file", "[^/]*$", "gone.txt").alias("input_file")).distinct()
+    refs = known.unionByName(gone.select("input_file", F.lit(None).cast("bigint").alias("length")))
+    objects = read_objects(spark, refs, path)
+    return objects.groupBy(bucket).agg(
+        F.sum(F.octet_length("content")).cast("bigint").alias("n_bytes"), F.sum("length").alias("listed_bytes"),
+        F.count_if(F.col("_error") == "read_error").alias("read_errors"), F.count("_error_msg").alias("messages"),
     )
 
 
 QUERIES["scan_binary_docs"] = scan_binary_docs
 SQL["scan_binary_docs"] = """SELECT page_id % 16 AS bucket, sum(strlen(html) + 1)::BIGINT AS n_bytes,
-  sum(strlen(html) + 1)::BIGINT AS listed_bytes FROM pages GROUP BY 1"""
+  sum(strlen(html) + 1)::BIGINT AS listed_bytes, 1::BIGINT AS read_errors, 1::BIGINT AS messages FROM pages GROUP BY 1"""
 
 
 def combine_label_files(spark, sf_dir):
@@ -219,13 +230,19 @@ QUERIES["stream_scan_files"] = stream_scan_files
 SQL["stream_scan_files"] = "SELECT doc_id, text, lang FROM documents"
 
 
+def _refs_messages(spark, sf_dir, label):
+    """A folder of messages that name files: all of them, then in a later file the same again, and one that does not parse."""
+    path, listing, index = shard_index(spark, sf_dir, label)
+    messages = valid_refs(index, listing, ("file", "hdfs", "s3", "s3a", "abfss", "gs")).select(F.to_json(F.struct("*")).alias("value"))
+    broken = spark.range(1).select(F.lit("{not json").alias("value"))
+    for part in (messages.union(broken), messages):
+        write_any(part.coalesce(1), f"{path}-messages", "text", mode="append")
+    return path, stream_refs(spark, "text", path=f"{path}-messages", maxFilesPerTrigger="1")
+
+
 def stream_scan_refs(spark, sf_dir):
-    """Messages that name files; a message that does not parse is skipped."""
-    path, listing, index = shard_index(spark, sf_dir, "stream-refs")
-    messages = valid_refs(index, listing, ("file", "hdfs", "s3", "s3a", "abfss", "gs")).select(F.to_json(F.struct("*")))
-    broken = spark.range(1).select(F.lit("{not json"))
-    write_any(messages.union(broken).toDF("value"), f"{path}-messages", "text")
-    refs = stream_refs(spark, "text", path=f"{path}-messages")
+    """Messages that name files, each file named in two micro-batches; a message that does not parse is skipped."""
+    path, refs = _refs_messages(spark, sf_dir, "stream-refs")
     finish(run_refs_step(refs, DOC, OPS, f"{path}-out", f"{path}-checkpoint"))
     out = spark.read.schema(f"{DOC}, track_id string, op1 string, op2 bigint").json(f"{path}-out")
     return out.select("doc_id", "lang", "track_id", "op1", "op2")
@@ -236,6 +253,22 @@ SQL["stream_scan_refs"] = """SELECT doc_id, lang, 't' || (doc_id % 4) AS track_i
 FROM documents WHERE doc_id % 4 <> 3"""
 
 
+def stream_refs_chain(spark, sf_dir):
+    """Two steps: the files that the first one produces are the references of the second."""
+    path, refs = _refs_messages(spark, sf_dir, "refs-chain")
+    finish(run_refs_step(refs, DOC, OPS, f"{path}-one", f"{path}-checkpoint-1", refs_out=f"{path}-made"))
+    made = stream_refs(spark, "text", path=f"{path}-made", recursiveFileLookup="true")
+    middle = f"{DOC}, op1 string, op2 bigint"
+    finish(run_refs_step(made, middle, MORE_OPS, f"{path}-two", f"{path}-checkpoint-2"))
+    out = spark.read.schema(f"{middle}, op3 string, op4 bigint").json(f"{path}-two")
+    return out.select("doc_id", "lang", "op1", "op2", "op3", "op4")
+
+
+QUERIES["stream_refs_chain"] = stream_refs_chain
+SQL["stream_refs_chain"] = """SELECT doc_id, lang, 'processed' AS op1, 100::BIGINT AS op2, 'processed' AS op3, 100::BIGINT AS op4
+FROM documents WHERE doc_id % 4 <> 3"""
+
+
 def set_op_stream_1(spark, sf_dir):
     path = scratch_path(spark, "set-op-stream-1")
     rows = table_stream(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
@@ -248,17 +281,18 @@ SQL["set_op_stream_1"] = "SELECT c_custkey, c_name, c_mktsegment, 100::BIGINT AS
 
 
 def stream_step(spark, sf_dir):
-    """A chain with a filter and the features' entropy gate on a stream, in several micro-batches."""
+    """A chain with a filter and the scoring model, with its entropy gate, on a stream, in several micro-batches."""
     path = written_docs(spark, sf_dir, "stream-step")
-    chain = [{"name": "length_filter", "params": {"min_length": 500}}, *OPS]
+    chain = [{"name": "length_filter", "params": {"min_length": 500}}, {"name": "clean_model_demo", "params": {"text_col": "text"}}, *OPS]
     rows = stream_jsonl(spark, path, DOC, max_files_per_trigger=quarter_of_files(spark, path), glob=WRITTEN)
     finish(run_stream_step(rows, chain, f"{path}-out", f"{path}-checkpoint"))
-    return spark.read.schema(f"{DOC}, op1 string, op2 bigint").json(f"{path}-out")
+    back = spark.read.schema(f"{DOC}, clean_prob double, op1 string, op2 bigint").json(f"{path}-out")
+    return back.select(*DOC_COLS, r6(F.col("clean_prob")).alias("clean_prob"), "op1", "op2")
 
 
 QUERIES["stream_step"] = stream_step
-SQL["stream_step"] = """SELECT doc_id, text, lang, 'processed' AS op1, 100::BIGINT AS op2 FROM documents
-WHERE length(text) >= 500"""
+SQL["stream_step"] = f"""SELECT doc_id, text, lang, clean_prob, 'processed' AS op1, 100::BIGINT AS op2
+FROM documents JOIN ({clean_prob_sql("documents", "text", "")}) USING (doc_id) WHERE length(text) >= 500"""
 
 
 def _two_steps(spark, sf_dir, engine, trigger, label):
@@ -350,7 +384,7 @@ def multi_step_batch(spark, sf_dir):
             {"engine_type": "spark-cpu-batch", "trigger_event": "job_finished", "operators": [*OPS, *MORE_OPS]},
         ],
     }
-    return run_steps(spark, config)
+    return run_steps(spark, config).drop("input_file")
 
 
 QUERIES["multi_step_batch"] = multi_step_batch
@@ -358,3 +392,75 @@ SQL["multi_step_batch"] = """SELECT doc_id, text, lang, 'processed' AS op1, 100:
   100::BIGINT AS op4 FROM documents
 WHERE length(text) >= 100 AND (length(text) - length(replace(text, ' ', '')))::DOUBLE / length(text) <= 0.16::DOUBLE
 QUALIFY row_number() OVER (PARTITION BY md5(text) ORDER BY doc_id) = 1"""
+
+
+def run_rerun(spark, sf_dir):
+    """A batch step before a stream step, run twice, then another run on another input with the same output path."""
+    path = scratch_path(spark, "run-rerun")
+    for part in (0, 1):
+        write_any(docs(spark, sf_dir).filter(F.col("doc_id") % 2 == part), f"{path}/in-{part}", "parquet")
+    found = []
+    for run_id, part in (("first", 0), ("first", 0), ("second", 1)):
+        config = {
+            "dataset": {"input_path": f"{path}/in-{part}", "input_format": "parquet", "output_path": f"{path}/out"},
+            "steps": [{"engine_type": "spark-cpu-batch", "operators": OPS}, {"engine_type": "spark-cpu-stream", "operators": MORE_OPS}],
+        }
+        found.append(run_steps(spark, config, run_id).select("doc_id", "op1", "op4", F.lit(run_id).alias("run_id")))
+    return found[1].unionByName(found[2])
+
+
+QUERIES["run_rerun"] = run_rerun
+SQL["run_rerun"] = """SELECT doc_id, 'processed' AS op1, 100::BIGINT AS op4, CASE doc_id % 2 WHEN 0 THEN 'first' ELSE 'second' END AS run_id
+FROM documents"""
+
+
+def run_stream_formats(spark, sf_dir):
+    """Parquet files in nested folders through stream steps."""
+    path = scratch_path(spark, "run-stream-formats")
+    write_any(docs(spark, sf_dir).withColumn("part", F.col("doc_id") % 3), f"{path}/in", "parquet", partition_by=["part"])
+    config = {
+        "dataset": {"input_path": f"{path}/in", "input_format": "parquet", "schema": DOC, "recursive": True, "output_path": f"{path}/out",
+                    "output_format": "parquet"},
+        "steps": [{"engine_type": "spark-cpu-stream", "operators": OPS},
+                  {"engine_type": "spark-cpu-stream", "trigger_event": "file_success", "operators": MORE_OPS}],
+    }
+    return run_steps(spark, config).select(*DOC_COLS, "op1", "op2", "op3", "op4")
+
+
+QUERIES["run_stream_formats"] = run_stream_formats
+SQL["run_stream_formats"] = TWO_STEPS_SQL
+
+
+def run_manifest_status(spark, sf_dir):
+    """The status table of a finished run, from the manifest that the run has written."""
+    path = scratch_path(spark, "run-manifest")
+    write_jsonl(docs(spark, sf_dir).withColumn("part", F.col("doc_id") % 4), f"{path}/in", partition_by=["part"])
+    config = {
+        "dataset": {"input_path": f"{path}/in", "schema": DOC, "glob": WRITTEN, "recursive": True, "output_path": f"{path}/out"},
+        "steps": [{"engine_type": "spark-cpu-stream", "operators": OPS}, {"engine_type": "spark-cpu-stream", "operators": MORE_OPS}],
+    }
+    run_steps(spark, config)
+    inputs = list_files(spark, f"{path}/in", WRITTEN, recursive=True).select(normalize_path(F.col("path")).alias("input_file"))
+    both = spark.range(1, 3).select(F.lit("run").alias("run_id"), F.concat(F.lit("run_step_"), "id").alias("step_id"))
+    status = run_status(run_manifest(spark, f"{path}/out"), inputs.join(F.broadcast(both)))
+    return status.select("run_id", "steps", (F.col("finished") == F.col("input_count")).alias("all_finished"), "state")
+
+
+QUERIES["run_manifest_status"] = run_manifest_status
+SQL["run_manifest_status"] = "SELECT 'run' AS run_id, 2::BIGINT AS steps, true AS all_finished, 'success' AS state FROM documents LIMIT 1"
+
+
+def config_chain(spark, sf_dir):
+    """The configured filter chain on records: (track_id, content_list), no column named in the parameters."""
+    records = as_blocks(table(spark, sf_dir, "documents")).select(F.concat(F.lit("t"), "doc_id").alias("track_id"), "content_list")
+    chain = [{"name": "length_filter", "params": {"min_length": 100}}, {"name": "space_ratio", "params": {"max_ratio": 0.16}},
+             {"name": "md5_dedup", "params": {}}]
+    return apply_operators(records, chain).select("track_id", F.size("content_list").cast("bigint").alias("blocks"))
+
+
+QUERIES["config_chain"] = config_chain
+SQL["config_chain"] = f"""WITH {CONTENT_SQL}, kept AS (
+  SELECT 't' || doc_id AS track_id, content, len(content_list)::BIGINT AS blocks FROM contents JOIN records USING (doc_id)
+  WHERE length(content) >= 100
+    AND (length(content) - length(replace(content, ' ', '')))::DOUBLE / length(content) <= 0.16::DOUBLE)
+SELECT track_id, blocks FROM kept QUALIFY row_number() OVER (PARTITION BY md5(content) ORDER BY track_id) = 1"""
