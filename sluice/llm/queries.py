@@ -50,9 +50,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     rows = table(spark, sf_dir, "documents").select(
         "doc_id", byte_size(text).alias("size"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.xxhash64(text).alias("digest"))
+        F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("digest"))
     # Equal texts lie together in this order, so a group of copies is in one shard unless a cut falls into it.
-    placed = balanced_shards(rows, 8, [F.col("digest"), F.col("text_crc32"), F.col("doc_id")])
+    placed = balanced_shards(rows, 8, [F.col("digest"), F.col("doc_id")])
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
 
@@ -95,3 +95,44 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_text_density")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", code_points(F.col("text")))
+
+
+#: Order by digest and id, running sums of bytes, cuts at eighths of the whole. The CRC-32 runs over the bytes with a table made
+#: from its polynomial.
+SQL["op6_byte_shards"] = """WITH crc_table AS (SELECT list(list_reduce(list_concat([i], range(1, 9)),
+    lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+sized AS (SELECT doc_id, coalesce(text, '') AS text, strlen(coalesce(text, '')) + 1 AS size FROM documents),
+ordered AS (SELECT *, sum(size) OVER w - size AS before, sum(size) OVER () AS total, row_number() OVER w AS place
+  FROM sized WINDOW w AS (ORDER BY md5(text), doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING)),
+placed AS (SELECT *, ((2 * before + size) * 8) // (2 * total) AS shard FROM ordered)
+SELECT doc_id, size::BIGINT AS size, xor(list_reduce(list_concat([4294967295], list_transform(
+    regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::BIGINT)),
+    lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295)::BIGINT AS text_crc32, 'bytes' AS law, shard::INT AS shard,
+  (place - min(place) OVER (PARTITION BY shard))::BIGINT AS slot, NULL::INT AS grown_shard
+FROM placed, crc_table"""
+
+#: All pairs that share a shingle, then whatever links reach.
+SQL["op4_jaccard_join"] = r"""WITH RECURSIVE w AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT r, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS g FROM w),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+pairs AS (SELECT a.r AS x, b.r AS y, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.r < b.r GROUP BY ALL),
+links AS (SELECT x, y FROM pairs JOIN n nx ON x = nx.r JOIN n ny ON y = ny.r WHERE 100 * c >= 80 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT r, r FROM w UNION SELECT reach.x, e.y FROM reach JOIN e ON reach.y = e.x)
+SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM w LEFT JOIN n ON n.r = w.r JOIN reach ON reach.x = w.r JOIN w o ON o.r = reach.y GROUP BY w.r, w.doc_id"""
+
+#: All pairs.
+SQL["op7_cross_polytope"] = """WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (SELECT r, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v WHERE e IS NOT NULL AND len(e) = (SELECT max(len(e)) FROM v)
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (SELECT a.r AS x, b.r AS y FROM good a, good b WHERE a.r <> b.r AND a.size > 0 AND b.size > 0
+    AND list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.9),
+reach(x, y) AS (SELECT r, r FROM v UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x)
+SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.x = v.r)::BIGINT AS n_links, min(o.vec_id) AS component_id,
+  coalesce(v.vec_id = min(o.vec_id), false) AS kept
+FROM v JOIN reach ON reach.x = v.r JOIN v o ON o.r = reach.y GROUP BY v.r, v.vec_id"""
