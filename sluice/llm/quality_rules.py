@@ -73,7 +73,7 @@ def rule_votes(stats: Column) -> dict[str, Column]:
     words, letters = stats["n_words"], stats["n_alnum"]
     share = lambda part, whole: F.when(whole > 0, part / whole)
     enough = lambda value: F.when(words >= 20, value)
-    repeated = F.greatest(share(stats["n_repeat_words"], words), share(stats["n_same"], words),
+    repeated = F.greatest(share(stats["n_repeat_words"], words),
                           F.when(stats["n_lines"] >= 4, share(stats["n_dup_lines"], stats["n_lines"])))
     shouted = F.greatest(share(stats["n_upper"], letters), F.lit(2) * share(stats["n_marks"], words))
     return {
@@ -81,12 +81,13 @@ def rule_votes(stats: Column) -> dict[str, Column]:
         "letters": _vote(F.lit(1.0) - share(letters, stats["word_chars"]), 0.07, 0.10),
         "shouting": enough(_vote(shouted, 0.12, 0.30)),
         "repeats": enough(_vote(repeated, 0.05, 0.15)),
+        "stutter": F.when(words >= 10, _vote(share(stats["n_same"], words), 0.05, 0.20)),
         "variety": F.when(words >= 50, _vote(F.lit(1.0) - share(stats["n_distinct"], F.least(words, F.lit(300))), 0.55, 0.75)),
     }
 
 
 #: Believed accuracies before any data: a yes vote on good text, a no vote on bad text. Bad text breaks some rules, not all.
-BELIEFS = {"symbols": (0.98, 0.40), "letters": (0.96, 0.50), "shouting": (0.99, 0.30), "repeats": (0.98, 0.40), "variety": (0.97, 0.30)}
+BELIEFS = {"symbols": (0.98, 0.40), "letters": (0.96, 0.50), "shouting": (0.99, 0.30), "repeats": (0.98, 0.40), "stutter": (0.99, 0.20), "variety": (0.97, 0.30)}
 
 
 def vote_quality(df: DataFrame, text_col: str = "text", drop_text: bool = False, prior: float = 0.85,
