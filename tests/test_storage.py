@@ -265,8 +265,10 @@ def test_shared_folder_must_be_named_on_a_cluster():
             self.sparkContext, self.conf = Context(value), Conf()
 
     assert shared_root(Session("hdfs:///ckpt/")) == "hdfs:///ckpt"
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_root(Session())
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        Context.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_root(Session())
 
 
 def test_spread_is_a_choice_of_the_session(spark):
