@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,7 @@ SESSION_DEFAULTS = {
 }
 
 _local_roots: dict[str, str] = {}
+_recorders: list[list[str]] = []
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -60,7 +63,29 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never reused path below the shared folder."""
-    return f"{shared_root(spark)}/sluice/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/sluice/{label}-{uuid.uuid4().hex}"
+    for paths in _recorders:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """Lists the scratch paths that are made inside the block, for :func:`remove_scratch` once nothing reads them any more."""
+    paths: list[str] = []
+    _recorders.append(paths)
+    try:
+        yield paths
+    finally:
+        _recorders.remove(paths)
+
+
+def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders of this session. DataFrames that still read them cannot be computed afterwards."""
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -11,10 +11,10 @@ from sluice.functions.scalar import normalize_path
 from sluice.operators.progress import run_status
 from sluice.operators.refs import REF_SCHEMA, skip_done, valid_refs
 from sluice.plans.runner import check_config, output_paths, run_manifest, run_steps
-from sluice.session import materialize, scratch_path, shared_root, spread
+from sluice.session import materialize, recorded_scratch, remove_scratch, scratch_path, shared_root, spread
 from sluice.sinks.files import write_any, write_jsonl
 from sluice.sources.files import (
-    file_positions, format_of, infer_schema, list_files, read_any, read_binary, read_by_index, read_jsonl,
+    file_positions, format_of, infer_schema, list_files, path_exists, read_any, read_binary, read_by_index, read_jsonl,
     read_objects,
 )
 from sluice.streaming.steps import (
@@ -243,6 +243,15 @@ def test_shared_folder(spark):
     assert df.count() == 5 and len(df.inputFiles()) > 0
 
 
+def test_scratch_is_removed_on_request(spark):
+    kept = materialize(spark.range(3), "kept")
+    with recorded_scratch() as paths:
+        materialize(spark.range(5), "gone")
+    assert len(paths) == 1 and path_exists(spark, paths[0])
+    remove_scratch(spark, paths)
+    assert not path_exists(spark, paths[0]) and kept.count() == 3
+
+
 def test_shared_folder_must_be_named_on_a_cluster():
     class Conf:
         def __init__(self, value=None):
