@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sluice.llm.mixing import mixed_documents
 from sluice.llm.near_duplicates import keep_one_per_group
@@ -12,29 +13,54 @@ from sluice.llm.pii import redact
 from sluice.llm.quality_rules import keep_good
 from sluice.llm.queries import vocabulary_path
 from sluice.queries.common import table
-from sluice.session import scratch_path
+from sluice.session import recorded_scratch, remove_scratch, scratch_path
+
+
+_spent: list[str] = []
+
+
+def _stage(fn):
+    """A stage that first removes the scratch folders of the stage before it.
+
+    By then the rows of that stage have been written and read again, so nothing needs its scratch; otherwise each stage would
+    leave a copy of the corpus until the end.
+    """
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove_scratch(spark, _spent)
+        with recorded_scratch() as made:
+            out = fn(spark, docs, sf_dir)
+        _spent[:] = made
+        return out
+
+    return run_stage
 
 
+@_stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighted quality rules reject go."""
     return keep_good(docs)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest doc_id."""
     return keep_one_per_group(docs)
 
 
+@_stage
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by its kind."""
     return redact(docs)
 
 
+@_stage
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources are mixed to their target weights; a document taken twice is two rows."""
     return mixed_documents(docs)
 
 
+@_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of at most 1024 ids: one row per piece, with its ids."""
     return pack_documents(docs, vocabulary_path(), with_ids=True)
