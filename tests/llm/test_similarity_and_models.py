@@ -259,15 +259,20 @@ def test_pipeline_stages(spark, tmp_path):
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "near duplicates", "personal data", "source mix", "packing"]
     stages = dict(corpus_pipeline.STAGES)
-    first = stages["quality rules"](spark, docs, "").collect()
-    assert {r.doc_id for r in first} == set(range(48))
-    kept = documents(spark, [r.text for r in first], [r.doc_id for r in first]).select(*docs.columns)
-    second = stages["near duplicates"](spark, kept, "")
+
+    def after(stage, rows):
+        """What a stage returns, written and read again as the next one gets it."""
+        stages[stage](spark, rows, "").write.parquet(str(tmp_path / stage))
+        return spark.read.parquet(str(tmp_path / stage))
+
+    first = after("quality rules", docs)
+    assert first.columns == docs.columns and {r.doc_id for r in first.collect()} == set(range(48))
+    second = after("near duplicates", first)
     want = groups([texts[i] for i in range(48)])
     assert sorted(r.doc_id for r in second.collect()) == [i for i, (_, c) in enumerate(want) if c == i]
-    third = stages["personal data"](spark, second, "")
+    third = after("personal data", second)
     assert third.columns == docs.columns and not [r for r in third.collect() if brute.base_spans(r.text)]
-    fourth = stages["source mix"](spark, third, "")
+    fourth = after("source mix", third)
     assert fourth.columns == docs.columns and max(Counter(r.doc_id for r in fourth.collect()).values()) <= 3
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
     taken = Counter(r.doc_id for r in fourth.collect())
