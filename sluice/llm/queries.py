@@ -14,6 +14,7 @@ from sluice.llm.pii import KINDS, find_pii, span_text
 from sluice.llm.quality_rules import vote_quality
 from sluice.llm.rule_ensemble import score_quality
 from sluice.llm.shards import balanced_shards, byte_size
+from sluice.llm.token_matrix import token_matrix
 from sluice.queries.common import table
 
 QUERIES = {}
@@ -45,6 +46,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return systematic_mix(rows).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+@_query("op5_token_matrix")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_matrix(table(spark, sf_dir, "documents"), vocabulary_path())
+
+
 @_query("op6_byte_shards")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")

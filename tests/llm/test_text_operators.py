@@ -16,6 +16,8 @@ from sluice.llm.pii import KINDS, find_pii, redact, span_text
 from sluice.llm.quality_rules import keep_good, vote_quality
 from sluice.llm.queries import vocabulary_path
 from sluice.llm.shards import balanced_shards, byte_size, write_shards
+from sluice.llm import token_matrix as matrices
+from sluice.llm.token_matrix import best_fit_decreasing, position_ids, read_token_matrix, token_matrix, write_token_matrix
 from sluice.llm.tokens import encoder
 from sluice.llm.voting import fit
 
@@ -243,3 +245,57 @@ def test_packing_is_a_round_trip(spark):
     assert sum(r.length for r in rows) / (1024 * len(sequences)) > 0.9
     assert pack_documents(docs.limit(0), vocabulary_path()).count() == 0
     assert json.dumps(sorted(map(str, pack_documents(docs, vocabulary_path()).collect())))
+
+
+# token matrix
+
+
+def plain_best_fit(lengths, width):
+    """The same rule by looking at every open bin."""
+    bins, free, used = [], [], []
+    for i in sorted(range(len(lengths)), key=lambda i: (-lengths[i], i)):
+        fits = [b for b in range(len(bins)) if free[b] >= lengths[i]]
+        if fits:
+            least = min(free[b] for b in fits)
+            b = max((b for b in fits if free[b] == least), key=lambda b: used[b])
+        else:
+            b = len(bins)
+            bins.append([])
+            free.append(width)
+            used.append(0)
+        bins[b].append(i)
+        free[b] -= lengths[i]
+        used[b] = sum(map(len, bins))
+    return bins
+
+
+@pytest.mark.parametrize("width", [1, 7, 16, 100])
+def test_best_fit_decreasing(width):
+    rng = random.Random(width)
+    for n in (0, 1, 5, 200):
+        lengths = [rng.randint(1, width) for _ in range(n)]
+        assert best_fit_decreasing(lengths, width) == plain_best_fit(lengths, width)
+
+
+def test_token_matrix_is_a_round_trip(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(matrices, "CHUNK", 5000)
+    texts = edge_texts()
+    docs = table(spark, texts).repartition(3)
+    write_token_matrix(token_matrix(docs, vocabulary_path(), width=256), str(tmp_path / "m"))
+    rows = read_token_matrix(spark, str(tmp_path / "m")).collect()
+    encode, found = encoder(vocabulary_path()), {}
+    assert len({r.sequence_id for r in rows}) == len(rows)
+    for r in rows:
+        ids = np.frombuffer(bytes(r.ids), "<u2")
+        assert len(ids) == 256 and r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens and (ids[r.n_tokens:] == 0).all()
+        assert r.position_resets == r.cu_seqlens[:-1] and r.ids_crc32 == zlib.crc32(bytes(r.ids))
+        assert [i for i, p in enumerate(position_ids(r.cu_seqlens, 256)) if p == 0] == [x for x in r.cu_seqlens if x < 256]
+        for doc_id, start, a, b in zip(r.doc_ids, r.starts, r.cu_seqlens, r.cu_seqlens[1:]):
+            found.setdefault(doc_id, []).append((start, ids[a:b].tolist()))
+    for i, text in enumerate(texts):
+        pieces = sorted(found[i])
+        assert [x for _, ids in pieces for x in ids] == [*encode(text or "").tolist(), 50256]
+        assert [s for s, _ in pieces] == list(range(0, 256 * len(pieces), 256))
+    assert token_matrix(docs.limit(0), vocabulary_path()).count() == 0
+    with pytest.raises(ValueError):
+        token_matrix(docs, vocabulary_path(), end_id=100_000)
