@@ -15,8 +15,7 @@ from sluice.llm.queries import vocabulary_path
 from sluice.queries.common import table
 from sluice.session import recorded_scratch, remove_scratch, scratch_path
 
-
-_spent: list[str] = []
+_spent: list[str] = []  # scratch of the stage that ran last
 
 
 def _stage(fn):

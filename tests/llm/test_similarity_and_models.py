@@ -7,7 +7,6 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sluice.llm import cross_polytope, shingles
