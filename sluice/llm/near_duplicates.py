@@ -38,7 +38,7 @@ from sluice.session import materialize
 _BITS = 20
 _CELLS = 1 << _BITS  # counters of the table of shingle counts: 4 MB
 _BLOOM = 1 << 25  # bits of the filter of sets that are compared: 4 MB
-_SLICE = 4 << 20  # bytes of text shingled at a time
+_SLICE = 1 << 20  # bytes of text shingled at a time
 _FOLD_BITS = 9  # counters of a folded set: 512 bytes
 _BLOCK = 512  # strays, and others, that meet in one task
 _HUB = 4096  # documents that meet one pivot in one task
@@ -178,12 +178,12 @@ def _sets(bloom) -> "callable":
     schema = pa.schema([("c", pa.int64()), ("n", pa.int32()), ("own", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(bloom.value).view(bool)
+        packed = bloom.value
         for batch in batches:
             for part, sets in _parts(batch, 1):
                 ids = part.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
                 c = np.array([_class(s)[0] if len(s) else 0 for s in sets], np.int64)
-                passed = np.logical_and.reduce([bits[p] for p in _bloom_bits(c, ids)])
+                passed = np.logical_and.reduce([packed[p >> 3] >> (7 - (p & 7)).astype(np.uint8) & 1 for p in _bloom_bits(c, ids)])
                 rows = [i for i in np.flatnonzero(passed).tolist() if len(sets[i])]
                 if rows:
                     cut = [np.ascontiguousarray(sets[i].byteswap().view(np.uint8).reshape(-1, 8)[:, :_KEPT_BYTES]).tobytes() for i in rows]

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 WIDTH = 5
-SEGMENT = 1 << 20  # bytes hashed at a time; memory is about forty times that
+SEGMENT = 1 << 18  # bytes hashed at a time; memory is about forty times that
 
 _random = np.random.default_rng(20240229)
 _BASE = int(_random.integers(1 << 62, 1 << 63)) | 1
