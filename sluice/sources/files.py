@@ -202,6 +202,13 @@ def _whole_path(spark: SparkSession, path: str) -> tuple[str, str]:
     return spelled.rstrip("/") + "/", spelled.removesuffix(whole.toUri().getPath())
 
 
+def existing_refs(spark: SparkSession, refs: DataFrame) -> DataFrame:
+    """The few references whose file exists now. Paths come to the driver and are tested there one by one."""
+    wanted = sorted(r[0] for r in refs.filter(F.col("input_file").isNotNull()).select("input_file").distinct().collect())
+    found = spark.createDataFrame([(p,) for p in wanted if path_exists(spark, p)], "input_file string")
+    return refs.join(found, "input_file", "left_semi")
+
+
 def read_by_index(
     spark: SparkSession,
     index: DataFrame,
@@ -209,6 +216,7 @@ def read_by_index(
     root: str | None = None,
     on_error: str = "drop",
     by_name: bool = False,
+    tested: bool = False,
 ) -> DataFrame:
     """Records of the files that an index names, with ``input_file`` and the ``track_id`` of the index.
 
@@ -217,8 +225,8 @@ def read_by_index(
     readers hide (``_x``, ``.x``), is an error.
 
     With ``by_name`` the caller says that the index is short: its paths come to the driver, are tested there one by one and
-    read without a listing of ``root``, which is then not needed. Where the records have fields of these names themselves,
-    the added columns are ``ref_input_file`` and ``ref_track_id``.
+    read without a listing of ``root``, which is then not needed. If they are ``tested`` already, a file that is gone since is an
+    error. Where the records have fields of these names themselves, the added columns are ``ref_input_file`` and ``ref_track_id``.
     """
     names = as_struct(schema).fieldNames()
     file_col, track_col = ("ref_" + c if c in names else c for c in ("input_file", "track_id"))
@@ -228,7 +236,7 @@ def read_by_index(
     if by_name:
         wanted = sorted(r[0] for r in refs.select(file_col).distinct().collect())
         odd = [p for p in wanted if p.rsplit("/", 1)[-1][:1] in ("_", ".")]
-        paths = [_escaped(p) for p in wanted if path_exists(spark, p)]
+        paths = [_escaped(p) for p in wanted if tested or path_exists(spark, p)]
     else:
         if not root:
             raise ValueError("read_by_index needs the folder above all files (root), or by_name for a short index")

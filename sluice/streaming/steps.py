@@ -21,7 +21,7 @@ from sluice.functions.scalar import metadata_path, normalize_path
 from sluice.operators.refs import REF_SCHEMA, file_refs, parse_file_refs
 from sluice.plans.registry import apply_operators
 from sluice.sinks.files import write_any
-from sluice.sources.files import JSONL_GLOB, list_files, parse_lines, read_by_index
+from sluice.sources.files import JSONL_GLOB, existing_refs, list_files, parse_lines, path_exists, read_by_index
 
 DRAIN = {"availableNow": True}
 
@@ -115,26 +115,32 @@ def run_refs_step(
     fmt: str = "json",
     refs_out: str | None = None,
 ) -> StreamingQuery:
-    """Process the files that arriving references name, each file once.
+    """Process the files that arriving references name, each file once per ``track_id``.
 
     The few references of a micro-batch are written to the batch's own folder and read from there, so the message source is read
-    once. Files that an earlier micro-batch has finished are left out. Each micro-batch writes its own directory and overwrites
-    it when replayed, so a batch that is run again after a failure leaves no duplicate rows. With ``refs_out`` every finished
-    batch also writes one message per produced file there, for the next step to read with :func:`stream_refs` (``text``).
+    once. References to files that exist are logged as finished after the rows of the batch are written, and left out of later
+    micro-batches; one that comes before its file leaves no mark, so it counts when it is sent again. Each micro-batch writes its
+    own directory and overwrites it when replayed, so a batch that is run again after a failure leaves no duplicate rows. With
+    ``refs_out`` every finished batch also writes one message per produced file there, for the next step to read with
+    :func:`stream_refs` (``text``).
     """
     spark = refs.sparkSession
     log = f"{path}/_refs"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        here = f"{log}/batch={batch_id:09d}"
+        here = f"{path}/_arrived/batch={batch_id:09d}"
         arrived = batch.select("id", normalize_path(F.col("input_file")).alias("input_file"), "track_id")
         arrived.write.mode("overwrite").parquet(here)
         mine = spark.read.schema(REF_SCHEMA).parquet(here)
-        if batch_id:
-            earlier = spark.read.schema(f"{REF_SCHEMA}, batch bigint").parquet(log).filter(F.col("batch") < batch_id)
-            mine = mine.join(earlier.select("input_file").distinct(), "input_file", "left_anti")
+        if batch_id and path_exists(spark, log):
+            done = spark.read.schema(f"{REF_SCHEMA}, batch bigint").parquet(log).filter(F.col("batch") < batch_id)
+            done = done.select("input_file", F.col("track_id").alias("__track")).distinct()
+            mine = mine.join(done, (mine.input_file == done.input_file) & mine.track_id.eqNullSafe(F.col("__track")), "left_anti")
+        mine = existing_refs(spark, mine)
         out = f"{path}/batch={batch_id}"
-        apply_operators(read_by_index(spark, mine, schema, by_name=True), operators).write.format(fmt).mode("overwrite").save(out)
+        rows = read_by_index(spark, mine, schema, by_name=True, tested=True)
+        apply_operators(rows, operators).write.format(fmt).mode("overwrite").save(out)
+        mine.write.mode("overwrite").parquet(f"{log}/batch={batch_id:09d}")
         if refs_out:
             made = list_files(spark, out, f"*.{fmt}*").select(F.col("path").alias("output_file"))
             write_any(file_refs(made, keep_fields=False), f"{refs_out}/batch={batch_id}", "text")

@@ -394,6 +394,35 @@ def test_stream_of_references(spark, folder, write_lines):
     assert out.filter("track_id = 't1'").count() == 3
 
 
+def test_a_reference_before_its_file_counts_when_sent_again(spark, folder, write_lines):
+    root = write_lines.root
+    message = lambda i, name, track=None: json.dumps({"id": i, "input_file": f"file:{folder}/x/{name}", "track_id": track})
+
+    def run():
+        finish(run_refs_step(stream_refs(spark, "text", path=root + "/refs"), SCHEMA, [], root + "/o", root + "/c"))
+        return ids(spark.read.schema(SCHEMA).json(root + "/o"))
+
+    write_lines("refs/1.json", [message("1", "late.jsonl")])
+    assert run() == []
+    write_lines("in/x/late.jsonl", [line(50), line(51)])
+    write_lines("refs/2.json", [message("2", "late.jsonl")])
+    assert run() == [50, 51]
+    write_lines("refs/3.json", [message("3", "late.jsonl"), message("4", "a.jsonl")])
+    assert run() == [0, 1, 2, 50, 51]
+
+
+@pytest.mark.parametrize("apart", [False, True])
+def test_a_file_with_two_track_ids_does_not_depend_on_the_trigger(spark, folder, write_lines, apart):
+    root = write_lines.root
+    messages = [json.dumps({"id": "1", "input_file": f"file:{folder}/y/a.jsonl", "track_id": t}) for t in ("t1", "t2", "t1")]
+    for i, message in enumerate(messages):
+        write_lines(f"refs/{i}.json", [message])
+    refs = stream_refs(spark, "text", path=root + "/refs", **({"maxFilesPerTrigger": "1"} if apart else {}))
+    finish(run_refs_step(refs, SCHEMA, [], root + "/o", root + "/c"))
+    out = spark.read.schema(SCHEMA + ", track_id string").json(root + "/o")
+    assert {(r.track_id, r["count"]) for r in out.groupBy("track_id").count().collect()} == {("t1", 4), ("t2", 4)}
+
+
 # multi-step runs
 
 
