@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.scalar import metadata_path
+from sluice.functions.scalar import basename, metadata_path, normalize_path
 from sluice.operators.progress import MANIFEST, manifest_from_output
 from sluice.operators.refs import valid_refs
 from sluice.plans.registry import apply_operators, get_operator
 from sluice.sinks.files import write_any
 from sluice.sources.files import (
-    CORRUPT, JSONL_GLOB, as_struct, infer_schema, list_files, path_exists, read_any, read_by_index, read_jsonl,
+    CORRUPT, JSONL_GLOB, all_files, as_struct, existing_refs, infer_schema, list_files, path_exists, read_any, read_by_index, read_jsonl,
 )
 from sluice.streaming.steps import PacedDrain, drain_chain, run_stream_step, stream_any, stream_jsonl, stream_sink_files
 
@@ -99,6 +99,32 @@ def _read_input(spark: SparkSession, dataset: dict[str, Any]) -> DataFrame:
                       keep_file=True, glob=glob)
 
 
+def _batch_inputs(spark: SparkSession, dataset: dict[str, Any]) -> DataFrame:
+    """``input_file`` of the files that a batch reads; references of an index to files that do not exist are no inputs."""
+    if dataset.get("input_type", "data") == "index":
+        index = _index_rows(spark, dataset)
+        if dataset.get("root"):
+            index = valid_refs(index, all_files(spark, dataset["root"], recursive=True), path_col="input_file")
+        named = index.select(normalize_path(F.col("input_file")).alias("input_file")).distinct()
+        return named if dataset.get("root") else existing_refs(spark, named)
+    glob = dataset.get("glob", JSONL_GLOB) if dataset.get("input_format", "jsonl") == "jsonl" else "*"
+    return all_files(spark, dataset["input_path"], glob, dataset.get("recursive", False))
+
+
+def _stream_inputs(spark: SparkSession, checkpoint: str) -> DataFrame | None:
+    """``input_file`` of the files in the committed micro-batches of a file stream, as its checkpoint has them."""
+    if not (path_exists(spark, f"{checkpoint}/commits") and path_exists(spark, f"{checkpoint}/sources/0")):
+        return None
+    name = basename(F.col("_metadata.file_path")).alias("name")
+    offsets = spark.read.text(f"{checkpoint}/offsets").select(name, F.get_json_object("value", "$.logOffset").alias("offset"))
+    commits = list_files(spark, f"{checkpoint}/commits").select(basename(F.col("path")).alias("name"))
+    last = offsets.join(commits, "name", "left_semi").agg(F.max(F.col("offset").cast("bigint")).alias("last"))
+    entry = F.from_json("value", "path string, batchId bigint")
+    read = spark.read.text(f"{checkpoint}/sources/0").filter(F.col("value").startswith("{")).select(entry.alias("e"))
+    seen = read.join(F.broadcast(last), F.col("e.batchId") <= F.col("last"), "left_semi")
+    return seen.select(metadata_path(F.col("e.path")).alias("input_file")).distinct()
+
+
 def _stream_input(spark: SparkSession, dataset: dict[str, Any], files_per_batch: int | None) -> tuple[Any, T.StructType]:
     """A function that starts the input as a stream, and the schema of its rows. The same settings hold as for a batch."""
     path, fmt, recursive = dataset["input_path"], dataset.get("input_format", "jsonl"), dataset.get("recursive", False)
@@ -126,9 +152,9 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
 
     Outputs, checkpoints and the manifest of a run lie below ``<output_path>/<run_id>``. A rerun with the same ``run_id`` resumes:
     stream steps go on from their checkpoints, and a batch step in front of a stream step, whose output is complete, is not run
-    again, since the stream has read its files. Use a new ``run_id`` for a new input of such a step. Where records carry their
-    ``input_file`` to the output, the run leaves a manifest that :func:`run_manifest` reads. Without ``dataset.output_path`` the
-    run must be batch only and stays lazy.
+    again, since the stream has read its files. Use a new ``run_id`` for a new input of such a step. The run leaves a manifest that
+    :func:`run_manifest` reads: every step with every file that the run has consumed, and the output files where records carry
+    their ``input_file`` to the output. Without ``dataset.output_path`` the run must be batch only and stays lazy.
     """
     steps, dataset = check_config(config), config["dataset"]
     engines = [engine_of(s) for s in steps]
@@ -143,6 +169,7 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
         return rows
 
     paths = output_paths(out, run_id, len(steps))
+    consumed, checkpoints = f"{out.rstrip('/')}/{run_id}/_inputs", f"{out.rstrip('/')}/{run_id}/_checkpoints"
     rows: DataFrame | None = None  # batch plan not written yet
     schema: T.StructType | None = None  # of the last written step
     chain: list = []  # stream steps that run side by side
@@ -152,10 +179,16 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
     def load(i: int) -> DataFrame:
         return _read_output(spark, paths[i], fmt, schema)
 
+    def ends_plan(i: int) -> bool:
+        return i == len(steps) - 1 or steps[i].get("engine_config", {}).get("materialize") or engines[i + 1] == "stream"
+
+    def complete(i: int) -> bool:
+        feeds_stream = i + 1 < len(steps) and engines[i + 1] == "stream"
+        return feeds_stream and path_exists(spark, f"{paths[i]}/_SUCCESS")
+
     def store(i: int, df: DataFrame) -> T.StructType:
         conf = steps[i].get("engine_config", {})
-        feeds_stream = i + 1 < len(steps) and engines[i + 1] == "stream"
-        if not (feeds_stream and path_exists(spark, f"{paths[i]}/_SUCCESS")):
+        if not complete(i):
             write_any(df, paths[i], fmt, compression=conf.get("output_compression"), partition_by=conf.get("partition_by"))
         written.append(i)
         return df.schema
@@ -166,11 +199,12 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
         if engines[i] == "batch" or from_index:
             drain_chain(chain)
             chain = []
+            if i == 0 and not complete(next(k for k in range(len(steps)) if ends_plan(k))):
+                write_any(_batch_inputs(spark, dataset), consumed, "parquet")
             if rows is None:
                 rows = _read_input(spark, dataset) if i == 0 else load(i - 1)
             rows = apply_operators(rows, step["operators"])
-            last = i == len(steps) - 1
-            if last or conf.get("materialize") or engines[i + 1] == "stream":
+            if ends_plan(i):
                 schema, rows = store(i, rows), None
                 schemas[i] = schema
             continue
@@ -183,12 +217,17 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
         else:
             source = partial(stream_sink_files, spark, paths[i - 1], schema, fmt, files_per_batch)
             sample = schema
-        chain.append(partial(_start, source, step, paths[i], f"{out.rstrip('/')}/{run_id}/_checkpoints/step_{i + 1}", fmt))
+        chain.append(partial(_start, source, step, paths[i], f"{checkpoints}/step_{i + 1}", fmt))
         schema = apply_operators(spark.createDataFrame([], sample), step["operators"]).schema
         schemas[i] = schema
         written.append(i)
     drain_chain(chain)
-    _write_manifest(spark, {i: _read_output(spark, paths[i], fmt, schemas[i]) for i in written}, out, run_id)
+    if engines[0] == "stream" and dataset.get("input_type", "data") == "data":
+        inputs = _stream_inputs(spark, f"{checkpoints}/step_1")
+    else:  # a run of an earlier version has not recorded them
+        inputs = spark.read.schema("input_file string").parquet(consumed) if path_exists(spark, consumed) else None
+    outputs = {i: _read_output(spark, paths[i], fmt, schemas[i]) for i in written}
+    _write_manifest(spark, inputs, outputs, len(steps), out, run_id)
     return load(len(steps) - 1)
 
 
@@ -205,11 +244,21 @@ def _start(source, step: dict[str, Any], path: str, checkpoint: str, fmt: str):
     return PacedDrain(query) if interval else query
 
 
-def _write_manifest(spark: SparkSession, outputs: dict[int, DataFrame], out: str, run_id: str) -> None:
-    """One row per step, input file and output file, where the records still name their input file."""
+def _write_manifest(
+    spark: SparkSession, inputs: DataFrame | None, outputs: dict[int, DataFrame], n_steps: int, out: str, run_id: str
+) -> None:
+    """One row per step, input file and output file, where the records still name their input file.
+
+    A step that has no row of an input, because it holds none, all were dropped or the step is merged with the next one, has
+    finished it without an output file.
+    """
     rows = [manifest_from_output(df, run_id, f"{run_id}_step_{i + 1}") for i, df in outputs.items() if "input_file" in df.columns]
-    if rows:
-        write_any(reduce(DataFrame.unionByName, rows), manifest_path(out, run_id), "parquet")
+    made = reduce(DataFrame.unionByName, rows, spark.createDataFrame([], MANIFEST))
+    if inputs is not None:
+        step = F.concat(F.lit(f"{run_id}_step_"), F.col("id")).alias("step_id")
+        ended = inputs.crossJoin(F.broadcast(spark.range(1, n_steps + 1).select(F.lit(run_id).alias("run_id"), step)))
+        made = made.join(ended, ["run_id", "step_id", "input_file"], "full").fillna({"state": "success", "attempt": 0})
+    write_any(made, manifest_path(out, run_id), "parquet")
 
 
 def run_manifest(spark: SparkSession, output_path: str, run_id: str = "run") -> DataFrame:

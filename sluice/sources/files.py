@@ -156,6 +156,14 @@ def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool
     return read_binary(spark, path, glob, recursive).select("path", "modificationTime", "length")
 
 
+def all_files(spark: SparkSession, path: str | list[str], glob: str = "*", recursive: bool = False) -> DataFrame:
+    """``input_file`` of each file, with the empty ones that scans and :func:`list_files` pass over."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    found = reader.option("recursiveFileLookup", str(recursive).lower()).load(path).inputFiles()
+    rows = spark.createDataFrame([(p,) for p in found], "path string")
+    return rows.select(metadata_path(F.col("path")).alias("input_file")).distinct()
+
+
 def read_binary(spark: SparkSession, path: str, glob: str = "*", recursive: bool = False) -> DataFrame:
     """Whole files as ``path, modificationTime, length, content``."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)

@@ -525,6 +525,47 @@ def test_a_run_leaves_a_manifest(spark, folder, tmp_path):
     assert run_status(manifest, steps.crossJoin(more)).first().state == "running"
 
 
+@pytest.mark.parametrize("engines", [("spark-cpu-batch", "spark-cpu-batch"), ("spark-cpu-batch", "spark-cpu-stream"),
+                                     ("spark-cpu-stream", "spark-cpu-stream"), ("spark-cpu-stream", "spark-cpu-batch")])
+def test_files_without_surviving_rows_are_finished(spark, folder, tmp_path, write_lines, engines):
+    """An empty file, files whose records are all dropped and steps merged into one plan; a file that came later is not claimed."""
+    write_lines("in/x/empty.jsonl", [])
+    write_lines("in/x/a b+c.jsonl", ['{"id": 1, "te'])
+    conf = config(folder, str(tmp_path), engines)
+    conf["steps"][0]["operators"] = [{"name": "length_filter", "params": {"min_length": 5}}, {"name": "op1"}]
+    write_lines("in/x/long.jsonl", [line(7, "long enough")])
+    names = ("a.jsonl", "b.jsonl.gz", "bad.jsonl", "empty.jsonl", "a b+c.jsonl", "long.jsonl")
+    listing = spark.createDataFrame([(f"file:{folder}/x/{name}",) for name in names], "input_file string")
+    steps = spark.createDataFrame([("run", "run_step_1"), ("run", "run_step_2")], "run_id string, step_id string")
+    for _ in range(2):
+        assert ids(run_steps(spark, conf)) == [7]
+        manifest = run_manifest(spark, str(tmp_path / "out"))
+        status = run_status(manifest, steps.crossJoin(listing)).first()
+        assert (status.state, status.input_count, status.finished) == ("success", 12, 12)
+        assert manifest.filter("output_file is not null").select("input_file").distinct().count() == 1
+        assert manifest.filter("state <> 'success' or attempt <> 0").count() == 0
+    more = listing.union(spark.createDataFrame([("file:/x",)], "f string"))
+    assert run_status(manifest, steps.crossJoin(more)).first().state == "running"
+    if engines == ("spark-cpu-batch", "spark-cpu-stream"):
+        write_lines("in/x/new.jsonl", [line(8, "long enough")])
+        assert ids(run_steps(spark, conf)) == [7]  # such a step needs a new run id
+        assert not run_manifest(spark, str(tmp_path / "out")).filter("input_file like '%new.jsonl'").count()
+
+
+def test_manifest_of_a_run_from_an_index(spark, folder, tmp_path, write_lines):
+    index = [(f"file:{folder}/x/{name}", "t") for name in ("a.jsonl", "b.jsonl.gz", "empty.jsonl", "gone.jsonl")]
+    spark.createDataFrame(index, "input_file string, track_id string").write.parquet(str(tmp_path / "index"))
+    write_lines("in/x/empty.jsonl", [])
+    for run_id, root in (("named", None), ("rooted", folder)):
+        conf = config(folder, str(tmp_path), input_type="index", input_format="parquet", **({"root": root} if root else {}))
+        conf["dataset"]["input_path"] = str(tmp_path / "index")
+        conf["steps"][1]["operators"] = [{"name": "length_filter", "params": {"min_length": 5}}]
+        assert run_steps(spark, conf, run_id).count() == 0
+        found = {(r.step_id[-1], r.input_file.rsplit("/", 1)[-1], r.output_file) for r in
+                 run_manifest(spark, str(tmp_path / "out"), run_id).collect()}
+        assert found == {(step, name, None) for step in "12" for name in ("a.jsonl", "b.jsonl.gz", "empty.jsonl")}
+
+
 def test_three_concurrent_stream_steps(spark, folder, tmp_path):
     conf = config(folder, str(tmp_path), ("spark-cpu-stream",) * 2, ("job_finished", "file_success"))
     conf["steps"].append({"engine_type": "spark-cpu-stream", "trigger_event": "file_success", "operators": [{"name": "length_filter", "params": {"min_length": 1}}]})
