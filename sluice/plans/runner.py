@@ -13,7 +13,7 @@ from sluice.functions.scalar import basename, metadata_path, normalize_path
 from sluice.operators.progress import MANIFEST, manifest_from_output
 from sluice.operators.refs import valid_refs
 from sluice.plans.registry import apply_operators, get_operator
-from sluice.sinks.files import write_any
+from sluice.sinks.files import READ_BACK, write_any
 from sluice.sources.files import (
     CORRUPT, JSONL_GLOB, all_files, as_struct, existing_refs, infer_schema, list_files, path_exists, read_any, read_by_index, read_jsonl,
 )
@@ -37,7 +37,7 @@ def engine_of(step: dict[str, Any]) -> str:
 STEP_SETTINGS = {"maxFilesPerTrigger", "maxOffsetsPerTrigger", "trigger_interval", "materialize", "output_compression", "partition_by"}
 SESSION_SETTINGS = {"spark_conf_name", "input_as_stream"}
 DATASET_SETTINGS = {"input_path", "input_type", "input_format", "output_path", "output_format", "schema", "glob", "recursive", "root",
-                    "on_error"}
+                    "on_error", "options"}
 
 
 def check_config(config: dict[str, Any]) -> list[dict[str, Any]]:
@@ -47,6 +47,9 @@ def check_config(config: dict[str, Any]) -> list[dict[str, Any]]:
     unknown = set(config["dataset"]) - DATASET_SETTINGS
     if unknown:
         raise ValueError(f"unknown dataset settings {sorted(unknown)}; known: {sorted(DATASET_SETTINGS)}")
+    data_format = config["dataset"].get("input_format", "jsonl")
+    if config["dataset"].get("options") and config["dataset"].get("input_type", "data") == "data" and data_format == "jsonl":
+        raise ValueError("reader options (dataset.options) belong to an input_format other than jsonl, or to an index")
     steps = config["steps"]
     if not steps:
         raise ValueError("a run needs at least one step")
@@ -76,7 +79,7 @@ def manifest_path(output_path: str, run_id: str) -> str:
 
 
 def _index_rows(spark: SparkSession, dataset: dict[str, Any]) -> DataFrame:
-    index = read_any(spark, dataset["input_path"], dataset.get("input_format"))
+    index = read_any(spark, dataset["input_path"], dataset.get("input_format"), **dataset.get("options", {}))
     if "track_id" not in index.columns:
         index = index.withColumn("track_id", F.lit(None).cast("string"))
     return index
@@ -91,7 +94,7 @@ def _read_input(spark: SparkSession, dataset: dict[str, Any]) -> DataFrame:
         return read_by_index(spark, index, dataset["schema"], on_error=dataset.get("on_error", "fail"), by_name=True)
     path, fmt = dataset["input_path"], dataset.get("input_format", "jsonl")
     if fmt != "jsonl":
-        options = {"recursiveFileLookup": "true"} if dataset.get("recursive") else {}
+        options = ({"recursiveFileLookup": "true"} if dataset.get("recursive") else {}) | dataset.get("options", {})
         rows = read_any(spark, path, fmt, dataset.get("schema"), **options)
         return rows.select("*", metadata_path(F.col("_metadata.file_path")).alias("input_file"))
     glob = dataset.get("glob", JSONL_GLOB)
@@ -134,9 +137,9 @@ def _stream_input(spark: SparkSession, dataset: dict[str, Any], files_per_batch:
         source = partial(stream_jsonl, spark, path, schema, files_per_batch, on_error, glob, recursive)
         extra = [T.StructField(CORRUPT, T.StringType())] if on_error == "quarantine" else []
     else:
-        options = {"recursiveFileLookup": "true"} if recursive else {}
+        options = ({"recursiveFileLookup": "true"} if recursive else {}) | dataset.get("options", {})
         schema = as_struct(dataset["schema"]) if dataset.get("schema") else read_any(spark, path, fmt, **options).schema
-        source, extra = partial(stream_any, spark, path, fmt, schema, files_per_batch, recursive), []
+        source, extra = partial(stream_any, spark, path, fmt, schema, files_per_batch, recursive, **options), []
     return source, T.StructType([*schema.fields, *extra, T.StructField("input_file", T.StringType())])
 
 
@@ -148,7 +151,8 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
     ``file_success`` a stream step runs next to the one before it; ``maxFilesPerTrigger`` (or ``maxOffsetsPerTrigger``, one
     offset being one file) bounds its micro-batches and ``trigger_interval`` is the least time from one to the next.
     An index is a finite table, so a first step on one always runs as a batch. Lines that cannot be decoded fail a batch and are
-    dropped from a stream, unless ``dataset.on_error`` says ``drop``, ``quarantine`` or ``fail``.
+    dropped from a stream, unless ``dataset.on_error`` says ``drop``, ``quarantine`` or ``fail``. Settings of the reader of other
+    formats (``header``, ``multiLine`` or ``escape`` of CSV) stand in the dict ``dataset.options``.
 
     Outputs, checkpoints and the manifest of a run lie below ``<output_path>/<run_id>``. A rerun with the same ``run_id`` resumes:
     stream steps go on from their checkpoints, and a batch step in front of a stream step, whose output is complete, is not run
@@ -233,7 +237,8 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
 
 def _read_output(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
     """What a step wrote; quarantined lines are a column like others here."""
-    return spark.read.format(fmt).schema(schema).option("columnNameOfCorruptRecord", "__undecodable").load(path)
+    reader = spark.read.format(fmt).schema(schema).option("columnNameOfCorruptRecord", "__undecodable")
+    return reader.options(**READ_BACK.get(fmt, {})).load(path)
 
 
 def _start(source, step: dict[str, Any], path: str, checkpoint: str, fmt: str):

@@ -15,7 +15,7 @@ from sluice.plans.runner import run_manifest, run_steps
 from sluice.queries.common import CONTENT_SQL, as_blocks, r6, table
 from sluice.queries.features import clean_prob_sql
 from sluice.session import scratch_path, spread
-from sluice.sinks.files import write_any, write_jsonl
+from sluice.sinks.files import READ_BACK, write_any, write_jsonl
 from sluice.sources.files import list_files, read_any, read_by_index, read_jsonl, read_objects
 from sluice.streaming.steps import finish, run_refs_step, run_stream_step, stream_jsonl, stream_refs, write_stream
 
@@ -74,13 +74,18 @@ SQL["scan_bad_rows"] = "SELECT doc_id, doc_id % 10 < 3 AS is_bad FROM documents"
 
 
 def scan_any(spark, sf_dir):
-    """The same rows through four formats."""
+    """The same rows through four formats, with quotes, line breaks and white space around the name, cut off only if they are whole."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    before, after = ' "a", \\"b\n', '\r\n\n"c" '
+    odd = customers.withColumn("c_name", F.concat(F.lit(before), "c_name", F.lit(after)))
+    whole = F.col("c_name").startswith(before) & F.col("c_name").endswith(after)
+    name = F.when(whole, F.expr(f"substring(c_name, {len(before) + 1}, length(c_name) - {len(before) + len(after)})"))
     read = []
     for fmt in ("parquet", "orc", "csv", "json"):
         path = f"{scratch_path(spark, 'scan-any')}.{fmt}"
-        write_any(customers, path)
-        read.append(read_any(spark, path, schema=customers.schema).withColumn("fmt", F.lit(fmt)))
+        write_any(odd, path)
+        rows = read_any(spark, path, schema=customers.schema, **READ_BACK.get(fmt, {}))
+        read.append(rows.withColumn("c_name", F.coalesce(name, "c_name")).withColumn("fmt", F.lit(fmt)))
     return read[0].unionByName(read[1]).unionByName(read[2]).unionByName(read[3])
 
 

@@ -7,12 +7,17 @@ from pyspark.sql import DataFrame
 from sluice.sources.files import format_of
 
 
+# Settings by format: files are written so that every text keeps its white space, quotes and line breaks, and are read back with
+# the second ones. A text with line breaks spans lines, so such a CSV file is one split; an empty text in CSV comes back as null.
+WRITE_OPTIONS = {
+    "json": {"ignoreNullFields": "false"},
+    "csv": {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"},
+}
+READ_BACK = {"csv": {"escape": '"', "multiLine": "true", "lineSep": "\n"}}
+
+
 def _writer(df: DataFrame, fmt: str, mode: str, compression: str | None, partition_by: list[str] | None, options: dict):
-    writer = df.write.format(fmt).mode(mode)
-    if fmt == "json":
-        writer = writer.option("ignoreNullFields", "false")
-    if fmt == "csv":
-        writer = writer.option("escape", '"')
+    writer = df.write.format(fmt).mode(mode).options(**WRITE_OPTIONS.get(fmt, {}))
     if compression:
         writer = writer.option("compression", compression)
     if partition_by:

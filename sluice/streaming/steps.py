@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice.functions.scalar import metadata_path, normalize_path
 from sluice.operators.refs import REF_SCHEMA, file_refs, parse_file_refs
 from sluice.plans.registry import apply_operators
-from sluice.sinks.files import write_any
+from sluice.sinks.files import READ_BACK, WRITE_OPTIONS, write_any
 from sluice.sources.files import JSONL_GLOB, existing_refs, list_files, parse_lines, path_exists, read_by_index
 
 DRAIN = {"availableNow": True}
@@ -45,7 +45,7 @@ def stream_jsonl(
 
 def stream_any(
     spark: SparkSession, path: str, fmt: str, schema: str | T.StructType, max_files_per_trigger: int | None = None,
-    recursive: bool = False,
+    recursive: bool = False, **options: str,
 ) -> DataFrame:
     """Rows of files of any Spark format as they arrive, with their ``input_file``."""
     reader = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", str(recursive).lower())
@@ -53,7 +53,7 @@ def stream_any(
         reader = reader.option("escape", '"')
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path).select("*", metadata_path(F.col("_metadata.file_path")).alias("input_file"))
+    return reader.options(**options).load(path).select("*", metadata_path(F.col("_metadata.file_path")).alias("input_file"))
 
 
 def stream_sink_files(
@@ -61,6 +61,7 @@ def stream_sink_files(
 ) -> DataFrame:
     """The output directory of an earlier step as a stream; only committed files are seen."""
     reader = spark.readStream.format(fmt).schema(schema).option("columnNameOfCorruptRecord", "__undecodable")
+    reader = reader.options(**READ_BACK.get(fmt, {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path)
@@ -82,8 +83,7 @@ def write_stream(
 ) -> StreamingQuery:
     """Start an exactly-once file sink. The default trigger drains what is there and stops."""
     writer = df.writeStream.format(fmt).option("checkpointLocation", checkpoint).option("path", path)
-    if fmt == "json":
-        writer = writer.option("ignoreNullFields", "false")
+    writer = writer.options(**WRITE_OPTIONS.get(fmt, {}))
     if compression:
         writer = writer.option("compression", compression)
     if partition_by:
@@ -139,7 +139,7 @@ def run_refs_step(
         mine = existing_refs(spark, mine)
         out = f"{path}/batch={batch_id}"
         rows = read_by_index(spark, mine, schema, by_name=True, tested=True)
-        apply_operators(rows, operators).write.format(fmt).mode("overwrite").save(out)
+        apply_operators(rows, operators).write.format(fmt).options(**WRITE_OPTIONS.get(fmt, {})).mode("overwrite").save(out)
         mine.write.mode("overwrite").parquet(f"{log}/batch={batch_id:09d}")
         if refs_out:
             made = list_files(spark, out, f"*.{fmt}*").select(F.col("path").alias("output_file"))

@@ -566,6 +566,25 @@ def test_manifest_of_a_run_from_an_index(spark, folder, tmp_path, write_lines):
         assert found == {(step, name, None) for step in "12" for name in ("a.jsonl", "b.jsonl.gz", "empty.jsonl")}
 
 
+@pytest.mark.parametrize("engines", [("spark-cpu-batch", "spark-cpu-batch"), ("spark-cpu-stream", "spark-cpu-stream"),
+                                     ("spark-cpu-batch", "spark-cpu-stream"), ("spark-cpu-stream", "spark-cpu-batch")])
+def test_csv_runs_keep_every_text(spark, folder, tmp_path, engines):
+    """A header, quotes, line breaks and white space of the input, and all of them again in the files of the run."""
+    texts = ['a "q"\nline, two', 'x\r\ny', "cr\rcr", " both ", '\\"', "\\", None, '"', "#no comment", "\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    write_any(df, str(tmp_path / "in.csv"), header="true")
+    conf = config(folder, str(tmp_path), engines, input_format="csv", output_format="csv", options={"header": "true", "multiLine": "true", "lineSep": "\n"})
+    conf["dataset"]["input_path"] = str(tmp_path / "in.csv")
+    conf["steps"][0]["engine_config"]["materialize"] = True
+    got = run_steps(spark, conf)
+    assert sorted((r.id, r.text) for r in got.collect()) == list(enumerate(texts))
+
+
+def test_reader_options_need_a_format_that_has_them(folder):
+    with pytest.raises(ValueError, match="options"):
+        check_config(config(folder, "out", options={"header": "true"}))
+
+
 def test_three_concurrent_stream_steps(spark, folder, tmp_path):
     conf = config(folder, str(tmp_path), ("spark-cpu-stream",) * 2, ("job_finished", "file_success"))
     conf["steps"].append({"engine_type": "spark-cpu-stream", "trigger_event": "file_success", "operators": [{"name": "length_filter", "params": {"min_length": 1}}]})
