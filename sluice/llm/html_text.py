@@ -22,6 +22,8 @@ CLOSES_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "bo
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
             "option": {"option"}, "tbody": {"tbody", "thead", "tfoot", "tr", "td", "th"}}
 SCOPES = frozenset("html body table td th article main section div aside nav footer form ul ol dl blockquote".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+PROSE = HEADINGS | frozenset("p blockquote pre ul ol dl table figure details".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 NOISE = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion sidebar side-bar comment comments
  comment-list disqus respond reply replies cookie cookies consent gdpr notice banner popup modal overlay newsletter subscribe signup
@@ -167,8 +169,31 @@ def _measure(root: _Node) -> list[_Node]:
     return order
 
 
-def _select(root: _Node) -> list[_Node]:
-    """The subtree with the largest density sum, and beside it what is as dense as the thinnest element on its path to the body."""
+def _mostly_links(node: _Node) -> bool:
+    return node.tag == "a" or 2 * node.link_chars > node.chars
+
+
+def _dense(node: _Node, threshold: float) -> bool:
+    return not node.dropped and node.density >= threshold and node.density > 0
+
+
+def _prose(part: _Node | str) -> bool:
+    """Whether a part beside the path is text of an article by its kind: bare text, a paragraph, or an element with a heading."""
+    if isinstance(part, str):
+        return not part.isspace()
+    if part.dropped or not part.chars or _mostly_links(part):
+        return False
+    return part.tag not in BLOCKS or part.tag in PROSE or any(n.tag in HEADINGS and n.chars and not _mostly_links(n) for n in _in_order(part))
+
+
+def _select(root: _Node) -> _Node:
+    """The element that holds the article.
+
+    That is the article or main element around the subtree with the largest density sum. Elsewhere it is the last element on the
+    path from this subtree to the body that holds, beside the path, something as dense as the thinnest element on the path, or text
+    of its own (:func:`_prose`). It is taken with its headings, short blocks and bare text, which are less dense than any element
+    around them; only links and blocks of links that lie beside the path and are thinner than the path stay out.
+    """
     order = [n for n in _measure(root) if n.tag in BLOCKS]
     best = max(order, key=lambda n: n.total, default=root)
     if best.total <= 0:
@@ -179,17 +204,22 @@ def _select(root: _Node) -> list[_Node]:
         node = node.parent
     whole = [n for n in path if n.tag == "article"] or [n for n in path if n.tag == "main"]
     if whole:
-        return [whole[-1]]
+        return whole[-1]
     threshold = min(n.density for n in path)
-    on_path = {id(n) for n in path}
-    chosen, todo = [], [path[-1]]
-    while todo:
-        node = todo.pop()
-        if node is best or (id(node) not in on_path and node.density >= threshold and node.density > 0):
-            chosen.append(node)
-        elif id(node) in on_path:
-            todo.extend(p for p in reversed(node.parts) if isinstance(p, _Node) and not p.dropped)
-    return chosen
+    last = 0
+    for i in range(1, len(path)):
+        beside = [p for p in path[i].parts if p is not path[i - 1]]
+        if any(_prose(p) or isinstance(p, _Node) and _dense(p, threshold) for p in beside):
+            last = i
+    for i in range(1, last + 1):
+        beside = [p for p in path[i].parts if p is not path[i - 1]]
+        inline = [p for p in beside if isinstance(p, _Node) and not p.dropped and p.tag not in BLOCKS]
+        linked = sum(p.chars if p.tag == "a" else p.link_chars for p in inline)
+        menu = 2 * linked > sum(p.chars for p in inline) + sum(len("".join(p.split())) for p in beside if isinstance(p, str))
+        for part in beside:
+            if isinstance(part, _Node) and not part.dropped and _mostly_links(part) and not _dense(part, threshold):
+                part.dropped = part.tag in BLOCKS or menu
+    return path[last]
 
 
 def main_text(page: str | None) -> str:
@@ -205,20 +235,19 @@ def main_text(page: str | None) -> str:
             blocks.append(line)
         run.clear()
 
-    for top in _select(parse(page)):
-        todo: list[_Node | str | None] = [top]
-        while todo:
-            part = todo.pop()
-            if part is None:
+    todo: list[_Node | str | None] = [_select(parse(page))]
+    while todo:
+        part = todo.pop()
+        if part is None:
+            flush()
+        elif isinstance(part, str):
+            run.append(part)
+        elif not part.dropped:
+            if part.tag in BLOCKS:
                 flush()
-            elif isinstance(part, str):
-                run.append(part)
-            elif not part.dropped:
-                if part.tag in BLOCKS:
-                    flush()
-                    todo.append(None)
-                todo.extend(reversed(part.parts))
-        flush()
+                todo.append(None)
+            todo.extend(reversed(part.parts))
+    flush()
     return "\n\n".join(blocks)
 
 
@@ -235,9 +264,10 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str,
 
     Every element gets its composite text density: characters per tag, weighted down by the share and number of links. The
     subtree with the largest sum of its blocks' densities is the article; if it lies in an article or main element, that element
-    is. Elsewhere the least density on its path to the body is the threshold for what else belongs to it. Scripts, forms,
-    navigation and the like are cut out before by element name, role and class. A null or empty page has an empty text; repeated
-    rows, ties (the first subtree) and broken markup are no errors; an empty table gives an empty result.
+    is. Elsewhere it grows to the element that holds all that is as dense as its path to the body, and all text of an article
+    around it, without links and blocks of links beside that path. Scripts, forms, navigation and the like are cut out before by
+    element name, role and class. A null or empty page has an empty text; repeated rows, ties (the first subtree) and broken markup
+    are no errors; an empty table gives an empty result.
     """
     fields = [pages.schema[k] for k in keep]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "text string"])

@@ -198,6 +198,18 @@ def test_page_text():
     assert main_text("just text & more <b>x") == "just text & more x"
 
 
+def test_article_without_article_or_main_element_is_whole():
+    title, para, menu = "A title of some fifty characters, or nearly so many", "Some words of text. " * 15, "<div><a>Home</a><a>About us</a></div>"
+    paras = [f"{n} {para}".strip() for n in range(6)]
+    body = "".join(f"<p>{p}</p>" for p in paras)
+    page = f"<body>{menu}<div><h1>{title}</h1><div>{body}</div></div>{menu}</body>"
+    assert main_text(page) == "\n\n".join([title, *paras])
+    page = f"<div><div><h1>{title}</h1></div>Bare <b>lead</b> text<div>{body}<h2>Part</h2>bare<p>Short.</p></div><p>The end.</p>{menu}</div>"
+    assert main_text(page) == "\n\n".join([title, "Bare lead text", *paras, "Part", "bare", "Short.", "The end."])
+    page = f"<body><a>Home</a> <a>About us</a><h1>{title}</h1><div>{body}</div><div><div>{body}</div><h2>Part</h2></div></body>"
+    assert main_text(page).endswith("\n\n".join([title, *paras, *paras, "Part"]))
+
+
 @pytest.mark.parametrize("page", ["<", "<a", "<p class='x", "a < b > c", "<!--", "<!-- x", "<script>", "</p></div>", "<p>" * 5000, "<div>" * 20_000 + "x",
                                   "&#x110000;&am &amp", "<p a=\"'>'\">x</p>", "<![CDATA[x]]>", "\x00<p>\x00"])
 def test_broken_pages(page):
