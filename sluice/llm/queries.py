@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.cross_polytope import link_vectors
 from sluice.llm.html_text import code_points, extract_main_text
+from sluice.llm.merkle import FIELDS, fold, leaf_digest, merkle_manifest, proof_digest
 from sluice.llm.mixing import systematic_mix, word_count
 from sluice.llm.near_duplicates import find_groups
 from sluice.llm.packing import pack_documents
@@ -103,6 +104,17 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", code_points(F.col("text")))
 
 
+@_query("op13_merkle_manifest")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = [F.col(f) if f != "n_chars" else F.col(f).cast("decimal(20,0)") + 1 for f in FIELDS]
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    proofs = merkle_manifest(docs, carried={"tampered": F.when(chosen, leaf_digest(tampered))})
+    folded = fold(F.coalesce("tampered", "leaf"), F.col("proof")).alias("folded_root")
+    shown = proofs.select("doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), folded)
+    return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 #: Order by digest and id, running sums of bytes, cuts at eighths of the whole. The CRC-32 runs over the bytes with a table made
 #: from its polynomial.
 SQL["op6_byte_shards"] = """WITH crc_table AS (SELECT list(list_reduce(list_concat([i], range(1, 9)),
@@ -142,3 +154,32 @@ reach(x, y) AS (SELECT r, r FROM v UNION SELECT reach.x, links.y FROM reach JOIN
 SELECT v.vec_id, (SELECT count(*) FROM links WHERE links.x = v.r)::BIGINT AS n_links, min(o.vec_id) AS component_id,
   coalesce(v.vec_id = min(o.vec_id), false) AS kept
 FROM v JOIN reach ON reach.x = v.r JOIN v o ON o.r = reach.y GROUP BY v.r, v.vec_id"""
+
+#: Levels by recursion, for each language and then over the languages; the proof is folded as a list.
+SQL["op13_merkle_manifest"] = """WITH RECURSIVE crc_table AS (SELECT list(list_reduce(list_concat([i], range(1, 9)),
+    lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS t FROM range(256) r(i)),
+f AS (SELECT row_number() OVER () AS r, doc_id, lang, n_chars, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+    || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+  coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS chars, coalesce(strlen((n_chars::HUGEINT + 1)::VARCHAR) || ':' || (n_chars::HUGEINT + 1), '-') AS more,
+  coalesce(strlen(text) || ':' || text, '-') AS body,
+  doc_id IS NOT NULL AND xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(doc_id::VARCHAR)), '..'),
+    lambda x: ('0x' || x)::BIGINT)), lambda a, b: xor(a >> 8, t[xor(a, b) % 256 + 1])), 4294967295) % 7 = 0 AS tampered FROM documents, crc_table),
+leaf AS (SELECT r, doc_id, lang, sha256(head || chars || body) AS leaf, CASE WHEN tampered THEN sha256(head || more || body) ELSE sha256(head || chars || body) END AS changed FROM f),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS k, count(*) OVER (PARTITION BY lang) AS n FROM leaf),
+tree(lang, level, k, h, n) AS (SELECT lang, 0, k, leaf, n FROM ranked
+  UNION ALL SELECT lang, level + 1, k // 2, sha256(string_agg(h, '' ORDER BY k)), (min(n) + 1) // 2 FROM tree WHERE n > 1 GROUP BY lang, level, k // 2),
+sub AS (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS k, count(*) OVER () AS n FROM tree WHERE n = 1),
+crown(level, k, h, n) AS (SELECT 0, k, h, n FROM sub
+  UNION ALL SELECT level + 1, k // 2, sha256(string_agg(h, '' ORDER BY k)), (min(n) + 1) // 2 FROM crown WHERE n > 1 GROUP BY level, k // 2),
+top AS (SELECT h AS root FROM crown WHERE n = 1),
+steps AS (SELECT x.r, t.level, CASE WHEN (x.k >> t.level) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(s.h, '') AS s
+  FROM ranked x JOIN (SELECT DISTINCT lang, level FROM tree WHERE n > 1) t ON t.lang IS NOT DISTINCT FROM x.lang
+  LEFT JOIN tree s ON s.lang IS NOT DISTINCT FROM x.lang AND s.level = t.level AND s.k = xor(x.k >> t.level, 1)
+  UNION ALL SELECT x.r, 1000 + t.level, CASE WHEN (sub.k >> t.level) % 2 = 1 THEN 'L' ELSE 'R' END || coalesce(s.h, '')
+  FROM ranked x JOIN sub ON sub.lang IS NOT DISTINCT FROM x.lang JOIN (SELECT DISTINCT level FROM crown WHERE n > 1) t ON true
+  LEFT JOIN crown s ON s.level = t.level AND s.k = xor(sub.k >> t.level, 1)),
+proof AS (SELECT r, list(s ORDER BY level) AS p FROM steps GROUP BY r),
+done AS (SELECT x.doc_id, x.leaf, sub.h AS subroot, top.root, coalesce(p, []) AS p, x.changed FROM ranked x JOIN sub ON sub.lang IS NOT DISTINCT FROM x.lang CROSS JOIN top LEFT JOIN proof USING (r)),
+shown AS (SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(p, lambda s: s[2:]), ''), '')) AS proof_sha256,
+  list_reduce(list_concat([changed], p), lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root FROM done)
+SELECT *, folded_root = root AS verified FROM shown"""
