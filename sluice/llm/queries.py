@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import zlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm.cross_polytope import link_vectors
@@ -11,6 +13,7 @@ from sluice.llm.merkle import FIELDS, fold, leaf_digest, merkle_manifest, proof_
 from sluice.llm.mixing import systematic_mix, word_count
 from sluice.llm.near_duplicates import find_groups
 from sluice.llm.packing import pack_documents
+from sluice.llm.periodic_runs import collapse_runs
 from sluice.llm.pii import KINDS, find_pii, span_text
 from sluice.llm.quality_rules import vote_quality
 from sluice.llm.rule_ensemble import score_quality
@@ -104,6 +107,40 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages")).withColumn("n_chars", code_points(F.col("text")))
 
 
+def planted_period(doc_id, words: list[bytes]) -> list[bytes]:
+    """The words of every tenth document with a periodic tail, as the query asks for it; a document without id stays as it is."""
+    if doc_id is None or not words:
+        return words
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a:a + p] * (-(-(n - a) // p)))[:n - a]
+
+
+def _most_repeated(runs: Column) -> Column:
+    """The run with the greatest length / period; of equal ones the first by start, then period, as they are sorted."""
+    def longer(best: Column, r: Column) -> Column:
+        more = best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+        return F.when(more, r).otherwise(best)
+
+    return F.aggregate(runs, F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>"), longer)
+
+
+@_query("op11_periodic_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collapse_runs(table(spark, sf_dir, "documents"), rewrite=planted_period)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = found.withColumn("best", _most_repeated(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"), F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 @_query("op13_merkle_manifest")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
