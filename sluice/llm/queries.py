@@ -16,6 +16,7 @@ from sluice.llm.packing import pack_documents
 from sluice.llm.periodic_runs import collapse_runs
 from sluice.llm.pii import KINDS, find_pii, span_text
 from sluice.llm.quality_rules import vote_quality
+from sluice.llm.repeats import remove_repeats
 from sluice.llm.rule_ensemble import score_quality
 from sluice.llm.shards import balanced_shards, byte_size
 from sluice.llm.token_matrix import token_matrix
@@ -141,6 +142,14 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
 
 
+@_query("op12_repeat_groups")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lost = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", (F.col("n_kept") + lost).alias("n_bytes"), lost.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @_query("op13_merkle_manifest")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
