@@ -37,8 +37,10 @@ from pyspark.sql import functions as F
 from sluice.session import materialize
 
 GRAM = 8
-LIMIT = 4096  # pieces of a group that one task sorts
-CHUNK = 2_000_000  # bytes sorted together, if groups are smaller
+BASE = 4  # bytes of the first ranks
+PLACE_BITS = 21  # two ranks and a place are one number of 64 bits
+LIMIT = 2048  # pieces of a group that one task sorts
+CHUNK = 400_000  # bytes sorted together, if groups are smaller
 REMEMBERED = 200_000  # texts that a task knows again
 
 PIECE = "key binary, lo int, size int, anchor bigint, piece binary"
@@ -130,52 +132,80 @@ def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _STRING.types)], schema=_STRING)
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    order = np.argsort(keys)
-    ordered = keys[order]
-    out = np.empty(len(keys), np.int64)
-    out[order] = np.cumsum(np.r_[0, ordered[1:] != ordered[:-1]])
+def _numbered(keys: np.ndarray, bits: int, changed: np.ndarray | None = None) -> np.ndarray:
+    """Ranks by the upper bits of sorted keys, whose lower ``bits`` are places. Equal upper bits are one rank, but not where ``changed``."""
+    place = (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
+    upper = keys >> np.uint64(bits)
+    new = np.r_[False, upper[1:] != upper[:-1]]
+    if changed is not None:
+        new[1:] |= changed[place[1:]]
+    out = np.empty(len(keys), np.uint64)
+    out[place] = np.cumsum(new)
     return out
 
 
 class SuffixArray:
-    """Suffixes of several strings, those of at least ``length`` bytes in order, with the common prefix of neighbours."""
+    """Suffixes of several strings, those of at least ``length`` bytes in order, with the common prefix of neighbours.
+
+    Places are ranked by their first BASE bytes, then by twice as many, up to a power of two below ``length``. A rank, the rank behind it
+    and the place are one number of 64 bits, so that a round is one sort of numbers. Only suffixes that are long enough are put into their
+    full order.
+    """
 
     def __init__(self, strings: list[bytes], length: int) -> None:
         sizes = np.array([len(s) for s in strings], np.int64)
-        begin = np.cumsum(np.r_[0, sizes[:-1] + GRAM])
-        self.data = np.frombuffer(b"".join(s + b"\0" * GRAM for s in strings) + b"\0" * GRAM, np.uint8)
-        total = len(self.data) - GRAM
-        self.left_in = np.repeat(begin + sizes, sizes + GRAM) - np.arange(total)  # bytes to the end of the string
-        self.owner = np.repeat(np.arange(len(strings)), sizes + GRAM)
+        begin = np.cumsum(np.r_[0, sizes[:-1] + BASE])
+        self.data = np.frombuffer(b"".join(s + b"\0" * BASE for s in strings) + b"\0" * BASE, np.uint8)
+        total = len(self.data) - BASE
+        if total >= 1 << PLACE_BITS:
+            raise ValueError("too many bytes for one suffix array")
+        self.left_in = np.repeat(begin + sizes, sizes + BASE) - np.arange(total)  # bytes to the end of the string
+        self.owner = np.repeat(np.arange(len(strings)), sizes + BASE)
         self.begin = begin
-        grams = _grams(self.data[:total + GRAM - 1])
-        short = self.left_in < GRAM  # places in order by their bytes that compare equal to no other
-        rank = _ranks(_ranks(grams) * (int(short.sum()) + 1) + np.where(short, np.cumsum(short), 0))
-        self.levels = [(GRAM, rank)]
-        width = GRAM
-        while width <= int(sizes.max(initial=0)):
-            after = np.zeros(total, np.int64)
-            after[:total - width] = rank[width:] + 1
-            rank = _ranks(rank * (total + 2) + after)
+        grams = np.zeros(total, np.uint64)
+        for k in range(BASE):
+            grams = grams << np.uint64(8) | self.data[k:total + k]
+        short = self.left_in < BASE  # places in order by their bytes that compare equal to no other
+        place = np.arange(total, dtype=np.uint64)
+        keys = np.sort((grams << np.uint64(1) | short) << np.uint64(PLACE_BITS) | place)
+        rank = _numbered(keys, PLACE_BITS, short)
+        self.levels = [(BASE, rank)]
+        width = BASE
+        while 2 * width <= length:
+            rank = self._paired(rank, rank, width, place)
             width *= 2
             self.levels.append((width, rank))
         starts = np.flatnonzero(self.left_in >= length)
-        self.suffixes = starts[np.argsort(rank[starts])]
+        order = rank[starts]
+        for reach in range(width, int(sizes.max(initial=0)) + 1, width):  # the order of long suffixes, block by block
+            after = rank[np.minimum(starts + reach, total - 1)]
+            keys = np.sort(order << np.uint64(2 * PLACE_BITS) | after << np.uint64(PLACE_BITS) | np.arange(len(starts), dtype=np.uint64))
+            order = _numbered(keys, PLACE_BITS)
+        by_order = np.argsort(order, kind="stable")
+        self.suffixes = starts[by_order]
         self.common = self._common(self.suffixes[:-1], self.suffixes[1:], length)
 
+    @staticmethod
+    def _paired(rank: np.ndarray, after: np.ndarray, width: int, place: np.ndarray) -> np.ndarray:
+        keys = rank << np.uint64(2 * PLACE_BITS) | place
+        keys[:-width] |= after[width:] << np.uint64(PLACE_BITS)
+        keys.sort()
+        return _numbered(keys, PLACE_BITS)
+
     def _common(self, a: np.ndarray, b: np.ndarray, length: int) -> np.ndarray:
         """Common prefix of places; 0 instead of less than ``length``."""
         out = np.zeros(len(a), np.int64)
         pairs = np.arange(len(a))
-        for width, rank in self.levels:  # what differs early is left out early
-            if width <= length:
-                pairs = pairs[rank[a[pairs]] == rank[b[pairs]]]
+        for _, rank in self.levels[-1:]:  # what differs early is left out early
+            pairs = pairs[rank[a] == rank[b]]
         a, b, agreed = a[pairs], b[pairs], np.zeros(len(pairs), np.int64)
         last = len(self.owner) - 1
-        for width, rank in reversed(self.levels):
+        width, rank = self.levels[-1]
+        for _ in range(int(self.left_in.max(initial=0)) // width):
+            agreed += width * (rank[np.minimum(a + agreed, last)] == rank[np.minimum(b + agreed, last)])
+        for width, rank in reversed(self.levels[:-1]):
             agreed += width * (rank[np.minimum(a + agreed, last)] == rank[np.minimum(b + agreed, last)])
-        for _ in range(GRAM - 1):
+        for _ in range(BASE - 1):
             i, j = np.minimum(a + agreed, last), np.minimum(b + agreed, last)
             agreed += (self.left_in[i] > 0) & (self.left_in[j] > 0) & (self.data[i] == self.data[j])
         out[pairs] = np.where(agreed >= length, agreed, 0)
@@ -290,7 +320,7 @@ def _sorted_groups(length: int, chunk: int):
                     known.add(piece)
                     keys.append((anchor, piece))
                     contents.append(content)
-                    held += len(content)
+                    held += len(content) + BASE
         if keys and (made := flush(keys, contents)) is not None:
             yield made
 
@@ -320,15 +350,19 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _covered(texts: DataFrame, length: int, limit: int, chunk: int) -> tuple[DataFrame, DataFrame]:
     """The pieces whose anchor is in two different texts or places, and what repeats in them: both written tables."""
+    # A chunk and the largest group are numbered together.
+    limit = min(limit, ((1 << PLACE_BITS) - chunk) // (length + window_of(length) + BASE))
     long = texts.where(F.octet_length("text") >= length)
     cut = materialize(long.select("key", "text").mapInArrow(_cut(length), PIECE), "repeats-cut")
-    twice = cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor")
+    # Tables that are joined to one with hot keys are written before: only a join of plain exchanges is split at hot keys.
+    twice = materialize(cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"), "repeats-twice")
     pieces = materialize(cut.join(twice, "anchor").distinct(), "repeats-pieces")
     # One text and place stands for all equal pieces.
     place = F.struct("key", "lo", "size")
     strings = pieces.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("at"))
+    strings = materialize(strings, "repeats-strings")
     groups = strings.groupBy("anchor").agg(F.count(F.lit(1)).alias("different"), F.sum("times").alias("all"))
-    strings = materialize(strings.join(groups.where("all > 1").drop("all"), "anchor"), "repeats-strings")
+    strings = materialize(strings.join(materialize(groups.where("all > 1").drop("all"), "repeats-groups"), "anchor"), "repeats-strings")
     equal = strings.where("times > 1").select(
         "anchor", "piece", F.lit(0).alias("start"), F.col("at.size").alias("stop"), F.xxhash64("piece").alias("repeat"),
         F.lit(None).cast("bigint").alias("around"))
@@ -401,12 +435,12 @@ def remove_repeats(
     """
     texts = _texts(docs, id_col, text_col)
     pieces, covered = _covered(texts, length, limit, chunk)
-    spans = covered.groupBy("anchor", "piece").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = materialize(covered.groupBy("anchor", "piece").agg(F.collect_list(F.struct("start", "stop")).alias("spans")), "repeats-spans")
     parts = pieces.join(spans, ["anchor", "piece"]).select("key", "lo", "spans")
     size = F.octet_length("text")
     copies = texts.where(size >= length).groupBy("key", size.alias("size")).agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     whole = copies.select("key", F.lit(0).alias("lo"), F.array(F.struct(F.lit(0).alias("start"), F.col("size").alias("stop"))).alias("spans"))
-    found = parts.unionByName(whole).groupBy("key").agg(F.collect_list(F.struct("lo", "spans")).alias("covers"))
+    found = materialize(parts.unionByName(whole).groupBy("key").agg(F.collect_list(F.struct("lo", "spans")).alias("covers")), "repeats-texts")
     both = texts.join(found, "key", "left").select(F.col("id").alias(id_col), "text", "covers")
     id_type = both.schema[0].dataType
     return both.mapInArrow(_removed(id_type, id_col), f"`{id_col}` {id_type.simpleString()}, n_kept bigint, "
