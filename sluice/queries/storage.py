@@ -53,19 +53,24 @@ SQL["scan_jsonl"] = "SELECT doc_id, text, lang FROM documents"
 
 
 def scan_bad_rows(spark, sf_dir):
-    """Of ten lines one is cut off, one has text behind the record and one a second record; a blank line follows each line."""
+    """Of ten lines one is cut off, one has text behind the record and one a second record; a blank line follows each line.
+
+    Half of the texts hold the words for numbers that are not finite, and every record has such a number.
+    """
     path = scratch_path(spark, "scan-bad-rows")
-    whole = F.to_json(F.struct(*DOC_COLS))
+    words = F.when(F.floor(F.col("doc_id") / 10) % 2 == 0, F.concat(F.lit('NaN "Infinity" -INF \\'), "text")).otherwise(F.col("text")).alias("text")
+    number = F.when(F.col("doc_id") % 3 == 0, '"x":NaN').when(F.col("doc_id") % 3 == 1, '"x":-Infinity').otherwise('"x":1.5')
+    whole = F.concat(F.regexp_replace(F.to_json(F.struct("doc_id", words, "lang")), r"\}$", ","), number, F.lit("}"))
     kind = F.col("doc_id") % 10
     line = (F.when(kind == 0, F.expr("substring(l, 1, length(l) - 5)")).when(kind == 1, F.concat("l", F.lit(" trailing")))
             .when(kind == 2, F.concat("l", "l")).otherwise(F.col("l")))
     lines = docs(spark, sf_dir).select("doc_id", whole.alias("l")).select(F.concat(line, F.lit("\n")).alias("value"))
     write_any(lines, path, "text")
-    parsed = read_jsonl(spark, path, DOC, on_error="quarantine", glob="*.txt")
+    parsed = read_jsonl(spark, path, f"{DOC}, x double", on_error="quarantine", glob="*.txt")
     bad = F.col("_corrupt_record").isNotNull()
     number = F.regexp_extract("_corrupt_record", r'"doc_id":(\d+)', 1)
     quarantined = parsed.filter(bad).select(number.cast("bigint").alias("doc_id"), F.lit(True).alias("is_bad"))
-    good = read_jsonl(spark, path, DOC, on_error="drop", glob="*.txt").select("doc_id", F.lit(False).alias("is_bad"))
+    good = read_jsonl(spark, path, f"{DOC}, x double", on_error="drop", glob="*.txt").select("doc_id", F.lit(False).alias("is_bad"))
     return good.unionByName(quarantined)
 
 

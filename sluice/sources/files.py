@@ -31,16 +31,33 @@ def infer_schema(spark: SparkSession, path: str | list[str], glob: str = JSONL_G
     return T.StructType([f for f in found.fields if f.name != CORRUPT])
 
 
+#: Numbers that the decoder knows and the JSON functions do not.
+NON_FINITE = r"\b(?:NaN|Infinity|INF)\b"
+
+
+def _finite(line: Column) -> Column:
+    """A line with empty strings, and with 0 for every NaN and infinity outside of them.
+
+    Escaped backslashes and quotes go first, so that a string is what stands between two quotes; the replacement is a letter, which
+    keeps a line broken that has a backslash outside of a string.
+    """
+    plain = F.replace(F.replace(line, F.lit("\\\\"), F.lit("x")), F.lit('\\"'), F.lit("x"))
+    return F.regexp_replace(F.regexp_replace(plain, '"[^"]*+"', '""'), "[-+]?" + NON_FINITE, "0")
+
+
 def _one_record(line: Column) -> Column:
     """Whether a line is exactly one JSON value. The decoder stops after the first value and ignores what follows.
 
     Put into an array, the line must be its only element; put into an object, its only member. A closing bracket or brace
-    that ends one of the two early breaks the other. Both count without decoding. They know no NaN or infinity, so lines with
-    these words are left to the decoder.
+    that ends one of the two early breaks the other. Both count without decoding. They know no NaN or infinity, so on lines with these
+    words they look at the line without its strings and with numbers in place of the words.
     """
-    alone = F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1
-    member = F.size(F.json_object_keys(F.concat(F.lit('{"r":'), line, F.lit("}")))) == 1
-    return F.coalesce(alone & member, F.lit(False)) | line.rlike(r"\b(?:NaN|Infinity|INF)\b")
+    def alone(value: Column) -> Column:
+        element = F.json_array_length(F.concat(F.lit("["), value, F.lit("]"))) == 1
+        member = F.size(F.json_object_keys(F.concat(F.lit('{"r":'), value, F.lit("}")))) == 1
+        return F.coalesce(element & member, F.lit(False))
+
+    return F.when(line.rlike(NON_FINITE), alone(_finite(line))).otherwise(alone(line))
 
 
 def parse_lines(lines: DataFrame, schema: str | T.StructType, on_error: str, carried: list[str]) -> DataFrame:

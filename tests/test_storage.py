@@ -197,6 +197,20 @@ def test_lines_that_are_not_one_record(spark, write_lines):
         read_jsonl(spark, root, SCHEMA, on_error="fail").collect()
 
 
+def test_lines_with_numbers_that_are_not_finite(spark, write_lines):
+    """Their words inside texts change nothing; as values they belong to a record."""
+    bad = ['{"id": 2, "text": "Infinity pool"}{"id": 3}', '{"id": 1, "text": "NaN is a word"} trailing', '{"id": 4, "x": NaN}{"id": 5}', '{"id": 6, "x": -INF}}',
+           r'{"id": 7, "text": "a \\" NaN"}', r'{"id": 8, "x": NaN}\\', '{"id": 9, "text": "NaN', r'{"id": 9, "text": "\\\\" , "x": NaN} "b"']
+    good = ['{"id": 10, "x": NaN}', '{"id": 11, "x": -Infinity, "text": "{NaN}}"}', r'{"id": 12, "text": "a \" NaN \\", "x": +Infinity}', '{"id": 13, "x": +INF, "text": "NaN"}',
+            '{"id": 14, "text": "' + "Infinity and \\n \\\" " * 20_000 + '"}']
+    write_lines("finite/a.jsonl", bad + good)
+    root = write_lines.root + "/finite"
+    schema = "id bigint, x double, text string"
+    assert ids(read_jsonl(spark, root, schema)) == [10, 11, 12, 13, 14]
+    kept = read_jsonl(spark, root, schema, on_error="quarantine").filter("_corrupt_record is not null")
+    assert sorted(r[0] for r in kept.select("_corrupt_record").collect()) == sorted(bad)
+
+
 def test_csv_is_split(spark, tmp_path):
     path = str(tmp_path / "big.csv")
     spark.range(200_000).select("id", F.lit("some text").alias("t")).coalesce(1).write.csv(path)
