@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,11 +21,11 @@ def text_column(df: DataFrame, col: str | None = None) -> Column:
     return content_of(df, "content_list")
 
 
-def key_columns(df: DataFrame, order_by: str | list[str] | None) -> list[str]:
-    """What orders copies: the given columns, else the first id column there is, else all columns."""
+def key_columns(df: DataFrame, order_by: str | list[str] | None, col: str | None = None) -> list[str]:
+    """What orders copies: the given columns, else the first id column there is, else all columns but the text itself."""
     if order_by:
         return [order_by] if isinstance(order_by, str) else list(order_by)
-    return [c for c in ("doc_id", "track_id", "id") if c in df.columns][:1] or df.columns
+    return [c for c in ("doc_id", "track_id", "id") if c in df.columns][:1] or [c for c in df.columns if c != (col or "text")] or df.columns
 
 
 @operator("length_filter")
@@ -64,9 +64,9 @@ def _first_seen(digests: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def md5_dedup(df: DataFrame, col: str | None = None, order_by: str | list[str] | None = None) -> DataFrame:
     """One row per distinct ``md5(col)``; NULL counts as one text.
 
-    Batch: the survivor is the row with the smallest ``order_by``. A minimum is aggregated on the map side,
-    so a text that makes up a third of the corpus sends one row per input partition through the shuffle
-    instead of its whole group.
+    Batch: the survivor is the row with the smallest ``order_by``, null first. The smallest key per digest is aggregated on the map
+    side over digests and keys alone, so a text that makes up a third of the corpus sends one narrow row per input partition; rows then
+    meet the survivors by digest and key, which spreads the copies of a text over all tasks. Of rows that are equal in both, one stays.
 
     Streaming: the first row seen survives. Each input partition drops its own copies before the shuffle, so that a
     hot text is again one row per partition, and the state store drops the rest. Without an event time the state holds
@@ -76,7 +76,19 @@ def md5_dedup(df: DataFrame, col: str | None = None, order_by: str | list[str] |
     if df.isStreaming:
         tagged = df.withColumn("__md5", digest).withColumn("__first", _first_seen(F.col("__md5")))
         return tagged.filter("__first").dropDuplicates(["__md5"]).drop("__md5", "__first")
-    keys = key_columns(df, order_by)
-    whole_row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    first = F.min_by(whole_row, F.struct(*[F.col(f"`{k}`") for k in keys])).alias("__row")
-    return df.groupBy(digest.alias("__md5")).agg(first).select("__row.*")
+    keys = [F.col(f"`{k}`") for k in key_columns(df, order_by, col)]
+    tagged = df.select("*", digest.alias("__md5"), *[k.alias(f"__key{i}") for i, k in enumerate(keys)])
+    own = [f"__key{i}" for i in range(len(keys))]
+    if len(own) == 1:  # a number stays in the buffer of a hash aggregate
+        least = F.when(F.bool_or(F.col(own[0]).isNull()), None).otherwise(F.min(own[0])).alias("__first0")
+        first = tagged.groupBy("__md5").agg(least)
+    else:
+        whole = tagged.groupBy("__md5").agg(F.min(F.struct(*own)).alias("__first"))
+        first = whole.select("__md5", *[F.col(f"__first.{k}").alias(f"__first{i}") for i, k in enumerate(own)])
+    first = first.withColumnRenamed("__md5", "__digest")
+    same = F.col("__md5").eqNullSafe(F.col("__digest"))
+    for i, k in enumerate(own):
+        same &= F.col(k).eqNullSafe(F.col(f"__first{i}"))
+    alike = Window.partitionBy("__md5", *own).orderBy("__md5")
+    survivors = tagged.join(first, same, "left_semi").withColumn("__nth", F.row_number().over(alike))
+    return survivors.filter("__nth = 1").drop("__md5", "__nth", *own)

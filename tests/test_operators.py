@@ -112,7 +112,18 @@ def test_dedup_with_one_hot_text(spark):
     got = md5_dedup(hot)
     assert got.count() == 20_001 and got.filter("text = 'hot'").collect() == [(0, "hot")]
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and "Window" not in plan
+    # Narrow rows are aggregated by hash on the map side; no text is sorted before it is shuffled, nor kept in a buffer.
+    assert "partial_min(__key0" in plan and "SortAggregate" not in plan and "min_by" not in plan
+
+
+def test_dedup_keeps_one_of_rows_that_are_equal_in_text_and_key(spark):
+    data = [(None, "a", 1), (2, "a", 2), (None, "a", 3), (7, "b", 4), (7, "b", 4), (None, None, 5), (None, None, 5), (1, "", 6)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, n int").repartition(5)
+    got = [tuple(r) for r in md5_dedup(df).collect()]
+    assert len(got) == 4 and sorted(str(r[:2]) for r in got) == sorted(str(x) for x in [(None, "a"), (7, "b"), (None, None), (1, "")])
+    plain = spark.createDataFrame([("x", 2), ("x", 1), ("y", 3), ("y", 3)], "text string, n int")
+    assert rows(md5_dedup(plain)) == [("x", 1), ("y", 3)]
+    assert rows(md5_dedup(plain.select(F.col("text").alias("body"), "n"), "body", order_by=["n"])) == [("x", 1), ("y", 3)]
 
 
 # labels
