@@ -229,3 +229,18 @@ done AS (SELECT x.doc_id, x.leaf, sub.h AS subroot, top.root, coalesce(p, []) AS
 shown AS (SELECT doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(p, lambda s: s[2:]), ''), '')) AS proof_sha256,
   list_reduce(list_concat([changed], p), lambda a, s: sha256(CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root FROM done)
 SELECT *, folded_root = root AS verified FROM shown"""
+
+#: All strings of 400 bytes as hex digits, cut from blocks of 500 starts; what they cover is cut out.
+SQL["op12_repeat_groups"] = """WITH b AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+part AS (SELECT r, k, substr(h, 2 * k + 1, 1798) AS h FROM (SELECT r, h, unnest(range(0, len(h) // 2 - 399, 500)) AS k FROM b)),
+p AS (SELECT r, k, h, unnest(range(0, len(h) // 2 - 399)) AS p FROM part),
+w AS (SELECT r, k + p AS p, md5(substr(h, 2 * p + 1, 800)) AS d FROM p),
+hit AS (SELECT r, p FROM w WHERE d IN (SELECT d FROM w GROUP BY d HAVING count(*) > 1)),
+edge AS (SELECT r, p, CASE WHEN p - lag(p) OVER (PARTITION BY r ORDER BY p) <= 400 THEN 0 ELSE 1 END AS opens FROM hit),
+island AS (SELECT r, p, sum(opens) OVER (PARTITION BY r ORDER BY p) AS k FROM edge),
+span AS (SELECT r, min(p) AS a, max(p) + 400 AS z FROM island GROUP BY r, k),
+gap AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM span),
+cut AS (SELECT r, string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept, max(z) AS z, sum(z - a) AS lost, count(*) AS n
+  FROM gap JOIN b USING (r) GROUP BY r)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(lost, 0)::BIGINT AS n_removed, coalesce(n, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * z + 1), h))) AS kept_sha256 FROM b LEFT JOIN cut USING (r)"""
