@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import json
+import threading
+import uuid
 from functools import partial, reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.scalar import basename, metadata_path, normalize_path
+from sluice.functions.scalar import metadata_path, normalize_path
 from sluice.operators.progress import MANIFEST, manifest_from_output
 from sluice.operators.refs import valid_refs
 from sluice.plans.registry import apply_operators, get_operator
+from sluice.plans.runlog import RunLog, StreamProgress, counted, run_log, run_states, step_name
 from sluice.sinks.files import READ_BACK, write_any
 from sluice.sources.files import (
     CORRUPT, JSONL_GLOB, all_files, as_struct, existing_refs, infer_schema, list_files, path_exists, read_any, read_by_index, read_jsonl,
 )
-from sluice.streaming.steps import PacedDrain, drain_chain, run_stream_step, stream_any, stream_jsonl, stream_sink_files
+from sluice.streaming.steps import PacedDrain, Stopped, drain_chain, run_stream_step, stream_any, stream_jsonl, stream_sink_files
 
 TRIGGERS = ("job_finished", "file_success")
 ENGINES = {"batch": ("spark-cpu-batch", "local-cpu-batch", "batch"),
@@ -114,20 +118,6 @@ def _batch_inputs(spark: SparkSession, dataset: dict[str, Any]) -> DataFrame:
     return all_files(spark, dataset["input_path"], glob, dataset.get("recursive", False))
 
 
-def _stream_inputs(spark: SparkSession, checkpoint: str) -> DataFrame | None:
-    """``input_file`` of the files in the committed micro-batches of a file stream, as its checkpoint has them."""
-    if not (path_exists(spark, f"{checkpoint}/commits") and path_exists(spark, f"{checkpoint}/sources/0")):
-        return None
-    name = basename(F.col("_metadata.file_path")).alias("name")
-    offsets = spark.read.text(f"{checkpoint}/offsets").select(name, F.get_json_object("value", "$.logOffset").alias("offset"))
-    commits = list_files(spark, f"{checkpoint}/commits").select(basename(F.col("path")).alias("name"))
-    last = offsets.join(commits, "name", "left_semi").agg(F.max(F.col("offset").cast("bigint")).alias("last"))
-    entry = F.from_json("value", "path string, batchId bigint")
-    read = spark.read.text(f"{checkpoint}/sources/0").filter(F.col("value").startswith("{")).select(entry.alias("e"))
-    seen = read.join(F.broadcast(last), F.col("e.batchId") <= F.col("last"), "left_semi")
-    return seen.select(metadata_path(F.col("e.path")).alias("input_file")).distinct()
-
-
 def _stream_input(spark: SparkSession, dataset: dict[str, Any], files_per_batch: int | None) -> tuple[Any, T.StructType]:
     """A function that starts the input as a stream, and the schema of its rows. The same settings hold as for a batch."""
     path, fmt, recursive = dataset["input_path"], dataset.get("input_format", "jsonl"), dataset.get("recursive", False)
@@ -143,6 +133,191 @@ def _stream_input(spark: SparkSession, dataset: dict[str, Any], files_per_batch:
     return source, T.StructType([*schema.fields, *extra, T.StructField("input_file", T.StringType())])
 
 
+class Run:
+    """A run of all steps, in the caller's thread (:meth:`run`) or beside it (:meth:`start`, :meth:`wait`).
+
+    :meth:`stop` lets the micro-batches that are running be committed and ends the run as ``stopped``; a batch step ends first. Another
+    run of the same id goes on from the same checkpoints. The log of the run (:func:`sluice.plans.runlog.run_states`) and its manifest can
+    be read at any time, by anyone who reaches the folder.
+    """
+
+    def __init__(self, spark: SparkSession, config: dict[str, Any], run_id: str = "run") -> None:
+        self._spark, self._config, self._run_id = spark, config, run_id
+        self._steps = check_config(config)
+        self._out = config["dataset"].get("output_path")
+        if not self._out and "stream" in map(engine_of, self._steps):
+            raise ValueError("stream steps need dataset.output_path")
+        self._stopping = threading.Event()
+        self._thread: threading.Thread | None = None
+        self._rows: DataFrame | None = None
+        self._error: BaseException | None = None
+
+    def start(self) -> Run:
+        """Begin in a thread of its own."""
+        self._thread = threading.Thread(target=self._guarded, name=f"run {self._run_id}", daemon=True)
+        self._thread.start()
+        return self
+
+    def _guarded(self) -> None:
+        try:
+            self._rows = self.run()
+        except BaseException as error:  # raised again where the caller waits
+            self._error = error
+
+    def stop(self) -> None:
+        """Ask the run to end after what it is working on; :meth:`wait` returns when it has."""
+        self._stopping.set()
+
+    def wait(self, timeout: float | None = None) -> DataFrame | None:
+        """Rows of the last step, or None if the run was stopped; a failure is raised here."""
+        self._thread.join(timeout)
+        if self._thread.is_alive():
+            raise TimeoutError(f"run {self._run_id!r} is still running")
+        if self._error:
+            raise self._error
+        return self._rows
+
+    def states(self) -> DataFrame:
+        """State, micro-batches and rows of every step so far."""
+        return run_states(self._spark, self._out, self._run_id)
+
+    def run(self) -> DataFrame | None:
+        spark, dataset = self._spark, self._config["dataset"]
+        if not self._out:
+            rows = _read_input(spark, dataset)
+            for step in self._steps:
+                rows = apply_operators(rows, step["operators"])
+            return rows
+        log = RunLog(spark, self._out, self._run_id)
+        names = {f"{self._run_id}-{i + 1}-{uuid.uuid4().hex[:8]}": i for i in range(len(self._steps))}
+        listener = StreamProgress(log, names)
+        log.add("planned", steps=len(self._steps), format=dataset.get("output_format", "json"))
+        spark.streams.addListener(listener)
+        try:
+            rows = self._all(log, list(names))
+        except Stopped:
+            for i in log.started - log.ended:
+                log.add("stopped", i)
+            log.add("stopped")
+            return None
+        except BaseException as error:
+            for i in log.started - log.ended:  # a failed step has told so itself; those beside it were stopped
+                log.add("stopped", i)
+            log.add("failed", message=_message(error))
+            raise
+        finally:
+            spark.streams.removeListener(listener)
+        log.add("success")
+        return rows
+
+    def _all(self, log: RunLog, names: list[str]) -> DataFrame:
+        spark, steps, dataset, out, run_id = self._spark, self._steps, self._config["dataset"], self._out, self._run_id
+        engines = [engine_of(s) for s in steps]
+        fmt = dataset.get("output_format", "json")
+        paths = output_paths(out, run_id, len(steps))
+        consumed, checkpoints = inputs_path(out, run_id), f"{out.rstrip('/')}/{run_id}/_checkpoints"
+        rows: DataFrame | None = None  # batch plan not written yet
+        schema: T.StructType | None = None  # of the last written step
+        chain: list[tuple[int, Any]] = []  # stream steps that run side by side
+        planned: list[int] = []  # steps of that plan
+        schemas: dict[int, T.StructType] = {}
+
+        def load(i: int) -> DataFrame:
+            return _read_output(spark, paths[i], fmt, schema)
+
+        def ends_plan(i: int) -> bool:
+            return i == len(steps) - 1 or steps[i].get("engine_config", {}).get("materialize") or engines[i + 1] == "stream"
+
+        def complete(i: int) -> bool:
+            feeds_stream = i + 1 < len(steps) and engines[i + 1] == "stream"
+            return feeds_stream and path_exists(spark, f"{paths[i]}/_SUCCESS")
+
+        def begin(i: int, source: str, made: T.StructType | None = None) -> None:
+            where = {"path": paths[i], "format": fmt, "schema": made.json()} if made is not None else {}
+            log.add("started", i, source=source, **where)
+
+        def store(i: int, df: DataFrame) -> T.StructType:
+            conf, seen = steps[i].get("engine_config", {}), Observation()
+            skipped = complete(i)
+            begin(i, "batch", df.schema)
+            if not skipped:
+                counted_rows = df.observe(seen, F.count(F.lit(1)).alias("output_rows"))
+                write_any(counted_rows, paths[i], fmt, compression=conf.get("output_compression"), partition_by=conf.get("partition_by"))
+            for k in planned:
+                log.add("success", k, **({} if skipped or k != i else {"output_rows": seen.get["output_rows"]}))
+            planned.clear()
+            return df.schema
+
+        def drain() -> None:
+            places, starters = [i for i, _ in chain], [start for _, start in chain]
+            chain.clear()
+
+            def ended(k: int, query: Any, error: BaseException | None) -> None:
+                for progress in query.recentProgress if query is not None else []:
+                    log.batch(places[k], json.loads(progress.json) if hasattr(progress, "json") else progress)
+                log.add("success" if error is None else "failed", places[k], **({"message": _message(error)} if error else {}))
+
+            drain_chain(starters, stopping=self._stopping, ended=ended)
+
+        def checked_stop() -> None:
+            if self._stopping.is_set():
+                raise Stopped
+
+        for i, step in enumerate(steps):
+            conf = step.get("engine_config", {})
+            from_index = i == 0 and dataset.get("input_type", "data") == "index"
+            if i == 0 and (engines[0] == "stream" and not from_index or not complete(next(k for k in range(len(steps)) if ends_plan(k)))):
+                write_any(_batch_inputs(spark, dataset), consumed, "parquet")
+            if engines[i] == "batch" or from_index:
+                drain()
+                checked_stop()
+                planned.append(i)
+                try:
+                    if not ends_plan(i):
+                        begin(i, "batch")
+                    if rows is None:
+                        rows = _read_input(spark, dataset) if i == 0 else load(i - 1)
+                    rows = apply_operators(rows, step["operators"])
+                    if ends_plan(i):
+                        schema, rows = store(i, rows), None
+                        schemas[i] = schema
+                except Exception as error:
+                    for k in planned:
+                        log.add("failed", k, message=_message(error))
+                    raise
+                continue
+            if step.get("trigger_event", "job_finished") == "job_finished":
+                drain()
+                checked_stop()
+            files_per_batch = conf.get("maxFilesPerTrigger") or conf.get("maxOffsetsPerTrigger")
+            try:
+                if i == 0:
+                    source, sample = _stream_input(spark, dataset, files_per_batch)
+                else:
+                    source = partial(stream_sink_files, spark, paths[i - 1], schema, fmt, files_per_batch)
+                    sample = schema
+                schema = apply_operators(spark.createDataFrame([], sample), step["operators"]).schema
+            except Exception as error:
+                log.add("failed", i, message=_message(error))
+                raise
+
+            def start(i: int = i, source: Any = source, made: T.StructType = schema) -> Any:
+                begin(i, "stream", made)
+                return _start(source, steps[i], paths[i], f"{checkpoints}/step_{i + 1}", fmt, names[i])
+
+            chain.append((i, start))
+            schemas[i] = schema
+        drain()
+        inputs = spark.read.schema("input_file string").parquet(consumed) if path_exists(spark, consumed) else None
+        outputs = {i: _read_output(spark, paths[i], fmt, schemas[i]) for i in schemas}
+        _write_manifest(spark, inputs, outputs, len(steps), out, run_id, log.attempts())
+        return load(len(steps) - 1)
+
+
+def _message(error: BaseException) -> str:
+    return f"{type(error).__name__}: {error}"[:2000]
+
+
 def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run") -> DataFrame:
     """Run all steps and return the rows of the last one.
 
@@ -154,85 +329,18 @@ def run_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run")
     dropped from a stream, unless ``dataset.on_error`` says ``drop``, ``quarantine`` or ``fail``. Settings of the reader of other
     formats (``header``, ``multiLine`` or ``escape`` of CSV) stand in the dict ``dataset.options``.
 
-    Outputs, checkpoints and the manifest of a run lie below ``<output_path>/<run_id>``. A rerun with the same ``run_id`` resumes:
+    Outputs, checkpoints, the log and the manifest of a run lie below ``<output_path>/<run_id>``. A rerun with the same ``run_id`` resumes:
     stream steps go on from their checkpoints, and a batch step in front of a stream step, whose output is complete, is not run
-    again, since the stream has read its files. Use a new ``run_id`` for a new input of such a step. The run leaves a manifest that
-    :func:`run_manifest` reads: every step with every file that the run has consumed, and the output files where records carry
-    their ``input_file`` to the output. Without ``dataset.output_path`` the run must be batch only and stays lazy.
+    again, since the stream has read its files. Use a new ``run_id`` for a new input of such a step. While a run works, after it was
+    stopped or has failed, :func:`run_manifest` tells what each step has finished so far and what failed, and
+    :func:`sluice.plans.runlog.run_states` the state of each step. Without ``dataset.output_path`` the run must be batch only and stays lazy.
     """
-    steps, dataset = check_config(config), config["dataset"]
-    engines = [engine_of(s) for s in steps]
-    out = dataset.get("output_path")
-    fmt = dataset.get("output_format", "json")
-    if not out:
-        if "stream" in engines:
-            raise ValueError("stream steps need dataset.output_path")
-        rows = _read_input(spark, dataset)
-        for step in steps:
-            rows = apply_operators(rows, step["operators"])
-        return rows
-
-    paths = output_paths(out, run_id, len(steps))
-    consumed, checkpoints = f"{out.rstrip('/')}/{run_id}/_inputs", f"{out.rstrip('/')}/{run_id}/_checkpoints"
-    rows: DataFrame | None = None  # batch plan not written yet
-    schema: T.StructType | None = None  # of the last written step
-    chain: list = []  # stream steps that run side by side
-    written: list[int] = []  # steps with an output of their own
-    schemas: dict[int, T.StructType] = {}
-
-    def load(i: int) -> DataFrame:
-        return _read_output(spark, paths[i], fmt, schema)
+    return Run(spark, config, run_id).run()
 
-    def ends_plan(i: int) -> bool:
-        return i == len(steps) - 1 or steps[i].get("engine_config", {}).get("materialize") or engines[i + 1] == "stream"
 
-    def complete(i: int) -> bool:
-        feeds_stream = i + 1 < len(steps) and engines[i + 1] == "stream"
-        return feeds_stream and path_exists(spark, f"{paths[i]}/_SUCCESS")
-
-    def store(i: int, df: DataFrame) -> T.StructType:
-        conf = steps[i].get("engine_config", {})
-        if not complete(i):
-            write_any(df, paths[i], fmt, compression=conf.get("output_compression"), partition_by=conf.get("partition_by"))
-        written.append(i)
-        return df.schema
-
-    for i, step in enumerate(steps):
-        conf = step.get("engine_config", {})
-        from_index = i == 0 and dataset.get("input_type", "data") == "index"
-        if engines[i] == "batch" or from_index:
-            drain_chain(chain)
-            chain = []
-            if i == 0 and not complete(next(k for k in range(len(steps)) if ends_plan(k))):
-                write_any(_batch_inputs(spark, dataset), consumed, "parquet")
-            if rows is None:
-                rows = _read_input(spark, dataset) if i == 0 else load(i - 1)
-            rows = apply_operators(rows, step["operators"])
-            if ends_plan(i):
-                schema, rows = store(i, rows), None
-                schemas[i] = schema
-            continue
-        if step.get("trigger_event", "job_finished") == "job_finished":
-            drain_chain(chain)
-            chain = []
-        files_per_batch = conf.get("maxFilesPerTrigger") or conf.get("maxOffsetsPerTrigger")
-        if i == 0:
-            source, sample = _stream_input(spark, dataset, files_per_batch)
-        else:
-            source = partial(stream_sink_files, spark, paths[i - 1], schema, fmt, files_per_batch)
-            sample = schema
-        chain.append(partial(_start, source, step, paths[i], f"{checkpoints}/step_{i + 1}", fmt))
-        schema = apply_operators(spark.createDataFrame([], sample), step["operators"]).schema
-        schemas[i] = schema
-        written.append(i)
-    drain_chain(chain)
-    if engines[0] == "stream" and dataset.get("input_type", "data") == "data":
-        inputs = _stream_inputs(spark, f"{checkpoints}/step_1")
-    else:  # a run of an earlier version has not recorded them
-        inputs = spark.read.schema("input_file string").parquet(consumed) if path_exists(spark, consumed) else None
-    outputs = {i: _read_output(spark, paths[i], fmt, schemas[i]) for i in written}
-    _write_manifest(spark, inputs, outputs, len(steps), out, run_id)
-    return load(len(steps) - 1)
+def start_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run") -> Run:
+    """Begin a run beside the caller; the handle can be asked for its states, stopped and waited for."""
+    return Run(spark, config, run_id).start()
 
 
 def _read_output(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
@@ -241,31 +349,82 @@ def _read_output(spark: SparkSession, path: str, fmt: str, schema: T.StructType)
     return reader.options(**READ_BACK.get(fmt, {})).load(path)
 
 
-def _start(source, step: dict[str, Any], path: str, checkpoint: str, fmt: str):
+def _start(source, step: dict[str, Any], path: str, checkpoint: str, fmt: str, name: str):
     conf = step.get("engine_config", {})
     interval = conf.get("trigger_interval")
     query = run_stream_step(source(), step["operators"], path, checkpoint, fmt, {"processingTime": interval} if interval else None,
-                            conf.get("output_compression"), conf.get("partition_by"))
+                            conf.get("output_compression"), conf.get("partition_by"), name, counted)
     return PacedDrain(query) if interval else query
 
 
-def _write_manifest(
-    spark: SparkSession, inputs: DataFrame | None, outputs: dict[int, DataFrame], n_steps: int, out: str, run_id: str
-) -> None:
+def _made(outputs: dict[int, DataFrame], run_id: str, spark: SparkSession, attempts: dict[int, int]) -> DataFrame:
+    rows = [manifest_from_output(df, run_id, step_name(run_id, i), attempt=attempts.get(i, 0)) for i, df in outputs.items() if "input_file" in df.columns]
+    return reduce(DataFrame.unionByName, rows, spark.createDataFrame([], MANIFEST))
+
+
+def _step_rows(spark: SparkSession, run_id: str, steps: dict[int, tuple[str, int]]) -> DataFrame:
+    """A row per step: its state and attempt."""
+    rows = [(run_id, step_name(run_id, i), state, attempt) for i, (state, attempt) in steps.items()]
+    return spark.createDataFrame(rows, "run_id string, step_id string, state string, attempt int")
+
+
+def _closed(inputs: DataFrame, made: DataFrame, steps: DataFrame) -> DataFrame:
+    """``made`` and a row for every other input of the given steps, with the state of the step and no output file."""
+    ended = inputs.crossJoin(F.broadcast(steps.select("run_id", "step_id", F.col("state").alias("__state"), F.col("attempt").alias("__attempt"))))
+    both = made.join(ended, ["run_id", "step_id", "input_file"], "full")
+    return both.select("run_id", "step_id", "input_file", "output_file", F.coalesce("state", "__state").alias("state"),
+                       F.coalesce("attempt", "__attempt").alias("attempt"))
+
+
+def _write_manifest(spark: SparkSession, inputs: DataFrame | None, outputs: dict[int, DataFrame], n_steps: int, out: str, run_id: str,
+                    attempts: dict[int, int]) -> None:
     """One row per step, input file and output file, where the records still name their input file.
 
     A step that has no row of an input, because it holds none, all were dropped or the step is merged with the next one, has
-    finished it without an output file.
+    finished it without an output file. Files that came after the listing of the inputs count by what is left of them.
     """
-    rows = [manifest_from_output(df, run_id, f"{run_id}_step_{i + 1}") for i, df in outputs.items() if "input_file" in df.columns]
-    made = reduce(DataFrame.unionByName, rows, spark.createDataFrame([], MANIFEST))
+    made = _made(outputs, run_id, spark, attempts)
     if inputs is not None:
-        step = F.concat(F.lit(f"{run_id}_step_"), F.col("id")).alias("step_id")
-        ended = inputs.crossJoin(F.broadcast(spark.range(1, n_steps + 1).select(F.lit(run_id).alias("run_id"), step)))
-        made = made.join(ended, ["run_id", "step_id", "input_file"], "full").fillna({"state": "success", "attempt": 0})
+        first = made.filter(F.col("step_id") == step_name(run_id, 0)).select("input_file").filter("input_file is not null")
+        steps = _step_rows(spark, run_id, {i: ("success", attempts.get(i, 0)) for i in range(n_steps)})
+        made = _closed(inputs.union(first).distinct(), made, steps)
     write_any(made, manifest_path(out, run_id), "parquet")
 
 
+def inputs_path(output_path: str, run_id: str) -> str:
+    return f"{output_path.rstrip('/')}/{run_id}/_inputs"
+
+
+def run_inputs(spark: SparkSession, output_path: str, run_id: str = "run") -> DataFrame:
+    """``run_id, step_id, input_file`` of what a run has to do, as the status tables read it."""
+    steps = run_states(spark, output_path, run_id).select("run_id", "step_id")
+    return spark.read.schema("input_file string").parquet(inputs_path(output_path, run_id)).crossJoin(F.broadcast(steps)).select("run_id", "step_id", "input_file")
+
+
 def run_manifest(spark: SparkSession, output_path: str, run_id: str = "run") -> DataFrame:
-    """What a run has produced, as the progress and status tables read it."""
-    return spark.read.schema(MANIFEST).parquet(manifest_path(output_path, run_id))
+    """What a run has produced, as the progress and status tables read it; also of a run that works, was stopped or has failed.
+
+    Then the committed files of each step tell what is finished, all inputs of a step that ended are, and the others of a failed step
+    have failed.
+    """
+    events = run_log(spark, output_path, run_id).filter("event <> 'batch'").orderBy("at").collect()  # a few per step and attempt
+    whole = [e["event"] for e in events if e["step_id"] is None]
+    if not whole or whole[-1] == "success":
+        return spark.read.schema(MANIFEST).parquet(manifest_path(output_path, run_id))
+    last = {e["step_id"]: e for e in events if e["step_id"]}
+    begun = {e["step_id"]: e for e in events if e["event"] == "started"}
+    outputs, states, attempts = {}, {}, {}
+    for step_id, event in last.items():
+        i = int(step_id.rsplit("_", 1)[1]) - 1
+        attempts[i] = event["attempt"]
+        if event["event"] in ("success", "failed"):
+            states[i] = (event["event"], event["attempt"])
+        start = begun.get(step_id)
+        if start and start["path"] and (event["event"] == "success" or start["source"] == "stream") and path_exists(spark, start["path"]):
+            schema = T.StructType.fromJson(json.loads(start["schema"]))
+            outputs[i] = _read_output(spark, start["path"], start["format"], schema)
+    made = _made(outputs, run_id, spark, attempts)
+    consumed = inputs_path(output_path, run_id)
+    if states and path_exists(spark, consumed):
+        made = _closed(spark.read.schema("input_file string").parquet(consumed), made, _step_rows(spark, run_id, states))
+    return made

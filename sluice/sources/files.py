@@ -7,6 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.classic.column import Column as ClassicColumn
 from pyspark.sql.window import Window
 
 from sluice.functions.scalar import metadata_path, normalize_path
@@ -176,8 +177,10 @@ def list_files(spark: SparkSession, path: str, glob: str = "*", recursive: bool
 def all_files(spark: SparkSession, path: str | list[str], glob: str = "*", recursive: bool = False) -> DataFrame:
     """``input_file`` of each file, with the empty ones that scans and :func:`list_files` pass over."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    found = reader.option("recursiveFileLookup", str(recursive).lower()).load(path).inputFiles()
-    rows = spark.createDataFrame([(p,) for p in found], "path string")
+    found = reader.option("recursiveFileLookup", str(recursive).lower()).load(path)
+    # The names stay in the JVM, where the reader's listing has them: an array that is taken apart by a task.
+    names = ClassicColumn(spark._jvm.org.apache.spark.sql.functions.lit(found._jdf.inputFiles()))
+    rows = spark.range(1, numPartitions=1).select(F.explode(names).alias("path"))
     return rows.select(metadata_path(F.col("path")).alias("input_file")).distinct()
 
 
@@ -207,7 +210,7 @@ def _escaped(path: str) -> str:
     return "".join(f"\\{c}" if c in "*?[]{}\\," else c for c in path)
 
 
-def _place(spark: SparkSession, path: str) -> tuple:
+def file_place(spark: SparkSession, path: str) -> tuple:
     """The file system of a path and the path in it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
@@ -215,13 +218,13 @@ def _place(spark: SparkSession, path: str) -> tuple:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists in the file system of its scheme."""
-    system, place = _place(spark, path)
+    system, place = file_place(spark, path)
     return system.exists(place)
 
 
 def _whole_path(spark: SparkSession, path: str) -> tuple[str, str]:
     """A folder in the spelling of listings, and what stands before its first slash there."""
-    system, place = _place(spark, path)
+    system, place = file_place(spark, path)
     whole = system.makeQualified(place)
     spelled = re.sub(r"^s3n?://", "s3a://", re.sub(r"^file:/+", "file:/", whole.toString()))
     return spelled.rstrip("/") + "/", spelled.removesuffix(whole.toUri().getPath())

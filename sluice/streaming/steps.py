@@ -80,6 +80,7 @@ def write_stream(
     trigger: dict[str, Any] | None = None,
     compression: str | None = None,
     partition_by: list[str] | None = None,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Start an exactly-once file sink. The default trigger drains what is there and stops."""
     writer = df.writeStream.format(fmt).option("checkpointLocation", checkpoint).option("path", path)
@@ -88,6 +89,8 @@ def write_stream(
         writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if name:
+        writer = writer.queryName(name)
     return writer.trigger(**(trigger or DRAIN)).start()
 
 
@@ -100,9 +103,11 @@ def run_stream_step(
     trigger: dict[str, Any] | None = None,
     compression: str | None = None,
     partition_by: list[str] | None = None,
+    name: str | None = None,
+    then: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> StreamingQuery:
-    """Operators on a stream into a file sink. Rerunning with the same checkpoint resumes."""
-    return write_stream(apply_operators(source, operators), path, checkpoint, fmt, trigger, compression, partition_by)
+    """Operators on a stream, and ``then`` on what they give, into a file sink. Rerunning with the same checkpoint resumes."""
+    return write_stream(then(apply_operators(source, operators)), path, checkpoint, fmt, trigger, compression, partition_by, name)
 
 
 def run_refs_step(
@@ -173,6 +178,10 @@ class PacedDrain:
     def lastProgress(self) -> Any:
         return self._query.lastProgress
 
+    @property
+    def recentProgress(self) -> Any:
+        return self._query.recentProgress
+
     def stop(self) -> None:
         self._query.stop()
         self._thread.join()
@@ -183,6 +192,10 @@ class PacedDrain:
             raise self._error
 
 
+class Stopped(Exception):
+    """A chain of steps was asked to stop, and has."""
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for a draining query; its failure is raised here."""
     query.awaitTermination()
@@ -193,30 +206,58 @@ def has_output(query: StreamingQuery) -> bool:
     return query.lastProgress is not None and query.lastProgress["batchId"] >= 0
 
 
-def drain_chain(starters: list[Callable[[], StreamingQuery]], poll_seconds: float = 0.2) -> None:
+def stop_after_batch(query: StreamingQuery, poll_seconds: float = 0.05) -> None:
+    """Let the micro-batch that is running be committed, then stop. What had begun after it is undone and comes again with a resume."""
+    before = query.lastProgress and query.lastProgress["batchId"]
+    while query.isActive and (query.lastProgress and query.lastProgress["batchId"]) == before:
+        time.sleep(poll_seconds)
+    if query.isActive:
+        query.stop()
+
+
+def drain_chain(
+    starters: list[Callable[[], StreamingQuery]],
+    poll_seconds: float = 0.2,
+    stopping: threading.Event | None = None,
+    ended: Callable[[int, StreamingQuery | None, BaseException | None], None] | None = None,
+) -> None:
     """Drain steps that run side by side, each from the first finished file of the step before it.
 
     A starter begins its step as a draining query on the checkpoint of that step. It is called again until one
     whole run of the step began after its upstream step was done, so no file is missed. The first failure stops
-    the other steps and is raised.
+    the other steps and is raised. Once ``stopping`` is set, every step stops after its micro-batch and :class:`Stopped` is raised.
+    ``ended`` is told of each run of a step that ends: its place in the chain, the query if the step is not done yet or was just
+    finished, and its failure.
     """
     n = len(starters)
     queries: list[StreamingQuery | None] = [None] * n
     final, done, produced = [False] * n, [False] * n, [False] * n
+    tell = ended or (lambda i, query, error: None)
     try:
         while not all(done):
+            if stopping is not None and stopping.is_set():
+                for query in queries:
+                    if query is not None and query.isActive:
+                        stop_after_batch(query)
+                raise Stopped
             for i, start in enumerate(starters):
                 query, upstream_done = queries[i], i == 0 or done[i - 1]
                 if done[i] or (query is not None and query.isActive):
                     produced[i] = produced[i] or (query is not None and has_output(query))
                     continue
-                if query is not None:
-                    finish(query)
-                    produced[i] = produced[i] or has_output(query)
-                    done[i] = final[i]
-                if not done[i] and (upstream_done or produced[i - 1]):
-                    final[i] = upstream_done
-                    queries[i] = start()
+                try:
+                    if query is not None:
+                        finish(query)
+                        produced[i] = produced[i] or has_output(query)
+                        done[i] = final[i]
+                    if not done[i] and (upstream_done or produced[i - 1]):
+                        final[i] = upstream_done
+                        queries[i] = start()
+                except Exception as error:
+                    tell(i, query, error)
+                    raise
+                if done[i]:
+                    tell(i, query, None)
             time.sleep(poll_seconds)
     finally:
         for query in queries:
