@@ -15,7 +15,8 @@ own and those of the groups inside it. Pieces end ``length`` bytes behind their
 groups.
 
 **Bounds.** A group of more than LIMIT different pieces (a common passage between ever different neighbours) is not sorted in one task:
-its strings are compared by 128-bit hashes in a shuffle of their own. Copies of whole texts take part once. Nothing is dropped, capped or
+its pieces are cut into parts that have nearly all bytes in common and are grouped anew, and what is still too large then is compared
+string by string, by 128-bit hashes. Copies of whole texts take part once. Nothing is dropped, capped or
 broadcast; the driver sees no row. A task holds CHUNK bytes of pieces or one group, or one text.
 
 Equality of pieces and of texts is that of their 128-bit hashes. Results for odd input: null texts are empty; a text shorter than
@@ -327,6 +328,36 @@ def _sorted_groups(length: int, chunk: int):
     return run
 
 
+PART = 32  # starts of a part
+PART_ROWS = "of_anchor bigint, of_piece binary, shift int, anchor bigint, piece binary, content binary"
+_PART = pa.schema([("of_anchor", pa.int64()), ("of_piece", pa.binary()), ("shift", pa.int32()), ("anchor", pa.int64()), ("piece", pa.binary()),
+                   ("content", pa.binary())])
+
+
+def parts_of(content: bytes, length: int, width: int = PART) -> list[tuple[int, int, bytes]]:
+    """(first start, last start, common bytes) of the parts of a piece: starts by their distance to the anchor, ``width`` at a time."""
+    ((_, last, anchor),) = pieces_of(content, length)
+    out = []
+    for j in range((anchor - last) // width, anchor // width + 1):
+        first, final = max(0, anchor - width * (j + 1) + 1), min(last, anchor - width * j)
+        out.append((first, final, content[anchor - width * j:anchor - width * (j + 1) + 1 + length]))
+    return out
+
+
+def _cut_parts(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for anchor, piece, content in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                for first, final, common in parts_of(content, length, min(PART, length // 2)):
+                    part = content[first:final + length]
+                    rows.append((anchor, piece, first, _signed(xxhash.xxh3_64_intdigest(common)), xxhash.xxh3_128_digest(part), part))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _PART.types)], schema=_PART)
+
+    return run
+
+
 _WINDOW = pa.schema([("string", pa.binary()), ("anchor", pa.int64()), ("piece", pa.binary()), ("start", pa.int32())])
 
 
@@ -356,7 +387,8 @@ def _covered(texts: DataFrame, length: int, limit: int, chunk: int) -> tuple[Dat
     cut = materialize(long.select("key", "text").mapInArrow(_cut(length), PIECE), "repeats-cut")
     # Tables that are joined to one with hot keys are written before: only a join of plain exchanges is split at hot keys.
     twice = materialize(cut.groupBy("anchor").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("anchor"), "repeats-twice")
-    pieces = materialize(cut.join(twice, "anchor").distinct(), "repeats-pieces")
+    # Dealt out anew before copies go, or the join would have to keep an anchor's rows together.
+    pieces = materialize(cut.join(twice, "anchor").select(*cut.columns).repartition("key", "lo").distinct(), "repeats-pieces")
     # One text and place stands for all equal pieces.
     place = F.struct("key", "lo", "size")
     strings = pieces.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("times"), F.min(place).alias("at"))
@@ -372,24 +404,49 @@ def _covered(texts: DataFrame, length: int, limit: int, chunk: int) -> tuple[Dat
     wanted = wanted.join(one_each, "key").withColumnRenamed("key", "of")
     named = long.join(wanted, (F.col("key") == F.col("of")) & F.col("id").eqNullSafe(F.col("one")))
     contents = named.select("text", "wanted").mapInArrow(_contents, "anchor bigint, piece binary, hot boolean, content binary")
-    is_hot = not strings.where(F.col("different") > limit).isEmpty()
-    if is_hot:  # two readers, so it is written
-        contents = materialize(contents, "repeats-contents")
-    ordered = contents.where("not hot").select("anchor", "piece", "content").repartition("anchor").sortWithinPartitions("anchor")
-    covers = [equal, ordered.mapInArrow(_sorted_groups(length, chunk), COVER)]
-    if is_hot:
-        windows = contents.where("hot").select("anchor", "piece", "content").mapInArrow(_windows(length), "string binary, anchor bigint, piece binary, start int")
-        windows = materialize(windows, "repeats-windows")
-        again = windows.groupBy("string").agg(F.countDistinct("piece").alias("times")).where("times > 1").select("string")
-        covers.append(windows.join(again, "string").select(
-            "anchor", "piece", "start", (F.col("start") + length).alias("stop"), F.xxhash64("string").alias("repeat"),
-            F.lit(None).cast("bigint").alias("around")))
-    covered = covers[0]
-    for more in covers[1:]:
-        covered = covered.unionByName(more)
+    if strings.where(F.col("different") > limit).isEmpty():
+        return pieces, materialize(equal.unionByName(_in_order(contents, length, chunk)), "repeats-covered")
+    contents = materialize(contents, "repeats-contents")  # two readers
+    covered = equal.unionByName(_in_order(contents.where("not hot"), length, chunk)).unionByName(
+        _parted(contents.where("hot").drop("hot"), length, limit, chunk))
     return pieces, materialize(covered, "repeats-covered")
 
 
+def _in_order(contents: DataFrame, length: int, chunk: int) -> DataFrame:
+    ordered = contents.select("anchor", "piece", "content").repartition("anchor").sortWithinPartitions("anchor")
+    return ordered.mapInArrow(_sorted_groups(length, chunk), COVER)
+
+
+def _parted(contents: DataFrame, length: int, limit: int, chunk: int) -> DataFrame:
+    """Covers of pieces whose groups are too large for a task: each is cut into parts of PART starts.
+
+    The strings of a part have all but PART - 1 bytes in common, so groups of equal common bytes are far smaller than those of an anchor.
+    Those that are still too large (many strings that differ in a few bytes only) are compared by the hashes of their strings.
+    """
+    parts = materialize(contents.mapInArrow(_cut_parts(length), PART_ROWS).distinct(), "repeats-parts")
+    strings = parts.groupBy("anchor", "piece").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("of_anchor", "of_piece")).alias("of"))
+    strings = materialize(strings, "repeats-part-strings")
+    groups = strings.groupBy("anchor").agg(F.count(F.lit(1)).alias("different"), F.sum("times").alias("all")).where("all > 1")
+    strings = strings.join(materialize(groups.drop("all"), "repeats-part-groups"), "anchor")
+    named = parts.join(strings, ["anchor", "piece"]).where((F.col("of_anchor") == F.col("of.of_anchor")) & (F.col("of_piece") == F.col("of.of_piece")))
+    # The same part can stand twice in one piece's row only under another place, so one row is left of each string.
+    named = materialize(named.select("anchor", "piece", "times", "different", "content").dropDuplicates(["anchor", "piece"]), "repeats-part-contents")
+    equal = named.where("times > 1").select(
+        "anchor", "piece", F.lit(0).alias("start"), F.octet_length("content").alias("stop"), F.xxhash64("piece").alias("repeat"),
+        F.lit(None).cast("bigint").alias("around"))
+    several = named.where("different > 1").withColumn("hot", F.col("different") > limit)
+    windows = materialize(several.where("hot").select("anchor", "piece", "content").mapInArrow(
+        _windows(length), "string binary, anchor bigint, piece binary, start int"), "repeats-windows")
+    again = materialize(windows.groupBy("string").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("string"), "repeats-again")
+    by_hash = windows.join(again, "string").select(
+        "anchor", "piece", "start", (F.col("start") + length).alias("stop"), F.xxhash64("string").alias("repeat"), F.lit(None).cast("bigint").alias("around"))
+    covers = materialize(equal.unionByName(_in_order(several.where("not hot"), length, chunk)).unionByName(by_hash), "repeats-part-covers")
+    places = parts.select("anchor", "piece", "of_anchor", "of_piece", "shift")
+    return places.join(covers, ["anchor", "piece"]).select(
+        F.col("of_anchor").alias("anchor"), F.col("of_piece").alias("piece"), (F.col("shift") + F.col("start")).alias("start"),
+        (F.col("shift") + F.col("stop")).alias("stop"), "repeat", "around")
+
+
 def maximal_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, limit: int = LIMIT, chunk: int = CHUNK
 ) -> DataFrame:
