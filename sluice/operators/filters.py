@@ -43,6 +43,13 @@ def space_ratio(df: DataFrame, col: str | None = None, max_ratio: float = 0.1) -
     return df.filter(safe_div(blanks, n) <= max_ratio)
 
 
+@operator("require")
+def require(df: DataFrame, condition: str, message: str = "a record does not meet the condition") -> DataFrame:
+    """All records must meet a SQL condition, or the step fails; null does not meet it."""
+    met = F.when(F.expr(condition), True).otherwise(F.raise_error(F.concat(F.lit(f"{message}: "), F.lit(condition))).cast("boolean"))
+    return df.filter(met)
+
+
 REMEMBERED = 1_000_000
 
 

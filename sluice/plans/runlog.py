@@ -1,7 +1,7 @@
 """The log of a run: what its steps do, written to the run's folder while they do it.
 
-Every event is a file of one line, and micro-batches are lines of a file per hundred of them, so a long stream leaves few files. The
-log needs no service: whoever can read the folder sees the state of a run, also of one that runs elsewhere or whose driver is gone.
+Every event is a file of one line. A hundred micro-batches of a step become one file, and their own files go another hundred later, when no
+reader's listing can name them any more; so a long stream leaves few files. The log needs no service: whoever can read the folder sees the state of a run, also of one that runs elsewhere or whose driver is gone.
 """
 
 from __future__ import annotations
@@ -45,8 +45,10 @@ class RunLog:
     def __init__(self, spark: SparkSession, output_path: str, run_id: str) -> None:
         self._spark, self._run_id, self._path = spark, run_id, log_path(output_path, run_id)
         self._lock = threading.RLock()
-        self._batches: dict[int, dict[int, dict]] = {}  # by step: batch id to event, of the file that is being filled
-        self._written: dict[int, str] = {}
+        self._batches: dict[int, list[dict]] = {}  # by step: events that are not in a common file yet
+        self._single: dict[int, list[str]] = {}  # files of these events
+        self._spent: dict[int, list[str]] = {}  # files of the events before
+        self._last: dict[int, int] = {}  # batch id that came last
         self._session = uuid.uuid4().hex[:12]
         known = [r.asDict() for r in run_log(spark, output_path, run_id).filter("event = 'failed'").collect()]
         self._failures = {k: sum(r["step_id"] == k for r in known) for k in {r["step_id"] for r in known}}
@@ -88,25 +90,28 @@ class RunLog:
 
     def batch(self, i: int, progress: Any) -> None:
         """A micro-batch that is committed. The listener and the end of a step may both tell of it; it counts once."""
-        if progress["numInputRows"] == 0:
+        if not progress["numInputRows"]:
             return
-        metrics = (progress["observedMetrics"] or {}).get(METRICS)
+        metrics = (progress.get("observedMetrics") or {}).get(METRICS)
+        batch_id = progress["batchId"]
         with self._lock:
-            held = self._batches.setdefault(i, {})
-            batch_id = progress["batchId"]
-            if batch_id in held:
+            if batch_id <= self._last.get(i, -1):
                 return
-            if held and batch_id // PER_FILE != max(held) // PER_FILE:
-                held.clear()
-                self._written.pop(i, None)
-            held[batch_id] = {
+            self._last[i] = batch_id
+            event = {
                 "run_id": self._run_id, "step_id": step_name(self._run_id, i), "attempt": self.attempt(i), "event": "batch", "at": time.time_ns(),
                 "batch_id": batch_id, "input_rows": progress["numInputRows"], "output_rows": metrics["output_rows"] if metrics else None}
-            old = self._written.get(i)
-            self._written[i] = self._write(f"batches-{i + 1}-{self._session}-{min(held):09d}-{batch_id:09d}.json", list(held.values()))
-            if old and old != self._written[i]:
-                system, place = file_place(self._spark, f"{self._path}/{old}")
-                system.delete(place, False)
+            held, files = self._batches.setdefault(i, []), self._single.setdefault(i, [])
+            held.append(event)
+            files.append(self._write(f"batch-{i + 1}-{self._session}-{batch_id:09d}.json", [event]))
+            if len(held) == PER_FILE:
+                self._write(f"batches-{i + 1}-{self._session}-{batch_id:09d}.json", held)
+                for old in self._spent.get(i, []):
+                    system, place = file_place(self._spark, f"{self._path}/{old}")
+                    system.delete(place, False)
+                self._spent[i] = list(files)
+                held.clear()
+                files.clear()
 
 
 class StreamProgress(StreamingQueryListener):

@@ -255,7 +255,8 @@ class Run:
             def ended(k: int, query: Any, error: BaseException | None) -> None:
                 for progress in query.recentProgress if query is not None else []:
                     log.batch(places[k], json.loads(progress.json) if hasattr(progress, "json") else progress)
-                log.add("success" if error is None else "failed", places[k], **({"message": _message(error)} if error else {}))
+                event = "success" if error is None else "stopped" if isinstance(error, Stopped) else "failed"
+                log.add(event, places[k], **({"message": _message(error)} if event == "failed" else {}))
 
             drain_chain(starters, stopping=self._stopping, ended=ended)
 

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from sluice.functions.scalar import normalize_path
 from sluice.operators.filters import md5_dedup
 from sluice.operators.labels import combine_label
-from sluice.operators.progress import run_status
+from sluice.operators.progress import run_status, step_status
 from sluice.operators.refs import valid_refs
-from sluice.plans.registry import apply_operators
-from sluice.plans.runner import run_manifest, run_steps
+from sluice.plans.registry import apply_operators, operator
+from sluice.plans.runner import run_inputs, run_manifest, run_steps, start_steps
 from sluice.queries.common import CONTENT_SQL, as_blocks, r6, table
 from sluice.queries.features import clean_prob_sql
 from sluice.session import scratch_path, spread
 from sluice.sinks.files import READ_BACK, write_any, write_jsonl
-from sluice.sources.files import list_files, read_any, read_by_index, read_jsonl, read_objects
+from sluice.sources.files import list_files, path_exists, read_any, read_by_index, read_jsonl, read_objects
 from sluice.streaming.steps import finish, run_refs_step, run_stream_step, stream_jsonl, stream_refs, write_stream
 
 QUERIES, SQL = {}, {}
@@ -463,6 +463,82 @@ QUERIES["run_manifest_status"] = run_manifest_status
 SQL["run_manifest_status"] = "SELECT 'run' AS run_id, 2::BIGINT AS steps, true AS all_finished, 'success' AS state FROM documents LIMIT 1"
 
 
+def _status_rows(spark, output_path):
+    """State of the run and of each of its steps, from manifest and inputs."""
+    manifest, inputs = run_manifest(spark, output_path), run_inputs(spark, output_path)
+    return run_status(manifest, inputs).select(F.col("run_id").alias("of"), "state").unionByName(
+        step_status(manifest, inputs).select(F.col("step_id").alias("of"), "state"))
+
+
+@operator("status_probe")
+def status_probe(df, output_path, to):
+    """Keeps the status of the run at the moment at which the step is planned."""
+    if not path_exists(df.sparkSession, to):
+        write_any(_status_rows(df.sparkSession, output_path), to, "parquet")
+    return df
+
+
+def run_failed_status(spark, sf_dir):
+    """The status of a run between its two steps, after the second one has failed, and after it was run again and succeeded."""
+    path = scratch_path(spark, "run-failed")
+    write_jsonl(spread(docs(spark, sf_dir)), f"{path}/in")
+
+    def config(condition):
+        probe = {"name": "status_probe", "params": {"output_path": f"{path}/out", "to": f"{path}/between"}}
+        return {
+            "dataset": {"input_path": f"{path}/in", "schema": DOC, "glob": WRITTEN, "output_path": f"{path}/out"},
+            "steps": [{"engine_type": "spark-cpu-stream", "operators": OPS},
+                      {"engine_type": "spark-cpu-stream", "operators": [probe, {"name": "require", "params": {"condition": condition}}, *MORE_OPS]}],
+        }
+
+    try:
+        run_steps(spark, config("doc_id < 0"))
+    except Exception as error:
+        if "doc_id < 0" not in str(error):
+            raise
+    write_any(_status_rows(spark, f"{path}/out"), f"{path}/failed", "parquet")
+    rows = run_steps(spark, config("doc_id >= 0"))
+    write_any(_status_rows(spark, f"{path}/out"), f"{path}/again", "parquet")
+    found = spark.read.schema("of string, state string").parquet(f"{path}/between", f"{path}/failed", f"{path}/again")
+    phase = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    counted = rows.agg(F.count(F.lit(1)).alias("rows"))
+    return found.select(phase.alias("phase"), "of", "state").join(F.broadcast(counted))
+
+
+QUERIES["run_failed_status"] = run_failed_status
+SQL["run_failed_status"] = """SELECT phase, "of", state, (SELECT count(*) FROM documents)::BIGINT AS rows FROM (VALUES
+  ('between', 'run', 'running'), ('between', 'run_step_1', 'success'), ('between', 'run_step_2', 'pending'),
+  ('failed', 'run', 'failed'), ('failed', 'run_step_1', 'success'), ('failed', 'run_step_2', 'failed'),
+  ('again', 'run', 'success'), ('again', 'run_step_1', 'success'), ('again', 'run_step_2', 'success')) v(phase, "of", state)"""
+
+
+def run_stop_resume(spark, sf_dir):
+    """A run that is stopped after some of its files and started again: every record once, and the states of its step."""
+    path = scratch_path(spark, "run-stop")
+    write_jsonl(docs(spark, sf_dir).repartition(10), f"{path}/in")
+    config = {
+        "dataset": {"input_path": f"{path}/in", "schema": DOC, "glob": WRITTEN, "output_path": f"{path}/out"},
+        "steps": [{"engine_type": "spark-cpu-stream", "operators": [*OPS, *MORE_OPS], "engine_config": {"maxFilesPerTrigger": 1}}],
+    }
+    run = start_steps(spark, config)
+    while not run.states().filter("batches > 0").count():
+        pass
+    run.stop()
+    stopped = run.wait() is None
+    first = run.states().first()
+    before = spark.read.schema(DOC).json(f"{path}/out/run/final_output").count()
+    rows = run_steps(spark, config)
+    last = run.states().first()
+    return rows.select(
+        "doc_id", "op1", "op4", F.lit(first.state).alias("state_before"), F.lit(last.state).alias("state_after"),
+        F.lit(stopped and first.output_rows == before > 0).alias("counted"), F.lit(last.output_rows + before).cast("bigint").alias("rows"))
+
+
+QUERIES["run_stop_resume"] = run_stop_resume
+SQL["run_stop_resume"] = """SELECT doc_id, 'processed' AS op1, 100::BIGINT AS op4, 'stopped' AS state_before, 'success' AS state_after, true AS counted,
+  (SELECT count(*) FROM documents)::BIGINT AS rows FROM documents"""
+
+
 def config_chain(spark, sf_dir):
     """The configured filter chain on records: (track_id, content_list), no column named in the parameters."""
     records = as_blocks(table(spark, sf_dir, "documents")).select(F.concat(F.lit("t"), "doc_id").alias("track_id"), "content_list")

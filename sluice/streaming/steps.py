@@ -226,8 +226,7 @@ def drain_chain(
     A starter begins its step as a draining query on the checkpoint of that step. It is called again until one
     whole run of the step began after its upstream step was done, so no file is missed. The first failure stops
     the other steps and is raised. Once ``stopping`` is set, every step stops after its micro-batch and :class:`Stopped` is raised.
-    ``ended`` is told of each run of a step that ends: its place in the chain, the query if the step is not done yet or was just
-    finished, and its failure.
+    ``ended`` is told of each step that is done, has failed or was stopped: its place in the chain, its query, and what ended it early.
     """
     n = len(starters)
     queries: list[StreamingQuery | None] = [None] * n
@@ -236,9 +235,10 @@ def drain_chain(
     try:
         while not all(done):
             if stopping is not None and stopping.is_set():
-                for query in queries:
-                    if query is not None and query.isActive:
+                for i, query in enumerate(queries):
+                    if query is not None and not done[i]:
                         stop_after_batch(query)
+                        tell(i, query, Stopped())
                 raise Stopped
             for i, start in enumerate(starters):
                 query, upstream_done = queries[i], i == 0 or done[i - 1]
