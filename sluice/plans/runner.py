@@ -19,7 +19,7 @@ from sluice.plans.registry import apply_operators, get_operator
 from sluice.plans.runlog import RunLog, StreamProgress, counted, run_log, run_states, step_name
 from sluice.sinks.files import READ_BACK, write_any
 from sluice.sources.files import (
-    CORRUPT, JSONL_GLOB, all_files, as_struct, existing_refs, infer_schema, list_files, path_exists, read_any, read_by_index, read_jsonl,
+    CORRUPT, JSONL_GLOB, REST, all_files, as_struct, existing_refs, infer_schema, list_files, path_exists, read_any, read_by_index, read_jsonl, read_written,
 )
 from sluice.streaming.steps import PacedDrain, Stopped, drain_chain, run_stream_step, stream_any, stream_jsonl, stream_sink_files
 
@@ -41,7 +41,7 @@ def engine_of(step: dict[str, Any]) -> str:
 STEP_SETTINGS = {"maxFilesPerTrigger", "maxOffsetsPerTrigger", "trigger_interval", "materialize", "output_compression", "partition_by"}
 SESSION_SETTINGS = {"spark_conf_name", "input_as_stream"}
 DATASET_SETTINGS = {"input_path", "input_type", "input_format", "output_path", "output_format", "schema", "glob", "recursive", "root",
-                    "on_error", "options"}
+                    "on_error", "options", "open_records"}
 
 
 def check_config(config: dict[str, Any]) -> list[dict[str, Any]]:
@@ -52,6 +52,8 @@ def check_config(config: dict[str, Any]) -> list[dict[str, Any]]:
     if unknown:
         raise ValueError(f"unknown dataset settings {sorted(unknown)}; known: {sorted(DATASET_SETTINGS)}")
     data_format = config["dataset"].get("input_format", "jsonl")
+    if config["dataset"].get("open_records") and (data_format != "jsonl" or config["dataset"].get("input_type", "data") == "index"):
+        raise ValueError("open_records belongs to a folder of JSONL files")
     if config["dataset"].get("options") and config["dataset"].get("input_type", "data") == "data" and data_format == "jsonl":
         raise ValueError("reader options (dataset.options) belong to an input_format other than jsonl, or to an index")
     steps = config["steps"]
@@ -103,7 +105,7 @@ def _read_input(spark: SparkSession, dataset: dict[str, Any]) -> DataFrame:
         return rows.select("*", metadata_path(F.col("_metadata.file_path")).alias("input_file"))
     glob = dataset.get("glob", JSONL_GLOB)
     return read_jsonl(spark, path, dataset.get("schema"), dataset.get("recursive", False), dataset.get("on_error", "fail"),
-                      keep_file=True, glob=glob)
+                      keep_file=True, glob=glob, open_records=dataset.get("open_records", False))
 
 
 def _batch_inputs(spark: SparkSession, dataset: dict[str, Any]) -> DataFrame:
@@ -124,8 +126,10 @@ def _stream_input(spark: SparkSession, dataset: dict[str, Any], files_per_batch:
     if fmt == "jsonl":
         glob, on_error = dataset.get("glob", JSONL_GLOB), dataset.get("on_error", "drop")
         schema = as_struct(dataset.get("schema") or infer_schema(spark, path, glob, recursive))
-        source = partial(stream_jsonl, spark, path, schema, files_per_batch, on_error, glob, recursive)
+        open_records = dataset.get("open_records", False)
+        source = partial(stream_jsonl, spark, path, schema, files_per_batch, on_error, glob, recursive, open_records)
         extra = [T.StructField(CORRUPT, T.StringType())] if on_error == "quarantine" else []
+        extra += [T.StructField(REST, T.VariantType())] if open_records else []
     else:
         options = ({"recursiveFileLookup": "true"} if recursive else {}) | dataset.get("options", {})
         schema = as_struct(dataset["schema"]) if dataset.get("schema") else read_any(spark, path, fmt, **options).schema
@@ -223,7 +227,7 @@ class Run:
         schemas: dict[int, T.StructType] = {}
 
         def load(i: int) -> DataFrame:
-            return _read_output(spark, paths[i], fmt, schema)
+            return _read_output(spark, paths[i], fmt, schema).select(*[F.col(f"`{c}`") for c in schema.names])
 
         def ends_plan(i: int) -> bool:
             return i == len(steps) - 1 or steps[i].get("engine_config", {}).get("materialize") or engines[i + 1] == "stream"
@@ -345,9 +349,8 @@ def start_steps(spark: SparkSession, config: dict[str, Any], run_id: str = "run"
 
 
 def _read_output(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
-    """What a step wrote; quarantined lines are a column like others here."""
-    reader = spark.read.format(fmt).schema(schema).option("columnNameOfCorruptRecord", "__undecodable")
-    return reader.options(**READ_BACK.get(fmt, {})).load(path)
+    """What a step wrote."""
+    return read_written(spark, path, fmt, schema, **READ_BACK.get(fmt, {}))
 
 
 def _start(source, step: dict[str, Any], path: str, checkpoint: str, fmt: str, name: str):

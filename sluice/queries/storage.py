@@ -78,6 +78,30 @@ QUERIES["scan_bad_rows"] = scan_bad_rows
 SQL["scan_bad_rows"] = "SELECT doc_id, doc_id % 10 < 3 AS is_bad FROM documents"
 
 
+def scan_open_records(spark, sf_dir):
+    """Fields that only some records have, through a batch and a stream step that do not know them, and back into the records."""
+    path = scratch_path(spark, "scan-open")
+    number = F.col("doc_id")
+    extra = F.when(number % 10 == 0, F.struct(F.col("source").alias("s"), F.array(number, F.lit(None)).alias("a")))
+    note = F.when(number % 7 == 0, F.concat(F.lit('"q" \\ '), "source"))
+    lines = table(spark, sf_dir, "documents").select(F.to_json(F.struct(*DOC_COLS, extra.alias("extra"), note.alias("a note"))).alias("value"))
+    write_any(lines, f"{path}/in", "text")
+    config = {
+        "dataset": {"input_path": f"{path}/in", "schema": "doc_id bigint, lang string", "glob": "*.txt", "output_path": f"{path}/out", "open_records": True},
+        "steps": [{"engine_type": "spark-cpu-batch", "operators": OPS}, {"engine_type": "spark-cpu-stream", "operators": MORE_OPS}],
+    }
+    run_steps(spark, config)
+    schema = f"{DOC}, extra struct<s: string, a: array<bigint>>, `a note` string, op1 string, op4 bigint"
+    back = read_jsonl(spark, f"{path}/out/run/final_output", schema, glob="*.txt", open_records=True)
+    return back.select(*DOC_COLS, F.col("extra.s").alias("s"), F.get("extra.a", 0).alias("a"), F.col("a note").alias("note"), "op1", "op4",
+                       F.to_json("_rest").contains('"op2":100').alias("rest"))
+
+
+QUERIES["scan_open_records"] = scan_open_records
+SQL["scan_open_records"] = """SELECT doc_id, text, lang, CASE WHEN doc_id % 10 = 0 THEN source END AS s, CASE WHEN doc_id % 10 = 0 THEN doc_id END AS a,
+  CASE WHEN doc_id % 7 = 0 THEN '"q" \\ ' || source END AS note, 'processed' AS op1, 100::BIGINT AS op4, true AS rest FROM documents"""
+
+
 def scan_any(spark, sf_dir):
     """The same rows through four formats, with quotes, line breaks and white space around the name, cut off only if they are whole."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")

@@ -14,6 +14,7 @@ from sluice.functions.scalar import metadata_path, normalize_path
 
 JSONL_GLOB = "*.{jsonl,jsonl.gz}"
 CORRUPT = "_corrupt_record"
+REST = "_rest"
 
 # File suffix to Spark format.
 FORMATS = {
@@ -61,29 +62,49 @@ def _one_record(line: Column) -> Column:
     return F.when(line.rlike(NON_FINITE), alone(_finite(line))).otherwise(alone(line))
 
 
-def parse_lines(lines: DataFrame, schema: str | T.StructType, on_error: str, carried: list[str]) -> DataFrame:
+def has_rest(schema: T.StructType) -> bool:
+    """Whether rows carry the fields of their record that the schema does not name."""
+    return any(f.name == REST and isinstance(f.dataType, T.VariantType) for f in schema.fields)
+
+
+def _unnamed(line: Column, names: list[str]) -> Column:
+    """A VARIANT object of the fields of a record that are not named, null without any. Of fields of one name the last counts."""
+    fields = F.from_json(line, T.MapType(T.StringType(), T.VariantType()))
+    other = F.map_filter(fields, lambda k, v: ~k.isin(names)) if names else fields
+    last = F.filter(F.map_entries(other), lambda e, i: ~F.array_contains(F.slice(F.map_keys(other), i + 2, F.size(other)), e["key"]))
+    return F.when(F.size(other) > 0, F.parse_json(F.to_json(F.map_from_entries(last)))).cast(T.VariantType())
+
+
+def parse_lines(
+    lines: DataFrame, schema: str | T.StructType, on_error: str, carried: list[str], open_records: bool = False, corrupt: str = CORRUPT,
+) -> DataFrame:
     """Decode a ``value`` column of JSON lines; blank lines are no records.
 
     Undecodable lines, and lines that do not fit the schema, are dropped, kept with their text in
-    ``_corrupt_record`` (``quarantine``) or fail the job.
+    ``_corrupt_record`` (``quarantine``) or fail the job. With ``open_records`` the fields that the schema does not name are in the VARIANT
+    column ``_rest``, which the JSON sinks put back into the records; fields inside a named structure belong to its type.
     """
     if on_error not in ("drop", "quarantine", "fail"):
         raise ValueError(f"on_error is drop, quarantine or fail, not {on_error!r}")
-    fields = [f for f in as_struct(schema).fields if f.name != CORRUPT]
-    full = T.StructType(fields + [T.StructField(CORRUPT, T.StringType())])
+    fields = [f for f in as_struct(schema).fields if f.name != corrupt and not (open_records and f.name == REST)]
+    full = T.StructType(fields + [T.StructField(corrupt, T.StringType())])
     mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
-    record = F.from_json("value", full, {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
+    record = F.from_json("value", full, {"mode": mode, "columnNameOfCorruptRecord": corrupt})
     nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in fields]
     if on_error == "fail":
-        refused = F.from_json(F.concat(F.lit("{not one record: "), F.col("value")), full, {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
+        refused = F.from_json(F.concat(F.lit("{not one record: "), F.col("value")), full, {"mode": mode, "columnNameOfCorruptRecord": corrupt})
     else:
-        refused = F.struct(*nothing, F.col("value").alias(CORRUPT))
-    record = F.when(_one_record(F.col("value")), record).otherwise(refused)
+        refused = F.struct(*nothing, F.col("value").alias(corrupt))
+    one = _one_record(F.col("value"))
+    rest = [F.when(one, _unnamed(F.col("value"), [f.name for f in fields])).alias(REST)] if open_records else []
+    record = F.when(one, record).otherwise(refused)
     # A generator keeps the filter below from being merged with the decoding, which would then run twice per line.
-    parsed = lines.filter(F.trim("value") != "").select(F.inline(F.array(record)), *carried)
+    parsed = lines.filter(F.trim("value") != "").select(F.inline(F.array(record)), *rest, *carried)
+    if open_records:  # a line that does not fit the schema is kept as it is
+        parsed = parsed.withColumn(REST, F.when(F.col(corrupt).isNull(), F.col(REST)) if on_error != "fail" else F.col(REST))
     if on_error == "drop":
-        parsed = parsed.filter(F.col(CORRUPT).isNull())
-    return parsed if on_error == "quarantine" else parsed.drop(CORRUPT)
+        parsed = parsed.filter(F.col(corrupt).isNull())
+    return parsed if on_error == "quarantine" else parsed.drop(corrupt)
 
 
 def _file_column() -> Column:
@@ -122,23 +143,37 @@ def read_jsonl(
     keep_file: bool = False,
     positions: bool = False,
     glob: str = JSONL_GLOB,
+    open_records: bool = False,
 ) -> DataFrame:
     """Read ``.jsonl`` and ``.jsonl.gz`` files of a directory.
 
-    ``keep_file`` adds the ``input_file`` of each row, ``positions`` also its ``row_pos`` among the records of
+    ``open_records`` keeps the fields that the schema does not name in the VARIANT column ``_rest``. ``keep_file`` adds the ``input_file`` of each row, ``positions`` also its ``row_pos`` among the records of
     that file. A gzip file is one task; repartition after reading when such files are large.
     """
     schema = schema or infer_schema(spark, path, glob, recursive)
     reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
     lines = reader.text(path)
     if not (keep_file or positions):
-        return parse_lines(lines, schema, on_error, [])
+        return parse_lines(lines, schema, on_error, [], open_records)
     if "input_file" in as_struct(schema).fieldNames():
         raise ValueError("the records have an input_file of their own; leave it out of the schema")
     lines = lines.select("value", _file_column(), F.col("_metadata.file_block_start").alias("__block"))
     if positions:
-        return _split_positions(parse_lines(lines, schema, on_error, ["input_file", "__block"]))
-    return parse_lines(lines, schema, on_error, ["input_file"])
+        return _split_positions(parse_lines(lines, schema, on_error, ["input_file", "__block"], open_records))
+    return parse_lines(lines, schema, on_error, ["input_file"], open_records)
+
+
+def read_written(spark: SparkSession, path: str, fmt: str, schema: T.StructType, stream: bool = False, **options: str) -> DataFrame:
+    """Rows of a folder that the sinks have written, as a table or as a stream, with ``_metadata``.
+
+    Records that carry a ``_rest`` are read as lines again. Quarantined lines are a column like others here.
+    """
+    reader = (spark.readStream if stream else spark.read).options(**options)
+    if fmt == "json" and has_rest(schema):
+        lines = reader.text(path).select("value", "_metadata")
+        rows = parse_lines(lines, schema, "drop", ["_metadata"], open_records=True, corrupt="__undecodable")
+        return rows.select(*[F.col(f"`{f.name}`") for f in schema.fields], "_metadata")
+    return reader.format(fmt).schema(schema).option("columnNameOfCorruptRecord", "__undecodable").load(path)
 
 
 def format_of(path: str) -> str:

@@ -20,8 +20,8 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice.functions.scalar import metadata_path, normalize_path
 from sluice.operators.refs import REF_SCHEMA, file_refs, parse_file_refs
 from sluice.plans.registry import apply_operators
-from sluice.sinks.files import READ_BACK, WRITE_OPTIONS, write_any
-from sluice.sources.files import JSONL_GLOB, existing_refs, list_files, parse_lines, path_exists, read_by_index
+from sluice.sinks.files import READ_BACK, WRITE_OPTIONS, json_as_text, write_any
+from sluice.sources.files import JSONL_GLOB, existing_refs, list_files, parse_lines, path_exists, read_by_index, read_written
 
 DRAIN = {"availableNow": True}
 
@@ -34,13 +34,14 @@ def stream_jsonl(
     on_error: str = "drop",
     glob: str = JSONL_GLOB,
     recursive: bool = False,
+    open_records: bool = False,
 ) -> DataFrame:
     """Records of JSONL files as they arrive, with their ``input_file``."""
     reader = spark.readStream.format("text").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower())
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(path).select("value", metadata_path(F.col("_metadata.file_path")).alias("input_file"))
-    return parse_lines(lines, schema, on_error, ["input_file"])
+    return parse_lines(lines, schema, on_error, ["input_file"], open_records)
 
 
 def stream_any(
@@ -60,11 +61,10 @@ def stream_sink_files(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json", max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """The output directory of an earlier step as a stream; only committed files are seen."""
-    reader = spark.readStream.format(fmt).schema(schema).option("columnNameOfCorruptRecord", "__undecodable")
-    reader = reader.options(**READ_BACK.get(fmt, {}))
+    options = dict(READ_BACK.get(fmt, {}))
     if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+        options["maxFilesPerTrigger"] = str(max_files_per_trigger)
+    return read_written(spark, path, fmt, schema, stream=True, **options).select(*[F.col(f"`{c}`") for c in schema.names])
 
 
 def stream_refs(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:
@@ -83,6 +83,7 @@ def write_stream(
     name: str | None = None,
 ) -> StreamingQuery:
     """Start an exactly-once file sink. The default trigger drains what is there and stops."""
+    df, fmt = json_as_text(df, fmt, partition_by)
     writer = df.writeStream.format(fmt).option("checkpointLocation", checkpoint).option("path", path)
     writer = writer.options(**WRITE_OPTIONS.get(fmt, {}))
     if compression:
