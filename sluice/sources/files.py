@@ -11,6 +11,7 @@ from pyspark.sql.classic.column import Column as ClassicColumn
 from pyspark.sql.window import Window
 
 from sluice.functions.scalar import metadata_path, normalize_path
+from sluice.sources.by_reference import lines_of, with_existence
 
 JSONL_GLOB = "*.{jsonl,jsonl.gz}"
 CORRUPT = "_corrupt_record"
@@ -240,11 +241,6 @@ def read_objects(spark: SparkSession, refs: DataFrame, root: str, path_col: str
 HIDDEN = r"/[._][^/]*$"
 
 
-def _escaped(path: str) -> str:
-    """A path that the reader takes by the letter."""
-    return "".join(f"\\{c}" if c in "*?[]{}\\," else c for c in path)
-
-
 def file_place(spark: SparkSession, path: str) -> tuple:
     """The file system of a path and the path in it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -257,6 +253,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def list_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """Sorted names of the folders in a folder that begin so; for the few folders of a log."""
+    system, place = file_place(spark, path)
+    return sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory() and s.getPath().getName().startswith(prefix))
+
+
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that this library has written."""
+    for path in paths:
+        system, place = file_place(spark, path)
+        system.delete(place, True)
+
+
 def _whole_path(spark: SparkSession, path: str) -> tuple[str, str]:
     """A folder in the spelling of listings, and what stands before its first slash there."""
     system, place = file_place(spark, path)
@@ -266,10 +275,8 @@ def _whole_path(spark: SparkSession, path: str) -> tuple[str, str]:
 
 
 def existing_refs(spark: SparkSession, refs: DataFrame) -> DataFrame:
-    """The few references whose file exists now. Paths come to the driver and are tested there one by one."""
-    wanted = sorted(r[0] for r in refs.filter(F.col("input_file").isNotNull()).select("input_file").distinct().collect())
-    found = spark.createDataFrame([(p,) for p in wanted if path_exists(spark, p)], "input_file string")
-    return refs.join(found, "input_file", "left_semi")
+    """References whose file exists now, tested in tasks."""
+    return with_existence(refs.filter(F.col("input_file").isNotNull())).filter("exists").drop("exists")
 
 
 def read_by_index(
@@ -287,9 +294,10 @@ def read_by_index(
     its length; a file with a large part of all rows is split by the skew join. A reference outside ``root``, or to a name that
     readers hide (``_x``, ``.x``), is an error.
 
-    With ``by_name`` the caller says that the index is short: its paths come to the driver, are tested there one by one and
-    read without a listing of ``root``, which is then not needed. If they are ``tested`` already, a file that is gone since is an
-    error. Where the records have fields of these names themselves, the added columns are ``ref_input_file`` and ``ref_track_id``.
+    With ``by_name`` the tasks open the files themselves (see :mod:`sluice.sources.by_reference`): nothing is listed, ``root`` is not needed,
+    and neither references nor files pass through the driver. A file is read by one task. If the references are ``tested`` already, a file
+    that is gone since is an error. Where the records have fields of these names themselves, the added columns are ``ref_input_file`` and
+    ``ref_track_id``.
     """
     names = as_struct(schema).fieldNames()
     file_col, track_col = ("ref_" + c if c in names else c for c in ("input_file", "track_id"))
@@ -297,23 +305,16 @@ def read_by_index(
         normalize_path(F.col("input_file")).alias(file_col), F.col("track_id").cast("string").alias(track_col)
     ).distinct()
     if by_name:
-        wanted = sorted(r[0] for r in refs.select(file_col).distinct().collect())
-        odd = [p for p in wanted if p.rsplit("/", 1)[-1][:1] in ("_", ".")]
-        paths = [_escaped(p) for p in wanted if tested or path_exists(spark, p)]
-    else:
-        if not root:
-            raise ValueError("read_by_index needs the folder above all files (root), or by_name for a short index")
-        base, system = _whole_path(spark, root)
-        bare = F.col(file_col).startswith("/")
-        refs = refs.withColumn(file_col, F.when(bare, F.concat(F.lit(system), file_col)).otherwise(F.col(file_col)))
-        strange = ~F.col(file_col).startswith(base) | F.col(file_col).rlike(HIDDEN)
-        odd = [r[0] for r in refs.filter(strange).select(file_col).limit(5).collect()]
-        paths = [root]
+        lines = lines_of(refs, file_col, track_col, "fail" if tested else "skip")
+        return parse_lines(lines, schema, on_error, [file_col, track_col])
+    if not root:
+        raise ValueError("read_by_index needs the folder above all files (root), or by_name")
+    base, system = _whole_path(spark, root)
+    bare = F.col(file_col).startswith("/")
+    refs = refs.withColumn(file_col, F.when(bare, F.concat(F.lit(system), file_col)).otherwise(F.col(file_col)))
+    strange = ~F.col(file_col).startswith(base) | F.col(file_col).rlike(HIDDEN)
+    odd = [r[0] for r in refs.filter(strange).select(file_col).limit(5).collect()]
     if odd:
         raise ValueError(f"references outside {root!r}, or to hidden names: {odd}")
-    if not paths:
-        nothing = spark.createDataFrame([], f"value string, {file_col} string, {track_col} string")
-        return parse_lines(nothing, schema, on_error, [file_col, track_col])
-    reader = spark.read if by_name else spark.read.option("recursiveFileLookup", "true")
-    lines = reader.text(paths).select("value", metadata_path(F.col("_metadata.file_path")).alias(file_col))
+    lines = spark.read.option("recursiveFileLookup", "true").text(root).select("value", metadata_path(F.col("_metadata.file_path")).alias(file_col))
     return parse_lines(lines.join(refs, file_col), schema, on_error, [file_col, track_col])

@@ -21,7 +21,10 @@ from sluice.functions.scalar import metadata_path, normalize_path
 from sluice.operators.refs import REF_SCHEMA, file_refs, parse_file_refs
 from sluice.plans.registry import apply_operators
 from sluice.sinks.files import READ_BACK, WRITE_OPTIONS, json_as_text, write_any
-from sluice.sources.files import JSONL_GLOB, existing_refs, list_files, parse_lines, path_exists, read_by_index, read_written
+from sluice.sources.by_reference import with_existence
+from sluice.sources.files import (
+    JSONL_GLOB, all_files, list_files, list_folders, parse_lines, path_exists, read_by_index, read_written, remove_folders,
+)
 
 DRAIN = {"availableNow": True}
 
@@ -111,6 +114,32 @@ def run_stream_step(
     return write_stream(then(apply_operators(source, operators)), path, checkpoint, fmt, trigger, compression, partition_by, name)
 
 
+LOG_EVERY = 20  # micro-batches whose references are put together
+
+
+def _finished_refs(spark: SparkSession, log: str, batch_id: int) -> DataFrame | None:
+    """References of the micro-batches before this one; every LOG_EVERY of them become one table.
+
+    Only batches before the current one are put together: all of them are committed, so none is run again. The older tables go when the
+    new one is whole, and a batch that is run again finds it.
+    """
+    if not batch_id or not path_exists(spark, log):
+        return None
+    schema = "input_file string, track_id string"
+    start = batch_id - batch_id % LOG_EVERY
+    whole = f"{log}/upto={start:09d}"
+    singles = list_folders(spark, log, "batch=")
+    older = [p for p in list_folders(spark, log, "upto=") if p < f"upto={start:09d}"]
+    if start and not path_exists(spark, f"{whole}/_SUCCESS"):
+        before = [f"{log}/{p}" for p in [*older[-1:], *(p for p in singles if p < f"batch={start:09d}")]]
+        if before:
+            spark.read.schema(schema).parquet(*before).distinct().write.mode("overwrite").parquet(whole)
+    if start and path_exists(spark, f"{whole}/_SUCCESS"):
+        remove_folders(spark, [f"{log}/{p}" for p in [*older, *(p for p in singles if p < f"batch={start:09d}")]])
+    names = [*([whole] if path_exists(spark, f"{whole}/_SUCCESS") else []), *(f"{log}/{p}" for p in singles if f"batch={start:09d}" <= p < f"batch={batch_id:09d}")]
+    return spark.read.schema(schema).parquet(*names).distinct() if names else None
+
+
 def run_refs_step(
     refs: DataFrame,
     schema: str | T.StructType,
@@ -120,11 +149,13 @@ def run_refs_step(
     trigger: dict[str, Any] | None = None,
     fmt: str = "json",
     refs_out: str | None = None,
+    root: str | None = None,
 ) -> StreamingQuery:
     """Process the files that arriving references name, each file once per ``track_id``.
 
-    The few references of a micro-batch are written to the batch's own folder and read from there, so the message source is read
-    once. References to files that exist are logged as finished after the rows of the batch are written, and left out of later
+    The references of a micro-batch are tested in tasks, written to the batch's own folder and read from there, so the message source is
+    read once; the files are opened by tasks too, or, with the folder ``root`` above them all, scanned and joined. References
+    to files that exist are logged as finished after the rows of the batch are written, and left out of later
     micro-batches; one that comes before its file leaves no mark, so it counts when it is sent again. Each micro-batch writes its
     own directory and overwrites it when replayed, so a batch that is run again after a failure leaves no duplicate rows. With
     ``refs_out`` every finished batch also writes one message per produced file there, for the next step to read with
@@ -135,18 +166,21 @@ def run_refs_step(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         here = f"{path}/_arrived/batch={batch_id:09d}"
-        arrived = batch.select("id", normalize_path(F.col("input_file")).alias("input_file"), "track_id")
-        arrived.write.mode("overwrite").parquet(here)
-        mine = spark.read.schema(REF_SCHEMA).parquet(here)
-        if batch_id and path_exists(spark, log):
-            done = spark.read.schema(f"{REF_SCHEMA}, batch bigint").parquet(log).filter(F.col("batch") < batch_id)
-            done = done.select("input_file", F.col("track_id").alias("__track")).distinct()
+        arrived = batch.select("id", normalize_path(F.col("input_file")).alias("input_file"), "track_id").filter("input_file is not null")
+        if root:
+            arrived.write.mode("overwrite").parquet(here)
+            mine = spark.read.schema(REF_SCHEMA).parquet(here).join(all_files(spark, root, recursive=True), "input_file", "left_semi")
+        else:
+            with_existence(arrived).write.mode("overwrite").parquet(here)
+            mine = spark.read.schema(f"{REF_SCHEMA}, exists boolean").parquet(here).filter("exists").drop("exists")
+        done = _finished_refs(spark, log, batch_id)
+        if done is not None:
+            done = done.withColumnRenamed("track_id", "__track")
             mine = mine.join(done, (mine.input_file == done.input_file) & mine.track_id.eqNullSafe(F.col("__track")), "left_anti")
-        mine = existing_refs(spark, mine)
         out = f"{path}/batch={batch_id}"
-        rows = read_by_index(spark, mine, schema, by_name=True, tested=True)
+        rows = read_by_index(spark, mine, schema, root, by_name=not root, tested=True)
         apply_operators(rows, operators).write.format(fmt).options(**WRITE_OPTIONS.get(fmt, {})).mode("overwrite").save(out)
-        mine.write.mode("overwrite").parquet(f"{log}/batch={batch_id:09d}")
+        mine.select("input_file", "track_id").write.mode("overwrite").parquet(f"{log}/batch={batch_id:09d}")
         if refs_out:
             made = list_files(spark, out, f"*.{fmt}*").select(F.col("path").alias("output_file"))
             write_any(file_refs(made, keep_fields=False), f"{refs_out}/batch={batch_id}", "text")
