@@ -1,3 +1,3 @@
 """Importing this package registers every named operator."""
 
-from sluice.operators import blocks, documents, filters, labels, literals, models  # noqa: F401
+from sluice.operators import blocks, documents, filters, labels, literals, models, tree_models  # noqa: F401

@@ -67,6 +67,22 @@ def _first_seen(digests: Iterator[pa.Array]) -> Iterator[pa.Array]:
         yield pa.array(fresh, pa.bool_())
 
 
+@operator("md5_dedup_within")
+def md5_dedup_within(df: DataFrame, within: str, col: str | None = None, time_col: str | None = None) -> DataFrame:
+    """One row per distinct ``md5(col)`` among rows that arrive within ``within`` (an interval such as ``"1 day"``) of the first; for streams.
+
+    The state holds the digests of that time and no more: they expire as the watermark passes, and none before ``within`` has passed.
+    A later copy is a new text. Time is that of the micro-batch in which a row arrives, so no row is late, or the column ``time_col``, whose
+    rows must then come in order up to ``within``.
+    """
+    if not df.isStreaming:
+        raise ValueError("md5_dedup_within is for streams; a table is deduplicated as a whole by md5_dedup")
+    digest = F.md5(text_column(df, col).cast("binary"))
+    timed = df.withColumn("__at", F.col(time_col) if time_col else F.current_timestamp()).withWatermark("__at", within)
+    tagged = timed.withColumn("__md5", digest).withColumn("__first", _first_seen(F.col("__md5")))
+    return tagged.filter("__first").dropDuplicatesWithinWatermark(["__md5"]).drop("__md5", "__first", "__at")
+
+
 @operator("md5_dedup")
 def md5_dedup(df: DataFrame, col: str | None = None, order_by: str | list[str] | None = None) -> DataFrame:
     """One row per distinct ``md5(col)``; NULL counts as one text.

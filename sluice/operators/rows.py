@@ -11,6 +11,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -106,3 +107,29 @@ def run_partitions(
             yield pa.RecordBatch.from_pylist(chunk, schema=arrow)
 
     return df.mapInArrow(process, out, profile=profile)
+
+
+def fan_out(
+    df: DataFrame, fn: Callable[..., Iterable[tuple]], args: list[str], schema: str | T.StructType, keep_empty: bool = False,
+    init: Callable[[], Any] | None = None,
+) -> DataFrame:
+    """Each row with what ``fn(*args of the row)`` yields, as new columns: none, one or many rows for one.
+
+    A lateral join with a table function that runs in Arrow batches: only ``args`` cross to Python, the other columns stay in the JVM and are
+    not shuffled. ``init`` runs once per task; its result is passed as first argument. With ``keep_empty`` a row for which nothing is
+    yielded is kept with nulls. New columns must not have names of old ones.
+    """
+    out = as_struct(schema)
+    clash = set(out.fieldNames()) & set(df.columns)
+    if clash:
+        raise ValueError(f"columns that are there already: {sorted(clash)}")
+
+    class Each:
+        def __init__(self) -> None:
+            self._extra = (init(),) if init else ()
+
+        def eval(self, *values: Any) -> Iterator[tuple]:
+            yield from fn(*self._extra, *values)
+
+    table = F.udtf(Each, returnType=out, useArrow=True)
+    return df.lateralJoin(table(*[F.col(f"`{a}`").outer() for a in args]), on=F.lit(True) if keep_empty else None, how="left" if keep_empty else "inner")

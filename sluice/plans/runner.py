@@ -21,7 +21,7 @@ from sluice.sinks.files import READ_BACK, write_any
 from sluice.sources.files import (
     CORRUPT, JSONL_GLOB, REST, all_files, as_struct, existing_refs, infer_schema, list_files, path_exists, read_any, read_by_index, read_jsonl, read_written,
 )
-from sluice.streaming.steps import PacedDrain, Stopped, drain_chain, run_stream_step, stream_any, stream_jsonl, stream_sink_files
+from sluice.streaming.steps import ERROR_COLUMNS, PacedDrain, Stopped, drain_chain, side_path, run_stream_step, stream_any, stream_jsonl, stream_sink_files
 
 TRIGGERS = ("job_finished", "file_success")
 ENGINES = {"batch": ("spark-cpu-batch", "local-cpu-batch", "batch"),
@@ -38,7 +38,7 @@ def engine_of(step: dict[str, Any]) -> str:
 
 #: Settings of a step that take effect. Sizing of clusters belongs to the session, so names with a dot (Spark settings) and the
 #: cluster profile are accepted and left to it; a file source is a stream in any case.
-STEP_SETTINGS = {"maxFilesPerTrigger", "maxOffsetsPerTrigger", "trigger_interval", "materialize", "output_compression", "partition_by"}
+STEP_SETTINGS = {"maxFilesPerTrigger", "maxOffsetsPerTrigger", "trigger_interval", "materialize", "output_compression", "partition_by", "side_output"}
 SESSION_SETTINGS = {"spark_conf_name", "input_as_stream"}
 DATASET_SETTINGS = {"input_path", "input_type", "input_format", "output_path", "output_format", "schema", "glob", "recursive", "root",
                     "on_error", "options", "open_records"}
@@ -69,6 +69,8 @@ def check_config(config: dict[str, Any]) -> list[dict[str, Any]]:
             raise ValueError(f"unknown engine_config settings {sorted(unknown)}; known: {sorted(STEP_SETTINGS)}")
         if conf.get("trigger_interval") and engine_of(step) != "stream":
             raise ValueError("trigger_interval belongs to stream steps")
+        if conf.get("side_output") and (engine_of(step) != "stream" or conf.get("partition_by")):
+            raise ValueError("side_output belongs to stream steps without partition_by")
         for op in step["operators"]:
             get_operator(op["name"], op.get("params"))
     return steps
@@ -218,7 +220,9 @@ class Run:
         spark, steps, dataset, out, run_id = self._spark, self._steps, self._config["dataset"], self._out, self._run_id
         engines = [engine_of(s) for s in steps]
         fmt = dataset.get("output_format", "json")
-        paths = output_paths(out, run_id, len(steps))
+        roots = output_paths(out, run_id, len(steps))
+        split = [bool(s.get("engine_config", {}).get("side_output")) for s in steps]
+        paths = [side_path(p, "good") if two else p for p, two in zip(roots, split)]  # that the next step reads
         consumed, checkpoints = inputs_path(out, run_id), f"{out.rstrip('/')}/{run_id}/_checkpoints"
         rows: DataFrame | None = None  # batch plan not written yet
         schema: T.StructType | None = None  # of the last written step
@@ -302,13 +306,15 @@ class Run:
                     source = partial(stream_sink_files, spark, paths[i - 1], schema, fmt, files_per_batch)
                     sample = schema
                 schema = apply_operators(spark.createDataFrame([], sample), step["operators"]).schema
+                if split[i]:
+                    schema = T.StructType([f for f in schema.fields if f.name not in ERROR_COLUMNS])
             except Exception as error:
                 log.add("failed", i, message=_message(error))
                 raise
 
             def start(i: int = i, source: Any = source, made: T.StructType = schema) -> Any:
                 begin(i, "stream", made)
-                return _start(source, steps[i], paths[i], f"{checkpoints}/step_{i + 1}", fmt, names[i])
+                return _start(source, steps[i], roots[i], f"{checkpoints}/step_{i + 1}", fmt, names[i])
 
             chain.append((i, start))
             schemas[i] = schema
@@ -357,7 +363,7 @@ def _start(source, step: dict[str, Any], path: str, checkpoint: str, fmt: str, n
     conf = step.get("engine_config", {})
     interval = conf.get("trigger_interval")
     query = run_stream_step(source(), step["operators"], path, checkpoint, fmt, {"processingTime": interval} if interval else None,
-                            conf.get("output_compression"), conf.get("partition_by"), name, counted)
+                            conf.get("output_compression"), conf.get("partition_by"), name, counted, bool(conf.get("side_output")))
     return PacedDrain(query) if interval else query
 
 
@@ -405,6 +411,18 @@ def run_inputs(spark: SparkSession, output_path: str, run_id: str = "run") -> Da
     return spark.read.schema("input_file string").parquet(inputs_path(output_path, run_id)).crossJoin(F.broadcast(steps)).select("run_id", "step_id", "input_file")
 
 
+def run_bad_rows(spark: SparkSession, output_path: str, run_id: str = "run") -> DataFrame | None:
+    """Rows that steps with ``side_output`` have put aside, with their ``step_id`` and what was wrong; None where no step has any."""
+    found = []
+    for event in run_log(spark, output_path, run_id).filter("event = 'started' and path is not null").dropDuplicates(["step_id"]).collect():
+        if event["path"].endswith("/side=good"):
+            fields = T.StructType.fromJson(json.loads(event["schema"])).fields
+            schema = T.StructType([*fields, *[T.StructField(c, T.StringType()) for c in ERROR_COLUMNS]])
+            rows = _read_output(spark, event["path"].removesuffix("good") + "bad", event["format"], schema)
+            found.append(rows.select(F.lit(event["step_id"]).alias("step_id"), *[F.col(f"`{c}`") for c in schema.names]))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found) if found else None
+
+
 def run_manifest(spark: SparkSession, output_path: str, run_id: str = "run") -> DataFrame:
     """What a run has produced, as the progress and status tables read it; also of a run that works, was stopped or has failed.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,9 +14,11 @@ from sluice.operators.documents import extract_documents
 from sluice.operators.models import (
     DEFAULT_WEIGHTS, batch_predict, clean_model, logistic, model_weights, train_clean_model,
 )
+from sluice.operators.tree_models import load_model, model_score, save_model, train_tree_model, tree_score, tree_spec
+from sluice.plans.registry import apply_operators
 from sluice.queries.common import CONTENT_SQL, as_blocks, r6, r6_sql, table
 from sluice.queries.scalars import entropy_sql
-from sluice.session import spread
+from sluice.session import materialize, scratch_path, spread
 
 QUERIES, SQL = {}, {}
 
@@ -229,6 +232,40 @@ FROM f, newton WHERE i = {NEWTON_STEPS}"""
 QUERIES["train_clean_model"] = train_clean_model_query
 SQL["train_clean_model"] = _newton_sql()
 
+TREE_FEATURES = ("lines_num", "words_num", "unique_words_frac", "stop_word_frac", "punc_frac", "num_frac", "special_char_frac", "entropy", "dup_top_2gram", "dup_10gram")
+
+
+def train_tree_model_query(spark, sf_dir):
+    """Boosted trees fitted on four of five labelled documents, compiled, stored and loaded in a new session.
+
+    The compiled score of every document equals that of the fitted model, the stored model scores alike, also as an operator of a chain,
+    and nine of ten documents kept out are on the right side.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    features = materialize(quality_features(docs, "text", features=list(TREE_FEATURES)), "tree-features")
+    labelled = features.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id")
+    assembler, model = train_tree_model(labelled.filter(F.col("doc_id") % 5 != 0), cols=TREE_FEATURES, trees=8, depth=3)
+    spec = tree_spec(assembler, model)
+    path = scratch_path(spark, "tree-model")
+    save_model(spark, spec, path)
+    loaded = load_model(spark.newSession(), path)
+    scored = model.transform(assembler.transform(features)).select(
+        "doc_id", vector_to_array("__probability")[1].alias("fitted"), tree_score(spec).alias("native"), model_score(loaded).alias("stored"))
+    chain = apply_operators(docs, [{"name": "stored_model", "params": {"model_path": path, "text_col": "text", "out": "chained"}}])
+    both = scored.join(chain.select("doc_id", "chained"), "doc_id").join(labelled.select("doc_id", "quality", "entropy"), "doc_id", "left")
+    kept_out = (F.col("doc_id") % 5 == 0) & F.col("quality").isNotNull()
+    right = F.avg(F.when(kept_out, ((F.col("native") >= 0.5).cast("int") == F.col("quality")).cast("double")))
+    share = materialize(both.agg(right.alias("right")), "tree-share")
+    gate = F.when(F.col("entropy") <= 1.0, 0.0).otherwise(F.col("native"))
+    return both.join(F.broadcast(share)).select(
+        "doc_id", (F.abs(F.col("fitted") - F.col("native")) < 1e-9).alias("same"), (F.col("native") == F.col("stored")).alias("same_stored"),
+        (F.col("entropy").isNull() | (F.abs(F.col("chained") - gate) < 1e-9)).alias("same_chained"), (F.col("right") >= 0.9).alias("accurate"))
+
+
+QUERIES["train_tree_model"] = train_tree_model_query
+SQL["train_tree_model"] = "SELECT doc_id, true AS same, true AS same_stored, true AS same_chained, true AS accurate FROM documents"
+
+
 VECTOR_SIZE = 64
 # The weights of the linear test model, by rule.
 LINEAR_WEIGHTS = [((i * 37) % 19 - 9) / 10 for i in range(VECTOR_SIZE)]

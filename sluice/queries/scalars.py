@@ -11,7 +11,7 @@ from sluice.functions.scalar import basename, flatten_struct, from_json_col, saf
 from sluice.operators.filters import length_filter, md5_dedup, space_ratio
 from sluice.operators.literals import LITERAL_OPERATORS
 from sluice.operators.models import gated
-from sluice.operators.rows import run_partitions, run_rows
+from sluice.operators.rows import fan_out, run_partitions, run_rows
 from sluice.plans.registry import apply_operators, get_operator
 from sluice.queries.common import BODY_SQL, CONTENT_SQL, RECORDS_SQL, as_blocks, r6, r6_sql, table
 
@@ -271,3 +271,26 @@ QUERIES["iter_udf"] = iter_udf_query
 SQL["iter_udf"] = """SELECT conv_id, turn, line_no, line FROM (
   SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line,
     unnest(range(len(string_split(text, chr(10))))) AS line_no FROM conversations) WHERE line <> ''"""
+
+
+def _parts(text):
+    """Sentences of a text with their place; null and empty texts have none."""
+    for number, part in enumerate((text or "").split(". ")):
+        if part:
+            yield number, part
+
+
+def iter_fan_out(spark, sf_dir):
+    """Documents with their sentences, from none to many; documents without any stay. Every fifth text is null or empty."""
+    number = F.col("doc_id")
+    text = F.when(number % 10 == 0, None).when(number % 5 == 0, "").otherwise(F.col("text")).alias("text")
+    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", text)
+    parts = fan_out(rows, _parts, ["text"], "place bigint, part string", keep_empty=True)
+    return parts.select("doc_id", "lang", "place", "part")
+
+
+QUERIES["iter_fan_out"] = iter_fan_out
+SQL["iter_fan_out"] = """WITH d AS (SELECT doc_id, lang, CASE WHEN doc_id % 10 = 0 THEN NULL WHEN doc_id % 5 = 0 THEN '' ELSE text END AS text FROM documents),
+p AS (SELECT * FROM (SELECT doc_id, unnest(string_split(text, '. ')) AS part, unnest(range(len(string_split(text, '. ')))) AS place FROM d) WHERE part <> '')
+SELECT doc_id, lang, place, part FROM d LEFT JOIN p USING (doc_id)"""
+

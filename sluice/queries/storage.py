@@ -6,16 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.scalar import normalize_path
-from sluice.operators.filters import md5_dedup
+from sluice.operators.filters import md5_dedup, md5_dedup_within
 from sluice.operators.labels import combine_label
 from sluice.operators.progress import run_status, step_status
 from sluice.operators.refs import valid_refs
 from sluice.plans.registry import apply_operators, operator
-from sluice.plans.runner import run_inputs, run_manifest, run_steps, start_steps
+from sluice.plans.runner import run_bad_rows, run_inputs, run_manifest, run_steps, start_steps
 from sluice.queries.common import CONTENT_SQL, as_blocks, r6, table
 from sluice.queries.features import clean_prob_sql
 from sluice.session import scratch_path, spread
 from sluice.sinks.files import READ_BACK, write_any, write_jsonl
+from sluice.sinks.per_input import stream_per_input, write_per_input
 from sluice.sources.files import list_files, path_exists, read_any, read_by_index, read_jsonl, read_objects
 from sluice.streaming.steps import finish, run_refs_step, run_stream_step, stream_jsonl, stream_refs, write_stream
 
@@ -329,6 +330,74 @@ SQL["stream_step"] = f"""SELECT doc_id, text, lang, clean_prob, 'processed' AS o
 FROM documents JOIN ({clean_prob_sql("documents", "text", "")}) USING (doc_id) WHERE length(text) >= 500"""
 
 
+def sink_per_input(spark, sf_dir):
+    """One object per input: by track_id from a table, then by base name from a stream over these objects."""
+    path, listing, index = shard_index(spark, sf_dir, "sink-per-input")
+    refs = valid_refs(index, listing, ("file", "hdfs", "s3", "s3a", "abfss", "gs"))
+    rows = read_by_index(spark, refs, DOC, path)
+    write_per_input(rows.withColumn("input_file", F.concat("track_id", F.lit(".jsonl"))), f"{path}-one")
+    named = stream_jsonl(spark, f"{path}-one", f"{DOC}, track_id string", max_files_per_trigger=2)
+    finish(stream_per_input(apply_operators(named.drop("track_id"), OPS), f"{path}-two", f"{path}-checkpoint", "gzip"))
+    back = spark.read.schema(f"{DOC}, op1 string, op2 bigint").json(f"{path}-two")
+    return back.select("*", F.col("_metadata.file_name").alias("object"))
+
+
+QUERIES["sink_per_input"] = sink_per_input
+SQL["sink_per_input"] = """SELECT doc_id, text, lang, 'processed' AS op1, 100::BIGINT AS op2, 't' || (doc_id % 4) || '.jsonl.gz' AS object
+FROM documents WHERE doc_id % 4 <> 3"""
+
+
+def run_side_output(spark, sf_dir):
+    """Bad lines of a run in a place of their own, good ones through two steps; a run again doubles nothing."""
+    path = scratch_path(spark, "run-side")
+    whole = F.to_json(F.struct(*DOC_COLS))
+    line = F.when(F.col("doc_id") % 6 == 0, F.expr("substring(l, 1, length(l) - 3)")).otherwise(F.col("l"))
+    write_any(spread(docs(spark, sf_dir).select("doc_id", whole.alias("l"))).select(line.alias("value")), f"{path}/in", "text")
+    config = {
+        "dataset": {"input_path": f"{path}/in", "schema": DOC, "glob": "*.txt", "on_error": "quarantine", "output_path": f"{path}/out"},
+        "steps": [{"engine_type": "spark-cpu-stream", "operators": OPS,
+                   "engine_config": {"side_output": True, "maxFilesPerTrigger": quarter_of_files(spark, f"{path}/in", "*.txt")}},
+                  {"engine_type": "spark-cpu-stream", "operators": MORE_OPS}],
+    }
+    run_steps(spark, config)
+    rows = run_steps(spark, config)
+    number = F.regexp_extract("_corrupt_record", r'"doc_id":(\d+)', 1).cast("bigint")
+    bad = run_bad_rows(spark, f"{path}/out").select(number.alias("doc_id"), F.lit(None).cast("bigint").alias("op4"), "step_id")
+    return rows.select("doc_id", "op4", F.lit(None).cast("string").alias("step_id")).unionByName(bad)
+
+
+QUERIES["run_side_output"] = run_side_output
+SQL["run_side_output"] = """SELECT doc_id, CASE WHEN doc_id % 6 <> 0 THEN 100::BIGINT END AS op4, CASE WHEN doc_id % 6 = 0 THEN 'run_step_1' END AS step_id
+FROM documents"""
+
+
+def stream_dedup_within(spark, sf_dir):
+    """All texts, again an hour later, and again after a day, when the state has let them go; the stream is stopped and goes on between.
+
+    Returns the copies that are left of each text, and the digests in the state before the last arrival, which is what time has left.
+    """
+    path = scratch_path(spark, "stream-within")
+    schema = "text string, at timestamp"
+    hours = F.timestamp_add("HOUR", F.col("h"), F.lit("2024-01-01").cast("timestamp"))
+    texts = docs(spark, sf_dir).select("text")
+    held = None
+    for hour in (0, 1, 10, 11, 12, 24):
+        arrived = texts if hour in (0, 1, 24) else spark.range(1).select(F.lit(f"tick {hour}").alias("text"))
+        write_any(arrived.withColumn("h", F.lit(hour)).select("text", hours.alias("at")), f"{path}/in/{hour:02d}", "parquet")
+        rows = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{path}/in")
+        query = write_stream(md5_dedup_within(rows, "2 hours", "text", "at"), f"{path}/out", f"{path}/checkpoint", "parquet")
+        finish(query)
+        if hour == 12:
+            held = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    back = spark.read.schema(schema).parquet(f"{path}/out").filter("text not like 'tick %'")
+    return back.groupBy(F.md5(F.col("text").cast("binary")).alias("digest")).agg(
+        F.count(F.lit(1)).alias("copies"), F.min(F.hour("at")).cast("bigint").alias("first_hour")).withColumn("few_held", F.lit(held <= 3))
+
+
+QUERIES["stream_dedup_within"] = stream_dedup_within
+SQL["stream_dedup_within"] = "SELECT DISTINCT md5(text) AS digest, 2::BIGINT AS copies, 0::BIGINT AS first_hour, true AS few_held FROM documents"
+
+
 def _two_steps(spark, sf_dir, engine, trigger, label):
     path = scratch_path(spark, label)
     source = f"{path}/in"

@@ -259,6 +259,11 @@ def list_folders(spark: SparkSession, path: str, prefix: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(place) if s.isDirectory() and s.getPath().getName().startswith(prefix))
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    system, place = file_place(spark, path)
+    system.mkdirs(place)
+
+
 def remove_folders(spark: SparkSession, paths: list[str]) -> None:
     """Delete folders that this library has written."""
     for path in paths:

@@ -10,9 +10,10 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Callable
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -23,7 +24,7 @@ from sluice.plans.registry import apply_operators
 from sluice.sinks.files import READ_BACK, WRITE_OPTIONS, json_as_text, write_any
 from sluice.sources.by_reference import with_existence
 from sluice.sources.files import (
-    JSONL_GLOB, all_files, list_files, list_folders, parse_lines, path_exists, read_by_index, read_written, remove_folders,
+    CORRUPT, JSONL_GLOB, all_files, list_files, list_folders, make_folder, parse_lines, path_exists, read_by_index, read_written, remove_folders,
 )
 
 DRAIN = {"availableNow": True}
@@ -109,9 +110,56 @@ def run_stream_step(
     partition_by: list[str] | None = None,
     name: str | None = None,
     then: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+    side_output: bool = False,
 ) -> StreamingQuery:
-    """Operators on a stream, and ``then`` on what they give, into a file sink. Rerunning with the same checkpoint resumes."""
-    return write_stream(then(apply_operators(source, operators)), path, checkpoint, fmt, trigger, compression, partition_by, name)
+    """Operators on a stream, and ``then`` on what they give, into a file sink. Rerunning with the same checkpoint resumes.
+
+    With ``side_output`` rows that failed go to a place of their own (:func:`write_stream_split`).
+    """
+    rows = then(apply_operators(source, operators))
+    if side_output:
+        return write_stream_split(rows, path, checkpoint, fmt, trigger, compression, name)
+    return write_stream(rows, path, checkpoint, fmt, trigger, compression, partition_by, name)
+
+
+ERROR_COLUMNS = (CORRUPT, "_error", "_error_msg")
+
+
+def side_path(path: str, side: str) -> str:
+    return f"{path}/side={side}"
+
+
+def write_stream_split(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    fmt: str = "json",
+    trigger: dict[str, Any] | None = None,
+    compression: str | None = None,
+    name: str | None = None,
+    is_bad: Column | None = None,
+) -> StreamingQuery:
+    """Good and bad rows of a stream in two places, in one pass over each micro-batch.
+
+    Bad are rows that ``is_bad`` says, by default those with text in ``_corrupt_record`` or ``_error``. A micro-batch is one write into
+    ``side=good`` and ``side=bad``, below a folder of its number, and replaces these folders when it is run again.
+    """
+    if is_bad is None:
+        marks = [F.col(c).isNotNull() for c in ERROR_COLUMNS[:2] if c in df.columns]
+        if not marks:
+            raise ValueError("rows without _corrupt_record or _error have no bad side; read them with quarantine")
+        is_bad = reduce(Column.__or__, marks)
+    for side in ("good", "bad"):
+        make_folder(df.sparkSession, side_path(path, side))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        tagged = batch.withColumn("side", F.when(is_bad, "bad").otherwise("good")).withColumn("batch", F.lit(batch_id))
+        write_any(tagged, path, fmt, compression=compression, partition_by=["side", "batch"], partitionOverwriteMode="dynamic")
+
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if name:
+        writer = writer.queryName(name)
+    return writer.trigger(**(trigger or DRAIN)).start()
 
 
 LOG_EVERY = 20  # micro-batches whose references are put together
