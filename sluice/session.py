@@ -88,6 +88,18 @@ def remove_scratch(spark: SparkSession, paths: list[str]) -> None:
         place.getFileSystem(conf).delete(place, True)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Bounds the Arrow batches of the jobs that run inside the block, for functions that get long texts; the session's own bound comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write an expensive intermediate to the shared folder once and read it back.
 
