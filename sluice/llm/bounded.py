@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-BLOCKS = 64
+BLOCKS = 16
 SCHEMA = "block int, cells binary"
 ARROW = pa.schema([("block", pa.int32()), ("cells", pa.binary())])
 

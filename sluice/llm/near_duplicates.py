@@ -33,12 +33,13 @@ from pyspark.sql import functions as F
 from sluice.llm import bounded
 from sluice.llm.components import connected
 from sluice.llm.shingles import mix, shingle_sets
-from sluice.session import materialize
+from sluice.session import arrow_batches, materialize
 
 _BITS = 20
 _CELLS = 1 << _BITS  # counters of the table of shingle counts: 4 MB
 _BLOOM = 1 << 25  # bits of the filter of sets that are compared: 4 MB
 _SLICE = 1 << 20  # bytes of text shingled at a time
+_BATCH = 500  # texts, or sets, that cross to Python together
 _FOLD_BITS = 9  # counters of a folded set: 512 bytes
 _BLOCK = 512  # strays, and others, that meet in one task
 _HUB = 4096  # documents that meet one pivot in one task
@@ -310,7 +311,8 @@ def find_groups(docs: DataFrame, text_key: bool = False) -> DataFrame:
     spark = docs.sparkSession
     key = F.xxhash64("doc_id", "text") if text_key else F.lit(None).cast("long")
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("text_key"), "text")
-    described = materialize(read.mapInArrow(_describe, ROWS), "jaccard-rows")
+    with arrow_batches(spark, _BATCH):
+        described = materialize(read.mapInArrow(_describe, ROWS), "jaccard-rows")
     rows = described.where("block is null").drop("block", "cells")
     counts = bounded.merged(described.where("block is not null"), "uint32", _CELLS, "add")
     levels = spark.sparkContext.broadcast(np.frexp(counts.astype(np.float64))[1].astype(np.uint8))
@@ -318,7 +320,9 @@ def find_groups(docs: DataFrame, text_key: bool = False) -> DataFrame:
 
     windows = docs.select("text").mapInArrow(_windows(levels), "s long, c long, n int")
     regions = windows.repartition("s").sortWithinPartitions("s", "c").mapInArrow(_shared, "s long, c long, n int")
-    regions = materialize(regions, "jaccard-regions")
+    with arrow_batches(spark, _BATCH):
+        regions = materialize(regions, "jaccard-regions")
+    levels.destroy()
 
     # Many shingles have the same documents: one region of each kind is enough. Documents without a neighbour of a fitting size go.
     kinds = regions.groupBy("s").agg(F.count("*").alias("m"), F.bit_xor("c").alias("x"), F.bit_xor(F.xxhash64("c")).alias("y"))
@@ -336,7 +340,10 @@ def find_groups(docs: DataFrame, text_key: bool = False) -> DataFrame:
         named = wanted.join(classes, "c").select("c", "first")
         bits = bounded.merged(named.mapInArrow(_bloom_blocks, bounded.SCHEMA), "uint8", _BLOOM // 8, "or")
         bloom = spark.sparkContext.broadcast(bits)
-        return materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sets(bloom), "c long, n int, own binary"), label)
+        with arrow_batches(spark, _BATCH):
+            found = materialize(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_sets(bloom), "c long, n int, own binary"), label)
+        bloom.destroy()
+        return found
 
     def measured(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
         """Pairs (a, n_a, b, n_b) to their exact distance. The sets of b travel to a, a hub with many in parts."""
@@ -349,8 +356,10 @@ def find_groups(docs: DataFrame, text_key: bool = False) -> DataFrame:
         placed = salted.union(hubs).join(sets.select("c", "own"), "c").repartition("hub", "salt").sortWithinPartitions(*order)
         common = placed.select(*order, "c", "own").mapInArrow(_common, "a long, b long, common int").distinct()
         union = F.col("n_a") + F.col("n_b") - F.col("common")
-        return materialize(common.join(pairs, ["a", "b"]).select(
-            "a", "b", (F.lit(100).cast("long") * F.col("common") >= F.lit(80).cast("long") * union).alias("link"), (F.lit(1.0) - F.col("common") / union).alias("d")), label)
+        judged = common.join(pairs, ["a", "b"]).select(
+            "a", "b", (F.lit(100).cast("long") * F.col("common") >= F.lit(80).cast("long") * union).alias("link"), (F.lit(1.0) - F.col("common") / union).alias("d"))
+        with arrow_batches(spark, _BATCH):
+            return materialize(judged, label)
 
     # Second level: every member of a region against the best connected one that may be near, for each the most promising.
     best = F.max(F.struct("weight", "c", "n")).alias("best")
