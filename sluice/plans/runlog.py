@@ -145,20 +145,20 @@ def run_log(spark: SparkSession, output_path: str, run_id: str = "run") -> DataF
 def run_states(spark: SparkSession, output_path: str, run_id: str = "run") -> DataFrame:
     """One row per step of a run, also while it runs and after it failed: state, attempt, micro-batches, rows and the message of a failure.
 
-    States are pending, running, stopped, success and failed. Rows in and out are those of the last attempt; batch steps know their rows
-    at the end.
+    States are pending, running, stopped, success and failed. Micro-batches and rows are those of the last start of a stream step, null for
+    steps that are no stream or have not begun.
     """
     log = run_log(spark, output_path, run_id)
     planned = log.filter("event = 'planned'").agg(F.max("steps").alias("steps"))
     steps = planned.select(F.explode(F.sequence(F.lit(1), "steps")).alias("step")).select(F.format_string(f"{run_id.replace('%', '%%')}_step_%d", "step").alias("step_id"))
     own = log.filter("step_id is not null")
     last = own.groupBy("step_id").agg(F.max_by(F.struct("event", "attempt", "message", "at"), "at").alias("last"))
-    begun = own.filter("event = 'started'").groupBy("step_id").agg(F.max("at").alias("begun"))
-    work = own.filter("event in ('batch', 'success')").join(begun, "step_id").filter("at >= begun").groupBy("step_id").agg(
-        F.countDistinct(F.when(F.col("event") == "batch", F.col("batch_id"))).alias("batches"), F.sum("input_rows").alias("input_rows"),
-        F.sum("output_rows").alias("output_rows"))
+    begun = own.filter("event = 'started' and source = 'stream'").groupBy("step_id").agg(F.max("at").alias("begun"))
+    batches = own.filter("event = 'batch'").select(F.col("step_id").alias("of"), "at", "batch_id", "input_rows", "output_rows")
+    work = begun.join(batches, (F.col("of") == F.col("step_id")) & (F.col("at") >= F.col("begun")), "left").groupBy("step_id").agg(
+        F.countDistinct("batch_id").alias("batches"), F.coalesce(F.sum("input_rows"), F.lit(0)).alias("input_rows"),
+        F.coalesce(F.sum("output_rows"), F.lit(0)).alias("output_rows"))
     state = F.coalesce(*[F.when(F.col("last.event") == e, s) for e, s in STATES.items()], F.lit("pending"))
     return steps.join(last, "step_id", "left").join(work, "step_id", "left").select(
         F.lit(run_id).alias("run_id"), "step_id", state.alias("state"), F.coalesce("last.attempt", F.lit(0)).alias("attempt"),
-        F.coalesce("batches", F.lit(0)).cast("bigint").alias("batches"), F.coalesce("input_rows", F.lit(0)).alias("input_rows"),
-        F.coalesce("output_rows", F.lit(0)).alias("output_rows"), F.col("last.message").alias("message"))
+        "batches", "input_rows", "output_rows", F.col("last.message").alias("message"))

@@ -53,7 +53,7 @@ def test_a_failed_run_tells_so_and_can_be_run_again(spark, lines, tmp_path, engi
     assert run_steps(spark, config(lines, out, engines, PASS, materialize=True)).count() == 20
     assert status(spark, out) == ("success", {"1": "success", "2": "success"})
     again = states(spark, out)["2"]
-    assert again[:2] == ("success", 1) and again[3] == 20
+    assert again == (("success", 1, 20, 20) if engines[1] == "spark-cpu-stream" else ("success", 1, None, None))
     assert {r["attempt"] for r in run_manifest(spark, out).filter("step_id = 'run_step_2'").collect()} == {1}
 
 
