@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.session import materialize
@@ -24,8 +24,7 @@ def connected(links: DataFrame, label: str) -> DataFrame:
         jump = roots.select(F.col("node").alias("next"), F.col("root").alias("beyond"))
         moved = pulled.join(jump, "next", "left").select(
             "node", F.least("next", F.coalesce("beyond", "next")).alias("next"), (F.col("root")).alias("before"))
-        seen = Observation()
-        moved = materialize(moved.observe(seen, F.count_if(F.col("next") != F.col("before")).alias("changes")), f"{label}-roots")
+        moved = materialize(moved, f"{label}-roots")
         roots = moved.select("node", F.col("next").alias("root"))
-        if not seen.get["changes"]:
+        if not moved.where("next <> before").count():  # one pass; a search for a first row is a job per few partitions where there is none
             return roots
