@@ -15,21 +15,24 @@ from sluice.llm.queries import vocabulary_path
 from sluice.queries.common import table
 from sluice.session import recorded_scratch, remove_scratch, scratch_path
 
-_spent: list[str] = []  # scratch of the stage that ran last
+_scratch: dict[tuple[str, str], list[str]] = {}  # by table folder and stage: scratch of results that the next stage has not begun on
 
 
 def _stage(fn):
-    """A stage that first removes the scratch folders of the stage before it.
+    """A stage that first removes the scratch folders of the stage before it, made for the same tables.
 
     By then the rows of that stage have been written and read again, so nothing needs its scratch; otherwise each stage would
-    leave a copy of the corpus until the end.
+    leave a copy of the corpus until the end. Stages that are called by themselves, or for other tables, keep theirs.
     """
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        remove_scratch(spark, _spent)
+        order = [stage.__name__ for _, stage in STAGES]
+        place = order.index(fn.__name__)
+        if place:
+            remove_scratch(spark, _scratch.pop((sf_dir, order[place - 1]), []))
         with recorded_scratch() as made:
             out = fn(spark, docs, sf_dir)
-        _spent[:] = made
+        _scratch.setdefault((sf_dir, fn.__name__), []).extend(made)
         return out
 
     return run_stage
