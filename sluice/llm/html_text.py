@@ -30,39 +30,79 @@ NOISE = frozenset("""ad ads advert adverts advertisement advertising sponsor spo
  share sharing social related recommended breadcrumb breadcrumbs menu navbar navigation nav footer site-footer site-header masthead
  pagination pager toolbar widget skip-link""".split())
 
+READERS = frozenset("comment comments comment-list disqus respond reply replies".split())
+
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SPACES = re.compile(r"\s+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "parts", "dropped", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "dropped", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: _Node | None, dropped: bool) -> None:
-        self.tag, self.parent, self.dropped = tag, parent, dropped
+    def __init__(self, tag: str, parent: _Node | None, named: str) -> None:
+        self.tag, self.parent, self.named, self.dropped = tag, parent, named, bool(named)
         self.parts: list[_Node | str] = []
 
 
-def _noise(tag: str, raw: str, inside_article: bool) -> bool:
-    """Whether an element is no part of any article, by its name or by what its attributes say."""
-    if tag in DROPPED or (tag == "header" and not inside_article):
-        return True
-    if not raw or tag in ("body", "html", "main", "article"):
-        return False
-    for name, value in _ATTRIBUTE.findall(raw):
+def _noise(tag: str, raw: str, inside_article: bool) -> str:
+    """Why an element is no part of any article: ``kind`` (its element name), ``hidden``, ``readers`` or ``name`` (its attributes); else empty.
+
+    Words of a class or id stand between blanks, ``_`` and ``-``.
+    """
+    if tag in DROPPED and tag != "form" or (tag == "header" and not inside_article):
+        return "kind"
+    if tag in ("body", "html", "main", "article"):
+        return ""
+    found = "name" if tag == "form" else ""
+    for name, value in _ATTRIBUTE.findall(raw) if raw else ():
         name, value = name.lower(), value.strip("\"'").lower()
-        if name in ("class", "id") and not NOISE.isdisjoint(re.split(r"[\s_]+", value)):
-            return True
-        if name == "role" and value in ROLES or name == "hidden" or (name, value) == ("aria-hidden", "true"):
-            return True
-        if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+        if name in ("class", "id"):
+            words = set(re.split(r"[\s_]+", value)) | set(re.split(r"[\s_-]+", value))
+            if not READERS.isdisjoint(words):
+                return "readers"
+            if not NOISE.isdisjoint(words):
+                found = "name"
+        if name == "hidden" or (name, value) == ("aria-hidden", "true") or name == "style" and "display:none" in value.replace(" ", ""):
+            return "hidden"
+        if name == "role" and value in ROLES:
+            found = "name"
+    return found
+
+
+def _weigh_names(root: _Node) -> None:
+    """Take back what only a name has dropped where that is most of the page: more text than all that is kept.
+
+    So a page in one form, or in an element of an unlucky class, keeps its article; reader comments come back only where nothing else is.
+    """
+    sizes: dict[int, int] = {}  # all text in an element that may come back, whatever its names say
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        todo.extend(p for p in node.parts if isinstance(p, _Node) and (not p.dropped or p.named in ("name", "readers")))
+    for node in reversed(order):
+        inner = [p for p in node.parts if isinstance(p, _Node) and id(p) in sizes]
+        sizes[id(node)] = sum(len("".join(p.split())) for p in node.parts if isinstance(p, str)) + sum(sizes[id(p)] for p in inner)
+    open_, kept = [root], 0
+    held: list[_Node] = []
+    while open_:
+        node = open_.pop()
+        kept += sum(len("".join(p.split())) for p in node.parts if isinstance(p, str))
+        for part in node.parts:
+            if isinstance(part, _Node) and id(part) in sizes:
+                (held if part.dropped else open_).append(part)
+        if not open_ and held:  # the kept text is known: look at the largest dropped element
+            largest = max(held, key=lambda n: (n.named == "name", sizes[id(n)]))
+            if sizes[id(largest)] > kept and (largest.named == "name" or not kept):
+                held.remove(largest)
+                largest.dropped = False
+                open_.append(largest)
 
 
 def parse(page: str) -> _Node:
     """A tree of elements and text; end tags may be missing or left over. Linear in the page, without recursion."""
-    root = _Node("html", None, False)
+    root = _Node("html", None, "")
     stack, at, size = [root], 0, len(page)
 
     def text(raw: str) -> None:
@@ -186,6 +226,18 @@ def _prose(part: _Node | str) -> bool:
     return part.tag not in BLOCKS or part.tag in PROSE or any(n.tag in HEADINGS and n.chars and not _mostly_links(n) for n in _in_order(part))
 
 
+def _titled_article(chosen: _Node) -> _Node | None:
+    """Where the main element around a chosen article has others beside it, the only one of them with a heading of the first level."""
+    main = chosen.parent
+    while main is not None and main.tag != "main":
+        main = main.parent
+    if main is None or chosen.tag != "article":
+        return None
+    articles = [n for n in _in_order(main) if n.tag == "article" and n.chars]
+    titled = [a for a in articles if any(n.tag == "h1" and n.chars for n in _in_order(a))]
+    return titled[0] if len(titled) == 1 else None
+
+
 def _select(root: _Node) -> _Node:
     """The element that holds the article.
 
@@ -194,6 +246,7 @@ def _select(root: _Node) -> _Node:
     of its own (:func:`_prose`). It is taken with its headings, short blocks and bare text, which are less dense than any element
     around them; only links and blocks of links that lie beside the path and are thinner than the path stay out.
     """
+    _weigh_names(root)
     order = [n for n in _measure(root) if n.tag in BLOCKS]
     best = max(order, key=lambda n: n.total, default=root)
     if best.total <= 0:
@@ -204,7 +257,8 @@ def _select(root: _Node) -> _Node:
         node = node.parent
     whole = [n for n in path if n.tag == "article"] or [n for n in path if n.tag == "main"]
     if whole:
-        return whole[-1]
+        titled = _titled_article(whole[-1])
+        return titled or whole[-1]
     threshold = min(n.density for n in path)
     last = 0
     for i in range(1, len(path)):
@@ -264,9 +318,9 @@ def extract_main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str,
 
     Every element gets its composite text density: characters per tag, weighted down by the share and number of links. The
     subtree with the largest sum of its blocks' densities is the article; if it lies in an article or main element, that element
-    is. Elsewhere it grows to the element that holds all that is as dense as its path to the body, and all text of an article
+    is, and of several articles in a main element the one with the title. Elsewhere it grows to the element that holds all that is as dense as its path to the body, and all text of an article
     around it, without links and blocks of links beside that path. Scripts, forms, navigation and the like are cut out before by
-    element name, role and class. A null or empty page has an empty text; repeated rows, ties (the first subtree) and broken markup
+    element name, role and class, unless by their name only and most of the page. A null or empty page has an empty text; repeated rows, ties (the first subtree) and broken markup
     are no errors; an empty table gives an empty result.
     """
     fields = [pages.schema[k] for k in keep]
