@@ -129,7 +129,13 @@ def fan_out(
             self._extra = (init(),) if init else ()
 
         def eval(self, *values: Any) -> Iterator[tuple]:
-            yield from fn(*self._extra, *values)
-
+            none = True
+            for row in fn(*self._extra, *values):
+                none = False
+                yield row
+            if none and keep_empty:  # an inner join with a row of nulls is a generator; an outer lateral join is not
+                yield nothing
+
+    nothing = (None,) * len(out.fields)
     table = F.udtf(Each, returnType=out, useArrow=True)
-    return df.lateralJoin(table(*[F.col(f"`{a}`").outer() for a in args]), on=F.lit(True) if keep_empty else None, how="left" if keep_empty else "inner")
+    return df.lateralJoin(table(*[F.col(f"`{a}`").outer() for a in args]))

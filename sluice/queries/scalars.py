@@ -13,6 +13,7 @@ from sluice.operators.literals import LITERAL_OPERATORS
 from sluice.operators.models import gated
 from sluice.operators.rows import fan_out, run_partitions, run_rows
 from sluice.plans.registry import apply_operators, get_operator
+from sluice.session import spread
 from sluice.queries.common import BODY_SQL, CONTENT_SQL, RECORDS_SQL, as_blocks, r6, r6_sql, table
 
 QUERIES, SQL = {}, {}
@@ -284,7 +285,7 @@ def iter_fan_out(spark, sf_dir):
     """Documents with their sentences, from none to many; documents without any stay. Every fifth text is null or empty."""
     number = F.col("doc_id")
     text = F.when(number % 10 == 0, None).when(number % 5 == 0, "").otherwise(F.col("text")).alias("text")
-    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", text)
+    rows = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", text))
     parts = fan_out(rows, _parts, ["text"], "place bigint, part string", keep_empty=True)
     return parts.select("doc_id", "lang", "place", "part")
 
