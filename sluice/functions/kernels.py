@@ -30,16 +30,16 @@ EMOJI_RANGES = ((0x1F300, 0x1FAFF), (0x2600, 0x27BF))
 
 
 def _chunks(texts: pa.Array) -> Iterator[list[str]]:
-    """Texts in order, cut so that a chunk holds about ``CHUNK_CHARS`` characters; NULL counts as empty."""
-    chunk, size = [], 0
-    for text in texts.to_pylist():
-        chunk.append(text or "")
-        size += len(chunk[-1])
-        if size >= CHUNK_CHARS:
-            yield chunk
-            chunk, size = [], 0
-    if chunk:
-        yield chunk
+    """Texts in order, cut so that a chunk holds about ``CHUNK_CHARS`` characters; NULL counts as empty.
+
+    Only the texts of one chunk are Python strings at a time, whatever the size of the batch.
+    """
+    ends = np.cumsum(pc.utf8_length(texts).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        end = 1 + int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_CHARS))
+        yield [text or "" for text in texts.slice(at, end - at).to_pylist()]
+        at = end
 
 
 def _share(total: np.ndarray, parts: np.ndarray) -> np.ndarray:
@@ -136,11 +136,28 @@ def _number(pairs: np.ndarray) -> np.ndarray:
     return pd.factorize(pairs)[0].astype(np.int64)
 
 
+def _grams(k: int, row: np.ndarray, word: np.ndarray, vocabulary: int, known: dict[int, np.ndarray]) -> np.ndarray:
+    """Numbers of the ``k`` words from each position on; those of different texts never agree. ``known`` keeps them by ``k``.
+
+    A function of its own: a closure that calls itself is a cycle, and would hold every array of a chunk until the garbage collector runs.
+    """
+    if k not in known:
+        size = max(len(row) - k + 1, 0)
+        if k == 2:
+            left, right = row[:size] * vocabulary + word[:size], word[1:1 + size]
+        else:
+            half = 1 << ((k - 1).bit_length() - 1)
+            left = _grams(half, row, word, vocabulary, known)[:size]
+            right = (_grams(k - half, row, word, vocabulary, known) if k - half > 1 else word)[half:half + size]
+        known[k] = _number(left * (right.max(initial=0) + 1) + right)
+    return known[k]
+
+
 def word_table(texts: list[str], sizes: Iterable[int] = ()) -> dict[str, np.ndarray]:
     """The ``WORD_FIELDS`` of each text and, per n-gram size, the share of repeated n-grams (``dup_k``) and, for the
     ``TOP_SIZES``, of characters under the most frequent one (``top_k``)."""
     row, word, length = _words(texts)
-    n_rows, n_words = len(texts), len(row)
+    n_rows = len(texts)
     vocabulary = word.max(initial=0) + 1
     ends = np.concatenate([[0], np.cumsum(length)])
     chars = np.bincount(row, weights=length, minlength=n_rows)
@@ -151,22 +168,9 @@ def word_table(texts: list[str], sizes: Iterable[int] = ()) -> dict[str, np.ndar
         "word_chars": chars.astype(np.int64),
         "unique_word_chars": np.bincount(row[first], weights=length[first], minlength=n_rows).astype(np.int64),
     }
-    grams: dict[int, np.ndarray] = {}
-
-    def numbered(k: int) -> np.ndarray:
-        """Numbers of the ``k`` words from each position on; those of different texts never agree."""
-        if k not in grams:
-            size = max(n_words - k + 1, 0)
-            if k == 2:
-                left, right = row[:size] * vocabulary + word[:size], word[1:1 + size]
-            else:
-                half = 1 << ((k - 1).bit_length() - 1)
-                left, right = numbered(half)[:size], (numbered(k - half) if k - half > 1 else word)[half:half + size]
-            grams[k] = _number(left * (right.max(initial=0) + 1) + right)
-        return grams[k]
-
+    known: dict[int, np.ndarray] = {}
     for k in sizes:
-        gram = numbered(k)
+        gram = _grams(k, row, word, vocabulary, known)
         start = np.flatnonzero(row[:len(gram)] == row[k - 1:k - 1 + len(gram)])
         gram, owner = gram[start], row[start]
         count = np.bincount(gram)

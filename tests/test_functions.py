@@ -272,3 +272,43 @@ def test_kernels_do_not_depend_on_chunks(monkeypatch, chunk_chars, dense_cells):
                                      (words, "words", "words_num"), (words, "top_2", "dup_top_2gram"), (words, "dup_10", "dup_10gram")):
             assert abs(np.concatenate([t[name] for t in table])[i] - want[feature]) < 1e-9, (text, name)
     assert list(kernels._chunks(pa.array([], pa.string()))) == []
+
+
+def test_kernels_leave_no_arrays_behind():
+    """What a chunk needs is freed when it is done, without the garbage collector: else workers grow with their rows."""
+    import gc
+    import tracemalloc
+
+    from sluice.functions import kernels
+
+    chunk = [" ".join(f"w{(i * j) % 997}" for i in range(300)) for j in range(1, 60)]
+    kernels.word_table(chunk, (2, 4, 10)), kernels.char_table(chunk)
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        for _ in range(10):
+            kernels.word_table(chunk, (2, 4, 10)), kernels.word_table(chunk), kernels.char_table(chunk)
+        left = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert left < 500_000  # the arrays of one chunk take 2 MB
+
+
+def test_a_batch_is_not_turned_into_strings_at_once():
+    """Only the texts of a chunk are Python strings, so a worker holds a batch once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from sluice.functions import kernels
+
+    texts = pa.array(["0123456789" * 100] * 8_000)
+    tracemalloc.start()
+    try:
+        assert sum(len(chunk) for chunk in kernels._chunks(texts)) == 8_000
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 3 * kernels.CHUNK_CHARS
