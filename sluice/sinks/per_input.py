@@ -1,27 +1,32 @@
 """A sink that writes one object per input: a data source with commit and abort, for tables and for the micro-batches of streams.
 
-Rows are dealt out by the input that they came from, so each object is written by one task; tasks write hidden files, and the commit
-gives them their names at once when every task has ended. A job or micro-batch that fails leaves no named object, and one that is run again
+Rows are dealt out by the input that they came from, and a large input to several tasks (adaptive execution splits partitions by their
+bytes). Each task writes hidden pieces, which the commit lists. Pieces of one object are put one behind the other, as lines and gzip members
+may be; then all objects get their names at once. A job or micro-batch that fails leaves no named object, and one that is run again
 replaces its own. Files are opened with the file systems of pyarrow, as in :mod:`sluice.sources.by_reference`.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from itertools import accumulate, groupby
 from typing import Any
 
 import pyarrow as pa
 import pyarrow.fs as fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.functions.scalar import basename, normalize_path
 from sluice.sinks.files import as_lines, has_rest
-from sluice.sources.by_reference import _opened
+from sluice.sources.by_reference import BLOCK, _opened
 
 FORMAT = "one_object_per_input"
 HIDDEN = "._"
@@ -29,12 +34,14 @@ HIDDEN = "._"
 
 @dataclass
 class Written(WriterCommitMessage):
-    """Hidden file and name of the objects of a task, and the input of each."""
+    """The pieces of a task: hidden file, name and input of the object, bytes."""
 
-    objects: list[tuple[str, str, str]]
+    pieces: list[tuple[str, str, str, int]]
 
 
 class PerInputWriter(DataSourceArrowWriter):
+    """Writes the pieces of objects; the commit leaves their list, by which :func:`write_per_input` makes objects of them."""
+
     def __init__(self, path: str, attempt: str) -> None:
         self._path, self._attempt = path.rstrip("/"), attempt
 
@@ -57,40 +64,76 @@ class PerInputWriter(DataSourceArrowWriter):
         finally:
             if sink is not None:
                 sink.close()
-        return Written(objects)
+        return Written([(*o, system.get_file_info(o[0]).size) for o in objects])
 
     def commit(self, messages: list[Written | None]) -> None:
-        system, folder = _opened(self._path)
-        objects = [o for m in messages if m is not None for o in m.objects]
+        pieces = sorted((piece for m in messages if m is not None for piece in m.pieces), key=lambda piece: piece[1])
         inputs: dict[str, str] = {}
-        for _, name, source in objects:
+        for _, name, source, _ in pieces:
             if inputs.setdefault(name, source) != source:
                 self.abort(messages)
                 raise ValueError(f"two inputs would be written to {name!r}: {inputs[name]!r} and {source!r}")
-        for hidden, name, _ in objects:
-            system.move(hidden, f"{folder}/{name}")
-        self._clean(system, folder)
+        system, listed = _opened(_list_of(self._path, self._attempt))
+        system.create_dir(os.path.dirname(listed), recursive=True)
+        with system.open_output_stream(listed, compression=None) as sink:
+            sink.write(json.dumps([(name, hidden, size) for hidden, name, _, size in pieces]).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
-        system, folder = _opened(self._path)
-        self._clean(system, folder)
+        _clean(self._path, self._attempt)
+
+
+def _list_of(path: str, attempt: str) -> str:
+    return f"{path.rstrip('/')}/{HIDDEN}{attempt}-list"
+
 
-    def _clean(self, system: fs.FileSystem, folder: str) -> None:
-        """Hidden files of this job, also those of tasks that failed or ran twice."""
-        for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
-            if info.base_name.startswith(f"{HIDDEN}{self._attempt}-"):
-                system.delete_file(info.path)
+def _clean(path: str, attempt: str) -> None:
+    """Delete the hidden files of a job, also those of tasks that failed or ran twice."""
+    system, folder = _opened(path.rstrip("/"))
+    for info in system.get_file_info(fs.FileSelector(folder, allow_not_found=True)):
+        if info.base_name.startswith(f"{HIDDEN}{attempt}-"):
+            system.delete_file(info.path)
+
+
+def _put_together(spark: SparkSession, path: str, wholes: dict[str, list[tuple[str, int]]]) -> None:
+    """Copy pieces (file, bytes) one behind the other into the files that they make up.
+
+    Where a file system can write inside a file (local and mounted ones), each task copies one piece to its place; elsewhere one task
+    streams all pieces of a file.
+    """
+    system, _ = _opened(path)
+    inside = isinstance(system, fs.LocalFileSystem)
+    rows: list[tuple[str, int, list[str]]] = []
+    for whole, pieces in wholes.items():
+        files, ends = [piece for piece, _ in pieces], accumulate(size for _, size in pieces)
+        rows += [(whole, end - size, [piece]) for (piece, size), end in zip(pieces, ends)] if inside else [(whole, 0, files)]
+
+    def copy(copies: Iterator[tuple[str, int, list[str]]]) -> None:
+        system, _ = _opened(path)
+        for whole, start, pieces in copies:
+            with os.fdopen(os.open(whole, os.O_WRONLY | os.O_CREAT, 0o666), "wb") if inside else system.open_output_stream(whole, compression=None) as sink:
+                if inside:
+                    sink.seek(start)
+                for piece in pieces:
+                    with system.open_input_stream(piece, compression=None) as source:
+                        while block := source.read(BLOCK):
+                            sink.write(block)
+
+    spark.sparkContext.parallelize(rows, len(rows)).foreachPartition(copy)
+    for whole, pieces in wholes.items():
+        size, wanted = system.get_file_info(whole).size, sum(size for _, size in pieces)
+        if size != wanted:
+            raise OSError(f"{whole!r} has {size} bytes of {wanted}")
 
 
 class PerInputSource(DataSource):
-    """The sink half of a data source; its path is the only option."""
+    """The sink half of a data source; its options are the path and the name of the attempt."""
 
     @classmethod
     def name(cls) -> str:
         return FORMAT
 
     def writer(self, schema: Any, overwrite: bool) -> PerInputWriter:
-        return PerInputWriter(self.options["path"], uuid.uuid4().hex[:12])
+        return PerInputWriter(self.options["path"], self.options["attempt"])
 
 
 def object_name(df: DataFrame, suffix: str) -> Column:
@@ -108,7 +151,7 @@ def _objects(df: DataFrame, suffix: str) -> DataFrame:
     record = as_lines(named.select(*[F.col(f"`{c}`") for c in body], "__object", "__input"), ["__object", "__input"]) if has_rest(df.schema) else named.select(
         "__object", "__input", F.to_json(F.struct(*[F.col(f"`{c}`") for c in body]), {"ignoreNullFields": "false"}).alias("value"))
     df.sparkSession.dataSource.register(PerInputSource)
-    return record.repartition("__object", "__input").sortWithinPartitions("__object", "__input")
+    return record.hint("rebalance", "__object", "__input").sortWithinPartitions("__object", "__input")
 
 
 def write_per_input(df: DataFrame, path: str, compression: str | None = None) -> None:
@@ -117,14 +160,45 @@ def write_per_input(df: DataFrame, path: str, compression: str | None = None) ->
     Rows carry their ``input_file``, which is not written. Two inputs of one name fail the job before anything has a name.
     """
     suffix = ".jsonl" + (".gz" if compression == "gzip" else "")
-    _objects(df, suffix).write.format(FORMAT).mode("append").option("path", path).save()
+    attempt = uuid.uuid4().hex[:12]
+    try:
+        _objects(df, suffix).write.format(FORMAT).mode("append").option("path", path).option("attempt", attempt).save()
+        system, listed = _opened(_list_of(path, attempt))
+        with system.open_input_stream(listed, compression=None) as source:
+            pieces = json.loads(source.read())
+        folder, whole = os.path.dirname(listed), {}
+        several: dict[str, list[tuple[str, int]]] = {}
+        for name, group in groupby(pieces, key=lambda piece: piece[0]):
+            parts = [(hidden, size) for _, hidden, size in group]
+            whole[name] = parts[0][0] if len(parts) == 1 else f"{folder}/{HIDDEN}{attempt}-{uuid.uuid4().hex}"
+            if len(parts) > 1:
+                several[whole[name]] = parts
+        if several:
+            _put_together(df.sparkSession, path, several)
+        for name, hidden in whole.items():
+            system.move(hidden, f"{folder}/{name}")
+    finally:
+        _clean(path, attempt)
+
+
+@contextmanager
+def _adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive execution inside the block: Spark turns it off in the session of a stream, where a table of one micro-batch may use it."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def stream_per_input(df: DataFrame, path: str, checkpoint: str, compression: str | None = None, trigger: dict[str, Any] | None = None) -> StreamingQuery:
     """The same for a stream of files: a file is in one micro-batch, so it becomes one object. Every micro-batch is committed as a whole, and
     one that is run again replaces its own objects."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_per_input(batch, path, compression)
+        with _adaptive(batch.sparkSession):
+            write_per_input(batch, path, compression)
 
     writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -3,7 +3,9 @@
 import gzip
 import json
 import os
+from types import SimpleNamespace
 
+import pyarrow.fs as fs
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -13,6 +15,7 @@ from sluice.operators.rows import fan_out
 from sluice.operators.tree_models import load_model, logistic_spec, model_features, model_score, save_model, stored_model, train_tree_model, tree_score, tree_spec
 from sluice.operators.models import score_clean_model, train_clean_model
 from sluice.plans.runner import check_config, run_bad_rows, run_steps
+from sluice.sinks import per_input
 from sluice.sinks.per_input import stream_per_input, write_per_input
 from sluice.sources.files import read_jsonl
 from sluice.streaming.steps import finish, side_path, stream_jsonl, write_stream, write_stream_split
@@ -74,6 +77,59 @@ def test_a_stream_that_is_killed_writes_whole_objects_only(spark, tmp_path, writ
     assert {k: [r["id"] for r in v] for k, v in objects(out).items()} == {f"{i}.jsonl.gz": [10 * i, 10 * i + 1, 10 * i + 2] for i in range(4)}
 
 
+@pytest.mark.parametrize("inside", [True, False])  # False: a store whose files are written from front to back
+def test_a_large_object_is_written_by_several_tasks(spark, tmp_path, write_lines, monkeypatch, inside):
+    made, put = [], per_input._put_together
+    monkeypatch.setattr(per_input, "_put_together", lambda spark, path, wholes: (made.append(wholes), put(spark, path, wholes)))
+    if not inside:
+        monkeypatch.setattr(per_input, "fs", SimpleNamespace(LocalFileSystem=type(None), FileSelector=fs.FileSelector))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    text = F.concat(*[F.md5(F.concat("id", F.lit(f"-{i}"))) for i in range(4)]).alias("text")
+    rows = spark.range(0, 4000, 1, 8).select("id", text, F.when(F.col("id") % 100 < 98, "/x/large.jsonl").otherwise("/x/small.jsonl").alias("input_file"))
+    want = {(r.id, r.text) for r in rows.collect()}
+    try:
+        for compression, end in ((None, ""), ("gzip", ".gz")):
+            out = tmp_path / f"o{end}"
+            write_per_input(rows, str(out), compression)
+            got = objects(out)
+            assert {k: len(v) for k, v in got.items()} == {f"large.jsonl{end}": 3920, f"small.jsonl{end}": 80}
+            assert {(r["id"], r["text"]) for v in got.values() for r in v} == want
+            sizes = [size for pieces in made.pop().values() for _, size in pieces]
+            assert len(sizes) > 4 and max(sizes) < sum(sizes) / 4  # before, one task wrote all of it
+            assert sorted(os.listdir(out)) == list(got)
+            assert spark.read.schema("id bigint").json(str(out)).distinct().count() == 4000  # every gzip member is read
+        write_lines("in/one.jsonl", [json.dumps({"id": r.id, "text": r.text}) for r in rows.collect()])
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+        stream = stream_jsonl(spark, write_lines.root + "/in", "id bigint, text string")
+        finish(stream_per_input(stream, str(tmp_path / "s"), str(tmp_path / "c"), "gzip"))
+        got = objects(tmp_path / "s")
+        assert list(got) == ["one.jsonl.gz"] and {(r["id"], r["text"]) for r in got["one.jsonl.gz"]} == want and len(got["one.jsonl.gz"]) == 4000
+        assert len(next(iter(made.pop().values()))) > 4
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_pieces_that_are_cut_short_leave_no_object(spark, tmp_path, monkeypatch):
+    """A store that lost the end of a piece fails the write; nothing gets a name."""
+    def short(spark, path, wholes):
+        put(spark, path, {whole: [(piece, size + 1) for piece, size in pieces] for whole, pieces in wholes.items()})
+
+    put = per_input._put_together
+    monkeypatch.setattr(per_input, "_put_together", short)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        with pytest.raises(OSError, match="bytes of"):
+            write_per_input(spark.range(0, 20000, 1, 8).select("id", F.md5(F.col("id").cast("string")).alias("t"), F.lit("f").alias("input_file")), str(tmp_path / "o"))
+    finally:
+        spark.conf.set(key, before)
+    assert os.listdir(tmp_path / "o") == []
+
+
 # side outputs
 
 
