@@ -13,8 +13,9 @@ from sluice.llm.pii import redact
 from sluice.llm.quality_rules import keep_good
 from sluice.llm.queries import vocabulary_path
 from sluice.queries.common import table
-from sluice.session import recorded_scratch, remove_scratch, scratch_path
+from sluice.session import arrow_batches, materialize, recorded_scratch, remove_scratch, scratch_path
 
+_BATCH = 500  # texts that cross to Python together
 _scratch: dict[tuple[str, str], list[str]] = {}  # by table folder and stage: scratch of results that the next stage has not begun on
 
 
@@ -64,8 +65,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @_stage
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token sequences of at most 1024 ids: one row per piece, with its ids."""
-    return pack_documents(docs, vocabulary_path(), with_ids=True)
+    """Token sequences of at most 1024 ids: one row per piece, with its ids.
+
+    Written here, while few texts cross to Python together: the session's 10,000 would lie in the JVM and in Python several times.
+    """
+    with arrow_batches(spark, _BATCH):
+        return materialize(pack_documents(docs, vocabulary_path(), with_ids=True), "packed")
 
 
 STAGES = [("quality rules", quality), ("near duplicates", near_duplicates), ("personal data", personal_data), ("source mix", mix),

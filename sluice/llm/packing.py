@@ -101,7 +101,7 @@ def _pack(vocabulary: str, capacity: int, end_id: int, waste: float, with_ids: b
                 for length in cuts(len(ids), capacity, waste):
                     part = ids[start:start + length]
                     piece = (doc_id, start, length, zlib.crc32(part.tobytes()), len(ids))
-                    packer.add((*piece, part.tolist()) if with_ids else piece)
+                    packer.add((*piece, part.astype("<i4")) if with_ids else piece)
                     start += length
                 if len(packer.done) >= (256 if with_ids else 8192):
                     yield _rows(packer.done, schema)

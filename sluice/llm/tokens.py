@@ -43,16 +43,20 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     """Text to ids (little-endian unsigned 32 bit), without special tokens at its ends.
 
     Byte-level BPE files run on tiktoken, which gives the same ids as the file's own library four times as fast (tested);
-    other files, and texts that tiktoken refuses, run on tokenizers.
+    other files, and texts that tiktoken refuses, run on tokenizers, which is loaded for the first of them only.
     """
     import tiktoken
-    from tokenizers import Tokenizer
 
     found = _ranks(path)
-    slow = None if path.endswith(".tiktoken") else Tokenizer.from_file(path)
+
+    @lru_cache(maxsize=1)
+    def slow():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path)
 
     def plainly(text: str) -> np.ndarray:
-        return np.array(slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.array(slow().encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     if found is None:
         return plainly
@@ -62,7 +66,7 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
         try:
             return fast.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False)
         except (ValueError, UnicodeError):
-            if slow is None:
+            if path.endswith(".tiktoken"):
                 raise
             return plainly(text)
 

@@ -247,6 +247,53 @@ def test_packing_is_a_round_trip(spark):
     assert json.dumps(sorted(map(str, pack_documents(docs, vocabulary_path()).collect())))
 
 
+def test_the_packing_stage_sends_few_texts_at_a_time(spark, monkeypatch):
+    """Arrow batches of the session's size would take hundreds of MB beside the heap and in each worker."""
+    import pyarrow as pa
+
+    import corpus_pipeline
+
+    def sizes(docs, vocabulary, **options):
+        count = lambda batches: (pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())}) for b in batches)
+        return docs.mapInArrow(count, "n long")
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    monkeypatch.setattr(corpus_pipeline, "pack_documents", sizes)
+    spark.conf.set(key, "10000")
+    try:
+        docs = spark.range(3000).selectExpr("id AS doc_id", "'text' AS text").coalesce(1)
+        found = [r.n for r in corpus_pipeline.pack(spark, docs, "few-texts").collect()]
+        assert spark.conf.get(key) == "10000"
+    finally:
+        spark.conf.set(key, before)
+    assert sum(found) == 3000 and max(found) <= 500
+
+
+def test_the_slow_tokenizer_is_loaded_only_for_texts_that_need_it(monkeypatch):
+    import tokenizers
+
+    plain, loaded = Tokenizer.from_file(vocabulary_path()), []
+
+    class Counted:
+        @staticmethod
+        def from_file(path):
+            loaded.append(path)
+            return plain
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    encoder.cache_clear()
+    try:
+        encode = encoder(vocabulary_path())
+        assert encode("plain text").tolist() == plain.encode("plain text", add_special_tokens=False).ids and not loaded
+        monkeypatch.setattr("tiktoken.Encoding.encode_to_numpy", lambda *a, **k: (_ for _ in ()).throw(ValueError("refused")))
+        for _ in range(2):
+            assert encode("a text").tolist() == plain.encode("a text", add_special_tokens=False).ids
+        assert len(loaded) == 1
+    finally:
+        encoder.cache_clear()
+
+
 # token matrix
 
 
